@@ -1,0 +1,3 @@
+"""Structured Streaming operators."""
+
+from rateflow.streaming.deltas import run_delta_stream, stream_apply_deltas  # noqa: F401
