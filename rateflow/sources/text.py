@@ -39,7 +39,7 @@ def java_split(s: Column, sep_regex: str = _PIPE) -> Column:
 
 
 def _cast(c: Column, type_name: str, permissive: bool) -> Column:
-    return F.try_cast(c, type_name) if permissive else c.cast(type_name)
+    return c.try_cast(type_name) if permissive else c.cast(type_name)
 
 
 def _field(arr: Column, i: int, permissive: bool) -> Column:
