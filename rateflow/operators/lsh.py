@@ -56,4 +56,14 @@ def lsh_lookup(index: DataFrame, queries: DataFrame, tags_col: str = "tags",
     q = with_signature(queries, tags_col, seeds)
     idx = index.select(*sig, F.col("item_id"), F.col("title").alias("item_title"),
                        F.col("tags").alias("item_tags"))
-    return q.join(idx, sig, "left" if keep_unmatched else "inner")
+    # Inner join, not a left join: a left outer join can neither split a hot bucket on
+    # its right side nor broadcast the (usually small) query side. Unmatched queries
+    # are added back by an anti-join against the distinct bucket keys (one row per
+    # bucket), which gives exactly the left-join result.
+    hits = q.join(idx, sig, "inner")
+    if not keep_unmatched:
+        return hits
+    misses = q.join(index.select(*sig).distinct(), sig, "left_anti").select(
+        "*", F.lit(None).cast("bigint").alias("item_id"), F.lit(None).cast("string").alias("item_title"),
+        F.lit(None).cast("array<string>").alias("item_tags"))
+    return hits.unionByName(misses)
