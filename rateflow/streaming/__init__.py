@@ -1,3 +1,3 @@
 """Structured Streaming operators."""
 
-from rateflow.streaming.deltas import run_delta_stream, stream_apply_deltas  # noqa: F401
+from rateflow.streaming.deltas import current_fold, run_delta_stream, stream_apply_deltas  # noqa: F401

@@ -1,15 +1,25 @@
 """Structured Streaming maintenance of per-item averages from a feed of deltas.
 
-The feed is a directory of delta files (Parquet or pipe-delimited text). A streaming
-aggregation folds the deltas per item (``ds``, ``dn``; sums, so arrival order and
-micro-batch boundaries do not matter and no watermark is needed). In update mode each
-micro-batch emits the cumulative fold of the items it touched; ``foreachBatch`` writes
-it to ``<out>/folds/batch_id=<n>`` with overwrite, so a replayed batch after a failure
-rewrites the same partition (idempotent). The current averages are the base state
-merged with the latest fold of every item.
-
-Everything (state store, checkpoint, folds) lives under the session's shared
-checkpoint directory unless ``out_dir`` names another shared location.
+The feed is a directory of delta files (Parquet or pipe-delimited text) read with the
+file source, so every micro-batch covers a set of files recorded in the checkpoint's
+offset log. Per item the deltas fold to ``ds`` and ``dn``. Both are sums, so arrival order
+and micro-batch boundaries do not matter and no watermark is needed.
+
+Two ways to keep the fold, both exactly once:
+
+* ``mode="folds"`` (default, stateless): each micro-batch folds its own rows (partial
+  aggregation, one shuffle) and ``foreachBatch`` writes them to
+  ``<out>/folds/batch_id=<n>`` with overwrite. A batch replayed after a failure reads the
+  same files and rewrites the same partition. The current fold of an item is the sum
+  over all batches. There is no state store, so a batch costs one aggregation of its new
+  rows.
+* ``mode="stateful"``: a streaming aggregation keeps the running fold in the state store
+  (update mode). Each batch writes the cumulative rows of the items it touched, and the
+  current fold is the row of each item's latest batch.
+
+The maintained averages are the base state merged with the current fold (a key join).
+Checkpoint, state and folds live under the session's shared checkpoint directory unless
+``out_dir`` names another shared location.
 """
 
 from __future__ import annotations
@@ -48,24 +58,31 @@ def streaming_fold(deltas: DataFrame) -> DataFrame:
 
 def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None = None,
                      fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                     timeout_s: float | None = None) -> str:
+                     mode: str = "folds", timeout_s: float | None = None) -> str:
     """Process everything available in ``source_dir`` (trigger ``availableNow``) and
     return the output directory holding ``folds/`` and ``_checkpoint/``.
 
     Running it again with the same ``out_dir`` resumes from the checkpoint and only
     processes new files.
     """
+    if mode not in ("folds", "stateful"):
+        raise ValueError(f"unknown mode: {mode}")
     out = out_dir or scratch_path(spark, "delta-stream")
     folds = f"{out}/folds"
     # An empty seed partition makes the folds table readable before any batch.
     spark.createDataFrame([], FOLD_SCHEMA).write.mode("overwrite").parquet(f"{folds}/batch_id=-1")
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
-
-    query = (streaming_fold(delta_stream(spark, source_dir, fmt, max_files_per_trigger))
-             .writeStream.outputMode("update")
-             .option("checkpointLocation", f"{out}/_checkpoint")
+    deltas = delta_stream(spark, source_dir, fmt, max_files_per_trigger)
+
+    if mode == "folds":
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            streaming_fold(batch).write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
+        writer = deltas.writeStream.outputMode("append")
+    else:
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
+        writer = streaming_fold(deltas).writeStream.outputMode("update")
+
+    query = (writer.option("checkpointLocation", f"{out}/_checkpoint")
              .foreachBatch(sink)
              .trigger(availableNow=True)
              .start())
@@ -76,17 +93,30 @@ def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None =
     return out
 
 
+def _fold_table(spark: SparkSession, out_dir: str) -> DataFrame:
+    return spark.read.schema(FOLD_SCHEMA + ", batch_id int").parquet(f"{out_dir}/folds")
+
+
+def summed_folds(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Current fold from per-batch folds (``mode="folds"``): the sum over batches."""
+    return _fold_table(spark, out_dir).groupBy("item_id").agg(
+        F.sum("ds").alias("ds"), F.sum("dn").alias("dn"), F.sum("n_rows").alias("n_rows"))
+
+
 def latest_folds(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The cumulative fold of every item as of its last micro-batch."""
-    folds = spark.read.schema(FOLD_SCHEMA + ", batch_id int").parquet(f"{out_dir}/folds")
-    return (folds.groupBy("item_id")
+    """Current fold from cumulative rows (``mode="stateful"``): each item's latest batch."""
+    return (_fold_table(spark, out_dir).groupBy("item_id")
             .agg(F.max_by(F.struct("ds", "dn", "n_rows"), F.col("batch_id")).alias("f"))
             .select("item_id", "f.ds", "f.dn", "f.n_rows"))
 
 
+def current_fold(spark: SparkSession, out_dir: str, mode: str = "folds") -> DataFrame:
+    return summed_folds(spark, out_dir) if mode == "folds" else latest_folds(spark, out_dir)
+
+
 def stream_apply_deltas(spark: SparkSession, state: DataFrame, source_dir: str,
                         out_dir: str | None = None, fmt: str = "parquet",
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int | None = None, mode: str = "folds") -> DataFrame:
     """Run the feed to completion and return the maintained averages."""
-    out = run_delta_stream(spark, source_dir, out_dir, fmt, max_files_per_trigger)
-    return apply_fold(state, latest_folds(spark, out))
+    out = run_delta_stream(spark, source_dir, out_dir, fmt, max_files_per_trigger, mode)
+    return apply_fold(state, current_fold(spark, out, mode))

@@ -3,7 +3,7 @@ import os
 from rateflow.operators import incremental as I
 from rateflow.operators import stats as S
 from rateflow.sources.text import write_deltas_text
-from rateflow.streaming.deltas import run_delta_stream, stream_apply_deltas, latest_folds
+from rateflow.streaming.deltas import current_fold, run_delta_stream, stream_apply_deltas
 
 DELTA_SCHEMA = "user_id long, item_id long, old_rating double, rating double, ts long"
 
@@ -22,9 +22,10 @@ def test_stream_equals_batch_any_split(spark, ratings, items, tmp_dir):
     for n_files, per_trigger in ((1, None), (4, 1), (8, 3)):
         feed = os.path.join(tmp_dir, f"feed{n_files}")
         deltas.repartition(n_files).write.parquet(feed)
-        got = stream_apply_deltas(spark, state, feed, out_dir=os.path.join(tmp_dir, f"out{n_files}"),
-                                  max_files_per_trigger=per_trigger)
-        assert sorted(got.collect()) == expected
+        for mode in ("folds", "stateful"):
+            got = stream_apply_deltas(spark, state, feed, out_dir=os.path.join(tmp_dir, f"out{n_files}{mode}"),
+                                      max_files_per_trigger=per_trigger, mode=mode)
+            assert sorted(got.collect()) == expected, (n_files, mode)
 
 
 def test_stream_text_feed_and_resume(spark, ratings, items, tmp_dir):
@@ -32,9 +33,23 @@ def test_stream_text_feed_and_resume(spark, ratings, items, tmp_dir):
     deltas = _deltas(spark)
     feed = os.path.join(tmp_dir, "textfeed")
     os.makedirs(feed)
-    write_deltas_text(deltas.limit(3), os.path.join(feed, "part1"))
     out = os.path.join(tmp_dir, "out")
     # a text source reads files in the directory; write batches as sub-files
-    run_delta_stream(spark, os.path.join(feed, "part1"), out, fmt="text")
-    first = sorted(I.apply_fold(state, latest_folds(spark, out)).collect())
-    assert first == sorted(I.apply_delta(state, deltas.limit(3)).collect())
+    src = os.path.join(feed, "src")
+    write_deltas_text(deltas.where("ts <= 3"), os.path.join(tmp_dir, "batch1"))
+    write_deltas_text(deltas.where("ts > 3"), os.path.join(tmp_dir, "batch2"))
+    os.makedirs(src)
+    # first batch of files arrives, the stream runs
+    for f in os.listdir(os.path.join(tmp_dir, "batch1")):
+        if f.startswith("part-"):
+            os.link(os.path.join(tmp_dir, "batch1", f), os.path.join(src, "a-" + f))
+    run_delta_stream(spark, src, out, fmt="text")
+    first = sorted(I.apply_fold(state, current_fold(spark, out)).collect())
+    assert first == sorted(I.apply_delta(state, deltas.where("ts <= 3")).collect())
+    # more files arrive; the same checkpoint resumes and only reads the new ones
+    for f in os.listdir(os.path.join(tmp_dir, "batch2")):
+        if f.startswith("part-"):
+            os.link(os.path.join(tmp_dir, "batch2", f), os.path.join(src, "b-" + f))
+    run_delta_stream(spark, src, out, fmt="text")
+    second = sorted(I.apply_fold(state, current_fold(spark, out)).collect())
+    assert second == sorted(I.apply_delta(state, deltas).collect())
