@@ -41,7 +41,9 @@ def unseen_candidates(index: DataFrame, requests: DataFrame, ratings: DataFrame,
     rated by the user. A request whose tags match no bucket has no candidates."""
     cands = lsh_lookup(index, requests.select("query_id", "user_id", "tags"), "tags", seeds,
                        keep_unmatched=False).select("query_id", "user_id", "item_id")
-    seen = ratings.select("user_id", "item_id")
+    # distinct() pre-aggregates repeated (user, item) ratings in every task; its output
+    # is already hash-partitioned on the join keys, so the anti-join adds no shuffle.
+    seen = ratings.select("user_id", "item_id").distinct()
     return cands.join(seen, ["user_id", "item_id"], "left_anti")
 
 
