@@ -19,9 +19,11 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rateflow.functions.hashing import DEFAULT_SEEDS
+from rateflow.functions.hashing import DEFAULT_SEEDS, signature_names
+from rateflow.functions.scoring import baseline_prediction
 from rateflow.operators.als import als_predict
 from rateflow.operators.baseline import BaselineModel, baseline_predict
+from rateflow.operators import lsh as L
 from rateflow.operators.lsh import lsh_lookup
 
 # Predictions are ranked after rounding to this many decimals so that ties are
@@ -58,12 +60,91 @@ def top_k(scored: DataFrame, k: int, score_col: str = "prediction",
 
 
 def recommend_baseline(index: DataFrame, requests: DataFrame, ratings: DataFrame,
-                       model: BaselineModel, k: int,
-                       seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
-    """(query_id, user_id, item_id, prediction, rank)."""
-    cands = unseen_candidates(index, requests, ratings, seeds)
-    return top_k(baseline_predict(model, cands), k).select(
-        "query_id", "user_id", "item_id", "prediction", "rank")
+                       model: BaselineModel, k: int, seeds: Sequence[int] = DEFAULT_SEEDS,
+                       strategy: str = "pruned", head_size: int | None = None) -> DataFrame:
+    """(query_id, user_id, item_id, prediction, rank).
+
+    ``strategy="full"`` scores every unseen member of the request's bucket.
+    ``strategy="pruned"`` gives the same rows with far less work per request; see
+    ``_pruned_candidates``.
+    """
+    if strategy == "full":
+        scored = baseline_predict(model, unseen_candidates(index, requests, ratings, seeds))
+    elif strategy == "pruned":
+        scored = _pruned_candidates(index, requests, ratings, model, k, seeds,
+                                    head_size or max(64, 4 * int(k)))
+    else:
+        raise ValueError(f"unknown strategy: {strategy}")
+    return top_k(scored, k).select("query_id", "user_id", "item_id", "prediction", "rank")
+
+
+def bucket_heads(index: DataFrame, model: BaselineModel, head_size: int,
+                 seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
+    """Per bucket its ``head_size`` items of largest deviation (ties: smaller item id):
+    (sig.., item_id, item_dev, d, pos). ``d`` is the deviation with unrated items at
+    0.0, which gives them the same prediction as the formula's NULL case.
+
+    A partial WindowGroupLimit keeps at most ``head_size`` rows per bucket in every
+    task before the shuffle, so a bucket holding a large share of the items never
+    reaches one task whole.
+    """
+    sig = signature_names(seeds)
+    w = Window.partitionBy(*sig).orderBy(F.col("d").desc(), F.col("item_id").asc())
+    return (index.select(*sig, "item_id")
+            .join(model.item_dev.select("item_id", "item_dev"), "item_id", "left")
+            .withColumn("d", F.coalesce(F.col("item_dev"), F.lit(0.0)))
+            .withColumn("pos", F.row_number().over(w))
+            .where(F.col("pos") <= F.lit(int(head_size))))
+
+
+def _pruned_candidates(index: DataFrame, requests: DataFrame, ratings: DataFrame,
+                       model: BaselineModel, k: int, seeds: Sequence[int], head_size: int) -> DataFrame:
+    """Scored candidates that contain every request's exact top K.
+
+    For a user average r in [1, 5] the prediction r + d * scale(r + d, r) never
+    decreases as the item deviation d grows (both slopes, 5 - r and r - 1, are >= 0),
+    and neither does its rounding. A request is *resolved* by its bucket's head when
+    the bucket fits in the head, or when the head's last item predicts (rounded)
+    strictly below the K-th best unseen head item: every item outside the head has a
+    deviation no larger than the last one, so it cannot reach the top K, ties
+    included. Resolved requests are scored on at most ``head_size`` items; all other
+    requests (unknown users, averages outside [1, 5], too many seen items in the
+    head, ties at the boundary, requests whose tags match no bucket) take the full
+    path. The union is exact.
+    """
+    sig = signature_names(seeds)
+    q = L.with_signature(requests.select("query_id", "user_id", "tags"), "tags", seeds)
+    ua = model.user_avg.select("user_id", "user_avg")
+    regular = (q.join(ua, "user_id", "inner")
+               .where(F.col("user_avg").between(1.0, 5.0)))
+
+    heads = bucket_heads(index, model, head_size, seeds)
+    sizes = L.bucket_sizes(index, seeds).withColumnRenamed("n_items", "bucket_size")
+    last = heads.where(F.col("pos") == F.lit(int(head_size))).select(*sig, F.col("d").alias("d_last"))
+
+    seen = ratings.select("user_id", "item_id").distinct()
+    head_scored = (regular.join(heads.select(*sig, "item_id", "item_dev"), sig, "inner")
+                   .join(seen, ["user_id", "item_id"], "left_anti")
+                   .withColumn("prediction", baseline_prediction("user_avg", "item_dev")))
+
+    kth = (top_k(head_scored.select("query_id", "item_id", "prediction"), k)
+           .where(F.col("rank") == F.lit(int(k)))
+           .select("query_id", F.col("prediction").alias("kth")))
+    boundary = F.round(baseline_prediction("user_avg", "d_last"), RANK_DECIMALS)
+    resolved = (regular.select("query_id", "user_avg", *sig)
+                .join(sizes, sig, "inner")
+                .join(last, sig, "left")
+                .join(kth, "query_id", "left")
+                .where((F.col("bucket_size") <= F.lit(int(head_size)))
+                       | (F.col("kth").isNotNull() & ~F.isnan("kth") & (boundary < F.col("kth"))))
+                .select("query_id"))
+
+    fast = head_scored.join(resolved, "query_id", "left_semi").select(
+        "query_id", "user_id", "item_id", "prediction")
+    rest = requests.join(resolved, "query_id", "left_anti")
+    slow = baseline_predict(model, unseen_candidates(index, rest, ratings, seeds)).select(
+        "query_id", "user_id", "item_id", "prediction")
+    return fast.unionByName(slow)
 
 
 def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,

@@ -1,6 +1,8 @@
 import math
 
-import pandas as pd
+import pandas as pd  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +143,60 @@ def test_top_k_plan_limits_before_shuffle(spark, index, ratings, model):
     assert "WindowGroupLimit" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_all_five_user_ties_break_by_item_id(spark):
+    """A user whose average is 5.0: every positive deviation scales by 5 - 5 = 0, so all
+    such items predict exactly 5.0 and the item id decides the order."""
+    rows = [(1, i, None, 5.0, 0) for i in (1, 2)]               # user 1 rates everything 5
+    rows += [(2, 3, None, 5.0, 0), (2, 1, None, 1.0, 0)]        # item 3 above user 2's mean
+    rows += [(3, 4, None, 4.0, 0), (3, 1, None, 2.0, 0)]        # item 4 above user 3's mean
+    rows += [(4, 5, None, 1.0, 0), (4, 2, None, 3.0, 0)]        # item 5 below user 4's mean
+    ratings = spark.createDataFrame(rows, "user_id long, item_id long, old_rating double, rating double, ts long")
+    items = spark.createDataFrame([(i, f"t{i}", ["g"]) for i in range(1, 6)],
+                                  "item_id long, title string, tags array<string>")
+    model = B.fit_baseline(ratings)
+    req = spark.createDataFrame([(1, 1, ["g"])], REQ_SCHEMA)
+    out = R.recommend_baseline(L.lsh_index(items), req, ratings, model, 3).orderBy("rank").collect()
+    assert [(r.item_id, r.prediction) for r in out][:2] == [(3, 5.0), (4, 5.0)]
+    assert out[2].item_id == 5 and out[2].prediction < 5.0
+
+
+@pytest.mark.parametrize("head_size", [1, 3, 64])
+@pytest.mark.parametrize("k", [1, 4])
+def test_pruned_equals_full_on_fixture(spark, index, ratings, model, head_size, k):
+    users = sorted(r.user_id for r in ratings.select("user_id").distinct().collect())
+    tag_lists = [SW, ["Adventure", "Fantasy"], ["Adventure", "Animation", "Children", "Comedy", "Fantasy"],
+                 ["cowboy"]]
+    rows = [(i, u, tag_lists[i % 4]) for i, u in enumerate(users + [999998, 999999])]
+    req = spark.createDataFrame(rows, REQ_SCHEMA)
+    full = sorted(tuple(r) for r in R.recommend_baseline(index, req, ratings, model, k, strategy="full").collect())
+    pruned = sorted(tuple(r) for r in R.recommend_baseline(index, req, ratings, model, k, strategy="pruned",
+                                                           head_size=head_size).collect())
+    assert pruned == full
+
+
+_RATING = st.sampled_from([0.5, 1.0, 1.5, 3.0, 5.0])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 9), _RATING), min_size=1, max_size=40),
+       st.integers(1, 4), st.integers(1, 4))
+def test_pruned_equals_full_random(spark, rows, k, head_size):
+    """Few users, few items and coarse ratings: many ties, averages at 1.0 and 5.0,
+    zero scales and infinite deviations."""
+    seen_pairs = {}
+    for u, i, r in rows:
+        seen_pairs[(u, i)] = r
+    data = [(u, i, None, r, 0) for (u, i), r in seen_pairs.items()]
+    rt = spark.createDataFrame(data, "user_id long, item_id long, old_rating double, rating double, ts long")
+    its = spark.createDataFrame([(i, f"t{i}", ["g"] if i % 3 else ["h"]) for i in range(1, 10)],
+                                "item_id long, title string, tags array<string>")
+    idx = L.lsh_index(its)
+    m = B.fit_baseline(rt)
+    req = spark.createDataFrame([(u, u, ["g"]) for u in range(1, 8)] + [(100 + u, u, ["h"]) for u in range(1, 8)],
+                                REQ_SCHEMA)
+    full = sorted(map(tuple, R.recommend_baseline(idx, req, rt, m, k, strategy="full").collect()), key=repr)
+    pruned = sorted(map(tuple, R.recommend_baseline(idx, req, rt, m, k, strategy="pruned",
+                                                    head_size=head_size).collect()), key=repr)
+    assert pruned == full

@@ -150,3 +150,12 @@ def test_maintained_averages_checkpoint(spark, state):
     assert _avg(m.state, TOY) == pytest.approx(3.815217, abs=1e-6)
     # the lineage was cut: the state now reads from the checkpointed data
     assert "LogicalRDD" in m.state._jdf.queryExecution().analyzed().toString()
+
+
+def test_repeated_titles_stay_separate_items(spark):
+    items = spark.createDataFrame([(1, "Same", ["a"]), (2, "Same", ["a"])],
+                                  "item_id long, title string, tags array<string>")
+    ratings = spark.createDataFrame([(1, 1, None, 4.0, 0), (1, 2, None, 2.0, 0)], DELTA_SCHEMA)
+    st = S.item_stats(ratings, items)
+    assert sorted((r.item_id, r.avg) for r in S.title_averages(st).collect()) == [(1, 4.0), (2, 2.0)]
+    assert S.title_merged(st).collect()[0].sum_avg == 6.0
