@@ -2,8 +2,14 @@
 
 The per-tag hash is Java's ``String.hashCode`` of ``tag + str(seed)`` followed by a
 fixed mix of two 32-bit wrapping multiplies and arithmetic right shifts, then ``abs``.
-Everything is evaluated in ``bigint`` with explicit 32-bit wrapping, so it stays exact
-under ANSI mode and never leaves the JVM.
+
+The expression is written once as Spark SQL text and handed to ``F.expr``: one parse
+on the JVM instead of hundreds of py4j calls to assemble the tree node by node, which
+keeps plan construction fast even when a plan hashes tags in several places.
+Arithmetic runs in ``bigint``; a 32-bit wrap is ``shiftright(shiftleft(x, 32), 32)``
+(bit operations never raise under ANSI), and UTF-16 code units come from
+``hex(encode(s, 'UTF-16BE'))``, so characters beyond the BMP hash as surrogate pairs
+exactly as in Java.
 """
 
 from __future__ import annotations
@@ -31,48 +37,47 @@ def _as_int32_constant(v: int) -> int:
     return v - _TWO32 if v >= _TWO31 else v
 
 
-def _wrap_int32(x: Column) -> Column:
-    """Reduce a bigint to the signed 32-bit value with the same low 32 bits."""
-    return F.pmod(x + F.lit(_TWO31), F.lit(_TWO32)) - F.lit(_TWO31)
+def _wrap(x: str) -> str:
+    """SQL: the signed 32-bit value with the low 32 bits of bigint ``x``."""
+    return f"shiftright(shiftleft({x}, 32), 32)"
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
+def java_string_hash_sql(s: str) -> str:
+    """SQL for Java ``String.hashCode`` of the string expression ``s`` (as bigint)."""
+    units = (f"transform(regexp_extract_all(hex(encode({s}, 'UTF-16BE')), '(.{{4}})', 1), "
+             f"u -> cast(conv(u, 16, 10) as bigint))")
+    return f"aggregate({units}, 0L, (h, u) -> {_wrap('h * 31 + u')})"
 
-def java_string_hash(s: Column) -> Column:
-    """Java ``String.hashCode`` (31-polynomial over UTF-16 code units), as int.
 
-    Code points above U+FFFF contribute their surrogate pair, as in Java.
-    """
-    code_points = F.transform(
-        F.filter(F.split(s, ""), lambda c: c != F.lit("")),
-        lambda c: F.ascii(c).cast("bigint"))
+def minhash_seed_sql(tag: str, seed: int) -> str:
+    """SQL for the hash of one tag (a string expression) under one seed; int in [0, 2^18)."""
+    k = java_string_hash_sql(f"concat({tag}, '{int(seed)}')")
+    k = _wrap(f"({k}) * ({_as_int32_constant(MIX_MULTIPLIER_1)})")
+    k = f"shiftright({k}, {MIX_SHIFT_1})"
+    k = _wrap(f"({k}) * ({_as_int32_constant(MIX_MULTIPLIER_2)})")
+    k = f"shiftright({k}, {MIX_SHIFT_2})"
+    return f"cast(abs({k}) as int)"
 
-    def step(acc: Column, cp: Column) -> Column:
-        off = cp - F.lit(0x10000)
-        hi = F.lit(0xD800) + F.shiftright(off, 10)
-        lo = F.lit(0xDC00) + F.pmod(off, F.lit(1024))
-        return F.when(cp > F.lit(0xFFFF),
-                      F.pmod(acc * F.lit(961) + hi * F.lit(31) + lo, F.lit(_TWO32))) \
-            .otherwise(F.pmod(acc * F.lit(31) + cp, F.lit(_TWO32)))
 
-    return _wrap_int32(F.aggregate(code_points, F.lit(0).cast("bigint"), step))
+def java_string_hash(col: str) -> Column:
+    return F.expr(_wrap(java_string_hash_sql(_quote(col)))).cast("int")
 
 
-def minhash_seed(tag: Column, seed: int) -> Column:
-    """Hash of one tag under one seed; an int in [0, 2^18)."""
-    k = java_string_hash(F.concat(tag, F.lit(str(seed))))
-    k = _wrap_int32(k * F.lit(_as_int32_constant(MIX_MULTIPLIER_1)))
-    k = F.shiftright(k, MIX_SHIFT_1)
-    k = _wrap_int32(k * F.lit(_as_int32_constant(MIX_MULTIPLIER_2)))
-    k = F.shiftright(k, MIX_SHIFT_2)
-    return F.abs(k).cast("int")
+def minhash_seed(col: str, seed: int) -> Column:
+    """Hash of the string column ``col`` under one seed."""
+    return F.expr(minhash_seed_sql(_quote(col), seed))
 
 
-def minhash(tags: Column | str, seed: int) -> Column:
-    """Minimum tag hash of a tag list under one seed; NULL for an empty or NULL list."""
-    tags = F.col(tags) if isinstance(tags, str) else tags
-    return F.array_min(F.transform(tags, lambda t: minhash_seed(t, seed)))
+def minhash(tags: str, seed: int) -> Column:
+    """Minimum tag hash of the tag-list column ``tags``; NULL for an empty or NULL list."""
+    return F.expr(f"array_min(transform({_quote(tags)}, t -> {minhash_seed_sql('t', seed)}))")
 
 
-def signature_columns(tags: Column | str, seeds: Sequence[int] = DEFAULT_SEEDS,
+def signature_columns(tags: str, seeds: Sequence[int] = DEFAULT_SEEDS,
                       prefix: str = "sig_") -> list[Column]:
     """One int column per seed (``sig_0``, ``sig_1``, ...): flat equi-join keys."""
     return [minhash(tags, s).alias(f"{prefix}{i}") for i, s in enumerate(seeds)]

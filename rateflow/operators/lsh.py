@@ -21,7 +21,7 @@ def tag_hashes(items: DataFrame, seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFr
     """(tag, seed, hash) for every distinct tag of the items."""
     tags = items.select(F.explode("tags").alias("tag")).distinct()
     return tags.select("tag", F.explode(F.array(*[
-        F.struct(F.lit(s).alias("seed"), minhash_seed(F.col("tag"), s).alias("hash")) for s in seeds
+        F.struct(F.lit(s).alias("seed"), minhash_seed("tag", s).alias("hash")) for s in seeds
     ])).alias("h")).select("tag", "h.seed", "h.hash")
 
 

@@ -9,6 +9,10 @@ the user's ratings -> key joins with the predictor tables -> per-request row_num
 with a literal K. Spark plans the latter as a partial WindowGroupLimit before the
 shuffle, so a request that hits a huge bucket is cut to K rows per task before any
 exchange; no job runs per candidate and nothing goes through the driver.
+
+The baseline scorer is monotone in the item deviation for users whose average lies in
+[1, 5], so by default it scores only a bounded head of each bucket and falls back to
+the full bucket exactly where the head cannot decide (see ``_pruned_top_k``).
 """
 
 from __future__ import annotations
@@ -65,17 +69,17 @@ def recommend_baseline(index: DataFrame, requests: DataFrame, ratings: DataFrame
     """(query_id, user_id, item_id, prediction, rank).
 
     ``strategy="full"`` scores every unseen member of the request's bucket.
-    ``strategy="pruned"`` gives the same rows with far less work per request; see
-    ``_pruned_candidates``.
+    ``strategy="pruned"`` gives the same rows while scoring at most ``head_size`` items
+    for almost every request; see ``_pruned_top_k``.
     """
+    cols = ["query_id", "user_id", "item_id", "prediction", "rank"]
     if strategy == "full":
         scored = baseline_predict(model, unseen_candidates(index, requests, ratings, seeds))
-    elif strategy == "pruned":
-        scored = _pruned_candidates(index, requests, ratings, model, k, seeds,
-                                    head_size or max(64, 4 * int(k)))
-    else:
-        raise ValueError(f"unknown strategy: {strategy}")
-    return top_k(scored, k).select("query_id", "user_id", "item_id", "prediction", "rank")
+        return top_k(scored, k).select(*cols)
+    if strategy == "pruned":
+        return _pruned_top_k(index, requests, ratings, model, k, seeds,
+                             head_size or max(64, 4 * int(k))).select(*cols)
+    raise ValueError(f"unknown strategy: {strategy}")
 
 
 def bucket_heads(index: DataFrame, model: BaselineModel, head_size: int,
@@ -97,54 +101,55 @@ def bucket_heads(index: DataFrame, model: BaselineModel, head_size: int,
             .where(F.col("pos") <= F.lit(int(head_size))))
 
 
-def _pruned_candidates(index: DataFrame, requests: DataFrame, ratings: DataFrame,
-                       model: BaselineModel, k: int, seeds: Sequence[int], head_size: int) -> DataFrame:
-    """Scored candidates that contain every request's exact top K.
+def _pruned_top_k(index: DataFrame, requests: DataFrame, ratings: DataFrame,
+                  model: BaselineModel, k: int, seeds: Sequence[int], head_size: int) -> DataFrame:
+    """Exact top K per request, scoring only bucket heads where they decide.
 
     For a user average r in [1, 5] the prediction r + d * scale(r + d, r) never
     decreases as the item deviation d grows (both slopes, 5 - r and r - 1, are >= 0),
     and neither does its rounding. A request is *resolved* by its bucket's head when
     the bucket fits in the head, or when the head's last item predicts (rounded)
-    strictly below the K-th best unseen head item: every item outside the head has a
+    strictly below the K-th best unseen head item. Every item outside the head has a
     deviation no larger than the last one, so it cannot reach the top K, ties
-    included. Resolved requests are scored on at most ``head_size`` items; all other
-    requests (unknown users, averages outside [1, 5], too many seen items in the
-    head, ties at the boundary, requests whose tags match no bucket) take the full
-    path. The union is exact.
+    included. Resolved requests are ranked on their head (at most ``head_size``
+    rows each, so the per-request window is bounded). All other requests take the
+    full path: unknown users, averages outside [1, 5], too many seen items in the
+    head, ties at the boundary, and tags that match no bucket. The union is exact.
     """
     sig = signature_names(seeds)
-    q = L.with_signature(requests.select("query_id", "user_id", "tags"), "tags", seeds)
-    ua = model.user_avg.select("user_id", "user_avg")
-    regular = (q.join(ua, "user_id", "inner")
-               .where(F.col("user_avg").between(1.0, 5.0)))
-
     heads = bucket_heads(index, model, head_size, seeds)
-    sizes = L.bucket_sizes(index, seeds).withColumnRenamed("n_items", "bucket_size")
-    last = heads.where(F.col("pos") == F.lit(int(head_size))).select(*sig, F.col("d").alias("d_last"))
+    # One small row per bucket: its size and the deviation of its last head item.
+    info = (L.bucket_sizes(index, seeds).withColumnRenamed("n_items", "bucket_size")
+            .join(heads.where(F.col("pos") == F.lit(int(head_size)))
+                  .select(*sig, F.col("d").alias("d_last")), sig, "left"))
 
-    seen = ratings.select("user_id", "item_id").distinct()
-    head_scored = (regular.join(heads.select(*sig, "item_id", "item_dev"), sig, "inner")
-                   .join(seen, ["user_id", "item_id"], "left_anti")
-                   .withColumn("prediction", baseline_prediction("user_avg", "item_dev")))
+    q = L.with_signature(requests.select("query_id", "user_id", "tags"), "tags", seeds)
+    regular = (q.join(model.user_avg.select("user_id", "user_avg"), "user_id", "inner")
+               .where(F.col("user_avg").between(1.0, 5.0))
+               .join(info, sig, "inner"))
 
-    kth = (top_k(head_scored.select("query_id", "item_id", "prediction"), k)
-           .where(F.col("rank") == F.lit(int(k)))
-           .select("query_id", F.col("prediction").alias("kth")))
+    seen = ratings.select("user_id", "item_id").distinct()
+    scored = (regular.join(heads.select(*sig, "item_id", "item_dev"), sig, "inner")
+              .join(seen, ["user_id", "item_id"], "left_anti")
+              .withColumn("prediction",
+                          F.round(baseline_prediction("user_avg", "item_dev"), RANK_DECIMALS)))
+    order = [F.when(F.isnan("prediction"), 1).otherwise(0), F.col("prediction").desc(),
+             F.col("item_id").asc()]
+    w = Window.partitionBy("query_id").orderBy(*order)
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     boundary = F.round(baseline_prediction("user_avg", "d_last"), RANK_DECIMALS)
-    resolved = (regular.select("query_id", "user_avg", *sig)
-                .join(sizes, sig, "inner")
-                .join(last, sig, "left")
-                .join(kth, "query_id", "left")
-                .where((F.col("bucket_size") <= F.lit(int(head_size)))
-                       | (F.col("kth").isNotNull() & ~F.isnan("kth") & (boundary < F.col("kth"))))
-                .select("query_id"))
-
-    fast = head_scored.join(resolved, "query_id", "left_semi").select(
-        "query_id", "user_id", "item_id", "prediction")
-    rest = requests.join(resolved, "query_id", "left_anti")
-    slow = baseline_predict(model, unseen_candidates(index, rest, ratings, seeds)).select(
-        "query_id", "user_id", "item_id", "prediction")
-    return fast.unionByName(slow)
+    kth = F.col("kth")
+    ranked = (scored.withColumn("rank", F.row_number().over(w))
+              .withColumn("kth", F.nth_value("prediction", int(k)).over(w_all))
+              .withColumn("resolved", (F.col("bucket_size") <= F.lit(int(head_size)))
+                          | (kth.isNotNull() & ~F.isnan(kth) & (boundary < kth))))
+    fast = ranked.where(F.col("resolved") & (F.col("rank") <= F.lit(int(k))))
+
+    done = ranked.where(F.col("resolved") & (F.col("rank") == 1)).select("query_id")
+    rest = requests.join(done, "query_id", "left_anti")
+    slow = top_k(baseline_predict(model, unseen_candidates(index, rest, ratings, seeds)), k)
+    cols = ["query_id", "user_id", "item_id", "prediction", "rank"]
+    return fast.select(*cols).unionByName(slow.select(*cols))
 
 
 def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,

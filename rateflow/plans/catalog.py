@@ -55,14 +55,15 @@ def base_state(spark: SparkSession, d: str) -> DataFrame:
     return S.item_stats(TB.base_ratings(spark, d), TB.items_table(spark, d))
 
 
-def recommend_requests(spark: SparkSession, d: str) -> DataFrame:
+def recommend_requests(spark: SparkSession, d: str, ratings: DataFrame | None = None,
+                       items: DataFrame | None = None) -> DataFrame:
     """One request per user: the tags of the user's latest rated item (latest ship
     date, then largest item id)."""
-    ratings = TB.ratings_table(spark, d)
+    ratings = TB.ratings_table(spark, d) if ratings is None else ratings
+    items = TB.items_table(spark, d) if items is None else items
     latest = ratings.groupBy("user_id").agg(
         F.max_by(F.col("item_id"), F.struct("ts", "item_id")).alias("item_id"))
-    items = A.dedup_items(TB.items_table(spark, d))
-    return latest.join(items, "item_id").select(
+    return latest.join(A.dedup_items(items), "item_id").select(
         F.col("user_id").alias("query_id"), "user_id", "tags")
 
 
@@ -281,15 +282,23 @@ def rated_items_of_user(spark, d):
 
 
 def unseen_candidates(spark, d):
-    idx = L.lsh_index(TB.items_table(spark, d))
-    return R.unseen_candidates(idx, recommend_requests(spark, d), TB.ratings_table(spark, d))
+    ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
+    return R.unseen_candidates(L.lsh_index(items), recommend_requests(spark, d, ratings, items), ratings)
 
 
 def recommend_baseline(spark, d):
-    ratings = TB.ratings_table(spark, d)
-    idx = L.lsh_index(TB.items_table(spark, d))
+    ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
+    model = B.fit_baseline(ratings)
+    return R.recommend_baseline(L.lsh_index(items), recommend_requests(spark, d, ratings, items), ratings,
+                                model, TOP_K)
+
+
+def recommend_baseline_full(spark, d):
+    """The same answer as ``recommend_baseline``, scoring every unseen bucket member."""
+    ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
     model = B.fit_baseline(ratings)
-    return R.recommend_baseline(idx, recommend_requests(spark, d), ratings, model, TOP_K)
+    return R.recommend_baseline(L.lsh_index(items), recommend_requests(spark, d, ratings, items), ratings,
+                                model, TOP_K, strategy="full")
 
 
 def als_predict(spark, d):
@@ -300,10 +309,10 @@ def als_predict(spark, d):
 
 def recommend_als(spark, d):
     from rateflow.operators.als import fit_als
-    ratings = TB.ratings_table(spark, d)
-    idx = L.lsh_index(TB.items_table(spark, d))
+    ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
     model = fit_als(ratings)
-    return R.recommend_als(idx, recommend_requests(spark, d), ratings, model, TOP_K)
+    return R.recommend_als(L.lsh_index(items), recommend_requests(spark, d, ratings, items), ratings,
+                           model, TOP_K)
 
 
 QUERIES: dict[str, Query] = {
@@ -346,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "rated_items_of_user": rated_items_of_user,
     "unseen_candidates": unseen_candidates,
     "recommend_baseline": recommend_baseline,
+    "recommend_baseline_full": recommend_baseline_full,
     "als_predict": als_predict,
     "recommend_als": recommend_als,
 }

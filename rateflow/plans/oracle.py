@@ -258,6 +258,7 @@ def build() -> dict[str, str]:
         + "SELECT query_id, user_id, item_id, prediction, rank FROM (SELECT *, row_number() OVER "
           "(PARTITION BY query_id ORDER BY CASE WHEN prediction IS NULL OR isnan(prediction) THEN 1 ELSE 0 END, "
           f"prediction DESC, item_id)::INTEGER AS rank FROM scored) WHERE rank <= {C.TOP_K}")
+    q["recommend_baseline_full"] = q["recommend_baseline"]
     return q
 
 
