@@ -1,7 +1,10 @@
 """Collaborative filtering with ``pyspark.ml`` ALS (explicit feedback).
 
 Defaults are the original settings: rank 10, 20 iterations, regularisation 0.1,
-seed 0, 4 user and 4 item blocks. ALS needs int ids; they are cast at this edge
+seed 0. The original uses 4 user and 4 item blocks; a block is one task per ALS stage,
+so by default the block count follows the cluster's parallelism (never below 4).
+Pass ``blocks=4`` to reproduce the original factorisation exactly (the random
+initialisation depends on the blocking). ALS needs int ids; they are cast at this edge
 under ANSI, which fails loudly on an id outside the int range instead of wrapping.
 With a checkpoint directory on the session, ALS checkpoints its factors every
 ``checkpoint_interval`` iterations, which bounds lineage and recovery work.
@@ -27,8 +30,10 @@ def _int_ids(df: DataFrame) -> DataFrame:
 
 
 def fit_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
-            reg: float = ALS_REG, seed: int = ALS_SEED, blocks: int = ALS_BLOCKS,
+            reg: float = ALS_REG, seed: int = ALS_SEED, blocks: int | None = None,
             checkpoint_interval: int = 10) -> ALSModel:
+    if blocks is None:
+        blocks = max(ALS_BLOCKS, ratings.sparkSession.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed,
               numUserBlocks=blocks, numItemBlocks=blocks, implicitPrefs=False,
               userCol="user_id", itemCol="item_id", ratingCol="rating",

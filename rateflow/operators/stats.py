@@ -55,25 +55,28 @@ def keyword_averages(state: DataFrame, queries: DataFrame, rated_only: bool = Fa
     """Many keyword queries in one plan: ``queries(query_id, keywords array<string>)``
     -> (query_id, keyword_avg, n_items).
 
-    An item answers a query when it carries all the query's distinct keywords: keywords
-    and item tags are exploded and equi-joined on the tag, and the matches per
-    (query, item) are counted against the number of distinct keywords. No theta or
-    cross join is involved; AQE splits a tag that is on a large share of the items.
+    Items are first collapsed to their distinct tag sets (sum and count of averages per
+    set, with a partial aggregate in every task), so the matching below runs over tag
+    sets, not items; a tag set shared by a large share of the items is one row. A tag
+    set answers a query when it holds all the query's distinct keywords. Keywords and
+    tag sets are exploded and equi-joined on the tag, and matches are counted per
+    (query, tag set) against the number of keywords. There is no theta or cross join.
     """
     q = queries.select("query_id", F.array_distinct("keywords").alias("kw"))
     q_sizes = q.select("query_id", F.size("kw").alias("n_kw"))
     q_tags = q.select("query_id", F.explode("kw").alias("tag"))
-    items = state
-    if rated_only:
-        items = items.where(F.col("n") > 0)
-    item_tags = items.select("item_id", "avg", F.explode(F.array_distinct("tags")).alias("tag"))
-    hits = (q_tags.join(item_tags, "tag")
-            .groupBy("query_id", "item_id").agg(F.count(F.lit(1)).alias("hits"),
-                                                F.max("avg").alias("avg")))
+    items = state.where(F.col("n") > 0) if rated_only else state
+    sets = (items.select(F.array_sort(F.array_distinct("tags")).alias("tag_set"), "avg")
+            .groupBy("tag_set").agg(F.sum("avg").alias("sum_avg"), F.count(F.lit(1)).alias("n_items")))
+    set_tags = sets.select("tag_set", F.explode("tag_set").alias("tag"))
+    hits = (q_tags.join(set_tags, "tag").groupBy("query_id", "tag_set")
+            .agg(F.count(F.lit(1)).alias("hits")))
     per_query = (hits.join(q_sizes, "query_id").where(F.col("hits") == F.col("n_kw"))
-                 .groupBy("query_id").agg(F.avg("avg").alias("a"), F.count(F.lit(1)).alias("n_items")))
+                 .join(sets, "tag_set")
+                 .groupBy("query_id").agg(F.sum("sum_avg").alias("sum_avg"),
+                                          F.sum("n_items").alias("n_items")))
     return (q_sizes.join(per_query, "query_id", "left")
             .select("query_id",
-                    F.when(F.col("n_kw") == 0, F.lit(-1.0))
-                    .otherwise(F.coalesce(F.col("a"), F.lit(-1.0))).alias("keyword_avg"),
+                    F.when((F.col("n_kw") == 0) | F.col("n_items").isNull(), F.lit(-1.0))
+                    .otherwise(F.col("sum_avg") / F.col("n_items")).alias("keyword_avg"),
                     F.coalesce(F.col("n_items"), F.lit(0).cast("bigint")).alias("n_items")))

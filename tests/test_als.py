@@ -9,7 +9,8 @@ SW = ["Action", "Adventure", "Sci-Fi"]
 
 @pytest.fixture(scope="module")
 def als_model(ratings):
-    return ALS.fit_als(ratings)
+    # the original's blocking (4 + 4), which the published goldens come from
+    return ALS.fit_als(ratings, blocks=ALS.ALS_BLOCKS)
 
 
 def test_als_predictions(spark, als_model):
@@ -28,3 +29,9 @@ def test_als_recommend_order(spark, items, ratings, als_model):
         by_u.setdefault(r.user_id, []).append(r.item_id)
     assert by_u[16] == [1210, 72998, 166528]
     assert by_u[148] == [166528, 1210, 1196]
+
+
+def test_default_blocks_follow_parallelism(spark, ratings):
+    m = ALS.fit_als(ratings, max_iter=2)
+    pairs = spark.createDataFrame([(1, 260)], "user_id long, item_id long")
+    assert ALS.als_predict(m, pairs).count() == 1

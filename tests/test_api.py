@@ -43,7 +43,7 @@ def test_recommender_facade(spark, loaded):
     items, ratings = loaded
     idx = api.LSHIndex(items)
     assert idx.bucket_sizes().count() == 3
-    rec = api.Recommender(spark, idx, ratings)
+    rec = api.Recommender(spark, idx, ratings, als_params={"blocks": 4})
     req = rec.requests([(16, ["Action", "Adventure", "Sci-Fi"]), (148, ["Action", "Adventure", "Sci-Fi"])])
     got = {}
     for r in rec.recommend_baseline(req, 3).orderBy("query_id", "rank").collect():
