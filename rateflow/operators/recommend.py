@@ -146,8 +146,11 @@ def _pruned_top_k(index: DataFrame, requests: DataFrame, ratings: DataFrame,
     fast = ranked.where(F.col("resolved") & (F.col("rank") <= F.lit(int(k))))
 
     done = ranked.where(F.col("resolved") & (F.col("rank") == 1)).select("query_id")
-    rest = requests.join(done, "query_id", "left_anti")
-    slow = top_k(baseline_predict(model, unseen_candidates(index, rest, ratings, seeds)), k)
+    rest = q.join(done, "query_id", "left_anti")
+    rest_cands = (rest.join(index.select(*sig, "item_id"), sig, "inner")
+                  .select("query_id", "user_id", "item_id")
+                  .join(seen, ["user_id", "item_id"], "left_anti"))
+    slow = top_k(baseline_predict(model, rest_cands), k)
     cols = ["query_id", "user_id", "item_id", "prediction", "rank"]
     return fast.select(*cols).unionByName(slow.select(*cols))
 

@@ -109,3 +109,16 @@ def test_year_boundary_utc(spark):
 def test_duplicate_item_ids_resolve_deterministically(spark):
     items = spark.createDataFrame([(1, "b", ["y"]), (1, "a", ["x"])], "item_id long, title string, tags array<string>")
     assert [tuple(r) for r in A.dedup_items(items).collect()] == [(1, "a", ["x"])]
+
+
+def test_least_most_tie_rule(spark):
+    """Least: fewest years, then the lexicographically first tag. Most: most years, then
+    the lexicographically last tag (the original's code, not its docstring)."""
+    # one rating per year; year y's only item carries tags of that item
+    items = spark.createDataFrame([(1, "a", ["b", "c"]), (2, "b", ["a", "d"])],
+                                  "item_id long, title string, tags array<string>")
+    ratings = spark.createDataFrame([(1, 1, None, 3.0, 0), (1, 2, None, 3.0, 400000000)],
+                                    "user_id long, item_id long, old_rating double, rating double, ts long")
+    r = A.least_most_tag(ratings, items).collect()[0]
+    assert (r.least_tag, r.least_years) == ("a", 1)
+    assert (r.most_tag, r.most_years) == ("d", 1)

@@ -75,3 +75,10 @@ def test_text_round_trip(spark, items, ratings, tmp_dir):
 
 def test_fixture_files_exist():
     assert os.path.exists(os.path.join(FIXTURES, "items_small.txt"))
+
+
+def test_pipe_inside_quoted_title_splits_like_the_original(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "items.txt")
+    _write(p, ['1|"A|B"|"x"'])
+    r = TX.read_items_text(spark, p).collect()[0]
+    assert (r.item_id, r.title, r.tags) == (1, "A", ["B", "x"])

@@ -159,3 +159,10 @@ def test_repeated_titles_stay_separate_items(spark):
     st = S.item_stats(ratings, items)
     assert sorted((r.item_id, r.avg) for r in S.title_averages(st).collect()) == [(1, 4.0), (2, 2.0)]
     assert S.title_merged(st).collect()[0].sum_avg == 6.0
+
+
+def test_several_rows_for_one_pair_in_one_batch_all_apply(spark, state):
+    """Two corrections of the same (user, item) in one batch equal applying them one
+    after the other: the fold is a sum, so order and batching do not matter."""
+    both = spark.createDataFrame([(7, 1, 4.0, 0.0, 1106635949), (7, 1, 4.5, 4.0, 1106635948)], DELTA_SCHEMA)
+    assert _avg(I.apply_delta(state, both), TOY) == pytest.approx(3.815217, abs=1e-6)
