@@ -31,11 +31,11 @@ from rateflow.operators import incremental as I
 from rateflow.operators import lsh as L
 from rateflow.operators import recommend as R
 from rateflow.operators import stats as S
+from rateflow.schemas import REQUESTS
 from rateflow.session import checkpoint_dir
 from rateflow.sources.text import read_deltas_text, read_items_text, read_ratings_text
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
-REQUEST_SCHEMA = "query_id long, user_id long, tags array<string>"
 
 
 def load_items(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
@@ -57,7 +57,6 @@ class Analytics:
     def __init__(self, ratings: DataFrame, items: DataFrame):
         self.items = A.dedup_items(items).persist(_LEVEL)
         self.counts = A.rating_counts_by_year_item(ratings).persist(_LEVEL)
-        self._ratings = ratings
 
     def items_rated_per_year(self) -> DataFrame:
         return self.counts.groupBy("year").agg(F.count(F.lit(1)).alias("n_items"))
@@ -98,21 +97,16 @@ class Analytics:
 
 
 class Averages:
-    """Average rating per item, maintained under deltas.
-
-    Each update persists the new state, materialises it, then releases the previous
-    one; every ``checkpoint_every`` updates the state is checkpointed to the shared
-    checkpoint dir so lineage stays bounded and a lost executor is rebuilt from
-    storage rather than from the whole update history.
-    """
+    """Average rating per item, maintained under deltas (see
+    ``incremental.MaintainedAverages`` for persistence and checkpointing)."""
 
     def __init__(self, spark: SparkSession, ratings: DataFrame, items: DataFrame,
                  checkpoint_every: int = 8):
-        checkpoint_dir(spark)
-        self._spark = spark
-        self.state = S.item_stats(ratings, items).persist(_LEVEL)
-        self._updates = 0
-        self._every = max(1, checkpoint_every)
+        self._m = I.MaintainedAverages(spark, S.item_stats(ratings, items), checkpoint_every)
+
+    @property
+    def state(self) -> DataFrame:
+        return self._m.state
 
     def result(self) -> DataFrame:
         """(item_id, title, avg)."""
@@ -125,17 +119,7 @@ class Averages:
         return S.keyword_averages(self.state, queries, rated_only)
 
     def update(self, deltas: DataFrame) -> DataFrame:
-        old = self.state
-        self._updates += 1
-        new = I.apply_delta(old, deltas)
-        if self._updates % self._every == 0:
-            new = new.checkpoint(eager=True)
-        else:
-            new = new.persist(_LEVEL)
-            new.count()
-        old.unpersist()
-        self.state = new
-        return new
+        return self._m.update(deltas)
 
 
 class LSHIndex:
@@ -174,7 +158,7 @@ class Recommender:
     def requests(self, rows: Iterable[tuple]) -> DataFrame:
         """``[(user_id, tags), ...]`` -> a request DataFrame with query ids 0..n-1."""
         data = [(i, int(u), list(t)) for i, (u, t) in enumerate(rows)]
-        return self._spark.createDataFrame(data, REQUEST_SCHEMA)
+        return self._spark.createDataFrame(data, REQUESTS)
 
     def rated_items(self, users: DataFrame) -> DataFrame:
         return R.rated_items(self.ratings, users)

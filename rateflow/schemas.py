@@ -26,11 +26,11 @@ ITEM_STATE = T.StructType([
     T.StructField("avg", T.DoubleType()),
 ])
 
+# A recommendation request; K is a parameter of the call, shared by all requests.
 REQUESTS = T.StructType([
     T.StructField("query_id", T.LongType()),
     T.StructField("user_id", T.LongType()),
     T.StructField("tags", T.ArrayType(T.StringType())),
-    T.StructField("k", T.IntegerType()),
 ])
 
 RATING_COLUMNS = [f.name for f in RATINGS.fields]

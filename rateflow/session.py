@@ -9,7 +9,6 @@ when neither is set, which happens in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,12 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint directory."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/rateflow-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for APIs that want a plain local path (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
