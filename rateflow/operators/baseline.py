@@ -6,9 +6,10 @@
   predict(u, i)  = user_avg + item_dev * scale(user_avg + item_dev, user_avg)
 
 An unknown user predicts from an average of 0.0; an unknown item returns the user
-average. Every step is an aggregate or a key join; the per-rating user average is a
-join with the per-user table (not a window), so a user who owns a large share of the
-ratings is split by AQE's skew-join handling instead of landing in one task.
+average. Every step is an aggregate or a key join. The per-rating user average is a
+join with the per-user table (not a window), and hot users or items are salted
+(``joins.hot_key_join``), so a key that owns a large share of the rows is spread over
+many tasks instead of landing in one.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.scoring import baseline_prediction, normalized_deviation
+from rateflow.operators.joins import hot_key_join
 
 
 def user_averages(ratings: DataFrame) -> DataFrame:
@@ -28,8 +30,12 @@ def user_averages(ratings: DataFrame) -> DataFrame:
 
 
 def ratings_with_user_avg(ratings: DataFrame, user_avg: DataFrame | None = None) -> DataFrame:
+    """Each rating with its user's average. A user holding a large share of the
+    ratings is salted (``joins.hot_key_join``); the per-user counts come with the
+    averages, so finding hot users costs no extra pass."""
     ua = user_averages(ratings) if user_avg is None else user_avg
-    return ratings.join(ua.select("user_id", "user_avg"), "user_id", "inner")
+    return hot_key_join(ratings, ua.select("user_id", "user_avg", "n_ratings"), "user_id", "inner",
+                        count_col="n_ratings").drop("n_ratings")
 
 
 def normalized_deviations(ratings: DataFrame, user_avg: DataFrame | None = None) -> DataFrame:
@@ -68,7 +74,7 @@ def fit_baseline(ratings: DataFrame) -> BaselineModel:
 
 def baseline_predict(model: BaselineModel, pairs: DataFrame) -> DataFrame:
     """``pairs(user_id, item_id, ...)`` -> the same rows plus ``prediction``."""
-    j = (pairs.join(model.user_avg.select("user_id", "user_avg"), "user_id", "left")
-         .join(model.item_dev.select("item_id", "item_dev"), "item_id", "left"))
+    j = hot_key_join(pairs, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
+    j = hot_key_join(j, model.item_dev.select("item_id", "item_dev"), "item_id", "left")
     return j.withColumn("prediction", baseline_prediction("user_avg", "item_dev")) \
             .drop("user_avg", "item_dev")

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from rateflow.functions.hashing import DEFAULT_SEEDS, signature_names
 from rateflow.functions.scoring import baseline_prediction
 from rateflow.operators.als import als_predict
-from rateflow.operators.baseline import BaselineModel, baseline_predict
+from rateflow.operators.baseline import BaselineModel
 from rateflow.operators import lsh as L
+from rateflow.operators.joins import hot_key_join
 from rateflow.operators.lsh import lsh_lookup
 
 # Predictions are ranked after rounding to this many decimals so that ties are
@@ -71,17 +72,40 @@ def recommend_baseline(index: DataFrame, requests: DataFrame, ratings: DataFrame
     ``strategy="full"`` scores every unseen member of the request's bucket.
     ``strategy="pruned"`` gives the same rows while scoring at most ``head_size`` items
     for almost every request; see ``_pruned_top_k``.
+
+    The user average is attached to each request and the item deviation to each index
+    row *before* candidates are expanded. The candidate table therefore never joins a
+    per-user or per-item table, whatever the skew of users or items among the
+    candidates. Its only large joins are the signature join and the anti-join with the
+    ratings, and AQE can split both.
     """
     cols = ["query_id", "user_id", "item_id", "prediction", "rank"]
+    sig = signature_names(seeds)
+    q = L.with_signature(requests.select("query_id", "user_id", "tags"), "tags", seeds)
+    q = hot_key_join(q, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
+    seen = ratings.select("user_id", "item_id").distinct()
     if strategy == "full":
-        scored = baseline_predict(model, unseen_candidates(index, requests, ratings, seeds))
-        return top_k(scored, k).select(*cols)
+        return top_k(_scored(q, _index_with_dev(index, model, sig), seen, sig), k).select(*cols)
     if strategy == "pruned":
-        return _pruned_top_k(index, requests, ratings, model, k, seeds,
+        return _pruned_top_k(index, q, seen, model, k, seeds,
                              head_size or max(64, 4 * int(k))).select(*cols)
     raise ValueError(f"unknown strategy: {strategy}")
 
 
+def _index_with_dev(index: DataFrame, model: BaselineModel, sig: list[str]) -> DataFrame:
+    """(sig.., item_id, item_dev): both sides hold one row per item."""
+    return index.select(*sig, "item_id").join(
+        model.item_dev.select("item_id", "item_dev"), "item_id", "left")
+
+
+def _scored(q: DataFrame, idx_dev: DataFrame, seen: DataFrame, sig: list[str]) -> DataFrame:
+    """Unseen bucket members of each request, scored: (query_id, user_id, item_id, prediction)."""
+    return (q.join(idx_dev, sig, "inner")
+            .join(seen, ["user_id", "item_id"], "left_anti")
+            .select("query_id", "user_id", "item_id",
+                    baseline_prediction("user_avg", "item_dev").alias("prediction")))
+
+
 def bucket_heads(index: DataFrame, model: BaselineModel, head_size: int,
                  seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
     """Per bucket its ``head_size`` items of largest deviation (ties: smaller item id):
@@ -94,17 +118,17 @@ def bucket_heads(index: DataFrame, model: BaselineModel, head_size: int,
     """
     sig = signature_names(seeds)
     w = Window.partitionBy(*sig).orderBy(F.col("d").desc(), F.col("item_id").asc())
-    return (index.select(*sig, "item_id")
-            .join(model.item_dev.select("item_id", "item_dev"), "item_id", "left")
+    return (_index_with_dev(index, model, sig)
             .withColumn("d", F.coalesce(F.col("item_dev"), F.lit(0.0)))
             .withColumn("pos", F.row_number().over(w))
             .where(F.col("pos") <= F.lit(int(head_size))))
 
 
-def _pruned_top_k(index: DataFrame, requests: DataFrame, ratings: DataFrame,
-                  model: BaselineModel, k: int, seeds: Sequence[int], head_size: int) -> DataFrame:
+def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: BaselineModel, k: int,
+                  seeds: Sequence[int], head_size: int) -> DataFrame:
     """Exact top K per request, scoring only bucket heads where they decide.
 
+    ``q`` holds the signed requests with their user average (NULL for unknown users).
     For a user average r in [1, 5] the prediction r + d * scale(r + d, r) never
     decreases as the item deviation d grows (both slopes, 5 - r and r - 1, are >= 0),
     and neither does its rounding. A request is *resolved* by its bucket's head when
@@ -119,16 +143,11 @@ def _pruned_top_k(index: DataFrame, requests: DataFrame, ratings: DataFrame,
     sig = signature_names(seeds)
     heads = bucket_heads(index, model, head_size, seeds)
     # One small row per bucket: its size and the deviation of its last head item.
-    info = (L.bucket_sizes(index, seeds).withColumnRenamed("n_items", "bucket_size")
+    info = (index.groupBy(*sig).agg(F.count(F.lit(1)).alias("bucket_size"))
             .join(heads.where(F.col("pos") == F.lit(int(head_size)))
                   .select(*sig, F.col("d").alias("d_last")), sig, "left"))
 
-    q = L.with_signature(requests.select("query_id", "user_id", "tags"), "tags", seeds)
-    regular = (q.join(model.user_avg.select("user_id", "user_avg"), "user_id", "inner")
-               .where(F.col("user_avg").between(1.0, 5.0))
-               .join(info, sig, "inner"))
-
-    seen = ratings.select("user_id", "item_id").distinct()
+    regular = q.where(F.col("user_avg").between(1.0, 5.0)).join(info, sig, "inner")
     scored = (regular.join(heads.select(*sig, "item_id", "item_dev"), sig, "inner")
               .join(seen, ["user_id", "item_id"], "left_anti")
               .withColumn("prediction",
@@ -147,10 +166,7 @@ def _pruned_top_k(index: DataFrame, requests: DataFrame, ratings: DataFrame,
 
     done = ranked.where(F.col("resolved") & (F.col("rank") == 1)).select("query_id")
     rest = q.join(done, "query_id", "left_anti")
-    rest_cands = (rest.join(index.select(*sig, "item_id"), sig, "inner")
-                  .select("query_id", "user_id", "item_id")
-                  .join(seen, ["user_id", "item_id"], "left_anti"))
-    slow = top_k(baseline_predict(model, rest_cands), k)
+    slow = top_k(_scored(rest, _index_with_dev(index, model, sig), seen, sig), k)
     cols = ["query_id", "user_id", "item_id", "prediction", "rank"]
     return fast.select(*cols).unionByName(slow.select(*cols))
 
