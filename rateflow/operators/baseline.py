@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.scoring import baseline_prediction, normalized_deviation
-from rateflow.operators.joins import hot_key_join
+from rateflow.operators.joins import hot_key_join, key_counts
 
 
 def user_averages(ratings: DataFrame) -> DataFrame:
@@ -74,7 +74,9 @@ def fit_baseline(ratings: DataFrame) -> BaselineModel:
 
 def baseline_predict(model: BaselineModel, pairs: DataFrame) -> DataFrame:
     """``pairs(user_id, item_id, ...)`` -> the same rows plus ``prediction``."""
+    # Both key counts come from the input pairs (a left join keeps their rows one to one).
     j = hot_key_join(pairs, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
-    j = hot_key_join(j, model.item_dev.select("item_id", "item_dev"), "item_id", "left")
+    j = hot_key_join(j, model.item_dev.select("item_id", "item_dev"), "item_id", "left",
+                     counts=key_counts(pairs, "item_id"))
     return j.withColumn("prediction", baseline_prediction("user_avg", "item_dev")) \
             .drop("user_avg", "item_dev")

@@ -32,23 +32,28 @@ def hot_keys(counts: DataFrame, key: str, count_col: str, max_hot: int = MAX_HOT
     return counts.where(F.col(count_col) * F.lit(int(max_hot)) > total).select(key)
 
 
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """(key, _n): rows per key, with a partial aggregate in every task."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def hot_key_join(large: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
-                 count_col: str | None = None, max_hot: int = MAX_HOT_KEYS,
-                 salts: int = SALTS) -> DataFrame:
+                 count_col: str | None = None, counts: DataFrame | None = None,
+                 max_hot: int = MAX_HOT_KEYS, salts: int = SALTS) -> DataFrame:
     """``large.join(per_key, key, how)`` with hot keys salted.
 
     ``per_key`` must have at most one row per key. ``count_col`` names a column of
     ``per_key`` holding the number of ``large`` rows per key when it is already known
-    (as for per-user averages built from the same ratings); otherwise the counts are
+    (as for per-user averages built from the same ratings). ``counts`` may instead give
+    them as a ``key_counts`` table computed from an equivalent input. Otherwise they are
     aggregated from ``large`` (partial aggregation, one small shuffle).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    if count_col is None:
-        counts = large.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        hot = hot_keys(counts, key, "_n", max_hot)
-    else:
+    if count_col is not None:
         hot = hot_keys(per_key, key, count_col, max_hot)
+    else:
+        hot = hot_keys(key_counts(large, key) if counts is None else counts, key, "_n", max_hot)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
 
     row_salt = F.pmod(F.monotonically_increasing_id(), F.lit(int(salts)))
