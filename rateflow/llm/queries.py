@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateflow.llm import decontaminate
+from rateflow.llm import decontaminate, pack
 from rateflow.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_decontaminate": op4_decontaminate,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
