@@ -83,3 +83,27 @@ def id_filter(ids: DataFrame, *columns: str):
         return pa.array(in_bitmap(shared.value, slots.to_numpy(zero_copy_only=False).astype(np.int64)))
 
     return lambda *cols: test(slot(*cols))
+
+
+def row_key() -> Column:
+    """Tells document rows apart by id and text; equal rows have equal keys."""
+    return F.xxhash64("doc_id", "text")
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose key (row_key()) is in gone's column ``row_key``.
+
+    Rows that the id filter clears are read and passed on; only the others are joined, so
+    the texts that stay aren't shuffled unless very many rows go."""
+    key = fresh_name(docs, "row_key")
+    keys = gone.select(F.col("row_key").alias(key)).distinct()
+    may_hold = id_filter(keys, key)
+    keyed = docs.withColumn(key, row_key())
+    doubt = keyed.where(may_hold(F.col(key))).join(keys, key, "left_anti")
+    return keyed.where(~may_hold(F.col(key))).unionByName(doubt).select(*docs.columns)

@@ -3,21 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, pack
+from rateflow.llm import decontaminate, langid, pack, quality
 from rateflow.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return (langid.identify(table(spark, sf_dir, "documents"), "crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2")
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+            .select("doc_id", "n_scored", "perplexity", "accepted"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_decontaminate": op4_decontaminate,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
