@@ -96,14 +96,14 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def drop_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the rows whose key (row_key()) is in gone's column ``row_key``.
+def drop_rows(docs: DataFrame, gone: DataFrame, by: Column | None = None) -> DataFrame:
+    """docs without the rows whose key (row_key(), or ``by``) is in gone's column ``row_key``.
 
     Rows that the id filter clears are read and passed on; only the others are joined, so
     the texts that stay aren't shuffled unless very many rows go."""
     key = fresh_name(docs, "row_key")
     keys = gone.select(F.col("row_key").alias(key)).distinct()
     may_hold = id_filter(keys, key)
-    keyed = docs.withColumn(key, row_key())
+    keyed = docs.withColumn(key, row_key() if by is None else by)
     doubt = keyed.where(may_hold(F.col(key))).join(keys, key, "left_anti")
     return keyed.where(~may_hold(F.col(key))).unionByName(doubt).select(*docs.columns)

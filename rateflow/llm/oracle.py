@@ -20,6 +20,23 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# Base32 of a hex digest: every 5 bits of its 160 as one digit.
+OP3 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (SELECT DISTINCT hex, array_to_string(list_transform(string_split(hex, ''),
+         lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), '') AS b FROM p),
+digits AS (SELECT hex, array_to_string(list_transform(range(0, 32),
+           lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                            1 + list_sum(list_transform(range(0, 5), lambda j: CASE WHEN substr(b, 5 * i + j + 1, 1) = '1' THEN 16 >> j ELSE 0 END))::INT, 1)), '') AS payload_digest
+           FROM bits),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM f JOIN digits USING (hex)
+"""
+
 ORACLE_SQL = {
+    "op3_warc": OP3,
     "op4_decontaminate": OP4,
 }

@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 
 from rateflow.llm import text as T
 from rateflow.llm.common import written
-from rateflow.llm.tokenize import WordEncoder
+from rateflow.llm.tokenize import encoder
 
 CAPACITY = 2048
 END_ID = 0
 # Pieces of one length that one task ranks together.
-RANKED_TOGETHER = 1000
+RANKED_TOGETHER = 200
 
 
 def default_vocabulary() -> str:
@@ -47,7 +47,7 @@ def default_vocabulary() -> str:
 
 def _pieces(path: str | None, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path or default_vocabulary())
+        words = encoder(path or default_vocabulary())
         end = np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
         for batch in batches:
@@ -55,7 +55,7 @@ def _pieces(path: str | None, capacity: int, end_id: int, with_ids: bool):
                 raw = data.tobytes()
                 at = offsets.tolist()
                 row, piece, length, crc, kept = [], [], [], [], []
-                for r, ids in enumerate(encoder.encode([raw[a:b] for a, b in zip(at, at[1:])])):
+                for r, ids in enumerate(words.encode([raw[a:b] for a, b in zip(at, at[1:])])):
                     ids += end
                     for i in range(0, len(ids), step):
                         part = ids[i: i + step]

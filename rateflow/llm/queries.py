@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, langid, pack, quality
+from rateflow.llm import decontaminate, langid, pack, quality, warc
 from rateflow.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (warc.archive(table(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -31,6 +36,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_warc": op3_warc,
     "op4_decontaminate": op4_decontaminate,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,

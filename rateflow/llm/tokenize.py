@@ -1,26 +1,26 @@
 """Token ids of whole texts for the lower-casing BPE vocabulary ``word_bpe_49k.json``.
 
 The vocabulary's rules split a text at white space and never look across it, so ids are
-looked up word by word: each task keeps a bounded cache from the bytes of a word to its
-ids and asks the tokenizers library only for words that it hasn't met. Plain words are
-encoded many at a time; every one ends in a token that ends a word, and the count of such
-tokens shows whether each was one word to the library. Where it was not, and for texts
-with combining marks, each piece is encoded on its own.
+looked up word by word: each worker keeps bounded caches from the bytes of a word and of
+its pieces (letters, punctuation) to ids, and asks the tokenizers library only for pieces
+that it hasn't met. Those are encoded many at a time; every piece ends in a token that
+ends a word, and the count of such tokens shows whether each was one piece to the library.
+Where it was not, and for texts with combining marks, each is encoded on its own.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from functools import cache
 
 import numpy as np
 
-# Pieces of an ASCII text as the vocabulary's own rules cut it once lower-cased. The first
-# alternative takes a word with other characters whole.
-_PIECES = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+# Pieces of a lower-cased ASCII word as the vocabulary's own rules cut it.
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 # Lead bytes of the combining marks U+0300 to U+036F: with them, lower-casing first could
-# change how a text is normalised. A literal "<|" may begin a special token.
-_WHOLE = re.compile(rb"[\xcc\xcd]|<\|")
+# change how a text is normalised.
+_MARKS = re.compile(rb"[\xcc\xcd]")
 _TRAILING = b".,!?;:"
 _ID = np.dtype("<u4")
 
@@ -28,7 +28,7 @@ _ID = np.dtype("<u4")
 class WordEncoder:
     """encode(text bytes) -> ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache_size: int = 300_000, batch: int = 2048):
+    def __init__(self, path: str, cache_size: int = 200_000, batch: int = 256):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -37,18 +37,20 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.cache_size, self.batch = cache_size, batch
-        self.cache: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
 
     def _one(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, _ID).tobytes()
 
-    def _plain(self, pieces: list[bytes], into: dict[bytes, bytes]) -> None:
+    def _plain(self, pieces: list[bytes]) -> None:
         """Pieces that should be one word each to the library."""
+        into = self.pieces
         for i in range(0, len(pieces), self.batch):
             part = pieces[i: i + self.batch]
             ids = np.array(self.tokenizer.encode_batch_fast(
-                [b" ".join(part).decode()], add_special_tokens=False)[0].ids, _ID)
+                [b" ".join(part).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, _ID)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part) or cuts[-1] != len(ids):
                 into.update((p, self._one(p)) for p in part)
@@ -56,29 +58,38 @@ class WordEncoder:
             raw, at = ids.tobytes(), (cuts * 4).tolist()
             into.update((p, raw[a:b]) for p, a, b in zip(part, [0, *at], at))
 
-    def _learn(self, pieces: set[bytes]) -> None:
-        cache = self.cache
-        plain = {p for p in pieces if p.isascii()}
-        tails: dict[bytes, tuple[bytes, bytes]] = {}
-        for p in pieces - plain:
-            core = p.rstrip(_TRAILING)
-            if core.decode("utf-8", "replace").isalpha():
-                tails[p] = (core, p[len(core):])
+    def _learn(self, words: list[bytes]) -> None:
+        cut: list[tuple[bytes, list[bytes]]] = []
+        for w in words:
+            core = w.rstrip(_TRAILING)
+            if core and (core.isalpha() or (not core.isascii() and core.decode("utf-8", "replace").isalpha())):
+                cut.append((w, [core, w[len(core):]] if len(core) < len(w) else [core]))
+            elif w.isascii() and b"<|" not in w:
+                cut.append((w, _PIECES.findall(w)))
             else:
-                cache[p] = self._one(p)
-        cores = {c for c, _ in tails.values()} | {t for _, t in tails.values() if t}
-        self._plain([p for p in plain | cores if p not in cache], cache)
-        for p, (core, tail) in tails.items():
-            cache[p] = cache[core] + (cache[tail] if tail else b"")
+                self.words[w] = self._one(w)  # "<|" may begin a special token
+        known = self.pieces
+        self._plain(list({p for _, ps in cut for p in ps if p not in known}))
+        for w, ps in cut:
+            self.words[w] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.cache) > self.cache_size:
-            self.cache = {}
-        found = [None if _WHOLE.search(t) else _PIECES.findall(t.lower()) for t in texts]
+        if len(self.words) > self.cache_size:
+            self.words = {}
+        if len(self.pieces) > self.cache_size:
+            self.pieces = {}
+        found = [None if not t.isascii() and _MARKS.search(t) else t.lower().split() for t in texts]
         new: set[bytes] = set()
         for f in found:
             if f is not None:
                 new.update(f)
-        self._learn(new - self.cache.keys())
-        get = self.cache.__getitem__
+        known = self.words
+        self._learn([w for w in new if w not in known])
+        get = known.__getitem__
         return [self._one(t) if f is None else b"".join(map(get, f)) for t, f in zip(texts, found)]
+
+
+@cache
+def encoder(path: str) -> WordEncoder:
+    """One for each Python worker, which runs many tasks."""
+    return WordEncoder(path)
