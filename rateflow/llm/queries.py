@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, langid, pack, quality, warc
+from rateflow.llm import decontaminate, langid, licenses, pack, quality, topk, warc
 from rateflow.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted"))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (warc.archive(table(spark, sf_dir, "pages"))
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
@@ -34,10 +38,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (licenses.scan(table(spark, sf_dir, "documents"))
+            .select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("sentences").alias("n_sentences"),
+                    F.size("unmatched").alias("n_unmatched")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_topk_search": op2_topk_search,
     "op3_warc": op3_warc,
     "op4_decontaminate": op4_decontaminate,
     "op7_quality_classifier": op7_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_license_scan": op10_license_scan,
 }

@@ -142,11 +142,11 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
     hops = 1  # the length of a jump; every split that is passed takes one
     while hops < 2 * most:
         reached = written(reached.unionByName(
-            reached.join(jumps, ["file", "place"]).select("file", F.col("to").alias("place"))).distinct(), "reached")
-        jumps = written(jumps.join(jumps.select("file", F.col("place").alias("to"), F.col("to").alias("next")), ["file", "to"])
+            reached.join(jumps.hint("merge"), ["file", "place"]).select("file", F.col("to").alias("place"))).distinct(), "reached")
+        jumps = written(jumps.hint("merge").join(jumps.select("file", F.col("place").alias("to"), F.col("to").alias("next")), ["file", "to"])
                         .select("file", "place", F.col("next").alias("to")), "jumps")
         hops *= 2
-    entries = nodes.join(reached, ["file", "place"], "left_semi").select("file", "block", F.col("place").alias("entry"))
+    entries = nodes.join(reached.hint("merge"), ["file", "place"], "left_semi").select("file", "block", F.col("place").alias("entry"))
     after = in_file.rowsBetween(1, Window.unboundedFollowing)
     end = F.sum("total").over(Window.partitionBy("file"))
     return written(splits.join(entries, ["file", "block"], "left")
