@@ -16,19 +16,22 @@ from functools import cache
 
 import numpy as np
 
-# Pieces of a lower-cased ASCII word as the vocabulary's own rules cut it.
-_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Pieces of a lower-cased text as the vocabulary's own rules cut it. Bytes of other
+# characters count as letters in the second pattern, which holds for a piece that is all
+# letters; the third keeps every word with other characters whole.
+_ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_LETTERS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+_WORDS = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
 # Lead bytes of the combining marks U+0300 to U+036F: with them, lower-casing first could
 # change how a text is normalised.
 _MARKS = re.compile(rb"[\xcc\xcd]")
-_TRAILING = b".,!?;:"
 _ID = np.dtype("<u4")
 
 
 class WordEncoder:
     """encode(text bytes) -> ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache_size: int = 200_000, batch: int = 256):
+    def __init__(self, path: str, cache_size: int = 400_000, batch: int = 256):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -37,8 +40,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.cache_size, self.batch = cache_size, batch
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
+        self.ids: dict[bytes, bytes] = {}
 
     def _one(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -46,7 +48,7 @@ class WordEncoder:
 
     def _plain(self, pieces: list[bytes]) -> None:
         """Pieces that should be one word each to the library."""
-        into = self.pieces
+        into = self.ids
         for i in range(0, len(pieces), self.batch):
             part = pieces[i: i + self.batch]
             ids = np.array(self.tokenizer.encode_batch_fast(
@@ -58,35 +60,36 @@ class WordEncoder:
             raw, at = ids.tobytes(), (cuts * 4).tolist()
             into.update((p, raw[a:b]) for p, a, b in zip(part, [0, *at], at))
 
-    def _learn(self, words: list[bytes]) -> None:
-        cut: list[tuple[bytes, list[bytes]]] = []
-        for w in words:
-            core = w.rstrip(_TRAILING)
-            if core and (core.isalpha() or (not core.isascii() and core.decode("utf-8", "replace").isalpha())):
-                cut.append((w, [core, w[len(core):]] if len(core) < len(w) else [core]))
-            elif w.isascii() and b"<|" not in w:
-                cut.append((w, _PIECES.findall(w)))
-            else:
-                self.words[w] = self._one(w)  # "<|" may begin a special token
-        known = self.pieces
-        self._plain(list({p for _, ps in cut for p in ps if p not in known}))
-        for w, ps in cut:
-            self.words[w] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+    def _cut(self, text: bytes) -> list[bytes] | None:
+        """Pieces of the text; None if it has to be encoded as a whole."""
+        if b"<|" in text:
+            return None  # may begin a special token
+        if text.isascii():
+            return _ASCII.findall(text.lower())
+        return None if _MARKS.search(text) else _LETTERS.findall(text.lower())
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.words) > self.cache_size:
-            self.words = {}
-        if len(self.pieces) > self.cache_size:
-            self.pieces = {}
-        found = [None if not t.isascii() and _MARKS.search(t) else t.lower().split() for t in texts]
+        if len(self.ids) > self.cache_size:
+            self.ids = {}
+        ids = self.ids
+        cut = [self._cut(t) for t in texts]
         new: set[bytes] = set()
-        for f in found:
-            if f is not None:
-                new.update(f)
-        known = self.words
-        self._learn([w for w in new if w not in known])
-        get = known.__getitem__
-        return [self._one(t) if f is None else b"".join(map(get, f)) for t, f in zip(texts, found)]
+        for pieces in cut:
+            if pieces is not None:
+                new.update(pieces)
+        plain = [p for p in new if p not in ids]
+        odd = {p for p in plain if not p.isascii() and not p.decode("utf-8", "replace").isalpha()}
+        if odd:
+            plain = [p for p in plain if p not in odd]
+            for i, pieces in enumerate(cut):
+                if pieces is not None and not odd.isdisjoint(pieces):
+                    cut[i] = _WORDS.findall(texts[i].lower())
+            words = {p for pieces in cut if pieces is not None for p in pieces if p not in ids} - set(plain)
+            plain += [p for p in words if p.isascii()]
+            ids.update((p, self._one(p)) for p in words if not p.isascii())
+        self._plain(plain)
+        get = ids.__getitem__
+        return [self._one(t) if pieces is None else b"".join(map(get, pieces)) for t, pieces in zip(texts, cut)]
 
 
 @cache
