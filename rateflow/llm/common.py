@@ -18,8 +18,9 @@ from rateflow.session import scratch_path
 # Paths written for each Spark application, for release_scratch().
 _WRITTEN: dict[str, list[str]] = {}
 
-# Bits of an id filter: 1 MiB, whatever the number of ids.
+# Bits of an id filter: 1 MiB, whatever the number of ids; and of one for hashes of passages.
 FILTER_BITS = 1 << 23
+WIDE_FILTER_BITS = 1 << 26
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,15 +51,15 @@ def release_scratch(spark: SparkSession) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def bitmap(slots: DataFrame) -> np.ndarray:
-    """The distinct values of the column ``slot`` (0 to FILTER_BITS - 1) as a bitmap.
-    FILTER_BITS / 64 rows at most come to the driver."""
+def bitmap(slots: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """The distinct values of the column ``slot`` (0 to bits - 1) as a bitmap. bits / 64 rows
+    at most come to the driver."""
     words = (slots.groupBy((F.col("slot") / 64).cast("int").alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-             .toPandas())
-    bits = np.zeros(FILTER_BITS // 64, np.uint64)
-    bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    return bits
+             .toArrow())
+    out = np.zeros(bits // 64, np.uint64)
+    out[words.column("w").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
 
 
 def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -107,3 +108,16 @@ def drop_rows(docs: DataFrame, gone: DataFrame, by: Column | None = None) -> Dat
     keyed = docs.withColumn(key, row_key() if by is None else by)
     doubt = keyed.where(may_hold(F.col(key))).join(keys, key, "left_anti")
     return keyed.where(~may_hold(F.col(key))).unionByName(doubt).select(*docs.columns)
+
+
+def with_texts(docs: DataFrame, per_row: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of per_row (one for each ``row_key``) with these columns of the document rows
+    of that key. Only texts that an id filter lets through are shuffled."""
+    may_hold = id_filter(per_row, "row_key")
+    return (docs.select(row_key().alias("row_key"), *columns).where(may_hold(F.col("row_key")))
+            .join(per_row, "row_key"))
+
+
+def document_order() -> Column:
+    """doc_id as a number to order documents by; rows without one come last."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))

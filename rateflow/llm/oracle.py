@@ -46,8 +46,20 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM f JOIN digits USING (hex)
 """
 
+OP8 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 49], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+f AS (SELECT t, min(doc_id) AS first FROM win GROUP BY t HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM win JOIN f USING (t) WHERE first < doc_id),
+lists AS (SELECT doc_id, count(*) AS n, map_from_entries(list((p, true))) AS ps FROM gone GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE [x[1] FOR x IN list_zip(w, range(1, len(w) + 1)) IF NOT coalesce(ps[x[2]], false)] END, ' ')) AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op2_topk_search": OP2,
     "op3_warc": OP3,
+    "op8_substring_dedup": OP8,
     "op4_decontaminate": OP4,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, langid, licenses, pack, quality, topk, warc
+from rateflow.llm import decontaminate, langid, licenses, pack, quality, substrings, topk, warc
 from rateflow.llm.common import table
 
 
@@ -34,6 +34,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_scored", "perplexity", "accepted"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (substrings.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+            .select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_decontaminate": op4_decontaminate,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_license_scan": op10_license_scan,
 }
