@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, langid, licenses, pack, quality, substrings, suffixes, topk, warc
+from rateflow.llm import decontaminate, jaccard, langid, licenses, pack, quality, substrings, suffixes, topk, warc
 from rateflow.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (suffixes.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
             .select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
@@ -59,6 +63,7 @@ QUERIES = {
     "op2_topk_search": op2_topk_search,
     "op3_warc": op3_warc,
     "op4_decontaminate": op4_decontaminate,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_substring_dedup": op8_substring_dedup,
