@@ -7,6 +7,9 @@ executors and gives later joins two plain shuffles, which AQE can split when a k
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +18,9 @@ from pyspark.sql.types import BooleanType
 
 from rateflow.session import scratch_path
 
-# Paths written for each Spark application, for release_scratch().
-_WRITTEN: dict[str, list[str]] = {}
+# Paths written for each Spark application and scope, for release_scratch().
+_WRITTEN: dict[tuple[str, str], list[str]] = {}
+_SCOPE = [""]
 
 # Bits of an id filter: 1 MiB, whatever the number of ids; and of one for hashes of passages.
 FILTER_BITS = 1 << 23
@@ -29,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     path = scratch_path(spark, name)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _WRITTEN.setdefault((spark.sparkContext.applicationId, _SCOPE[-1]), []).append(path)
     return path
 
 
@@ -41,12 +45,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the tables written so far. Only for callers whose earlier results are
-    already stored elsewhere, such as a pipeline between two stages."""
+@contextmanager
+def scratch_scope(name: str) -> Iterator[None]:
+    """Tables written inside belong to this scope."""
+    _SCOPE.append(name)
+    try:
+        yield
+    finally:
+        _SCOPE.pop()
+
+
+def release_scratch(spark: SparkSession, scope: str) -> None:
+    """Delete the tables that were written in a scope. Only for callers that have stored what
+    they made from them, such as a pipeline between two stages."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+    for path in _WRITTEN.pop((spark.sparkContext.applicationId, scope), []):
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
 

@@ -126,7 +126,7 @@ def _extend(window: int, k: int):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit, spans (the hit word ranges, merged
+    """One row per document row: doc_id, row_key, n_words, n_hit, spans (the hit word ranges, merged
     and in order) and items (the ids of the items with an occurring window, as strings)."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -167,7 +167,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     same = ["row_key", "doc_id"]
     found = _null_safe(islands, named, same)
     return (_null_safe(per_doc.select("doc_id", "row_key", "n_words"), found, same)
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+            .select("doc_id", "row_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
                     F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 

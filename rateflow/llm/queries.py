@@ -58,6 +58,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("unmatched").alias("n_unmatched")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_topk_search": op2_topk_search,
@@ -69,4 +75,5 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_license_scan": op10_license_scan,
+    "pipeline": pipeline,
 }
