@@ -11,10 +11,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from rateflow.session import scratch_path
 
@@ -80,8 +78,36 @@ def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return ((bits[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
+def _bit_test(slots: DataFrame, bits: int):
+    """A test of slot numbers against the column ``slot``, in the JVM.
+
+    The bitmap is one row with an array of arrays of 1024 longs, read as a scalar subquery."""
+    spark = slots.sparkSession
+    every = spark.range(bits // 64).select(F.col("id").alias("w"), F.lit(0).cast("bigint").alias("b"))
+    words = (slots.select((F.col("slot") / 64).cast("bigint").alias("w"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("b"))
+             .unionByName(every).groupBy("w").agg(F.bit_or("b").alias("b")))
+
+    def in_order(key: str, value: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value]).alias(value)
+
+    blocks = words.withColumn("block", F.shiftright("w", 10)).groupBy("block").agg(in_order("w", "b"))
+    packed = written(blocks.agg(in_order("block", "b")), "bitmap").scalar()
+
+    def test(slot: Column) -> Column:
+        word = F.get(F.get(packed, F.shiftright(slot, 16).cast("int")), F.shiftright(slot, 6).bitwiseAND(F.lit(1023)).cast("int"))
+        return F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1
+
+    return test
+
+
+def hash_filter(hashes: DataFrame, column: str):
+    """Like id_filter, for a column of 64-bit hashes and with WIDE_FILTER_BITS bits."""
+    test = _bit_test(hashes.select(F.pmod(column, F.lit(WIDE_FILTER_BITS)).alias("slot")), WIDE_FILTER_BITS)
+    return lambda col: test(F.pmod(col, F.lit(WIDE_FILTER_BITS)))
+
+
 def id_filter(ids: DataFrame, *columns: str):
-    """A broadcast bitmap of hashed ids and the test for it.
+    """A bitmap of hashed ids and the test for it.
 
     Returns ``may_hold(*cols) -> Column``: true for every id of ``ids``, and for some
     others. The bitmap has FILTER_BITS bits at any number of ids; with very many ids it
@@ -90,13 +116,7 @@ def id_filter(ids: DataFrame, *columns: str):
     def slot(*cols: Column) -> Column:
         return F.pmod(F.xxhash64(*cols), F.lit(FILTER_BITS))
 
-    shared = ids.sparkSession.sparkContext.broadcast(
-        bitmap(ids.select(slot(*(F.col(c) for c in columns)).alias("slot"))))
-
-    @F.arrow_udf(BooleanType())
-    def test(slots: pa.Array) -> pa.Array:
-        return pa.array(in_bitmap(shared.value, slots.to_numpy(zero_copy_only=False).astype(np.int64)))
-
+    test = _bit_test(ids.select(slot(*(F.col(c) for c in columns)).alias("slot")), FILTER_BITS)
     return lambda *cols: test(slot(*cols))
 
 

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateflow.llm import text as T
-from rateflow.llm.common import WIDE_FILTER_BITS, bitmap, document_order, drop_rows, in_bitmap, row_key, with_texts, written
+from rateflow.llm.common import document_order, drop_rows, hash_filter, row_key, with_texts, written
 from rateflow.llm.components import components
 
 SHINGLE = 3
@@ -330,17 +330,11 @@ def _least(rows: DataFrame, column: str, k: int) -> DataFrame:
 def links(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """(a, b) of class nodes: links that connect what all links connect. docs (doc_id,
     text): one row for each distinct set; nodes are row keys."""
-    spark = docs.sparkSession
     texts = docs.select(row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
     sigs = written(texts.mapInArrow(_signatures(size, percent), "sig bigint, node bigint"), "signatures")
     shared = written(sigs.groupBy("sig").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last").select("sig", "centre"), "parts")
-    bits = spark.sparkContext.broadcast(bitmap(shared.select(F.pmod("sig", F.lit(WIDE_FILTER_BITS)).alias("slot")), WIDE_FILTER_BITS))
-
-    @F.arrow_udf("boolean")
-    def may_be_shared(slots: pa.Array) -> pa.Array:
-        return pa.array(in_bitmap(bits.value, slots.to_numpy(zero_copy_only=False).astype(np.int64)))
-
-    pairs = (sigs.where(may_be_shared(F.pmod("sig", F.lit(WIDE_FILTER_BITS)))).join(shared, "sig")
+    may_be_shared = hash_filter(shared, "sig")
+    pairs = (sigs.where(may_be_shared(F.col("sig"))).join(shared, "sig")
              .where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
     coarse = written(components(pairs), "regions").withColumnRenamed("component", "region")
     sizes = written(coarse.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 # Odd multipliers, so that their powers are invertible modulo 2**64.
@@ -22,9 +22,12 @@ _WORD_BASE = 0xD6E8FEB86659FD93
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes (finaliser of splitmix64)."""
-    h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
-    return h ^ (h >> _U(31))
+    h = h ^ (h >> _U(30))
+    h *= _U(0xBF58476D1CE4E5B9)
+    h ^= h >> _U(27)
+    h *= _U(0x94D049BB133111EB)
+    h ^= h >> _U(31)
+    return h
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _U(_BYTE_BASE))
@@ -35,7 +38,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n at least."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+        size = -(-n // (1 << 18)) * (1 << 18)
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.ones(size, np.uint64)
@@ -45,12 +48,23 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def _prefix_sums(values: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    p, inverse = _powers(base, len(values) + 1)
+    c = np.empty(len(values) + 1, np.uint64)
+    c[0] = 0
+    np.multiply(values, p[: len(values)], out=c[1:])
+    np.cumsum(c, out=c)
+    return c, inverse
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hash of values[s:e] for each (s, e): equal sequences have equal hashes."""
-    p, inv = _powers(base, len(values) + 1)
-    c = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * p[: len(values)], out=c[1:])
-    return mix((c[ends] - c[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
+    c, inverse = _prefix_sums(values, base)
+    h = c[ends]
+    h -= c[starts]
+    h *= inverse[starts]
+    h += (ends - starts).astype(np.uint64)
+    return mix(h)
 
 
 def byte_span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -150,8 +164,11 @@ def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
     n = len(values) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    i = np.arange(n)
-    return span_hashes(values, i, i + k, _WORD_BASE)
+    c, inverse = _prefix_sums(values, _WORD_BASE)
+    h = c[k:] - c[:n]
+    h *= inverse[:n]
+    h += _U(k)
+    return mix(h)
 
 
 def gram_positions(first: np.ndarray, k: int) -> np.ndarray:
@@ -179,16 +196,28 @@ def winnow(hashes: np.ndarray, first: np.ndarray, k: int, w: int) -> np.ndarray:
     """Positions of the minimum k-gram hash (the last of equal ones) in every window of w
     consecutive k-grams of a text. ``hashes`` are those of gram_hashes. Two texts that
     share w + k - 1 consecutive values choose the same k-gram of that passage."""
-    windows = gram_positions(first, w + k - 1)
-    if not len(windows):
-        return windows
     n = len(hashes)
     low = _U((1 << 24) - 1)
-    place = (_U(n) - np.arange(n, dtype=np.uint64)) & low
-    best = sliding_min((hashes & ~low) | place, w)[windows]
-    if n < 1 << 24:
-        return np.unique(n - (best & low).astype(np.int64))
-    # Texts of over 2**24 words: the place is known modulo 2**24, and lies in the window.
-    off = ((n - (best & low).astype(np.int64)) - windows) % (1 << 24)
-    return np.unique(windows + off)
-
+    # Below its upper 40 bits each hash carries its place, so that the last of equals is least.
+    keys = np.arange(n, 0, -1, dtype=np.uint64)
+    keys &= low
+    keys |= hashes & ~low
+    best = sliding_min(keys, w)
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a < w + k - 1:
+            continue
+        places = best[a: b - w - k + 2] & low
+        # A minimum stays for many windows: look only where it changes.
+        places = places[np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))].astype(np.int64)
+        at = n - places
+        if n > 1 << 24:  # places are known modulo 2**24; a text's windows are nearer than that
+            at = a + (at - a) % (1 << 24) if b - a <= 1 << 24 else _unwrapped(at, a)
+        out.append(at)
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def _unwrapped(at: np.ndarray, a: int) -> np.ndarray:
+    """Ascending places of which only the value modulo 2**24 is known, from a on."""
+    at = a + (at - a) % (1 << 24)
+    return at + (1 << 24) * np.concatenate([[0], np.cumsum(at[1:] < at[:-1])])
