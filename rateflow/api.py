@@ -31,7 +31,7 @@ from rateflow.operators import incremental as I
 from rateflow.operators import lsh as L
 from rateflow.operators import recommend as R
 from rateflow.operators import stats as S
-from rateflow.schemas import REQUESTS
+from rateflow.schemas import REQUESTS, REQUESTS_WITH_K
 from rateflow.session import checkpoint_dir
 from rateflow.sources.text import read_deltas_text, read_items_text, read_ratings_text
 
@@ -98,11 +98,10 @@ class Analytics:
 
 class Averages:
     """Average rating per item, maintained under deltas (see
-    ``incremental.MaintainedAverages`` for persistence and checkpointing)."""
+    ``incremental.MaintainedAverages`` for how the state is stored)."""
 
-    def __init__(self, spark: SparkSession, ratings: DataFrame, items: DataFrame,
-                 checkpoint_every: int = 8):
-        self._m = I.MaintainedAverages(spark, S.item_stats(ratings, items), checkpoint_every)
+    def __init__(self, spark: SparkSession, ratings: DataFrame, items: DataFrame):
+        self._m = I.MaintainedAverages(spark, S.item_stats(ratings, items))
 
     @property
     def state(self) -> DataFrame:
@@ -142,6 +141,13 @@ class LSHIndex:
         return L.lsh_lookup(self.index, queries, tags_col, self.seeds, keep_unmatched)
 
 
+def requests_in_memory(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
+    """``[(user_id, tags), ...]`` or ``[(user_id, tags, k), ...]`` -> (query_id, user_id, tags[, k])."""
+    data = [(i, int(r[0]), list(r[1]), *(int(k) for k in r[2:])) for i, r in enumerate(rows)]
+    own_k = bool(data) and len(data[0]) == 4
+    return spark.createDataFrame(data, REQUESTS_WITH_K if own_k else REQUESTS)
+
+
 class Recommender:
     """Baseline and ALS recommenders over an LSH index (both trained eagerly)."""
 
@@ -152,13 +158,13 @@ class Recommender:
         self._spark = spark
         self.index = index
         self.ratings = ratings.select("user_id", "item_id", "rating").persist(_LEVEL)
-        self.baseline = B.fit_baseline(self.ratings).persist()
+        self.baseline = B.fit_baseline(self.ratings)
         self.als = fit_als(self.ratings, **(als_params or {})) if train_als else None
 
     def requests(self, rows: Iterable[tuple]) -> DataFrame:
-        """``[(user_id, tags), ...]`` -> a request DataFrame with query ids 0..n-1."""
-        data = [(i, int(u), list(t)) for i, (u, t) in enumerate(rows)]
-        return self._spark.createDataFrame(data, REQUESTS)
+        """``[(user_id, tags), ...]`` or ``[(user_id, tags, k), ...]`` -> a request DataFrame with
+        query ids 0..n-1."""
+        return requests_in_memory(self._spark, rows)
 
     def rated_items(self, users: DataFrame) -> DataFrame:
         return R.rated_items(self.ratings, users)

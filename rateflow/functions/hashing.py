@@ -53,9 +53,18 @@ def java_string_hash_sql(s: str) -> str:
     return f"aggregate({units}, 0L, (h, u) -> {_wrap('h * 31 + u')})"
 
 
-def minhash_seed_sql(tag: str, seed: int) -> str:
-    """SQL for the hash of one tag (a string expression) under one seed; int in [0, 2^18)."""
-    k = java_string_hash_sql(f"concat({tag}, '{int(seed)}')")
+def _java_hash(s: str) -> int:
+    h = 0
+    for c in s:
+        h = (h * 31 + ord(c)) & 0xFFFFFFFF
+    return h
+
+
+def seeded_sql(h: str, seed: int) -> str:
+    """SQL for the value of a tag under one seed, from the tag's own string hash ``h`` (bigint);
+    int in [0, 2^18). The hash of a string with a suffix is h * 31^length + hash(suffix)."""
+    suffix = str(int(seed))
+    k = _wrap(f"({h}) * {pow(31, len(suffix), 1 << 32)} + {_java_hash(suffix)}")
     k = _wrap(f"({k}) * ({_as_int32_constant(MIX_MULTIPLIER_1)})")
     k = f"shiftright({k}, {MIX_SHIFT_1})"
     k = _wrap(f"({k}) * ({_as_int32_constant(MIX_MULTIPLIER_2)})")
@@ -69,18 +78,24 @@ def java_string_hash(col: str) -> Column:
 
 def minhash_seed(col: str, seed: int) -> Column:
     """Hash of the string column ``col`` under one seed."""
-    return F.expr(minhash_seed_sql(_quote(col), seed))
+    return F.expr(seeded_sql(java_string_hash_sql(_quote(col)), seed))
 
 
-def minhash(tags: str, seed: int) -> Column:
-    """Minimum tag hash of the tag-list column ``tags``; NULL for an empty or NULL list."""
-    return F.expr(f"array_min(transform({_quote(tags)}, t -> {minhash_seed_sql('t', seed)}))")
+def tag_hash_array(tags: str) -> Column:
+    """The string hashes of a tag list, which all seeds share."""
+    return F.expr(f"transform({_quote(tags)}, t -> {java_string_hash_sql('t')})")
 
 
-def signature_columns(tags: str, seeds: Sequence[int] = DEFAULT_SEEDS,
+def minhash(hashes: str, seed: int) -> Column:
+    """Minimum value of a tag list under a seed, from its ``tag_hash_array`` column; NULL for
+    an empty or NULL list."""
+    return F.expr(f"array_min(transform({_quote(hashes)}, h -> {seeded_sql('h', seed)}))")
+
+
+def signature_columns(hashes: str, seeds: Sequence[int] = DEFAULT_SEEDS,
                       prefix: str = "sig_") -> list[Column]:
     """One int column per seed (``sig_0``, ``sig_1``, ...): flat equi-join keys."""
-    return [minhash(tags, s).alias(f"{prefix}{i}") for i, s in enumerate(seeds)]
+    return [minhash(hashes, s).alias(f"{prefix}{i}") for i, s in enumerate(seeds)]
 
 
 def signature_names(seeds: Sequence[int] = DEFAULT_SEEDS, prefix: str = "sig_") -> list[str]:

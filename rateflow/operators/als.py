@@ -1,21 +1,27 @@
 """Collaborative filtering with ``pyspark.ml`` ALS (explicit feedback).
 
 Defaults are the original settings: rank 10, 20 iterations, regularisation 0.1,
-seed 0. The original uses 4 user and 4 item blocks; a block is one task per ALS stage,
-so by default the block count follows the cluster's parallelism (never below 4).
-Pass ``blocks=4`` to reproduce the original factorisation exactly (the random
-initialisation depends on the blocking). ALS needs int ids; they are cast at this edge
-under ANSI, which fails loudly on an id outside the int range instead of wrapping.
+seed 0 and 4 user and 4 item blocks. A block is one task per ALS stage; as the random
+initialisation depends on the blocking, the number of blocks is a fixed parameter and never
+follows the cluster, so the same data and parameters give the same model everywhere.
+ALS needs int ids; they are cast at this edge under ANSI, which fails loudly on an id
+outside the int range instead of wrapping. ``dense_ids=True`` numbers the ids first (a
+distributed dictionary for users and one for items), which lifts that limit.
 With a checkpoint directory on the session, ALS checkpoints its factors every
 ``checkpoint_interval`` iterations, which bounds lineage and recovery work.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rateflow.operators.joins import per_key_join
+from rateflow.session import materialize
+
 # Fixed values of the original collaborative-filtering setup.
 ALS_RANK = 10
 ALS_MAX_ITER = 20
@@ -24,26 +30,56 @@ ALS_SEED = 0
 ALS_BLOCKS = 4
 
 
+@dataclass
+class DenseALS:
+    """A model over numbered ids, with the dictionaries of user and item ids."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+
+def id_numbers(df: DataFrame, column: str) -> DataFrame:
+    """(column, column_number): the distinct ids, numbered from 0 without gaps. Each task
+    numbers its own; the table is written once, and the sizes of the tasks before shift them."""
+    place = F.monotonically_increasing_id()
+    ids = materialize(df.select(column).distinct().withColumn("place", place), "ids").select(
+        column, F.shiftright("place", 33).alias("task"), F.col("place").bitwiseAND(F.lit((1 << 33) - 1)).alias("i"))
+    sizes = ids.groupBy("task").agg(F.count(F.lit(1)).alias("n"))  # a row for each task
+    before = sizes.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    return materialize(ids.join(before, "task").select(column, (F.col("i") + F.col("before")).alias(f"{column}_number")), "id-numbers")
+
+
 def _int_ids(df: DataFrame) -> DataFrame:
     return df.withColumn("user_id", F.col("user_id").cast("int")) \
              .withColumn("item_id", F.col("item_id").cast("int"))
 
 
 def fit_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
-            reg: float = ALS_REG, seed: int = ALS_SEED, blocks: int | None = None,
-            checkpoint_interval: int = 10) -> ALSModel:
-    if blocks is None:
-        blocks = max(ALS_BLOCKS, ratings.sparkSession.sparkContext.defaultParallelism)
+            reg: float = ALS_REG, seed: int = ALS_SEED, blocks: int = ALS_BLOCKS,
+            checkpoint_interval: int = 10, dense_ids: bool = False) -> ALSModel | DenseALS:
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed,
               numUserBlocks=blocks, numItemBlocks=blocks, implicitPrefs=False,
               userCol="user_id", itemCol="item_id", ratingCol="rating",
               coldStartStrategy="nan", checkpointInterval=checkpoint_interval)
-    return als.fit(_int_ids(ratings.select("user_id", "item_id", "rating")))
+    ratings = ratings.select("user_id", "item_id", "rating")
+    if not dense_ids:
+        return als.fit(_int_ids(ratings))
+    users, items = id_numbers(ratings, "user_id"), id_numbers(ratings, "item_id")
+    numbered = (per_key_join(per_key_join(ratings, users, "user_id"), items, "item_id")
+                .select(F.col("user_id_number").alias("user_id"), F.col("item_id_number").alias("item_id"), "rating"))
+    return DenseALS(als.fit(_int_ids(numbered)), users, items)
 
 
-def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+def als_predict(model: ALSModel | DenseALS, pairs: DataFrame) -> DataFrame:
     """``pairs(user_id, item_id, ...)`` -> the same rows plus ``prediction`` (double);
     NaN for an id the model has not seen."""
+    if isinstance(model, DenseALS):
+        numbered = per_key_join(per_key_join(pairs, model.users, "user_id", "left"), model.items, "item_id", "left")
+        renamed = numbered.withColumnsRenamed({"user_id": "_user", "item_id": "_item", "user_id_number": "user_id", "item_id_number": "item_id"})
+        # No id has the number -1.
+        known = renamed.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("user_id", "item_id")})
+        return als_predict(model.model, known).drop("user_id", "item_id").withColumnsRenamed({"_user": "user_id", "_item": "item_id"})
     out = model.transform(_int_ids(pairs))
     return out.withColumn("user_id", F.col("user_id").cast("bigint")) \
               .withColumn("item_id", F.col("item_id").cast("bigint")) \

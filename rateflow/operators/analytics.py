@@ -24,10 +24,6 @@ def dedup_items(items: DataFrame) -> DataFrame:
             .select("item_id", "m.title", "m.tags"))
 
 
-def with_year(ratings: DataFrame) -> DataFrame:
-    return ratings.withColumn("year", year_of_epoch("ts"))
-
-
 def rating_counts_by_year_item(ratings: DataFrame) -> DataFrame:
     """(year, item_id, n): number of ratings of an item within a year."""
     return (ratings.select(year_of_epoch("ts").alias("year"), "item_id")

@@ -7,9 +7,9 @@
 
 An unknown user predicts from an average of 0.0; an unknown item returns the user
 average. Every step is an aggregate or a key join. The per-rating user average is a
-join with the per-user table (not a window), and hot users or items are salted
-(``joins.hot_key_join``), so a key that owns a large share of the rows is spread over
-many tasks instead of landing in one.
+join with the per-user table (not a window). Per-key tables are materialised before they
+are joined, so a key that owns a large share of the rows is split by AQE instead of landing
+in one task (``joins.per_key_join``), and the ratings are read once for each of the two.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.scoring import baseline_prediction, normalized_deviation
-from rateflow.operators.joins import hot_key_join, key_counts
+from rateflow.operators.joins import per_key_join
+from rateflow.session import materialize
 
 
 def user_averages(ratings: DataFrame) -> DataFrame:
@@ -30,12 +31,9 @@ def user_averages(ratings: DataFrame) -> DataFrame:
 
 
 def ratings_with_user_avg(ratings: DataFrame, user_avg: DataFrame | None = None) -> DataFrame:
-    """Each rating with its user's average. A user holding a large share of the
-    ratings is salted (``joins.hot_key_join``); the per-user counts come with the
-    averages, so finding hot users costs no extra pass."""
-    ua = user_averages(ratings) if user_avg is None else user_avg
-    return hot_key_join(ratings, ua.select("user_id", "user_avg", "n_ratings"), "user_id", "inner",
-                        count_col="n_ratings").drop("n_ratings")
+    """Each rating with its user's average. ``user_avg``: a materialised table."""
+    ua = materialize(user_averages(ratings), "user-averages") if user_avg is None else user_avg
+    return per_key_join(ratings, ua.select("user_id", "user_avg"), "user_id")
 
 
 def normalized_deviations(ratings: DataFrame, user_avg: DataFrame | None = None) -> DataFrame:
@@ -54,29 +52,20 @@ def item_deviation(ratings: DataFrame, user_avg: DataFrame | None = None) -> Dat
 
 @dataclass
 class BaselineModel:
+    """Both tables are materialised in the shared folder."""
+
     user_avg: DataFrame   # (user_id, user_avg, n_ratings)
     item_dev: DataFrame   # (item_id, item_dev, n_ratings)
 
-    def persist(self) -> "BaselineModel":
-        self.user_avg.persist()
-        self.item_dev.persist()
-        return self
-
-    def unpersist(self) -> None:
-        self.user_avg.unpersist()
-        self.item_dev.unpersist()
-
 
 def fit_baseline(ratings: DataFrame) -> BaselineModel:
-    ua = user_averages(ratings)
-    return BaselineModel(user_avg=ua, item_dev=item_deviation(ratings, ua))
+    ua = materialize(user_averages(ratings), "user-averages")
+    return BaselineModel(user_avg=ua, item_dev=materialize(item_deviation(ratings, ua), "item-deviations"))
 
 
 def baseline_predict(model: BaselineModel, pairs: DataFrame) -> DataFrame:
     """``pairs(user_id, item_id, ...)`` -> the same rows plus ``prediction``."""
-    # Both key counts come from the input pairs (a left join keeps their rows one to one).
-    j = hot_key_join(pairs, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
-    j = hot_key_join(j, model.item_dev.select("item_id", "item_dev"), "item_id", "left",
-                     counts=key_counts(pairs, "item_id"))
+    j = per_key_join(pairs, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
+    j = per_key_join(j, model.item_dev.select("item_id", "item_dev"), "item_id", "left")
     return j.withColumn("prediction", baseline_prediction("user_avg", "item_dev")) \
             .drop("user_avg", "item_dev")

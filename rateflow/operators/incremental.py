@@ -10,10 +10,11 @@ untouched items keep their row as is. Deltas for unknown items are dropped.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateflow.session import remove_path, scratch_path
+
 
 def delta_fold(deltas: DataFrame) -> DataFrame:
     """(item_id, ds, dn, n_rows)."""
@@ -48,30 +49,23 @@ def unmatched_deltas(state: DataFrame, deltas: DataFrame) -> DataFrame:
 class MaintainedAverages:
     """Holds the current state and applies deltas to it.
 
-    Each update persists the new state, materialises it and only then releases the
-    previous one, so the next update reads cached data instead of replaying the
-    history. Every ``checkpoint_every`` updates the state is checkpointed instead
-    (reliable checkpoint into the session's shared checkpoint dir), which cuts the
-    lineage and lets a lost executor be recovered from storage.
+    Each update writes the new state as a table in the session's shared folder and then
+    deletes the one before. So an update reads a stored state instead of replaying the
+    history, a lost executor costs nothing, and there is one copy of the state at any time.
     """
 
-    def __init__(self, spark: SparkSession, state: DataFrame, checkpoint_every: int = 8):
-        from rateflow.session import checkpoint_dir
-        checkpoint_dir(spark)
+    def __init__(self, spark: SparkSession, state: DataFrame):
         self._spark = spark
-        self.state = state.persist(StorageLevel.MEMORY_AND_DISK)
-        self._updates = 0
-        self._every = max(1, checkpoint_every)
+        self._path, self.state = "", state
+        self._store(state)
+
+    def _store(self, state: DataFrame) -> None:
+        old, self._path = self._path, scratch_path(self._spark, "averages")
+        state.write.parquet(self._path)
+        self.state = self._spark.read.schema(state.schema).parquet(self._path)
+        if old:
+            remove_path(self._spark, old)
 
     def update(self, deltas: DataFrame) -> DataFrame:
-        old = self.state
-        self._updates += 1
-        new = apply_delta(old, deltas)
-        if self._updates % self._every == 0:
-            new = new.checkpoint(eager=True)
-        else:
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            new.count()
-        old.unpersist()
-        self.state = new
-        return new
+        self._store(apply_delta(self.state, deltas))
+        return self.state

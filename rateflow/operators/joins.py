@@ -1,67 +1,24 @@
 """Key joins that stay balanced when one key holds a large share of the rows.
 
 Joining a large table to a per-key table (one row per key, e.g. per-user averages)
-sends all rows of a key to one task. AQE's skew handling cannot split it when the
-per-key side is an aggregate already partitioned on the key: no shuffle sits on that
-side, so there is nothing to split against. ``hot_key_join`` salts only the hot keys:
-
-* a key is *hot* when it holds more than ``1 / max_hot`` of the large side's rows, so
-  there are fewer than ``max_hot`` hot keys whatever the data size. That list is the
-  only thing broadcast (a proven bound);
-* rows of a hot key get a salt in ``[0, salts)``, assigned round-robin within each
-  input partition, so even identical copies of a row spread across salts; the hot
-  key's per-key row is replicated once per salt;
-* cold keys keep salt 0 and join as before.
-
-The threshold uses the total row count as a scalar subquery, so no value passes
-through Python. The result equals the plain join for ``inner`` and ``left`` joins.
+sends all rows of a key to one task, and AQE's skew handling can't split it when the
+per-key side is an aggregate that is already partitioned on the key: no shuffle sits on that
+side, so there is nothing to split against. ``per_key_join`` therefore takes per-key tables
+that were materialised (``session.materialize``). Both sides are then shuffled for the
+join, and AQE splits a hot key's partition by map output ranges, as often as its size asks,
+and reads the per-key partition once for each part. Nothing is
+salted, so a retried task yields the same rows. AQE goes by compressed bytes: identical
+copies of a row are spread too, but only once their compressed size asks for it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-MAX_HOT_KEYS = 100_000
-SALTS = 32
-
-
-def hot_keys(counts: DataFrame, key: str, count_col: str, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys whose count exceeds total / max_hot: fewer than ``max_hot`` rows."""
-    total = counts.agg(F.sum(count_col)).scalar()
-    return counts.where(F.col(count_col) * F.lit(int(max_hot)) > total).select(key)
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """(key, _n): rows per key, with a partial aggregate in every task."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-
-
-def hot_key_join(large: DataFrame, per_key: DataFrame, key: str, how: str = "inner",
-                 count_col: str | None = None, counts: DataFrame | None = None,
-                 max_hot: int = MAX_HOT_KEYS, salts: int = SALTS) -> DataFrame:
-    """``large.join(per_key, key, how)`` with hot keys salted.
-
-    ``per_key`` must have at most one row per key. ``count_col`` names a column of
-    ``per_key`` holding the number of ``large`` rows per key when it is already known
-    (as for per-user averages built from the same ratings). ``counts`` may instead give
-    them as a ``key_counts`` table computed from an equivalent input. Otherwise they are
-    aggregated from ``large`` (partial aggregation, one small shuffle).
-    """
+def per_key_join(large: DataFrame, per_key: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``large.join(per_key, key, how)`` for a materialised ``per_key`` with at most one row
+    per key. Only joins whose large side may be split are allowed."""
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    if count_col is not None:
-        hot = hot_keys(per_key, key, count_col, max_hot)
-    else:
-        hot = hot_keys(key_counts(large, key) if counts is None else counts, key, "_n", max_hot)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-
-    row_salt = F.pmod(F.monotonically_increasing_id(), F.lit(int(salts)))
-    left = (large.join(hot, key, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), row_salt).otherwise(F.lit(0)))
-            .drop("_hot"))
-    right = (per_key.join(hot, key, "left")
-             .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(int(salts) - 1)))
-                                            .otherwise(F.array(F.lit(0)))))
-             .drop("_hot"))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return large.join(per_key, key, how)

@@ -4,7 +4,9 @@ The index is kept in long form: one row per item with its signature as flat int
 columns ``sig_0 .. sig_{m-1}`` (one per seed). A bucket is the set of rows sharing a
 signature; it is never collected into one row, so a bucket that holds a large share
 of the items costs nothing special to build. Lookups are equi-joins on the signature
-columns: all seeds must match (no banding), candidates are the whole bucket.
+columns: all seeds must match (no banding), candidates are the whole bucket. There are few
+different signatures, so a bucket may be far larger than a task should read: large buckets
+are joined in parts (``signature_join``).
 """
 
 from __future__ import annotations
@@ -14,7 +16,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateflow.functions.hashing import DEFAULT_SEEDS, minhash_seed, signature_columns, signature_names
+from rateflow.functions.hashing import DEFAULT_SEEDS, minhash_seed, signature_columns, signature_names, tag_hash_array
+
+
+# Items of one part of a bucket, and a bound on the number of buckets that have parts.
+PART_ITEMS = 100_000
+MAX_SPLIT_BUCKETS = 100_000
+
+
+def signature_join(queries: DataFrame, index: DataFrame, seeds: Sequence[int] = DEFAULT_SEEDS,
+                   part_items: int = PART_ITEMS) -> DataFrame:
+    """Inner join on the signature. The items of a bucket of more than ``part_items`` are
+    dealt by id to as many parts as its size asks, and a query row goes to each part. Fewer
+    than MAX_SPLIT_BUCKETS buckets can hold more than 1 / MAX_SPLIT_BUCKETS of the items; only
+    those have parts, so the table that says how many is broadcast."""
+    sig = signature_names(seeds)
+    sizes = index.groupBy(*sig).agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    parts = F.broadcast(sizes.where((F.col("n") > part_items) & (F.col("n") * MAX_SPLIT_BUCKETS > total))
+                        .select(*sig, F.ceil(F.col("n") / part_items).cast("int").alias("_parts")))
+    count = F.coalesce("_parts", F.lit(1))
+    q = (queries.join(parts, sig, "left")
+         .withColumn("_part", F.explode(F.sequence(F.lit(0), count - 1))).drop("_parts"))
+    i = (index.join(parts, sig, "left")
+         .withColumn("_part", F.pmod(F.xxhash64("item_id"), count).cast("int")).drop("_parts"))
+    return q.join(i, [*sig, "_part"]).drop("_part")
 
 
 def tag_hashes(items: DataFrame, seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
@@ -29,7 +55,9 @@ def with_signature(df: DataFrame, tags_col: str = "tags",
                    seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
     """Adds the signature columns. An empty or NULL tag list gets NULLs, which match
     nothing."""
-    return df.select("*", *signature_columns(tags_col, seeds))
+    # Each tag is hashed once; every seed's value follows from that hash.
+    return (df.withColumn("_tag_hashes", tag_hash_array(tags_col))
+            .select("*", *signature_columns("_tag_hashes", seeds)).drop("_tag_hashes"))
 
 
 def lsh_index(items: DataFrame, seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
@@ -56,11 +84,9 @@ def lsh_lookup(index: DataFrame, queries: DataFrame, tags_col: str = "tags",
     q = with_signature(queries, tags_col, seeds)
     idx = index.select(*sig, F.col("item_id"), F.col("title").alias("item_title"),
                        F.col("tags").alias("item_tags"))
-    # Inner join, not a left join: a left outer join can neither split a hot bucket on
-    # its right side nor broadcast the (usually small) query side. Unmatched queries
-    # are added back by an anti-join against the distinct bucket keys (one row per
-    # bucket), which gives exactly the left-join result.
-    hits = q.join(idx, sig, "inner")
+    # Unmatched queries are added back by an anti-join against the distinct bucket keys
+    # (one row per bucket), which gives exactly the left-join result.
+    hits = signature_join(q, idx, seeds)
     if not keep_unmatched:
         return hits
     misses = q.join(index.select(*sig).distinct(), sig, "left_anti").select(

@@ -1,6 +1,6 @@
 """Top-K recommendation for many requests in one plan.
 
-A request is ``(query_id, user_id, tags)``. Its candidates are the items of the LSH
+A request is ``(query_id, user_id, tags)`` and may have its own ``k``. Its candidates are the items of the LSH
 bucket of ``tags`` that the user has not rated; they are scored by a predictor and the
 K best are kept per request (prediction descending, ties by item id; NaN scores last).
 
@@ -28,11 +28,12 @@ from rateflow.functions.scoring import baseline_prediction
 from rateflow.operators.als import als_predict
 from rateflow.operators.baseline import BaselineModel
 from rateflow.operators import lsh as L
-from rateflow.operators.joins import hot_key_join
+from rateflow.operators.joins import per_key_join
 from rateflow.operators.lsh import lsh_lookup
+from rateflow.session import materialize
 
-# Predictions are ranked after rounding to this many decimals so that ties are
-# decided by item id, independent of summation order.
+# Default of the ``decimals`` arguments: predictions are ranked after rounding to so many
+# decimals, so that ties are decided by item id, independent of summation order.
 RANK_DECIMALS = 6
 
 
@@ -42,32 +43,40 @@ def rated_items(ratings: DataFrame, users: DataFrame) -> DataFrame:
     return ratings.select("user_id", "item_id").join(users.select("user_id"), "user_id", "left_semi")
 
 
+def unseen_pairs(pairs: DataFrame, ratings: DataFrame) -> DataFrame:
+    """The given (user_id, item_id, ...) pairs that the user has not rated."""
+    # distinct() pre-aggregates repeated ratings in every task; its output is already
+    # hash-partitioned on the join keys, so the anti-join adds no shuffle.
+    return pairs.join(ratings.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_anti")
+
+
 def unseen_candidates(index: DataFrame, requests: DataFrame, ratings: DataFrame,
                       seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
     """(query_id, user_id, item_id): bucket members of the request's tags not yet
     rated by the user. A request whose tags match no bucket has no candidates."""
     cands = lsh_lookup(index, requests.select("query_id", "user_id", "tags"), "tags", seeds,
                        keep_unmatched=False).select("query_id", "user_id", "item_id")
-    # distinct() pre-aggregates repeated (user, item) ratings in every task; its output
-    # is already hash-partitioned on the join keys, so the anti-join adds no shuffle.
-    seen = ratings.select("user_id", "item_id").distinct()
-    return cands.join(seen, ["user_id", "item_id"], "left_anti")
+    return unseen_pairs(cands, ratings)
 
 
 def top_k(scored: DataFrame, k: int, score_col: str = "prediction",
-          group_col: str = "query_id") -> DataFrame:
-    """Keep the ``k`` best rows per group with a ``rank`` column (1 = best)."""
-    s = F.round(F.col(score_col), RANK_DECIMALS)
+          group_col: str = "query_id", decimals: int = RANK_DECIMALS) -> DataFrame:
+    """Keep the ``k`` best rows per group with a ``rank`` column (1 = best). Rows with a column
+    ``k`` of their own keep as many as it says, of ``k`` at most."""
+    s = F.round(F.col(score_col), decimals)
     w = Window.partitionBy(group_col).orderBy(
         F.when(F.isnan(s) | s.isNull(), 1).otherwise(0), s.desc(), F.col("item_id").asc())
-    return (scored.withColumn(score_col, s).withColumn("rank", F.row_number().over(w))
+    best = (scored.withColumn(score_col, s).withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= F.lit(int(k))))
+    return best.where(F.col("rank") <= F.col("k")) if "k" in scored.columns else best
 
 
 def recommend_baseline(index: DataFrame, requests: DataFrame, ratings: DataFrame,
                        model: BaselineModel, k: int, seeds: Sequence[int] = DEFAULT_SEEDS,
-                       strategy: str = "pruned", head_size: int | None = None) -> DataFrame:
-    """(query_id, user_id, item_id, prediction, rank).
+                       strategy: str = "pruned", head_size: int | None = None,
+                       decimals: int = RANK_DECIMALS) -> DataFrame:
+    """(query_id, user_id, item_id, prediction, rank). Requests may have a column ``k`` of
+    their own; the argument is then the largest that counts.
 
     ``strategy="full"`` scores every unseen member of the request's bucket.
     ``strategy="pruned"`` gives the same rows while scoring at most ``head_size`` items
@@ -77,18 +86,19 @@ def recommend_baseline(index: DataFrame, requests: DataFrame, ratings: DataFrame
     row *before* candidates are expanded. The candidate table therefore never joins a
     per-user or per-item table, whatever the skew of users or items among the
     candidates. Its only large joins are the signature join and the anti-join with the
-    ratings, and AQE can split both.
+    ratings; the first splits large buckets itself, AQE can split the second.
     """
     cols = ["query_id", "user_id", "item_id", "prediction", "rank"]
     sig = signature_names(seeds)
-    q = L.with_signature(requests.select("query_id", "user_id", "tags"), "tags", seeds)
-    q = hot_key_join(q, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
+    own = ["k"] if "k" in requests.columns else []
+    q = L.with_signature(requests.select("query_id", "user_id", "tags", *own), "tags", seeds)
+    q = per_key_join(q, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
     seen = ratings.select("user_id", "item_id").distinct()
     if strategy == "full":
-        return top_k(_scored(q, _index_with_dev(index, model, sig), seen, sig), k).select(*cols)
+        return top_k(_scored(q, _index_with_dev(index, model, sig), seen, seeds), k, decimals=decimals).select(*cols)
     if strategy == "pruned":
-        return _pruned_top_k(index, q, seen, model, k, seeds,
-                             head_size or max(64, 4 * int(k))).select(*cols)
+        return _pruned_top_k(index, materialize(q, "requests"), seen, model, k, seeds,
+                             head_size or max(64, 4 * int(k)), decimals).select(*cols)
     raise ValueError(f"unknown strategy: {strategy}")
 
 
@@ -98,11 +108,12 @@ def _index_with_dev(index: DataFrame, model: BaselineModel, sig: list[str]) -> D
         model.item_dev.select("item_id", "item_dev"), "item_id", "left")
 
 
-def _scored(q: DataFrame, idx_dev: DataFrame, seen: DataFrame, sig: list[str]) -> DataFrame:
+def _scored(q: DataFrame, idx_dev: DataFrame, seen: DataFrame, seeds: Sequence[int]) -> DataFrame:
     """Unseen bucket members of each request, scored: (query_id, user_id, item_id, prediction)."""
-    return (q.join(idx_dev, sig, "inner")
+    own = ["k"] if "k" in q.columns else []
+    return (L.signature_join(q, idx_dev, seeds)
             .join(seen, ["user_id", "item_id"], "left_anti")
-            .select("query_id", "user_id", "item_id",
+            .select("query_id", "user_id", "item_id", *own,
                     baseline_prediction("user_avg", "item_dev").alias("prediction")))
 
 
@@ -125,7 +136,7 @@ def bucket_heads(index: DataFrame, model: BaselineModel, head_size: int,
 
 
 def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: BaselineModel, k: int,
-                  seeds: Sequence[int], head_size: int) -> DataFrame:
+                  seeds: Sequence[int], head_size: int, decimals: int) -> DataFrame:
     """Exact top K per request, scoring only bucket heads where they decide.
 
     ``q`` holds the signed requests with their user average (NULL for unknown users).
@@ -141,7 +152,9 @@ def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: Baseli
     head, ties at the boundary, and tags that match no bucket. The union is exact.
     """
     sig = signature_names(seeds)
-    heads = bucket_heads(index, model, head_size, seeds)
+    # Heads and the ranked requests feed two branches each; a head has a bounded size, so
+    # joining many requests to it is a per-key join.
+    heads = materialize(bucket_heads(index, model, head_size, seeds), "bucket-heads")
     # One small row per bucket: its size and the deviation of its last head item.
     info = (index.groupBy(*sig).agg(F.count(F.lit(1)).alias("bucket_size"))
             .join(heads.where(F.col("pos") == F.lit(int(head_size)))
@@ -151,29 +164,36 @@ def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: Baseli
     scored = (regular.join(heads.select(*sig, "item_id", "item_dev"), sig, "inner")
               .join(seen, ["user_id", "item_id"], "left_anti")
               .withColumn("prediction",
-                          F.round(baseline_prediction("user_avg", "item_dev"), RANK_DECIMALS)))
+                          F.round(baseline_prediction("user_avg", "item_dev"), decimals)))
     order = [F.when(F.isnan("prediction"), 1).otherwise(0), F.col("prediction").desc(),
              F.col("item_id").asc()]
     w = Window.partitionBy("query_id").orderBy(*order)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    boundary = F.round(baseline_prediction("user_avg", "d_last"), RANK_DECIMALS)
+    boundary = F.round(baseline_prediction("user_avg", "d_last"), decimals)
     kth = F.col("kth")
     ranked = (scored.withColumn("rank", F.row_number().over(w))
               .withColumn("kth", F.nth_value("prediction", int(k)).over(w_all))
               .withColumn("resolved", (F.col("bucket_size") <= F.lit(int(head_size)))
                           | (kth.isNotNull() & ~F.isnan(kth) & (boundary < kth))))
+    ranked = materialize(ranked, "ranked")
     fast = ranked.where(F.col("resolved") & (F.col("rank") <= F.lit(int(k))))
 
     done = ranked.where(F.col("resolved") & (F.col("rank") == 1)).select("query_id")
     rest = q.join(done, "query_id", "left_anti")
-    slow = top_k(_scored(rest, _index_with_dev(index, model, sig), seen, sig), k)
+    slow = top_k(_scored(rest, _index_with_dev(index, model, sig), seen, seeds), k, decimals=decimals)
     cols = ["query_id", "user_id", "item_id", "prediction", "rank"]
+    if "k" in q.columns:
+        fast = fast.where(F.col("rank") <= F.col("k"))
     return fast.select(*cols).unionByName(slow.select(*cols))
 
 
 def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,
-                  model: ALSModel, k: int, seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
-    """(query_id, user_id, item_id, prediction, rank) with ALS scores."""
-    cands = unseen_candidates(index, requests, ratings, seeds)
-    return top_k(als_predict(model, cands), k).select(
+                  model: ALSModel, k: int, seeds: Sequence[int] = DEFAULT_SEEDS,
+                  decimals: int = RANK_DECIMALS) -> DataFrame:
+    """(query_id, user_id, item_id, prediction, rank) with ALS scores. Requests may have a
+    column ``k`` of their own; the argument is then the largest that counts."""
+    own = ["k"] if "k" in requests.columns else []
+    cands = lsh_lookup(index, requests.select("query_id", "user_id", "tags", *own), "tags", seeds,
+                       keep_unmatched=False).select("query_id", "user_id", "item_id", *own)
+    return top_k(als_predict(model, unseen_pairs(cands, ratings)), k, decimals=decimals).select(
         "query_id", "user_id", "item_id", "prediction", "rank")

@@ -57,24 +57,22 @@ def keyword_averages(state: DataFrame, queries: DataFrame, rated_only: bool = Fa
 
     Items are first collapsed to their distinct tag sets (sum and count of averages per
     set, with a partial aggregate in every task), so the matching below runs over tag
-    sets, not items; a tag set shared by a large share of the items is one row. A tag
-    set answers a query when it holds all the query's distinct keywords. Keywords and
-    tag sets are exploded and equi-joined on the tag, and matches are counted per
-    (query, tag set) against the number of keywords. There is no theta or cross join.
+    sets, not items; a tag set shared by a large share of the items is one row. A query is
+    joined to the tag sets of its rarest keyword only, and each such set is then checked for
+    all of them. There is no theta or cross join.
     """
     q = queries.select("query_id", F.array_distinct("keywords").alias("kw"))
     q_sizes = q.select("query_id", F.size("kw").alias("n_kw"))
-    q_tags = q.select("query_id", F.explode("kw").alias("tag"))
     items = state.where(F.col("n") > 0) if rated_only else state
     sets = (items.select(F.array_sort(F.array_distinct("tags")).alias("tag_set"), "avg")
             .groupBy("tag_set").agg(F.sum("avg").alias("sum_avg"), F.count(F.lit(1)).alias("n_items")))
-    set_tags = sets.select("tag_set", F.explode("tag_set").alias("tag"))
-    hits = (q_tags.join(set_tags, "tag").groupBy("query_id", "tag_set")
-            .agg(F.count(F.lit(1)).alias("hits")))
-    per_query = (hits.join(q_sizes, "query_id").where(F.col("hits") == F.col("n_kw"))
-                 .join(sets, "tag_set")
-                 .groupBy("query_id").agg(F.sum("sum_avg").alias("sum_avg"),
-                                          F.sum("n_items").alias("n_items")))
+    set_tags = sets.select("tag_set", "sum_avg", "n_items", F.explode("tag_set").alias("tag"))
+    in_sets = set_tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n_sets"))
+    rarest = (q.select("query_id", "kw", F.explode("kw").alias("tag")).join(in_sets, "tag", "left")
+              .groupBy("query_id", "kw").agg(F.min(F.struct(F.coalesce("n_sets", F.lit(0)).alias("n"), "tag")).alias("least"))
+              .select("query_id", "kw", F.col("least.tag").alias("tag")))
+    per_query = (rarest.join(set_tags, "tag").where(F.size(F.array_except("kw", "tag_set")) == 0)
+                 .groupBy("query_id").agg(F.sum("sum_avg").alias("sum_avg"), F.sum("n_items").alias("n_items")))
     return (q_sizes.join(per_query, "query_id", "left")
             .select("query_id",
                     F.when((F.col("n_kw") == 0) | F.col("n_items").isNull(), F.lit(-1.0))

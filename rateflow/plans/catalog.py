@@ -3,7 +3,8 @@
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. Arrays are rendered as
 ``|``-joined strings and doubles that come from means are rounded to 6 decimals, so
 the results compare by value against the DuckDB oracle in ``plans.oracle``.
-Every query runs over the whole tables.
+Every query runs over the whole tables. Only the incremental ones, and the predictions
+of later ratings from earlier ones, split the ratings by date.
 """
 
 from __future__ import annotations
@@ -32,6 +33,12 @@ KEYWORDS = ["PROMO"]
 KEYWORDS_NONE = ["no-such-tag"]
 SECOND_DELTA_FROM = "2001-09-01"
 TOP_K = 3
+USER_STEP = 7
+FEED_ROWS = 1_000_000
+FEED_FILES = 64
+# Requests given in memory, each with a K of its own: (user_id, tags, k).
+REQUESTS_IN_MEMORY = [(1 + 37 * i, [tag], 1 + i % 4) for i, tag in enumerate(
+    ["PROMO", "STANDARD", "ECONOMY", "LARGE", "MEDIUM", "SMALL", "anvil", "widget"])]
 ROUND = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +58,12 @@ def _state_out(state: DataFrame) -> DataFrame:
 
 # --- shared inputs -----------------------------------------------------------
 
+def item_state(spark: SparkSession, d: str) -> DataFrame:
+    return S.item_stats(TB.ratings_table(spark, d), TB.items_table(spark, d))
+
+
 def base_state(spark: SparkSession, d: str) -> DataFrame:
+    """The state before the deltas; only the incremental queries start from it."""
     return S.item_stats(TB.base_ratings(spark, d), TB.items_table(spark, d))
 
 
@@ -74,11 +86,12 @@ def lookup_queries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def keyword_queries(spark: SparkSession, d: str) -> DataFrame:
-    """Every item type alone and with each first word of the item names."""
+    """Every item type alone and with each first word of the item names, and no keyword."""
     part = TB.table(spark, d, "part")
     pairs = part.select(F.array(F.col("p_type"), F.split(F.col("p_name"), " ")[0]).alias("keywords"))
     singles = part.select(F.array(F.col("p_type")).alias("keywords"))
-    q = pairs.union(singles).distinct()
+    none = part.select(F.array().cast("array<string>").alias("keywords"))
+    q = pairs.union(singles).union(none).distinct()
     return q.select(F.array_join("keywords", ",").alias("query_id"), "keywords")
 
 
@@ -106,6 +119,15 @@ def load_delta_text(spark, d):
     return TX.read_deltas_text(spark, path)
 
 
+def load_ratings_text_rejected(spark, d):
+    """The lines that the permissive reader diverts, from a feed in which the ratings of one
+    user in USER_STEP are damaged."""
+    path = scratch_path(spark, "damaged-ratings-text")
+    lines = TX.ratings_lines(TB.ratings_table(spark, d), damaged=F.col("user_id") % USER_STEP == 0)
+    lines.write.text(path)
+    return TX.rejected_lines(spark, path, "ratings")
+
+
 # --- analytics ----------------------------------------------------------------
 
 def items_per_year(spark, d):
@@ -148,44 +170,35 @@ def items_with_any_tag(spark, d):
         "item_id", "title", _tags_str())
 
 
-def items_with_any_tag_empty(spark, d):
-    return A.items_with_any_tag(TB.items_table(spark, d), []).select(
-        "item_id", "title", _tags_str())
-
-
 # --- averages -----------------------------------------------------------------
 
 def item_stats(spark, d):
-    return _state_out(base_state(spark, d))
+    return _state_out(item_state(spark, d))
 
 
 def title_averages(spark, d):
-    return S.title_averages(base_state(spark, d)).select("item_id", "title", _r("avg"))
+    return S.title_averages(item_state(spark, d)).select("item_id", "title", _r("avg"))
 
 
 def title_merged(spark, d):
-    return S.title_merged(base_state(spark, d)).select("title", _r("sum_avg"))
+    return S.title_merged(item_state(spark, d)).select("title", _r("sum_avg"))
 
 
 def keyword_average(spark, d):
-    return S.keyword_average(base_state(spark, d), KEYWORDS).select(_r("keyword_avg"), "n_items")
+    return S.keyword_average(item_state(spark, d), KEYWORDS).select(_r("keyword_avg"), "n_items")
 
 
 def keyword_average_none(spark, d):
-    return S.keyword_average(base_state(spark, d), KEYWORDS_NONE).select(_r("keyword_avg"), "n_items")
-
-
-def keyword_average_empty(spark, d):
-    return S.keyword_average(base_state(spark, d), []).select(_r("keyword_avg"), "n_items")
+    return S.keyword_average(item_state(spark, d), KEYWORDS_NONE).select(_r("keyword_avg"), "n_items")
 
 
 def keyword_average_rated_only(spark, d):
-    return S.keyword_average(base_state(spark, d), KEYWORDS, rated_only=True).select(
+    return S.keyword_average(item_state(spark, d), KEYWORDS, rated_only=True).select(
         _r("keyword_avg"), "n_items")
 
 
 def keyword_averages(spark, d):
-    return S.keyword_averages(base_state(spark, d), keyword_queries(spark, d)).select(
+    return S.keyword_averages(item_state(spark, d), keyword_queries(spark, d)).select(
         "query_id", _r("keyword_avg"), "n_items")
 
 
@@ -211,10 +224,10 @@ def keyword_average_after_delta(spark, d):
 
 
 def apply_delta_stream(spark, d):
-    """The delta feed as five Parquet files, streamed one file per micro-batch."""
+    """The delta feed as Parquet files of FEED_ROWS rows at most, streamed in micro-batches."""
     feed = scratch_path(spark, "delta-feed")
-    TB.delta_ratings(spark, d).repartition(5).write.parquet(feed)
-    state = stream_apply_deltas(spark, base_state(spark, d), feed, max_files_per_trigger=1)
+    TB.delta_ratings(spark, d).write.option("maxRecordsPerFile", FEED_ROWS).parquet(feed)
+    state = stream_apply_deltas(spark, base_state(spark, d), feed, max_files_per_trigger=FEED_FILES)
     return _state_out(state)
 
 
@@ -277,13 +290,14 @@ def baseline_predict(spark, d):
 # --- recommendation -----------------------------------------------------------
 
 def rated_items_of_user(spark, d):
-    users = TB.delta_ratings(spark, d).select("user_id").distinct()
-    return R.rated_items(TB.base_ratings(spark, d), users)
+    """The point lookup for a set of users: one in USER_STEP."""
+    users = TB.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")).where(F.col("user_id") % USER_STEP == 0)
+    return R.rated_items(TB.ratings_table(spark, d), users)
 
 
 def unseen_candidates(spark, d):
-    ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
-    return R.unseen_candidates(L.lsh_index(items), recommend_requests(spark, d, ratings, items), ratings)
+    """Of the delta's (user, item) pairs, those that the user had not rated before."""
+    return R.unseen_pairs(delta_pairs(spark, d), TB.base_ratings(spark, d))
 
 
 def recommend_baseline(spark, d):
@@ -293,12 +307,12 @@ def recommend_baseline(spark, d):
                                 model, TOP_K)
 
 
-def recommend_baseline_full(spark, d):
-    """The same answer as ``recommend_baseline``, scoring every unseen bucket member."""
+def recommend_baseline_own_k(spark, d):
+    from rateflow.api import requests_in_memory
     ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
-    model = B.fit_baseline(ratings)
-    return R.recommend_baseline(L.lsh_index(items), recommend_requests(spark, d, ratings, items), ratings,
-                                model, TOP_K, strategy="full")
+    requests = requests_in_memory(spark, REQUESTS_IN_MEMORY)
+    most = max(k for _, _, k in REQUESTS_IN_MEMORY)
+    return R.recommend_baseline(L.lsh_index(items), requests, ratings, B.fit_baseline(ratings), most)
 
 
 def als_predict(spark, d):
@@ -315,10 +329,35 @@ def recommend_als(spark, d):
                            model, TOP_K)
 
 
+def als_coldstart(spark, d):
+    """Which delta pairs the model has a prediction for: user and item are both known."""
+    return als_predict(spark, d).select(
+        "user_id", "item_id", (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("has_prediction"))
+
+
+def recommend_als_shape(spark, d):
+    """What must hold for every request's ALS recommendations, whatever the scores: how many
+    there are, that none is rated or outside the bucket, and that ranks are 1 to n."""
+    ratings, index = TB.ratings_table(spark, d), L.lsh_index(TB.items_table(spark, d))
+    requests = recommend_requests(spark, d, ratings)
+    sig = L.signature_names(DEFAULT_SEEDS)
+    seen = ratings.select("user_id", "item_id").distinct().withColumn("seen", F.lit(1))
+    asked = L.with_signature(requests, "tags").select("query_id", *(F.col(c).alias(f"q_{c}") for c in sig))
+    inside = F.lit(True)
+    for c in sig:
+        inside = inside & (F.col(c) == F.col(f"q_{c}"))
+    got = (recommend_als(spark, d).join(seen, ["user_id", "item_id"], "left").join(asked, "query_id")
+           .join(index.select("item_id", *sig), "item_id"))
+    return got.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.coalesce(F.sum("seen"), F.lit(0)).cast("bigint").alias("n_seen"),
+        F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_outside"), F.sum("rank").cast("bigint").alias("rank_sum"))
+
+
 QUERIES: dict[str, Query] = {
     "load_items_text": load_items_text,
     "load_ratings_text": load_ratings_text,
     "load_delta_text": load_delta_text,
+    "load_ratings_text_rejected": load_ratings_text_rejected,
     "items_per_year": items_per_year,
     "rating_counts_year_item": rating_counts_year_item,
     "top_item_per_year": top_item_per_year,
@@ -328,13 +367,11 @@ QUERIES: dict[str, Query] = {
     "items_with_all_tags": items_with_all_tags,
     "items_with_all_tags_empty": items_with_all_tags_empty,
     "items_with_any_tag": items_with_any_tag,
-    "items_with_any_tag_empty": items_with_any_tag_empty,
     "item_stats": item_stats,
     "title_averages": title_averages,
     "title_merged": title_merged,
     "keyword_average": keyword_average,
     "keyword_average_none": keyword_average_none,
-    "keyword_average_empty": keyword_average_empty,
     "keyword_average_rated_only": keyword_average_rated_only,
     "keyword_averages": keyword_averages,
     "delta_fold": delta_fold,
@@ -355,7 +392,9 @@ QUERIES: dict[str, Query] = {
     "rated_items_of_user": rated_items_of_user,
     "unseen_candidates": unseen_candidates,
     "recommend_baseline": recommend_baseline,
-    "recommend_baseline_full": recommend_baseline_full,
+    "recommend_baseline_own_k": recommend_baseline_own_k,
     "als_predict": als_predict,
+    "als_coldstart": als_coldstart,
     "recommend_als": recommend_als,
+    "recommend_als_shape": recommend_als_shape,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from rateflow.functions.hashing import DEFAULT_SEEDS, MIX_MULTIPLIER_1, MIX_MULTIPLIER_2, MIX_SHIFT_1, MIX_SHIFT_2
 from rateflow.plans import catalog as C
-from rateflow.sources.tables import BASE_BEFORE, DELTA_FROM
+from rateflow.sources.tables import DELTA_FROM
 
 _TWO31 = 1 << 31
 _TWO32 = 1 << 32
@@ -61,7 +61,7 @@ _RATING_COLS = ("o_custkey AS user_id, l_partkey AS item_id, {old} AS old_rating
 _R_FROM = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 RATINGS = f"ratings AS (SELECT {_RATING_COLS.format(old='NULL::DOUBLE')} {_R_FROM})"
 BASE = (f"base AS (SELECT {_RATING_COLS.format(old='NULL::DOUBLE')} {_R_FROM} "
-        f"WHERE l_shipdate < TIMESTAMP '{BASE_BEFORE}')")
+        f"WHERE l_shipdate < TIMESTAMP '{DELTA_FROM}')")
 _OLD = "CASE WHEN l_returnflag = 'R' THEN 0.5 * ((l_linenumber % 9) + 1) END::DOUBLE"
 
 
@@ -142,7 +142,7 @@ CANDS = ("cands AS (SELECT q.query_id, q.user_id, x.item_id FROM req_sig q JOIN
          "WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = q.user_id AND r.item_id = x.item_id))")
 KW_QUERIES = ("kwq AS (SELECT DISTINCT array_to_string(kw, ',') AS query_id, kw AS keywords FROM ("
               "SELECT [p_type, split_part(p_name, ' ', 1)] AS kw FROM part UNION ALL "
-              "SELECT [p_type] AS kw FROM part))")
+              "SELECT [p_type] AS kw FROM part UNION ALL SELECT []::VARCHAR[] AS kw FROM part))")
 
 
 def _keyword_avg(state: str, keywords: list[str], rated_only: bool = False) -> str:
@@ -179,11 +179,14 @@ WON = ("won AS (SELECT tag, count(*) AS n_years FROM (SELECT DISTINCT year, unne
 
 
 def build() -> dict[str, str]:
+    all_ctes = [ITEMS, ITEMS_D, RATINGS, _state("st", "ratings")]
     base_ctes = [ITEMS, ITEMS_D, BASE, _state("st", "base")]
     q: dict[str, str] = {}
     q["load_items_text"] = _with(ITEMS) + "SELECT item_id, title, array_to_string(tags, '|') AS tags FROM items"
     q["load_ratings_text"] = _with(RATINGS) + "SELECT * FROM ratings"
     q["load_delta_text"] = _with(DELTA) + "SELECT * FROM delta"
+    q["load_ratings_text_rejected"] = (_with(RATINGS) + "SELECT concat_ws('|', user_id, item_id, '?', ts) AS line "
+                                       f"FROM ratings WHERE user_id % {C.USER_STEP} = 0")
     q["items_per_year"] = (_with(RATINGS) + f"SELECT year, count(*) AS n_items FROM "
                            f"(SELECT DISTINCT {YEAR} AS year, item_id FROM ratings) GROUP BY year")
     q["rating_counts_year_item"] = (_with(RATINGS) + f"SELECT {YEAR} AS year, item_id, count(*) AS n "
@@ -200,19 +203,17 @@ def build() -> dict[str, str]:
     q["items_with_all_tags"] = _tags_filter(f"list_has_all(tags, {_lit_list(C.ALL_TAGS)})")
     q["items_with_all_tags_empty"] = _tags_filter("TRUE")
     q["items_with_any_tag"] = _tags_filter(f"list_has_any(tags, {_lit_list(C.ANY_TAGS)})")
-    q["items_with_any_tag_empty"] = _tags_filter("FALSE")
-    q["item_stats"] = _with(*base_ctes) + STATE_OUT.format(t="st")
-    q["title_averages"] = _with(*base_ctes) + "SELECT item_id, title, round(avg, 6) AS avg FROM st"
-    q["title_merged"] = (_with(*base_ctes) + "SELECT title, round(sum(avg), 6) AS sum_avg FROM st "
+    q["item_stats"] = _with(*all_ctes) + STATE_OUT.format(t="st")
+    q["title_averages"] = _with(*all_ctes) + "SELECT item_id, title, round(avg, 6) AS avg FROM st"
+    q["title_merged"] = (_with(*all_ctes) + "SELECT title, round(sum(avg), 6) AS sum_avg FROM st "
                          "GROUP BY title")
-    q["keyword_average"] = _with(*base_ctes) + _keyword_avg("st", C.KEYWORDS)
-    q["keyword_average_none"] = _with(*base_ctes) + _keyword_avg("st", C.KEYWORDS_NONE)
-    q["keyword_average_empty"] = _with(*base_ctes) + _keyword_avg("st", [])
-    q["keyword_average_rated_only"] = _with(*base_ctes) + _keyword_avg("st", C.KEYWORDS, rated_only=True)
-    q["keyword_averages"] = (_with(*base_ctes, KW_QUERIES) +
+    q["keyword_average"] = _with(*all_ctes) + _keyword_avg("st", C.KEYWORDS)
+    q["keyword_average_none"] = _with(*all_ctes) + _keyword_avg("st", C.KEYWORDS_NONE)
+    q["keyword_average_rated_only"] = _with(*all_ctes) + _keyword_avg("st", C.KEYWORDS, rated_only=True)
+    q["keyword_averages"] = (_with(*all_ctes, KW_QUERIES) +
                              "SELECT q.query_id, round(coalesce(avg(s.avg), -1.0), 6) AS keyword_avg, "
                              "count(s.item_id) AS n_items FROM kwq q LEFT JOIN st s "
-                             "ON list_has_all(s.tags, q.keywords) GROUP BY q.query_id")
+                             "ON list_has_all(s.tags, q.keywords) AND len(q.keywords) > 0 GROUP BY q.query_id")
     q["delta_fold"] = _with(DELTA, _fold("f", "delta")) + "SELECT * FROM f"
     apply_ctes = [*base_ctes, DELTA, _fold("f", "delta"), _apply("st2", "st", "f")]
     q["apply_delta"] = _with(*apply_ctes) + STATE_OUT.format(t="st2")
@@ -246,19 +247,35 @@ def build() -> dict[str, str]:
                              + f"SELECT p.user_id, p.item_id, round({_predict('u.user_avg', 'd.item_dev')}, 6) "
                                "AS prediction FROM pairs p LEFT JOIN bua u USING (user_id) "
                                "LEFT JOIN bdev d USING (item_id)")
-    q["rated_items_of_user"] = (_with(BASE, DELTA) + "SELECT user_id, item_id FROM base "
-                                "WHERE user_id IN (SELECT user_id FROM delta)")
+    q["rated_items_of_user"] = (_with(RATINGS) + "SELECT user_id, item_id FROM ratings "
+                                f"WHERE user_id % {C.USER_STEP} = 0")
     rec = [ITEMS, ITEMS_D, RATINGS, INDEX, REQUESTS, REQ_SIG, CANDS]
-    q["unseen_candidates"] = _with(*rec) + "SELECT user_id, item_id, query_id FROM cands"
-    q["recommend_baseline"] = (
-        _with(*rec, *bl,
-              "scored AS (SELECT c.query_id, c.user_id, c.item_id, "
-              f"round({_predict('u.user_avg', 'd.item_dev')}, 6) AS prediction FROM cands c "
-              "LEFT JOIN ua u USING (user_id) LEFT JOIN dev d USING (item_id))")
-        + "SELECT query_id, user_id, item_id, prediction, rank FROM (SELECT *, row_number() OVER "
-          "(PARTITION BY query_id ORDER BY CASE WHEN prediction IS NULL OR isnan(prediction) THEN 1 ELSE 0 END, "
-          f"prediction DESC, item_id)::INTEGER AS rank FROM scored) WHERE rank <= {C.TOP_K}")
-    q["recommend_baseline_full"] = q["recommend_baseline"]
+    q["unseen_candidates"] = (_with(BASE, DELTA, "pairs AS (SELECT DISTINCT user_id, item_id FROM delta)")
+                              + "SELECT user_id, item_id FROM pairs p WHERE NOT EXISTS "
+                                "(SELECT 1 FROM base b WHERE b.user_id = p.user_id AND b.item_id = p.item_id)")
+    q["als_coldstart"] = (_with(BASE, DELTA, "pairs AS (SELECT DISTINCT user_id, item_id FROM delta)")
+                          + "SELECT user_id, item_id, user_id IN (SELECT user_id FROM base) "
+                            "AND item_id IN (SELECT item_id FROM base) AS has_prediction FROM pairs")
+    q["recommend_als_shape"] = (
+        _with(*rec, "n AS (SELECT query_id, count(*) AS n FROM cands GROUP BY query_id)")
+        + f"SELECT query_id, least(n, {C.TOP_K})::BIGINT AS n_items, 0::BIGINT AS n_seen, "
+          f"0::BIGINT AS n_outside, (least(n, {C.TOP_K}) * (least(n, {C.TOP_K}) + 1) / 2)::BIGINT AS rank_sum FROM n")
+    def baseline_top(requests: str, limit: str) -> str:
+        return (_with(ITEMS, ITEMS_D, RATINGS, INDEX, requests, f"req_sig AS (SELECT *, {sql_signature('tags')} FROM req)", *bl,
+                      "cands AS (SELECT q.query_id, q.user_id, q.k, x.item_id FROM req_sig q JOIN idx x "
+                      "ON q.sig_0 = x.sig_0 AND q.sig_1 = x.sig_1 WHERE NOT EXISTS "
+                      "(SELECT 1 FROM ratings r WHERE r.user_id = q.user_id AND r.item_id = x.item_id))",
+                      "scored AS (SELECT c.query_id, c.user_id, c.item_id, c.k, "
+                      f"round({_predict('u.user_avg', 'd.item_dev')}, 6) AS prediction FROM cands c "
+                      "LEFT JOIN ua u USING (user_id) LEFT JOIN dev d USING (item_id))")
+                + "SELECT query_id, user_id, item_id, prediction, rank FROM (SELECT *, row_number() OVER "
+                  "(PARTITION BY query_id ORDER BY CASE WHEN prediction IS NULL OR isnan(prediction) THEN 1 ELSE 0 END, "
+                  f"prediction DESC, item_id)::INTEGER AS rank FROM scored) WHERE rank <= {limit}")
+
+    given = ", ".join(f"({i}, {u}, {_lit_list(t)}, {k})" for i, (u, t, k) in enumerate(C.REQUESTS_IN_MEMORY))
+    q["recommend_baseline"] = baseline_top(REQUESTS.replace("i.tags FROM", f"i.tags, {C.TOP_K} AS k FROM"), str(C.TOP_K))
+    q["recommend_baseline_own_k"] = baseline_top(
+        f"req AS (SELECT query_id::BIGINT AS query_id, user_id::BIGINT AS user_id, tags, k FROM (VALUES {given}) v(query_id, user_id, tags, k))", "k")
     return q
 
 

@@ -16,21 +16,11 @@ RATINGS = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
-# Per-item aggregate state: (s, n) is the mergeable part, avg derives from it.
-ITEM_STATE = T.StructType([
-    T.StructField("item_id", T.LongType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("tags", T.ArrayType(T.StringType())),
-    T.StructField("n", T.LongType()),
-    T.StructField("s", T.DoubleType()),
-    T.StructField("avg", T.DoubleType()),
-])
-
-# A recommendation request; K is a parameter of the call, shared by all requests.
+# A recommendation request; K is a parameter of the call, or each request's own.
 REQUESTS = T.StructType([
     T.StructField("query_id", T.LongType()),
     T.StructField("user_id", T.LongType()),
     T.StructField("tags", T.ArrayType(T.StringType())),
 ])
 
-RATING_COLUMNS = [f.name for f in RATINGS.fields]
+REQUESTS_WITH_K = T.StructType([*REQUESTS.fields, T.StructField("k", T.IntegerType())])

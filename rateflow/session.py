@@ -3,16 +3,19 @@
 Everything the engine writes (text round trips, streaming output, lineage cuts) goes
 under the cluster's checkpoint directory, which must be a shared filesystem on a real
 cluster. The directory is read from the session (``spark.checkpoint.dir`` or an
-already set SparkContext checkpoint dir); a machine-local temp dir is only created
-when neither is set, which happens in local tests.
+already set SparkContext checkpoint dir). Where neither is set, a local session gets a
+temporary folder, which is deleted at exit; on a cluster that is an error, as executors
+don't share local folders.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. Timestamps are turned into calendar years in UTC
 # (see functions.time), so the session zone is pinned only for display consistency.
@@ -52,8 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached where the session names no shared folder (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="rateflow-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -62,3 +67,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint directory."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/rateflow-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back. The result has no layout of
+    its own, so a later join shuffles both sides and AQE can split a hot key."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -94,16 +94,40 @@ def parse_delta_fields(df: DataFrame, f: Column, permissive: bool = False) -> Da
     return out
 
 
+def rejected_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(line): the lines that the permissive reader of this kind (``items``, ``ratings`` or
+    ``deltas``) leaves out."""
+    lines = spark.read.text(path)
+    if kind == "items":
+        f = F.split(_strip_quotes(F.col("value")), _PIPE, 3)
+        needed = [_field(f, 0, True).try_cast("bigint"), java_split(_field(f, 2, True))]
+    elif kind in ("ratings", "deltas"):
+        f = java_split(_strip_quotes(F.col("value")))
+        shift = kind == "deltas"
+        needed = [_field(f, 0, True).try_cast("bigint"), _field(f, 1, True).try_cast("bigint"),
+                  _field(f, 2 + shift, True).try_cast("double"), _field(f, 3 + shift, True).try_cast("bigint")]
+    else:
+        raise ValueError(f"unknown kind of lines: {kind}")
+    bad = F.lit(False)
+    for c in needed:
+        bad = bad | c.isNull()
+    return lines.where(bad).select(F.col("value").alias("line"))
+
+
 def items_lines(items: DataFrame) -> DataFrame:
     return items.select(F.concat(
         F.col("item_id").cast("string"), F.lit('|"'), F.col("title"), F.lit('"|"'),
         F.array_join(F.col("tags"), "|"), F.lit('"')).alias("value"))
 
 
-def ratings_lines(ratings: DataFrame) -> DataFrame:
+def ratings_lines(ratings: DataFrame, damaged: Column | None = None) -> DataFrame:
+    """Lines of the ratings; those that ``damaged`` selects have no number for a rating."""
+    rating = F.col("rating").cast("string")
+    if damaged is not None:
+        rating = F.when(damaged, F.lit("?")).otherwise(rating)
     return ratings.select(F.concat_ws(
         "|", F.col("user_id").cast("string"), F.col("item_id").cast("string"),
-        F.col("rating").cast("string"), F.col("ts").cast("string")).alias("value"))
+        rating, F.col("ts").cast("string")).alias("value"))
 
 
 def deltas_lines(deltas: DataFrame) -> DataFrame:

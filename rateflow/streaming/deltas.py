@@ -17,6 +17,11 @@ Two ways to keep the fold, both exactly once:
   (update mode). Each batch writes the cumulative rows of the items it touched, and the
   current fold is the row of each item's latest batch.
 
+The folds of finished batches are summed into one (``compact_folds``) when a run has left
+more than ``COMPACT_AFTER`` of them. A compacted table is named by the last batch in it,
+and readers add only the batches after that, so nothing counts twice whenever a run is
+interrupted. An ``out_dir`` keeps to the mode that it was begun with.
+
 The maintained averages are the base state merged with the current fold (a key join).
 Checkpoint, state and folds live under the session's shared checkpoint directory unless
 ``out_dir`` names another shared location.
@@ -27,12 +32,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.operators.incremental import apply_fold
+from rateflow.operators.incremental import apply_fold, delta_fold
 from rateflow.schemas import RATINGS
-from rateflow.session import scratch_path
+from rateflow.session import path_exists, scratch_path
 from rateflow.sources.text import java_split, parse_delta_fields
 
 FOLD_SCHEMA = "item_id bigint, ds double, dn bigint, n_rows bigint"
+COMPACT_AFTER = 50
 
 
 def delta_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
@@ -49,13 +55,6 @@ def delta_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
     raise ValueError(f"unsupported delta feed format: {fmt}")
 
 
-def streaming_fold(deltas: DataFrame) -> DataFrame:
-    return deltas.groupBy("item_id").agg(
-        F.sum(F.col("rating") - F.coalesce(F.col("old_rating"), F.lit(0.0))).alias("ds"),
-        F.count_if(F.col("old_rating").isNull()).alias("dn"),
-        F.count(F.lit(1)).alias("n_rows"))
-
-
 def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None = None,
                      fmt: str = "parquet", max_files_per_trigger: int | None = None,
                      mode: str = "folds", timeout_s: float | None = None) -> str:
@@ -68,6 +67,10 @@ def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None =
     if mode not in ("folds", "stateful"):
         raise ValueError(f"unknown mode: {mode}")
     out = out_dir or scratch_path(spark, "delta-stream")
+    other = "stateful" if mode == "folds" else "folds"
+    if path_exists(spark, f"{out}/_mode={other}"):
+        raise ValueError(f"{out} holds results of mode {other}")
+    spark.createDataFrame([], FOLD_SCHEMA).write.mode("overwrite").parquet(f"{out}/_mode={mode}")
     folds = f"{out}/folds"
     # An empty seed partition makes the folds table readable before any batch.
     spark.createDataFrame([], FOLD_SCHEMA).write.mode("overwrite").parquet(f"{folds}/batch_id=-1")
@@ -75,12 +78,12 @@ def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None =
 
     if mode == "folds":
         def sink(batch: DataFrame, batch_id: int) -> None:
-            streaming_fold(batch).write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
+            delta_fold(batch).write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
         writer = deltas.writeStream.outputMode("append")
     else:
         def sink(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
-        writer = streaming_fold(deltas).writeStream.outputMode("update")
+        writer = delta_fold(deltas).writeStream.outputMode("update")
 
     query = (writer.option("checkpointLocation", f"{out}/_checkpoint")
              .foreachBatch(sink)
@@ -90,16 +93,46 @@ def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None =
     if finished is False:
         query.stop()
         raise TimeoutError("delta stream did not finish in time")
+    if mode == "folds":
+        batches = _open_batches(spark, out)
+        if len(batches) > COMPACT_AFTER:
+            compact_folds(spark, out)
     return out
 
 
+def _compacted_upto(spark: SparkSession, out_dir: str) -> int:
+    """The last batch that a compacted table holds; -1 if there is none."""
+    if not path_exists(spark, f"{out_dir}/compacted"):
+        return -1
+    done = spark.read.schema(FOLD_SCHEMA + ", upto int").parquet(f"{out_dir}/compacted")
+    return done.agg(F.max("upto")).first()[0] or 0
+
+
+def _open_batches(spark: SparkSession, out_dir: str) -> list[int]:
+    """Numbers of the batches that are not compacted yet."""
+    upto = _compacted_upto(spark, out_dir)
+    return sorted(r[0] for r in _fold_table(spark, out_dir).where(F.col("batch_id") > upto).select("batch_id").distinct().collect())
+
+
+def compact_folds(spark: SparkSession, out_dir: str) -> None:
+    """Sum the folds of all finished batches (``mode="folds"``) into one table. Only between runs."""
+    batches = _open_batches(spark, out_dir)
+    if batches:
+        summed_folds(spark, out_dir).write.mode("overwrite").parquet(f"{out_dir}/compacted/upto={batches[-1]}")
+
+
 def _fold_table(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.schema(FOLD_SCHEMA + ", batch_id int").parquet(f"{out_dir}/folds")
 
 
 def summed_folds(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Current fold from per-batch folds (``mode="folds"``): the sum over batches."""
-    return _fold_table(spark, out_dir).groupBy("item_id").agg(
+    """Current fold from per-batch folds (``mode="folds"``): the last compacted table and the
+    batches after it, summed."""
+    upto = _compacted_upto(spark, out_dir)
+    rows = _fold_table(spark, out_dir).where(F.col("batch_id") > upto).drop("batch_id")
+    if upto >= 0:
+        rows = rows.unionByName(spark.read.schema(FOLD_SCHEMA).parquet(f"{out_dir}/compacted/upto={upto}"))
+    return rows.groupBy("item_id").agg(
         F.sum("ds").alias("ds"), F.sum("dn").alias("dn"), F.sum("n_rows").alias("n_rows"))
 
 

@@ -31,7 +31,26 @@ def test_als_recommend_order(spark, items, ratings, als_model):
     assert by_u[148] == [166528, 1210, 1196]
 
 
-def test_default_blocks_follow_parallelism(spark, ratings):
-    m = ALS.fit_als(ratings, max_iter=2)
-    pairs = spark.createDataFrame([(1, 260)], "user_id long, item_id long")
-    assert ALS.als_predict(m, pairs).count() == 1
+def test_blocks_are_a_fixed_parameter(spark, ratings):
+    import inspect
+    assert inspect.signature(ALS.fit_als).parameters["blocks"].default == ALS.ALS_BLOCKS
+    pairs = ratings.select("user_id", "item_id").distinct()
+    few = ALS.als_predict(ALS.fit_als(ratings.coalesce(1), max_iter=3), pairs)
+    many = ALS.als_predict(ALS.fit_als(ratings.repartition(6, "user_id"), max_iter=3), pairs)
+    a = {(r.user_id, r.item_id): r.prediction for r in few.collect()}
+    b = {(r.user_id, r.item_id): r.prediction for r in many.collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-3 for k in a)
+
+
+def test_dense_ids_lift_the_int_limit(spark, ratings):
+    from pyspark.sql import functions as F
+    far = 10 ** 12
+    large = ratings.withColumn("user_id", F.col("user_id") + far).withColumn("item_id", F.col("item_id") + far)
+    numbers = ALS.id_numbers(large, "user_id")
+    n = large.select("user_id").distinct().count()
+    assert sorted(r.user_id_number for r in numbers.collect()) == list(range(n))
+    model = ALS.fit_als(large, max_iter=3, dense_ids=True)
+    pairs = spark.createDataFrame([(far + 1, far + 260), (far + 999999, far + 260)], "user_id long, item_id long")
+    got = {r.user_id: r for r in ALS.als_predict(model, pairs).collect()}
+    assert got[far + 1].item_id == far + 260 and 0 < got[far + 1].prediction < 6
+    assert got[far + 999999].prediction != got[far + 999999].prediction

@@ -29,7 +29,7 @@ def test_analytics_facade(loaded):
 
 def test_averages_facade_updates(spark, loaded):
     items, ratings = loaded
-    av = api.Averages(spark, ratings, items, checkpoint_every=2)
+    av = api.Averages(spark, ratings, items)
     d1 = spark.createDataFrame([(7, 1, 4.5, 4.0, 1106635948)], DELTA_SCHEMA)
     d2 = spark.createDataFrame([(7, 1, 4.0, 0.0, 1106635949)], DELTA_SCHEMA)
     av.update(d1)

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from rateflow.plans.catalog import QUERIES
+from rateflow.plans.oracle import ORACLE_SQL
 from tests.conftest import SF_SMALL
 
 TABLES = ["part", "lineitem", "orders"]
@@ -32,16 +34,16 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_als():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"als_predict", "recommend_als"}
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLE_SQL) == {"als_predict", "recommend_als"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     cols = df.columns
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(ORACLE_SQL[name])
     assert sorted(cols) == sorted(rel.columns)
     order = sorted(cols)
     a = sorted((tuple(_norm(r[c]) for c in order) for r in df.collect()), key=repr)

@@ -3,7 +3,7 @@ evaluation, filters reach the Parquet scan, and only needed columns are read."""
 
 import pytest
 
-import __spark_entry__ as E
+from rateflow.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -14,31 +14,48 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_forbidden_operators(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
 
 
-@pytest.mark.parametrize("name", ["apply_delta", "baseline_predict", "delta_fold", "item_stats"])
+# Those that split the ratings by date; their base and deltas together are all ratings.
+BY_DATE = {"load_delta_text", "delta_fold", "apply_delta", "apply_delta_twice", "keyword_average_after_delta", "apply_delta_stream",
+           "baseline_predict", "unseen_candidates", "als_predict", "als_coldstart"}
+
+
+@pytest.mark.parametrize("name", ["apply_delta", "baseline_predict", "delta_fold"])
 def test_shipdate_cut_is_pushed_to_parquet(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(l_shipdate)" in plan
 
 
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - BY_DATE))
+def test_other_queries_do_not_cut_by_date(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(l_shipdate" not in plan and "LessThan(l_shipdate" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_query_reads_a_table(spark, name):
+    assert "FileScan" in _plan(QUERIES[name](spark, SF_SMALL))
+
+
 def test_scan_reads_only_needed_columns(spark):
-    plan = _plan(E.queries()["items_per_year"](spark, SF_SMALL))
+    plan = _plan(QUERIES["items_per_year"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_shipdate:timestamp_ntz>" in plan
     assert "l_extendedprice" not in plan and "l_comment" not in plan
 
 
 def test_top_k_limits_before_exchange(spark):
-    plan = _plan(E.queries()["recommend_baseline"](spark, SF_SMALL))
+    plan = _plan(QUERIES["recommend_baseline"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "Scan parquet" in plan or "FileScan parquet" in plan
 
 
 def test_aggregates_are_partial(spark):
     for name in ["items_per_year", "user_averages", "item_deviation", "delta_fold", "lsh_buckets"]:
-        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
         assert "partial_" in plan, name

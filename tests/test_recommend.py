@@ -16,7 +16,7 @@ SW = ["Action", "Adventure", "Sci-Fi"]
 
 @pytest.fixture(scope="module")
 def model(ratings):
-    return B.fit_baseline(ratings).persist()
+    return B.fit_baseline(ratings)
 
 
 @pytest.fixture(scope="module")

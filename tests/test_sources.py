@@ -2,7 +2,6 @@ import os
 
 import pytest
 from pyspark.errors import PySparkException
-from py4j.protocol import Py4JJavaError
 
 from rateflow.sources import text as TX
 from tests.conftest import FIXTURES
@@ -48,13 +47,27 @@ def test_java_split_edge_cases(spark, tmp_dir):
     assert got[5] == ("E", ["", "x"])
 
 
-def test_malformed_line_fails_strict_and_is_dropped_permissive(spark, tmp_dir):
+def test_malformed_line_fails_strict_and_is_diverted_permissive(spark, tmp_dir):
     p = os.path.join(tmp_dir, "ratings.txt")
     _write(p, ["1|2|4.5|100", "x|2|4.0|100", "3|4|5.0"])
-    with pytest.raises((PySparkException, Py4JJavaError, Exception)):
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT|INVALID_ARRAY_INDEX"):
         TX.read_ratings_text(spark, p).collect()
     ok = TX.read_ratings_text(spark, p, permissive=True).collect()
     assert [(r.user_id, r.item_id, r.rating, r.ts) for r in ok] == [(1, 2, 4.5, 100)]
+    bad = TX.rejected_lines(spark, p, "ratings").collect()
+    assert sorted(r.line for r in bad) == ["3|4|5.0", "x|2|4.0|100"]
+
+
+def test_rejected_items_and_deltas(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "items.txt")
+    _write(p, ['1|"A"|"x|y"', '2|"B"', 'q|"C"|"z"'])
+    assert sorted(r.line for r in TX.rejected_lines(spark, p, "items").collect()) == ['2|"B"', 'q|"C"|"z"']
+    assert [r.item_id for r in TX.read_items_text(spark, p, permissive=True).collect()] == [1]
+    q = os.path.join(tmp_dir, "deltas.txt")
+    _write(q, ["7|1|4.5|4.0|1106635948", "7|1|4.5|?|1106635948"])
+    assert [r.line for r in TX.rejected_lines(spark, q, "deltas").collect()] == ["7|1|4.5|?|1106635948"]
+    with pytest.raises(ValueError, match="unknown kind"):
+        TX.rejected_lines(spark, q, "others")
 
 
 def test_delta_reader_negative_old_is_null(spark, tmp_dir):

@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from rateflow.operators import incremental as I
@@ -53,3 +54,28 @@ def test_stream_text_feed_and_resume(spark, ratings, items, tmp_dir):
     run_delta_stream(spark, src, out, fmt="text")
     second = sorted(I.apply_fold(state, current_fold(spark, out)).collect())
     assert second == sorted(I.apply_delta(state, deltas).collect())
+
+
+def test_compaction_keeps_the_fold_and_later_batches(spark, ratings, items, tmp_dir):
+    from rateflow.streaming import deltas as D
+    state = S.item_stats(ratings, items).cache()
+    deltas = _deltas(spark)
+    feed, out = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out")
+    deltas.where("ts <= 3").repartition(3).write.parquet(feed)
+    run_delta_stream(spark, feed, out, max_files_per_trigger=1)
+    expected = sorted(current_fold(spark, out).collect())
+    D.compact_folds(spark, out)
+    assert D._open_batches(spark, out) == [] and sorted(current_fold(spark, out).collect()) == expected
+    D.compact_folds(spark, out)  # nothing new: nothing changes
+    assert sorted(current_fold(spark, out).collect()) == expected
+    deltas.where("ts > 3").write.mode("append").parquet(feed)
+    run_delta_stream(spark, feed, out)
+    assert sorted(I.apply_fold(state, current_fold(spark, out)).collect()) == sorted(I.apply_delta(state, deltas).collect())
+
+
+def test_modes_do_not_mix(spark, tmp_dir):
+    feed, out = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out")
+    _deltas(spark).write.parquet(feed)
+    run_delta_stream(spark, feed, out)
+    with pytest.raises(ValueError, match="holds results of mode folds"):
+        run_delta_stream(spark, feed, out, mode="stateful")
