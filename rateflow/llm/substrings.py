@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.llm import text as T
-from rateflow.llm.common import (WIDE_FILTER_BITS, bitmap, document_order, id_filter, in_bitmap, row_key, with_texts,
+from rateflow.llm.common import (WIDE_FILTER_BITS, bitmap, document_order, hash_filter, id_filter, in_bitmap, row_key, with_texts,
                                  written)
 
 WINDOW = 50
@@ -243,9 +243,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     windows = written(with_texts(docs, differing, ["doc_id", "text"])
                       .select("row_key", document_order().alias("ord"), "text", "ranges")
                       .mapInArrow(_windows(window), "wh bigint, row_key bigint, ord bigint, start int"), "windows")
-    first = (windows.groupBy("wh").agg(F.min(F.struct("ord", "row_key", "start")).alias("first"), F.max("ord").alias("last"))
+    twice = (windows.groupBy("wh").agg(F.min(F.struct("ord", "row_key", "start")).alias("first"), F.max("ord").alias("last"))
              .where("last > first.ord").select("wh", "first"))
-    matched = windows.join(written(first, "first-windows"), "wh").where("ord > first.ord").select(
+    twice = written(twice, "first-windows")
+    may_hold = hash_filter(twice, "wh")
+    matched = windows.where(may_hold(F.col("wh"))).join(twice, "wh").where("ord > first.ord").select(
         "row_key", "ord", F.col("start").alias("lo"), F.col("start").alias("hi"),
         F.col("first.row_key").alias("src_key"), F.col("first.start").alias("src_lo"))
     routes = written(copies.unionByName(matched), "routes")
