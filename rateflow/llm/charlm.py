@@ -306,7 +306,7 @@ class Scorer:
         """For each text, the log probability of its characters under each group."""
         n = len(g.first) - 1
         out = np.zeros((n, len(self.groups)))
-        if not len(g.grams):
+        if not len(g.grams) or not self.groups:
             return out
         grams, inverse = np.unique(g.grams, return_inverse=True)
         values = self._values(grams)
