@@ -290,8 +290,10 @@ def _covered(window: int, k: int, shared):
         lcp[0] = -1
         back = np.frombuffer(b"".join(x[_HEAD + a: _HEAD + a + side].ljust(side, b"\0") for x, a in zip(keys, after.tolist())),
                              np.uint8).reshape(n, side)
+        # Equal rows have equal keys, and their suffixes equal ranks.
+        by = np.lexsort((at, row_keys, order))
         rank = np.empty(n, np.int64)
-        rank[np.lexsort((at, row_keys, order))] = np.arange(n)
+        rank[by] = np.cumsum(np.append(0, (np.diff(at[by]) != 0) | (np.diff(row_keys[by]) != 0) | (np.diff(order[by]) != 0)))
         least, most = np.full(n, side + 1), np.full(n, -1)
         # Ranges of a split anchor have inner borders, below and above.
         part = int(group["part"].iat[0])

@@ -1,0 +1,60 @@
+import random
+import re
+
+from rateflow.llm import decontaminate as D
+from tests.llm.helpers import documents, no_documents
+
+ITEMS = "item_id long, text string, fp string, items string"
+
+
+def _words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+
+def _brute(docs, items, window):
+    out = []
+    for i, t in docs:
+        w, hit, named = _words(t), set(), set()
+        for j, u in items:
+            x = _words(u)
+            n = min(window, len(x))
+            wins = {tuple(x[a: a + n]) for a in range(len(x) - n + 1)} if n else set()
+            for s in range(len(w) - n + 1 if n else 0):
+                if tuple(w[s: s + n]) in wins:
+                    hit.update(range(s, s + n))
+                    if j is not None:
+                        named.add(str(j))
+        out.append((i, len(w), len(hit), tuple(sorted(named))))
+    return sorted(out, key=repr)
+
+
+def test_against_brute_force(spark):
+    rnd = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(60)] + ["é", "12"]
+    items = [(j, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(10, 25)))) for j in range(12)]
+    items += [(20, items[3][1]), (21, "just three words"), (22, "w1"), (23, None), (24, " .,!"), (None, items[5][1]), (3, items[3][1]),
+              (25, "r r r r r r r r r r r r r r"), (10, "another text under an id that is there twice already you know")]
+    docs = []
+    for i in range(60):
+        w = [rnd.choice(vocabulary[40:] if i % 3 else ["z%d" % rnd.randint(0, 99)]) for _ in range(rnd.randint(0, 30))]
+        if i % 2:
+            x = _words(rnd.choice(items)[1])
+            a = rnd.randint(0, max(0, len(x) - 9))
+            w += x[a: a + rnd.randint(8, 14)] + ["q"]
+        docs.append((i, "  ".join(w).upper() if i % 5 == 0 else ", ".join(w)))
+    docs += [(100, None), (101, ""), (102, "R " * 5000), (None, items[4][1]), (103, items[5][1]), (103, items[5][1]), (103, "other text"),
+             (104, "so just three, words."), (105, " ".join(x for _, x in items if x) + " filler" * 20_000)]
+    bench = spark.createDataFrame([(j, t, "clash", "clash") for j, t in items], ITEMS).repartition(2)
+    got = D.decontaminate(documents(spark, docs), bench).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got), key=repr) == _brute(docs, items, 10)
+    for r in got:
+        assert sum(s.end - s.start for s in r.spans) == r.n_hit
+        assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
+
+
+def test_no_items_and_no_documents(spark):
+    none = spark.createDataFrame([], ITEMS)
+    assert [(r.n_words, r.n_hit) for r in D.decontaminate(documents(spark, [(1, "a b")]), none).collect()] == [(2, 0)]
+    assert D.decontaminate(no_documents(spark), none).collect() == []
+    digest = D.digest(D.decontaminate(documents(spark, [(1, "a b")]), none)).collect()[0]
+    assert digest.items_sha256 == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855" and not digest.contaminated
