@@ -18,10 +18,11 @@ gets its distances to them. Members within r of a pivot are linked to it. The pi
 cells make the next regions: a member goes to its nearest pivot's cell, and, as a linked
 member of another cell can't be further than 2r beyond, to every cell within that window;
 those far from all pivots share a cell. Pivots are done, and so are cells whose members
-are already one component. What is left after ROUNDS rounds, or in regions of at most LEAF
-classes, is joined exactly: member by member as a pivot, skipping members of its
-own component and those that the triangle inequality excludes by earlier distances. A
-large region that is left is joined by pairs of blocks.
+are already one component. Regions of at most LEAF classes are joined exactly: member by
+member as a pivot, skipping members of its own component and those that the triangle
+inequality excludes by earlier distances. A large region that its cells don't divide (all
+members lie within each other's windows), or that is left after ROUNDS rounds, is joined by
+pairs of blocks.
 
 Only links that join components are reported, so copies are never expanded to pairs.
 
@@ -47,7 +48,7 @@ from rateflow.llm.components import components
 
 SHINGLE = 3
 PERCENT = 90
-LEAF = 300
+LEAF = 500
 PIVOTS = 24
 ROUNDS = 3
 # Members that one task compares with a region's pivots, and classes of leaves together.
@@ -246,9 +247,10 @@ def _leaves(percent: int):
 def _blocks(percent: int):
     """One pair of blocks of a region: rows with side 0 and with side 1 (none: one block alone)."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        alone = group["i"].iat[0] == group["j"].iat[0]
         group = group.sort_values(["side", "node"])
         nodes, first = group["node"].to_numpy(), int((group["side"] == 0).sum())
-        links = region_links(list(group["shingles"]), percent, first if first < len(group) else None)
+        links = region_links(list(group["shingles"]), percent, None if alone else first)
         return pd.DataFrame([(nodes[a], nodes[b]) for a, b in links], columns=["a", "b"], dtype="int64")
     return run
 
@@ -262,16 +264,21 @@ def _to_pivots(percent: int):
         region = Region([*pivots["shingles"], *members["shingles"]])
         k = len(pivots)
         at = np.arange(k, k + len(members))
-        linked, distance = zip(*(region.near(p, at, percent) for p in range(k)))
-        linked, distance = np.column_stack(linked), np.column_stack(distance)
+        linked, distance = (np.column_stack(x) for x in zip(*(region.near(p, at, percent) for p in range(k))))
         nearest = distance.min(1)
         cells = (distance <= nearest[:, None] + 2 * r) & (distance < FAR + r)
         names = pivots["node"].to_numpy()
         numbers = np.arange(k)
-        return pd.DataFrame({
+        out = pd.DataFrame({
             "region": members["region"].to_numpy(), "node": members["node"].to_numpy(),
             "linked": [names[x].tolist() for x in linked],
             "cells": [[*numbers[c].tolist(), *([k] if far else [])] for c, far in zip(cells, nearest >= FAR - r)]})
+        if group["salt"].iat[0] == 0:
+            # The pivots among themselves, once; they go to no cell.
+            to_each = np.column_stack([region.near(p, numbers, percent)[0] for p in range(k)])
+            out = pd.concat([out, pd.DataFrame({"region": pivots["region"].to_numpy(), "node": names,
+                                                "linked": [names[x].tolist() for x in to_each], "cells": [[] for _ in range(k)]})])
+        return out
     return run
 
 
@@ -290,9 +297,10 @@ def _labels(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"region": group["region"].iat[0], "pivot": list(parent), "label": [root(x) for x in list(parent)]})
 
 
-def _round(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """One round of pivots over regions (region, node, told): the links found, and the next
-    regions. told: whether the member is known to belong with others of its region."""
+def _round(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round of pivots over regions (region, node, told): the links found, the next
+    regions, and those that pivots can't divide. told: whether the member belongs to the main
+    component of its region, whose members needn't be compared with each other."""
     sizes = written(members.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias("salts")), "sizes")
     # Members that belong nowhere yet are pivots first; PIVOTS least by hash of each region.
     rank = F.struct("told", F.xxhash64("node", "region").alias("x"), "node")
@@ -310,14 +318,27 @@ def _round(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame
     pairs = seen.where("size(linked) > 0").select("region", first.alias("a"), F.explode("linked").alias("b")).distinct()
     # PIVOTS ** 2 rows of a region at most.
     labels = written(pairs.groupBy("region").applyInPandas(_labels, "region bigint, pivot bigint, label bigint"), "labels")
-    told = (seen.select("region", "node", "cells", first.alias("pivot"))
-            .join(labels, ["region", "pivot"], "left").select("region", "node", "label", F.explode("cells").alias("cell"))
-            .select(F.xxhash64("region", "cell").alias("region"), "node", "label"))
-    # A cell is done when all its members have one label.
-    unfinished = (told.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.min("label").alias("x"), F.max("label").alias("y"))
-                  .where("n > 1 and not (labelled = n and x = y)").select("region"))
-    nexts = told.join(written(unfinished, "unfinished"), "region").select("region", "node", F.col("label").isNotNull().alias("told"))
-    return links, nexts
+    told = written(seen.select("region", "node", "cells", first.alias("pivot"))
+                   .join(labels, ["region", "pivot"], "left").select("region", "node", "label", "cells"), "labelled")
+    # The largest component of a region is its main one; who is in it needs only be compared with others.
+    main = (told.where("label is not null").groupBy("region", "label").count()
+            .groupBy("region").agg(F.max_by("label", "count").alias("main")))
+    told = (told.where("size(cells) > 0").join(written(main, "main"), "region", "left")
+            .select("region", "node", "cells", F.coalesce(F.col("label") == F.col("main"), F.lit(False)).alias("told")))
+    in_cells = written(told.select("region", "node", "told", F.explode("cells").alias("c"))
+                       .select("region", F.xxhash64("region", "c").alias("cell"), "node", "told"), "cells")
+    # A cell whose members all belong to the main component is done.
+    open_cells = written(in_cells.groupBy("region", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("told").alias("done"))
+                         .where("n > 1 and not done").select("region", "cell", "n"), "open-cells")
+    # Where windows copy members into so many cells that cells don't make a region smaller, it
+    # is joined as it is, by blocks.
+    flat = written(open_cells.groupBy("region").agg(F.sum("n").alias("n"), F.max("n").alias("largest"))
+                   .join(told.groupBy("region").agg(F.count(F.lit(1)).alias("whole")), "region")
+                   .where("n > 1.5 * whole or largest > 0.8 * whole").select("region"), "flat-regions")
+    nexts = (in_cells.join(open_cells.join(flat, "region", "left_anti").select("cell"), "cell")
+             .select(F.col("cell").alias("region"), "node", "told"))
+    rest = told.join(flat, "region").select("region", "node", "told")
+    return links, nexts, rest
 
 
 def _least(rows: DataFrame, column: str, k: int) -> DataFrame:
@@ -356,15 +377,20 @@ def links(docs: DataFrame, percent: int, size: int) -> DataFrame:
         members = written(large, "large-regions")
         sets = written(sets_of(members.select("node")), "sets")
         for _ in range(ROUNDS):
-            found, following = _round(members, sets, percent)
+            found, following, undivided = _round(members, sets, percent)
             out.append(written(found, "links"))
+            undivided = written(undivided, "undivided")
+            if not undivided.isEmpty():
+                out.append(written(_by_blocks(undivided, sets, percent), "links"))
             members = written(following, "next-regions")
-            counts = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
-            done = written(members.join(counts.where(F.col("n") <= LEAF), "region"), "leaves")
-            members = written(members.join(counts.where(F.col("n") > LEAF), "region").drop("n"), "large-regions")
-            bins = max(1, -(-done.count() // TOGETHER))
+            if members.isEmpty():
+                break
+            counts = written(members.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")
+            done = members.join(counts.where(F.col("n") <= LEAF), "region")
+            bins = max(1, -(-(counts.where(F.col("n") <= LEAF).agg(F.sum("n")).first()[0] or 0) // TOGETHER))
             out.append(written(done.join(sets, "node").withColumn("bin", F.pmod(F.xxhash64("region"), F.lit(bins)))
                                .groupBy("bin").applyInPandas(lambda g: leaf(g), "a bigint, b bigint"), "links"))
+            members = written(members.join(counts.where(F.col("n") > LEAF), "region").drop("n"), "large-regions")
             if members.isEmpty():
                 break
         else:
@@ -376,15 +402,25 @@ def links(docs: DataFrame, percent: int, size: int) -> DataFrame:
 
 
 def _by_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Exact join of large regions by pairs of blocks of about LEAF members."""
-    sizes = written(members.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("blocks")), "blocks")
-    placed = members.join(sizes, "region").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    # Every block as the first of the pairs with those from it on, and as their second.
-    pairs = (placed.select("region", "node", F.lit(0).alias("side"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
-             .unionByName(placed.select("region", "node", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"))
-                          .where("i <> j")))
+    """Exact join of regions (region, node, told) by pairs of blocks of about LEAF members:
+    blocks of members outside the main component with each other and with blocks of it."""
+    sizes = written(members.groupBy("region").agg(
+        F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("all"),
+        F.ceil(F.sum(F.when(F.col("told"), 0).otherwise(1)) / LEAF).cast("int").alias("others")), "blocks")
+    # The others fill the blocks from 0 on, the main component those after them.
+    placed = (members.join(sizes, "region")
+              .withColumn("block", F.when(F.col("told"), F.col("others") + F.pmod(F.xxhash64("node"), "all"))
+                          .otherwise(F.pmod(F.xxhash64("node"), F.greatest("others", F.lit(1)))).cast("int"))
+              .where("others > 0"))
+    last = F.col("others") + F.col("all") - 1
+    as_first = placed.where(~F.col("told")).select(
+        "region", "node", F.lit(0).alias("side"), F.col("block").alias("i"), F.explode(F.sequence("block", last)).alias("j"))
+    as_second = placed.select(
+        "region", "node", F.lit(1).alias("side"),
+        F.explode(F.sequence(F.lit(0), F.least("block", F.col("others") - 1))).alias("i"), F.col("block").alias("j")).where("i <> j")
     block_pair = _blocks(percent)
-    return pairs.join(sets, "node").groupBy("region", "i", "j").applyInPandas(lambda g: block_pair(g), "a bigint, b bigint")
+    return (as_first.unionByName(as_second).join(sets, "node").groupBy("region", "i", "j")
+            .applyInPandas(lambda g: block_pair(g), "a bigint, b bigint"))
 
 
 def join(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
