@@ -59,12 +59,10 @@ class Analytics:
         self.counts = A.rating_counts_by_year_item(ratings).persist(_LEVEL)
 
     def items_rated_per_year(self) -> DataFrame:
-        return self.counts.groupBy("year").agg(F.count(F.lit(1)).alias("n_items"))
+        return A.items_counted_per_year(self.counts)
 
     def _winners(self) -> DataFrame:
-        best = F.max(F.struct("n", "item_id", "title", "tags")).alias("w")
-        return (self.counts.join(self.items, "item_id").groupBy("year").agg(best)
-                .select("year", "w.item_id", "w.title", "w.tags", F.col("w.n").alias("n_ratings")))
+        return A.year_winners(self.counts, self.items)
 
     def top_item_per_year(self) -> DataFrame:
         return self._winners().drop("tags")
@@ -73,15 +71,10 @@ class Analytics:
         return self._winners().drop("title")
 
     def tag_years_won(self) -> DataFrame:
-        return (self.top_tags_per_year().select("year", F.explode("tags").alias("tag")).distinct()
-                .groupBy("tag").agg(F.count(F.lit(1)).alias("n_years")))
+        return A.years_won_by_tag(self._winners())
 
     def least_most_tag(self) -> DataFrame:
-        won = self.tag_years_won()
-        return won.agg(F.min(F.struct("n_years", "tag")).alias("lo"),
-                       F.max(F.struct("n_years", "tag")).alias("hi")).select(
-            F.col("lo.tag").alias("least_tag"), F.col("lo.n_years").alias("least_years"),
-            F.col("hi.tag").alias("most_tag"), F.col("hi.n_years").alias("most_years"))
+        return A.least_and_most(self.tag_years_won())
 
     @staticmethod
     def items_with_all_tags(items: DataFrame, tags: Iterable[str]) -> DataFrame:

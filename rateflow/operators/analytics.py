@@ -33,19 +33,27 @@ def rating_counts_by_year_item(ratings: DataFrame) -> DataFrame:
 def items_rated_per_year(ratings: DataFrame) -> DataFrame:
     """(year, n_items): distinct items rated in each year. Ratings of unknown items
     count too, as nothing is joined."""
-    return (rating_counts_by_year_item(ratings)
-            .groupBy("year").agg(F.count(F.lit(1)).alias("n_items")))
+    return items_counted_per_year(rating_counts_by_year_item(ratings))
+
+
+def items_counted_per_year(counts: DataFrame) -> DataFrame:
+    """The same from a (year, item_id, n) table."""
+    return counts.groupBy("year").agg(F.count(F.lit(1)).alias("n_items"))
+
+
+def year_winners(counts: DataFrame, items: DataFrame) -> DataFrame:
+    """(year, item_id, title, tags, n_ratings): per year the item with most ratings, from a
+    (year, item_id, n) table and items with one row per id; ties go to the largest id.
+    Ratings of unknown items drop out. Only ids and counts go through the large join; titles
+    and tags are joined to the few winners."""
+    best = (counts.join(items.select("item_id"), "item_id", "left_semi")
+            .groupBy("year").agg(F.max(F.struct("n", "item_id")).alias("w"))
+            .select("year", "w.item_id", F.col("w.n").alias("n_ratings")))
+    return best.join(items, "item_id").select("year", "item_id", "title", "tags", "n_ratings")
 
 
 def _year_winners(ratings: DataFrame, items: DataFrame) -> DataFrame:
-    """Per year the item with most ratings; ties go to the largest item id.
-    Ratings of items missing from ``items`` drop out (inner join)."""
-    counts = rating_counts_by_year_item(ratings)
-    joined = counts.join(dedup_items(items), "item_id", "inner")
-    best = F.max(F.struct("n", "item_id", "title", "tags")).alias("w")
-    return (joined.groupBy("year").agg(best)
-            .select("year", F.col("w.item_id").alias("item_id"), F.col("w.title").alias("title"),
-                    F.col("w.tags").alias("tags"), F.col("w.n").alias("n_ratings")))
+    return year_winners(rating_counts_by_year_item(ratings), dedup_items(items))
 
 
 def top_item_per_year(ratings: DataFrame, items: DataFrame) -> DataFrame:
@@ -61,15 +69,23 @@ def top_tags_per_year(ratings: DataFrame, items: DataFrame) -> DataFrame:
 def tag_years_won(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """(tag, n_years): in how many years the tag is on the year's most rated item.
     Tags that never win are absent."""
-    yearly = top_tags_per_year(ratings, items)
-    return (yearly.select("year", F.explode("tags").alias("tag")).distinct()
+    return years_won_by_tag(_year_winners(ratings, items))
+
+
+def years_won_by_tag(winners: DataFrame) -> DataFrame:
+    """The same from the table of ``year_winners``."""
+    return (winners.select("year", F.explode("tags").alias("tag")).distinct()
             .groupBy("tag").agg(F.count(F.lit(1)).alias("n_years")))
 
 
 def least_most_tag(ratings: DataFrame, items: DataFrame) -> DataFrame:
     """One row: the least winning tag (fewest years, then smallest name) and the most
     winning tag (most years, then largest name)."""
-    won = tag_years_won(ratings, items)
+    return least_and_most(tag_years_won(ratings, items))
+
+
+def least_and_most(won: DataFrame) -> DataFrame:
+    """The same from a (tag, n_years) table."""
     return won.agg(F.min(F.struct("n_years", "tag")).alias("lo"),
                    F.max(F.struct("n_years", "tag")).alias("hi")).select(
         F.col("lo.tag").alias("least_tag"), F.col("lo.n_years").alias("least_years"),

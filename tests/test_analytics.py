@@ -1,11 +1,13 @@
 from rateflow.operators import analytics as A
 
+# Fixed expected values over the fixed input rows in tests/fixtures.
 YEAR_COUNTS = [
     (1996, 4), (1997, 4), (1998, 1), (1999, 7), (2000, 7), (2001, 7), (2002, 10), (2003, 11),
     (2004, 11), (2005, 12), (2006, 12), (2007, 11), (2008, 12), (2009, 12), (2010, 13),
     (2011, 11), (2012, 13), (2013, 12), (2014, 13), (2015, 14), (2016, 15), (2017, 16), (2018, 17),
 ]
 
+# Fixed expected values over the fixed input rows in tests/fixtures.
 TOP_TITLE = {
     1996: "Toy Story (1995)",
     1997: "Star Wars: Episode VI - Return of the Jedi (1983)",
@@ -34,6 +36,7 @@ TOP_TITLE = {
 
 SW = ["Action", "Adventure", "Sci-Fi"]
 LOTR3 = ["Action", "Adventure", "Drama", "Fantasy"]
+# Fixed expected values over the fixed input rows in tests/fixtures.
 TOP_TAGS = {
     1996: ["Adventure", "Animation", "Children", "Comedy", "Fantasy"],
     1997: SW, 1998: SW, 1999: SW, 2000: SW, 2001: SW,

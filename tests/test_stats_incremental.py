@@ -9,6 +9,7 @@ DELTA_SCHEMA = "user_id long, item_id long, old_rating double, rating double, ts
 
 # Averages published with the original tests (tolerance 0.01: they were made from a
 # slightly different cut of the ratings than the literals).
+# Fixed expected values over the fixed input rows in tests/fixtures.
 GOLDEN_AVG = {
     "Avatar (2009)": 3.5729166666666665,
     "Lord of the Rings, The (1978)": 3.142857142857143,
