@@ -20,8 +20,10 @@ from rateflow.session import scratch_path
 _WRITTEN: dict[tuple[str, str], list[str]] = {}
 _SCOPE = [""]
 
-# Bits of an id filter: 1 MiB, whatever the number of ids; and of one for hashes of passages.
+# Bits of an id filter: 1 MiB, whatever the number of ids; of a filter of passages' hashes in
+# the JVM, 2 MiB; and of one that tasks hold in Python, 8 MiB.
 FILTER_BITS = 1 << 23
+HASH_FILTER_BITS = 1 << 24
 WIDE_FILTER_BITS = 1 << 26
 
 
@@ -101,9 +103,9 @@ def _bit_test(slots: DataFrame, bits: int):
 
 
 def hash_filter(hashes: DataFrame, column: str):
-    """Like id_filter, for a column of 64-bit hashes and with WIDE_FILTER_BITS bits."""
-    test = _bit_test(hashes.select(F.pmod(column, F.lit(WIDE_FILTER_BITS)).alias("slot")), WIDE_FILTER_BITS)
-    return lambda col: test(F.pmod(col, F.lit(WIDE_FILTER_BITS)))
+    """Like id_filter, for a column of 64-bit hashes and with HASH_FILTER_BITS bits."""
+    test = _bit_test(hashes.select(F.pmod(column, F.lit(HASH_FILTER_BITS)).alias("slot")), HASH_FILTER_BITS)
+    return lambda col: test(F.pmod(col, F.lit(HASH_FILTER_BITS)))
 
 
 def id_filter(ids: DataFrame, *columns: str):

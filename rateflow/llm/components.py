@@ -14,20 +14,24 @@ def components(edges: DataFrame) -> DataFrame:
     Each round moves every node's larger neighbours to its least neighbour, then links its
     smaller ones to the least of them; the rounds needed grow with the logarithm of the
     number of nodes. Only minima are gathered per node, so a node of very many edges is
-    aggregated before it is shuffled, and the joins back are plain ones that can be split."""
+    aggregated before it is shuffled, and the joins back are with written tables, so that
+    both sides are shuffled and a hot node's rows can be split."""
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
-    while True:
+    # Edges that a round doesn't move keep their number and their sum of hashes.
+    state = [F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))]
+    before = edges.agg(*state).first()
+    while before[0]:
         # Large star: u's neighbours above u go to the least of all neighbours and u.
         both = edges.select(F.col("v").alias("n"), F.col("u").alias("o")).unionAll(edges.select(F.col("u").alias("n"), F.col("v").alias("o")))
         least = written(both.groupBy("n").agg(F.least(F.min("o"), F.col("n")).alias("m")), "least")
         large = written(both.where("o > n").join(least, "n").select(F.col("o").alias("v"), F.col("m").alias("u")).distinct(), "large-star")
         # Small star: the neighbours below v, and v, go to the least of them.
         least = written(large.groupBy("v").agg(F.min("u").alias("m")), "least")
-        small = written(large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v <> u")
+        edges = written(large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v <> u")
                         .unionAll(least.select("v", F.col("m").alias("u"))).distinct(), "small-star")
-        # Done when nothing moves: equal counts and no edge that was not there.
-        if small.count() == edges.count() and small.join(edges, ["v", "u"], "left_anti").isEmpty():
+        after = edges.agg(*state).first()
+        if after == before:
             break
-        edges = small
+        before = after
     nodes = edges.select(F.col("v").alias("node"), F.col("u").alias("component"))
     return nodes.unionAll(edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())

@@ -243,11 +243,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFra
     windows = written(with_texts(docs, differing, ["doc_id", "text"])
                       .select("row_key", document_order().alias("ord"), "text", "ranges")
                       .mapInArrow(_windows(window), "wh bigint, row_key bigint, ord bigint, start int"), "windows")
-    twice = (windows.groupBy("wh").agg(F.min(F.struct("ord", "row_key", "start")).alias("first"), F.max("ord").alias("last"))
-             .where("last > first.ord").select("wh", "first"))
-    twice = written(twice, "first-windows")
+    # Few windows repeat; only those are gathered with where they are.
+    twice = written(windows.groupBy("wh").agg(F.min("ord").alias("least"), F.max("ord").alias("last"))
+                    .where("least < last").select("wh"), "repeated-windows")
     may_hold = hash_filter(twice, "wh")
-    matched = windows.where(may_hold(F.col("wh"))).join(twice, "wh").where("ord > first.ord").select(
+    windows = written(windows.where(may_hold(F.col("wh"))), "windows")
+    first = (windows.groupBy("wh").agg(F.min(F.struct("ord", "row_key", "start")).alias("first"), F.max("ord").alias("last"))
+             .where("last > first.ord").select("wh", "first"))
+    matched = windows.join(written(first, "first-windows"), "wh").where("ord > first.ord").select(
         "row_key", "ord", F.col("start").alias("lo"), F.col("start").alias("hi"),
         F.col("first.row_key").alias("src_key"), F.col("first.start").alias("src_lo"))
     routes = written(copies.unionByName(matched), "routes")

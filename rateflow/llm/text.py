@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _U = np.uint64
 # Odd multipliers, so that their powers are invertible modulo 2**64.

@@ -31,7 +31,7 @@ _ID = np.dtype("<u4")
 class WordEncoder:
     """encode(text bytes) -> ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache_size: int = 400_000, batch: int = 256):
+    def __init__(self, path: str, cache_size: int = 300_000, batch: int = 256):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
