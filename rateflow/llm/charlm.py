@@ -7,10 +7,10 @@ and every context's backoff weight. Lower orders use continuation counts: how ma
 different characters precede a gram. Discounts come from counts of counts: one for
 each order, or three for each order in the modified form.
 
-For scoring, each table becomes a sorted array of hashed slots with a parallel array of
-log probabilities. A group has 7 tables of at most 2**SLOT_BITS slots, so a model's size
-is bounded by the number of groups alone (checked), not by the text that was counted.
-Grams that fall into one slot share the larger value.
+The tables keep every gram's whole 64-bit key and stay Spark tables: they grow with the
+text that was counted, and neither the driver nor a task ever holds a model. For scoring,
+texts are packed into portions, each with its distinct grams. Only these are looked up, by
+joins with the tables from order 4 down, and each portion gets the values of its own grams.
 """
 
 from __future__ import annotations
@@ -21,19 +21,22 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from rateflow.llm import text as T
 from rateflow.llm.common import written
 
 ORDER = 4
-SLOT_BITS = 20
-MAX_GROUPS = 400
 BLANK = 32
 # A task hands its counts over when it holds so many different grams.
 HELD_GRAMS = 2_000_000
+# Bytes of text whose grams are looked up together, and of all that a task holds back.
+PORTION_BYTES = 8 << 20
+HELD_BYTES = 24 << 20
+# Values (grams times groups) that a portion may ask for; more groups make smaller portions.
+PORTION_VALUES = 1 << 25
 
 
 @cache
@@ -166,45 +169,29 @@ def count_grams(texts: DataFrame, letters_only: bool) -> DataFrame:
             .groupBy("grp", "gram").agg(F.sum("n").alias("n")))
 
 
-def _discounts(counts: DataFrame, modified: bool) -> list[tuple]:
+def _discounts(counts: DataFrame, modified: bool) -> DataFrame:
     """(grp, d1, d2, d3) from how many grams have each small count."""
-    few = (counts.groupBy("grp").agg(*(F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)))
-           .limit(MAX_GROUPS + 1).collect())
-    if len(few) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups: a model would be too large to share")
-    out = []
-    for r in few:
-        n1, n2, n3, n4 = (max(1, r[f"n{k}"]) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2)
-        d = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3) if modified else (y, y, y)
-        out.append((r["grp"], *(float(min(max(x, 0.05), k)) for x, k in zip(d, (0.95, 1.9, 2.9)))))
-    return out
-
-
-@F.arrow_udf(LongType())
-def _slot(table: pa.Array, gram: pa.Array) -> pa.Array:
-    return pa.array(slots(table.to_numpy(zero_copy_only=False).astype(np.uint64),
-                          gram.to_numpy(zero_copy_only=False).view(np.uint64)).astype(np.int64))
-
-
-def slots(table, grams: np.ndarray) -> np.ndarray:
-    return T.mix(T.mix(grams) ^ (np.uint64(0x51ED270B) * (np.uint64(table) if np.isscalar(table) else table))) >> np.uint64(64 - SLOT_BITS)
+    few = counts.groupBy("grp").agg(*(F.greatest(F.lit(1), F.sum((F.col("n") == k).cast("long"))).alias(f"n{k}") for k in (1, 2, 3, 4)))
+    n1, n2, n3, n4 = (F.col(f"n{k}") for k in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2)
+    d = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3) if modified else (y, y, y)
+    return few.select("grp", *(F.least(F.greatest(x, F.lit(0.05)), F.lit(k)).alias(f"d{i}") for i, (x, k) in enumerate(zip(d, (0.95, 1.9, 2.9)), 1)))
 
 
 def train(counts: DataFrame, modified: bool) -> Model:
     """Model of the summed 4-gram counts (grp, gram, n)."""
-    spark = counts.sparkSession
-    tables: list[DataFrame] = []
     by_order = {ORDER: written(counts, "grams")}
     for order in range(ORDER - 1, 0, -1):
         mask = (1 << (16 * order)) - 1
         by_order[order] = written(
             by_order[order + 1].groupBy("grp", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram"))
             .agg(F.count(F.lit(1)).alias("n")), "grams")
-    lower = None
+    probabilities: dict[int, DataFrame] = {}
+    weights: dict[int, DataFrame] = {}
+    unknown = lower = None
     for order in range(1, ORDER + 1):
         c = by_order[order]
-        d = F.broadcast(spark.createDataFrame(_discounts(c, modified), "grp string, d1 double, d2 double, d3 double"))
+        d = F.broadcast(written(_discounts(c, modified), "discounts"))
         n, take = F.col("n"), F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         c = c.join(d, "grp").select("grp", "gram", n, F.least(take, n.cast("double")).alias("cut"),
                                     F.shiftrightunsigned("gram", 16).alias("ctx"))
@@ -215,102 +202,138 @@ def train(counts: DataFrame, modified: bool) -> Model:
         if order == 1:
             # The lowest order is mixed with even odds over the characters met and one more.
             p = c.select("grp", "gram", (own + F.col("weight") / (F.col("types") + 1)).alias("p"))
-            tables.append(context.select("grp", F.lit(0).alias("t"), F.lit(0).cast("bigint").alias("gram"),
-                                         (F.col("weight") / (F.col("types") + 1)).alias("value")))
+            unknown = context.select("grp", F.log(F.col("weight") / (F.col("types") + 1)).alias("value"))
         else:
             mask = (1 << (16 * (order - 1))) - 1
             below = lower.select("grp", F.col("gram").alias("suffix"), F.col("p").alias("below"))
             p = (c.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask))).join(below, ["grp", "suffix"])
                  .select("grp", "gram", (own + F.col("weight") * F.col("below")).alias("p")))
-            tables.append(context.select("grp", F.lit(10 + order).alias("t"), F.col("ctx").alias("gram"), F.col("weight").alias("value")))
+            weights[order] = context.select("grp", "ctx", F.log("weight").alias("weight"))
         lower = written(p, "probabilities")
-        tables.append(lower.select("grp", F.lit(order).alias("t"), "gram", F.col("p").alias("value")))
-    every = tables[0]
-    for t in tables[1:]:
-        every = every.unionByName(t)
-    got = (every.groupBy("grp", "t", _slot(F.col("t").cast("bigint"), F.col("gram")).alias("slot"))
-           .agg(F.max("value").alias("value"))
-           .select("grp", "t", F.col("slot").cast("int").alias("slot"), F.log("value").cast("float").alias("value"))).toArrow()
-    return Model(got)
+        probabilities[order] = lower.select("grp", "gram", F.log("p").alias("value"))
+    return Model(probabilities, weights, unknown)
 
 
 class Model:
-    """Sorted slot arrays of each group: tables 1 to 4 of log probabilities, 12 to 14 of the
-    log backoff weights of their contexts, 0 of an unknown character."""
-
-    def __init__(self, rows: pa.Table):
-        grp = rows.column("grp").combine_chunks().dictionary_encode()
-        names, code = grp.dictionary.to_pylist(), grp.indices.to_numpy(zero_copy_only=False)
-        t, slot, value = (rows.column(c).to_numpy() for c in ("t", "slot", "value"))
-        order = np.lexsort((slot, t, code))
-        code, t, slot, value = code[order], t[order], slot[order].astype(np.uint32), value[order]
-        self.groups = sorted(names)
-        self.tables: dict[str, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-        for i, name in enumerate(names):
-            a, b = np.searchsorted(code, [i, i + 1])
-            mine = {}
-            for k in (0, 1, 2, 3, 4, 12, 13, 14):
-                lo, hi = a + np.searchsorted(t[a:b], [k, k + 1])
-                mine[k] = (slot[lo:hi].copy(), value[lo:hi].copy())
-            self.tables[name] = mine
-
-    def _look(self, group: str, table: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, values = self.tables[group][table]
-        if not len(keys):
-            return np.zeros(len(grams), bool), np.zeros(len(grams), np.float32)
-        s = slots(table, grams).astype(np.uint32)
-        i = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-        return keys[i] == s, values[i]
-
-    def log_p(self, group: str, grams: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """log P(last character | the three before) of packed grams."""
-        found, out = self._look(group, order, grams)
-        miss = np.flatnonzero(~found)
-        if len(miss):
-            rest = grams[miss]
-            if order == 1:
-                out[miss] = self.tables[group][0][1][0]
-            else:
-                known, weight = self._look(group, 10 + order, rest >> np.uint64(16))
-                lower = self.log_p(group, rest & np.uint64((1 << (16 * (order - 1))) - 1), order - 1)
-                out[miss] = np.where(known, weight, 0) + lower
-        return out
-
-
-class Scorer:
-    """Summed log probabilities of texts, with a bounded cache by gram."""
-
-    def __init__(self, model: Model, groups: list[str], cache_size: int = 1_000_000):
-        self.model, self.groups, self.cache_size = model, groups, cache_size
-        self.keys = np.zeros(0, np.uint64)
-        self.values = np.zeros((0, len(groups)), np.float32)
-
-    def _values(self, grams: np.ndarray) -> np.ndarray:
-        """A row per gram (sorted, each once), a column per group."""
-        if len(self.keys) > self.cache_size:
-            self.keys, self.values = self.keys[:0], self.values[:0]
-        i = np.searchsorted(self.keys, grams)
-        known = np.zeros(len(grams), bool)
-        inside = i < len(self.keys)
-        known[inside] = self.keys[i[inside]] == grams[inside]
-        if not known.all():
-            new = grams[~known]
-            made = np.column_stack([self.model.log_p(g, new) for g in self.groups]).astype(np.float32)
-            keys = np.concatenate([self.keys, new])
-            order = np.argsort(keys)
-            self.keys, self.values = keys[order], np.concatenate([self.values, made])[order]
-            i = np.searchsorted(self.keys, grams)
-        return self.values[i]
-
-    def sums(self, g: Grams) -> np.ndarray:
-        """For each text, the log probability of its characters under each group."""
-        n = len(g.first) - 1
-        out = np.zeros((n, len(self.groups)))
-        if not len(g.grams) or not self.groups:
-            return out
-        grams, inverse = np.unique(g.grams, return_inverse=True)
-        values = self._values(grams)
+    """Tables of all groups: log probabilities (grp, gram, value) of each order, the log backoff
+    weights (grp, ctx, weight) of the contexts of orders 2 to 4, and the log probability of an
+    unknown character (grp, value), one row for each group."""
+
+    def __init__(self, probabilities: dict[int, DataFrame], weights: dict[int, DataFrame], unknown: DataFrame):
+        self.probabilities, self.weights, self.unknown = probabilities, weights, unknown
+
+    def groups(self) -> DataFrame:
+        return self.unknown.select("grp")
+
+    def look_up(self, needed: DataFrame, order: int = ORDER) -> DataFrame:
+        """(grp, gram, value): log P(last character | the ones before) of distinct (grp, gram),
+        for groups of the model."""
+        shown = written(needed.join(self.probabilities[order], ["grp", "gram"], "left"), "looked-up")
+        found, missed = shown.where("value is not null"), shown.where("value is null").select("grp", "gram")
+        if order == 1:
+            return found.unionByName(missed.join(self.unknown, "grp"))
+        mask = (1 << (16 * (order - 1))) - 1
+        missed = missed.select("grp", "gram", F.col("gram").bitwiseAND(F.lit(mask)).alias("suffix"), F.shiftrightunsigned("gram", 16).alias("ctx"))
+        lower = self.look_up(missed.select("grp", F.col("suffix").alias("gram")).distinct(), order - 1)
+        backed_off = (missed.join(lower.select("grp", F.col("gram").alias("suffix"), F.col("value").alias("below")), ["grp", "suffix"])
+                      .join(self.weights[order], ["grp", "ctx"], "left")
+                      .select("grp", "gram", (F.coalesce("weight", F.lit(0.0)) + F.col("below")).alias("value")))
+        return found.unionByName(backed_off)
+
+    def log_p(self, group: str, grams: np.ndarray) -> np.ndarray:
+        """log P(last character | the three before) of a few packed grams."""
+        keys, inverse = np.unique(grams.astype(np.uint64), return_inverse=True)
+        needed = self.unknown.sparkSession.createDataFrame([(group, g) for g in keys.view(np.int64).tolist()], "grp string, gram bigint")
+        values = {r["gram"]: r["value"] for r in self.look_up(needed).collect()}
+        return np.array([values[g] for g in keys.view(np.int64).tolist()])[inverse]
+
+
+def _portions(letters_only: bool, size: int):
+    """Rows (grp, ..., text) as portions of one grp each: its rows, packed, and their distinct grams."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        held: dict[str | None, tuple[list[pa.RecordBatch], list[np.ndarray]]] = {}
+        sizes: dict[str | None, int] = {}
+
+        def handed_over(group: str | None) -> pa.RecordBatch:
+            nonlocal number
+            rows, grams = held.pop(group)
+            del sizes[group]
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for r in rows:
+                    out.write_batch(r)
+            keys = np.unique(np.concatenate(grams)).view(np.int64)
+            number += 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number - 1], pa.int64()), pa.array([group], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys))],
+                names=["portion", "grp", "docs", "grams"])
+
+        for batch in batches:
+            for rows, offsets, data in T.row_chunks(batch, size=min(size, T.CHUNK_BYTES)):
+                g = Grams(offsets, data, letters_only)
+                groups = np.array(rows.column(0).to_pylist(), object)
+                for group in set(groups.tolist()):
+                    mine = np.flatnonzero(groups == group)
+                    whole = len(mine) == len(groups)
+                    kept, grams = held.setdefault(group, ([], []))
+                    kept.append(rows if whole else rows.take(pa.array(mine)))
+                    grams.append(np.unique(g.grams if whole else g.of(mine).grams))
+                    # A row without text counts as well.
+                    sizes[group] = sizes.get(group, 0) + int((offsets[mine + 1] - offsets[mine]).sum()) + 64 * len(mine)
+                    if sizes[group] >= size:
+                        yield handed_over(group)
+            while sum(sizes.values()) > HELD_BYTES:
+                yield handed_over(max(sizes, key=sizes.get))
+        for group in list(held):
+            yield handed_over(group)
+    return run
+
+
+def _sums(g: Grams, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each text, the log probability of its characters in each column of values."""
+    out = np.zeros((len(g.first) - 1, values.shape[1]))
+    if len(g.grams) and len(keys):
+        at = np.searchsorted(keys, g.grams)
         full = np.flatnonzero(g.counts() > 0)
-        for j in range(len(self.groups)):
-            out[full, j] = np.add.reduceat(values[:, j][inverse].astype(np.float64), g.first[:-1][full])
-        return out
+        for j in range(values.shape[1]):
+            out[full, j] = np.add.reduceat(values[at, j], g.first[:-1][full])
+    return out
+
+
+def score(docs: DataFrame, model: Model, letters_only: bool, names: list[str] | None, finish, schema: str) -> DataFrame:
+    """finish(rows, grams, sums) of all rows of docs (grp, ..., text), with the schema given.
+
+    sums holds the log probability of each text under the model of its grp, or with names
+    (all groups of the model, in order; grp is null) under each of them."""
+    width = 1 if names is None else len(names)
+    size = max(1 << 14, min(PORTION_BYTES, PORTION_VALUES // max(1, width)))
+    portions = written(docs.mapInArrow(_portions(letters_only, size), "portion bigint, grp string, docs binary, grams array<bigint>"), "portions")
+    wanted = portions.select("portion", "grp", F.explode("grams").alias("gram"))
+    if names is None:
+        needed = wanted.join(F.broadcast(model.groups()), "grp", "left_semi").select("grp", "gram").distinct()
+        values = model.look_up(needed).select("grp", "gram", F.array(F.col("value").cast("float")).alias("values"))
+        known = wanted.join(values, ["grp", "gram"])
+    else:
+        needed = wanted.select("gram").distinct().crossJoin(F.broadcast(model.groups())).select("grp", "gram")
+        in_order = F.array_sort(F.collect_list(F.struct("grp", F.col("value").cast("float").alias("value"))))
+        values = model.look_up(needed).groupBy("gram").agg(F.transform(in_order, lambda x: x["value"]).alias("values"))
+        known = wanted.join(values, "gram")
+
+    def run(packed: pa.Table, looked: pa.Table) -> pa.Table:
+        keys = looked.column("gram").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        keys = keys[order]
+        flat = looked.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        table = flat.astype(np.float64).reshape(len(keys), width)[order] if len(keys) else np.zeros((0, width))
+        out = []
+        for docs_of in packed.column("docs"):
+            for batch in pa.ipc.open_stream(docs_of.as_buffer()):
+                for rows, offsets, data in T.row_chunks(batch):
+                    g = Grams(offsets, data, letters_only)
+                    out.append(finish(rows, g, _sums(g, keys, table)))
+        return pa.Table.from_batches(out)
+
+    return (portions.select(F.col("portion").alias("number"), "docs").groupBy("number")
+            .cogroup(known.select("portion", "gram", "values").groupBy("portion")).applyInArrow(run, schema))

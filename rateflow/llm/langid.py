@@ -16,15 +16,12 @@ language first in order; repeated rows each get their own row. Extra columns are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.llm import charlm
-from rateflow.llm import text as T
 from rateflow.llm.common import written
 
 EVIDENCE = 40
@@ -38,35 +35,30 @@ def learn(labelled: DataFrame) -> charlm.Model:
                         modified=False)
 
 
-def _score(shared, evidence: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        groups = model.groups
-        scorer = charlm.Scorer(model, groups)
-        for batch in batches:
-            for rows, offsets, data in T.row_chunks(batch):
-                g = charlm.Grams(offsets, data, letters_only=True)
-                n = np.maximum(g.counts(), 1)
-                per_char = -scorer.sums(g) / n[:, None]
-                known = g.has_letter & bool(groups)
-                best = per_char.argmin(1) if groups else np.zeros(len(n), np.int64)
-                lowest = per_char[np.arange(len(n)), best] if groups else np.zeros(len(n))
-                odds = np.exp(-(per_char - lowest[:, None]) * np.minimum(n, evidence)[:, None])
-                score = np.where(known, 1 / np.maximum(odds.sum(1), 1), 0.0)
-                names = np.array([*groups, UNKNOWN], object)[np.where(known, best, len(groups))]
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(i) for i in range(rows.num_columns) if rows.schema.names[i] != "text"),
-                     pa.array(names, pa.string()), pa.array(score), pa.array(lowest, mask=~known)],
-                    names=[*(c for c in rows.schema.names if c != "text"), "lang_pred", "score", "cross_entropy"])
+def _finish(groups: list[str], evidence: int):
+    def run(rows: pa.RecordBatch, g: charlm.Grams, sums: np.ndarray) -> pa.RecordBatch:
+        n = np.maximum(g.counts(), 1)
+        per_char = -sums / n[:, None]
+        known = g.has_letter & bool(groups)
+        best = per_char.argmin(1) if groups else np.zeros(len(n), np.int64)
+        lowest = per_char[np.arange(len(n)), best] if groups else np.zeros(len(n))
+        odds = np.exp(-(per_char - lowest[:, None]) * np.minimum(n, evidence)[:, None])
+        score = np.where(known, 1 / np.maximum(odds.sum(1), 1), 0.0)
+        names = np.array([*groups, UNKNOWN], object)[np.where(known, best, len(groups))]
+        kept = [i for i, c in enumerate(rows.schema.names) if c not in ("grp", "text")]
+        return pa.RecordBatch.from_arrays(
+            [*(rows.column(i) for i in kept), pa.array(names, pa.string()), pa.array(score), pa.array(lowest, mask=~known)],
+            names=[*(rows.schema.names[i] for i in kept), "lang_pred", "score", "cross_entropy"])
     return run
 
 
 def predict(docs: DataFrame, model: charlm.Model, keep: list[str], evidence: int = EVIDENCE) -> DataFrame:
     """The columns ``keep`` of docs with lang_pred, score and cross_entropy (in nats)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    groups = sorted(r["grp"] for r in model.groups().collect())
+    source = docs.select(F.lit(None).cast("string").alias("grp"), *keep, F.col("text").cast("string").alias("text"))
     schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
-    return source.mapInArrow(_score(shared, evidence), f"{schema}, lang_pred string, score double, cross_entropy double")
+    return charlm.score(source, model, True, groups, _finish(groups, evidence),
+                        f"{schema}, lang_pred string, score double, cross_entropy double")
 
 
 def identify(docs: DataFrame, learns: str, accept: float = ACCEPT) -> DataFrame:

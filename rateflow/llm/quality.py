@@ -20,15 +20,12 @@ but never trusted; repeated rows are each judged alike. Extra columns are ignore
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.llm import charlm
-from rateflow.llm import text as T
 from rateflow.llm.common import id_filter, row_key, written
 
 LOWEST = 0.0005
@@ -53,34 +50,23 @@ def train(docs: DataFrame, trusted: DataFrame) -> charlm.Model:
     return charlm.train(counts.where(F.col("grp") != ALL).unionByName(together), modified=True)
 
 
-def _score(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        scorers: dict[str, charlm.Scorer] = {}
-        for batch in batches:
-            for rows, offsets, data in T.row_chunks(batch):
-                g = charlm.Grams(offsets, data, letters_only=False)
-                n = g.counts()
-                groups = np.array([x if x in model.tables else ALL for x in rows.column(2).to_pylist()], object)
-                bits = np.zeros(len(n))
-                for group in set(groups.tolist()) if model.groups else ():
-                    scorer = scorers.setdefault(group, charlm.Scorer(model, [group]))
-                    mine = np.flatnonzero(groups == group)
-                    sums = scorer.sums(g.of(mine))[:, 0]
-                    bits[mine] = -sums / np.maximum(n[mine], 1) / np.log(2)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(groups, pa.string()), pa.array(n, pa.int64()),
-                     pa.array(bits, mask=(n == 0) | (not model.groups))],
-                    names=["doc_id", "row_key", "grp", "n_scored", "bits"])
-    return run
+def _finish(rows: pa.RecordBatch, g: charlm.Grams, sums: np.ndarray) -> pa.RecordBatch:
+    n = g.counts()
+    bits = -sums[:, 0] / np.maximum(n, 1) / np.log(2)
+    none = (n == 0) | np.array(rows.column(3).to_pylist(), bool)
+    return pa.RecordBatch.from_arrays(
+        [rows.column(1), rows.column(2), rows.column(0), pa.array(n, pa.int64()), pa.array(bits, mask=none)],
+        names=["doc_id", "row_key", "grp", "n_scored", "bits"])
 
 
 def score(docs: DataFrame, model: charlm.Model) -> DataFrame:
     """doc_id, row_key, grp (the model used), n_scored (characters), bits (per character)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", row_key().alias("row_key"), "lang", F.col("text").cast("string").alias("text"))
-            .mapInArrow(_score(shared), f"doc_id {id_type}, row_key bigint, grp string, n_scored bigint, bits double"))
+    groups = F.broadcast(model.groups().withColumnRenamed("grp", "known"))
+    texts = docs.select("doc_id", row_key().alias("row_key"), "lang", F.col("text").cast("string").alias("text"))
+    texts = (texts.join(groups, F.col("lang") == F.col("known"), "left")
+             .select(F.coalesce("known", F.lit(ALL)).alias("grp"), "doc_id", "row_key", F.lit(model.groups().isEmpty()).alias("unjudged"), "text"))
+    return charlm.score(texts, model, False, None, _finish, f"doc_id {id_type}, row_key bigint, grp string, n_scored bigint, bits double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, lowest: float = LOWEST, highest: float = HIGHEST) -> DataFrame:

@@ -97,3 +97,24 @@ def test_probabilities_against_plain_kneser_ney(spark, modified):
     # Over the characters met and one unknown, the probabilities of a context add up to 1.
     every = np.exp(model.log_p("g", np.array([packed("aba" + c) for c in "abc z"], np.uint64)))
     assert every.sum() == pytest.approx(1, rel=1e-4)
+
+
+def test_no_gram_is_taken_for_another(spark):
+    """With very many grams learned, a gram that was never seen still backs off."""
+    rnd = np.random.default_rng(5)
+    codes = rnd.integers(0x4E00, 0x9FA5, 400_000)
+    texts = ["".join(map(chr, part)) for part in np.split(codes, 100)]
+    counts = charlm.count_grams(spark.createDataFrame([("g", t) for t in texts], "grp string, text string"), letters_only=False)
+    model = charlm.train(counts, False)
+    # Contexts that were never seen: only the last character counts.
+    last = ord(texts[0][0])
+    grams = np.array([(0x3400 + i) << 48 | 0x3400 << 32 | 0x3400 << 16 | last for i in range(200)], np.uint64)
+    got = model.log_p("g", grams)
+    assert np.ptp(got) == 0 and np.exp(got[0]) < 0.01
+
+
+def test_many_languages(spark):
+    """There is no limit on the number of lang values."""
+    docs = documents(spark, [(i, f"{chr(0x4E00 + i) * 9} the", f"l{i}") for i in range(410)])
+    rows = langid.identify(docs, "true").collect()
+    assert len(rows) == 410 and all(r.lang_pred == f"l{r.doc_id}" for r in rows)
