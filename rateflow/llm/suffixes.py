@@ -21,7 +21,7 @@ all documents, by a bitmap of their hashes) go on.
 Anchors are spread over ranges by hash. One with very many contexts (a passage that many
 documents share) has its suffixes split into several ranges by a sample of them (at most
 1/MAX_HOT of all contexts share a range otherwise); groups that touch an inner border of
-such ranges hand over their earliest window, and these are compared by hash.
+such ranges hand over their earliest windows, and these are compared by hash.
 
 Defined cases: null texts are empty; rows with null doc_id come last; rows that share a
 doc_id are ordered by a hash of their text; equal rows are one document and get the same
@@ -299,8 +299,10 @@ def _covered(window: int, k: int, shared):
         part = int(group["part"].iat[0])
         low_open = part > 1
         high_open = 0 < part <= len(shared.value.get(int(group["bin"].iat[0]), ()))
-        open_windows: list[tuple[int, int]] = []
-        full = np.cumsum(lcp < window)
+        # A splitter is itself the first key of the range above.
+        next_shares = common_prefix(keys[-1], shared.value[int(group["bin"].iat[0])][part - 1]) - _HEAD if high_open else -1
+        open_at: list[np.ndarray] = []
+        open_before: list[np.ndarray] = []
         hashed = np.zeros(n, np.uint64)
         for o in range(side + 1):
             if o:
@@ -319,19 +321,21 @@ def _covered(window: int, k: int, shared):
             least[hit] = np.minimum(least[hit], o)
             most[hit] = o
             earliest = by[~late]
-            for is_open, edge in ((low_open, 0), (high_open, n - 1)):
-                if is_open:
-                    touched = number[earliest] == number[edge]
-                    if (number == number[edge]).sum() == (full == full[edge]).sum():
-                        # They share all bytes from the anchor on, so they are sorted by those
-                        # before it: only the group of the one at the border goes on.
-                        touched &= same[earliest] == same[edge]
-                    open_windows += [(i, o) for i in earliest[touched].tolist()]
+            # Whatever shares ``need`` bytes may go on beyond the border, also past ranges whose
+            # suffixes all share the whole window: every earliest window of the group is handed over.
+            touched = np.zeros(len(earliest), bool)
+            if low_open:
+                touched |= number[earliest] == number[0]
+            if high_open and next_shares >= need:
+                touched |= number[earliest] == number[n - 1]
+            if touched.any():
+                open_at.append(earliest[touched])
+                open_before.append(np.full(len(open_at[-1]), o))
         hit = np.flatnonzero(most >= 0)
         out = pd.DataFrame({"row_key": row_keys[hit], "ord": order[hit], "lo": at[hit] - most[hit], "hi": at[hit] - least[hit] + window,
                             "wh": pd.array([None] * len(hit), "Int64")})
-        if open_windows:
-            i, o = np.array(sorted(set(open_windows))).T
+        if open_at:
+            i, o = np.concatenate(open_at), np.concatenate(open_before)
             more = pd.DataFrame({"row_key": row_keys[i], "ord": order[i], "lo": at[i] - o, "hi": at[i] - o + window, "wh": pd.array(
                 [_window_hash(keys[x], int(after[x]), y, window - y) for x, y in zip(i.tolist(), o.tolist())], "Int64")})
             out = pd.concat([out, more])

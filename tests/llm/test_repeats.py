@@ -135,3 +135,16 @@ def test_whole_texts_are_read(spark):
     data = {r.row.doc_id: (r.n_removed, hashlib.sha256(bytes(r.kept)).hexdigest())
             for r in suffixes.remove_repeats(documents(spark, docs), ["doc_id"]).collect()}
     assert data[2] == (len(passage), hashlib.sha256(docs[1][1][: -len(passage)].encode()).hexdigest()) and data[1][0] == 0
+
+
+def test_near_copy_of_one_of_many_that_share_a_passage(spark, monkeypatch):
+    """A hot passage fills whole ranges; near copies end it early and sort outside of them."""
+    monkeypatch.setattr(suffixes, "RANGE", 40)
+    monkeypatch.setattr(suffixes, "MAX_HOT", 10 ** 9)
+    rnd = random.Random(12)
+    passage = "".join(rnd.choice("abcdefgh") for _ in range(60))
+    docs = [(i, "".join(rnd.choice("klmnopqr") for _ in range(40)) + passage) for i in range(200)]
+    for i, x in enumerate(rnd.sample(docs, 40)):
+        docs.append((1000 + i, x[1][:40 + 22] + rnd.choice("AZaz") * 12))
+    got = suffixes.remove_repeats(documents(spark, docs), ["doc_id"], window=30, k=10).collect()
+    assert sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=repr) == _brute_bytes(docs, 30)
