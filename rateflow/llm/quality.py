@@ -2,10 +2,12 @@
 
 An interpolated modified Kneser-Ney model of characters (as written: case, digits and
 symbols count) is trained for each language on all trusted texts, those labelled with
-quality 1, and once on all of them together for texts without a language or in one that
-has no trusted text. Every document is scored under its language's model. A document is
+quality 1, and once on all of them together (ALL) for texts without a language or in one that
+has too few trusted texts for its quantiles. Documents are dealt to folds by a hash of doc_id,
+and each is scored under its language's model of the other folds: trusted ones are never
+scored under a model that has seen them, and all are scored alike. A document is
 accepted when its bits per character lie between two quantiles of the trusted documents
-of its language: above are symbols, shouting and word lists; below is text of few
+of its language, or under ALL of all trusted documents under ALL: above are symbols, shouting and word lists; below is text of few
 repeated parts. The quantiles are documented parameters, taken over all trusted documents.
 
 The n-gram counts are sharded by gram, and joins of the shards give the probabilities
@@ -13,7 +15,7 @@ The n-gram counts are sharded by gram, and joins of the shards give the probabil
 that shuffle.
 
 Defined cases: null and empty texts have no perplexity and are not accepted; without any
-trusted text, nothing is judged and every text that has characters is accepted;
+trusted text in another fold, nothing is judged and every text that has characters is accepted;
 conflicting labels of one document count as not trusted; rows with null doc_id are judged
 but never trusted; repeated rows are each judged alike. Extra columns are ignored.
 """
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.llm import charlm
@@ -32,6 +34,10 @@ LOWEST = 0.0005
 HIGHEST = 0.9985
 # The group of all languages together.
 ALL = ""
+# Each document is scored under the model of the trusted documents of the other folds.
+FOLDS = 5
+# A language has its own model from so many trusted documents on, or more if its quantiles ask for them.
+LEAST = 30
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -39,15 +45,28 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .where("low = 1 and high = 1").select("doc_id"))
 
 
-def train(docs: DataFrame, trusted: DataFrame) -> charlm.Model:
-    """Model of the texts of docs whose doc_id is in trusted, by lang and for ALL."""
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("string")
+
+
+def _trusted_rows(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     may_hold = id_filter(trusted, "doc_id")
-    texts = (docs.select("doc_id", F.coalesce("lang", F.lit(ALL)).alias("grp"), "text")
-             .where(F.col("doc_id").isNotNull() & may_hold(F.col("doc_id")))
-             .join(trusted, "doc_id", "left_semi").select("grp", "text"))
-    counts = written(charlm.count_grams(texts, letters_only=False), "grams")
-    together = counts.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("grp"), "gram", "n")
-    return charlm.train(counts.where(F.col("grp") != ALL).unionByName(together), modified=True)
+    return docs.where(F.col("doc_id").isNotNull() & may_hold(F.col("doc_id"))).join(trusted, "doc_id", "left_semi")
+
+
+def train(docs: DataFrame, trusted: DataFrame) -> charlm.Model:
+    """Models of the texts of docs whose doc_id is in trusted, by lang and for ALL: for each
+    fold one (named fold:lang) of the texts of the other folds."""
+    texts = _trusted_rows(docs.select("doc_id", F.coalesce("lang", F.lit(ALL)).alias("grp"), "text"), trusted)
+    counts = written(charlm.count_grams(texts.select(F.concat(_fold(), F.lit(":"), "grp").alias("grp"), "text"), letters_only=False), "grams")
+    fold = F.substring_index("grp", ":", 1)
+    of_lang = F.expr("substring(grp, instr(grp, ':') + 1)")
+    counts = counts.select(fold.alias("fold"), of_lang.alias("grp"), "gram", "n")
+    together = counts.groupBy("fold", "gram").agg(F.sum("n").alias("n")).select("fold", F.lit(ALL).alias("grp"), "gram", "n")
+    others = F.filter(F.array(*(F.lit(str(k)) for k in range(FOLDS))), lambda k: k != F.col("fold"))
+    return charlm.train(
+        counts.where(F.col("grp") != ALL).unionByName(together).withColumn("to", F.explode(others))
+        .groupBy(F.concat("to", F.lit(":"), "grp").alias("grp"), "gram").agg(F.sum("n").alias("n")), modified=True)
 
 
 def _finish(rows: pa.RecordBatch, g: charlm.Grams, sums: np.ndarray) -> pa.RecordBatch:
@@ -59,27 +78,43 @@ def _finish(rows: pa.RecordBatch, g: charlm.Grams, sums: np.ndarray) -> pa.Recor
         names=["doc_id", "row_key", "grp", "n_scored", "bits"])
 
 
-def score(docs: DataFrame, model: charlm.Model) -> DataFrame:
-    """doc_id, row_key, grp (the model used), n_scored (characters), bits (per character)."""
+def score(docs: DataFrame, model: charlm.Model, langs: DataFrame) -> DataFrame:
+    """doc_id, row_key, grp (ALL, or lang if it is in langs), n_scored (characters), bits (per
+    character, under the model of the folds that the document isn't in)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    groups = F.broadcast(model.groups().withColumnRenamed("grp", "known"))
+    own = F.broadcast(langs.select(F.col("grp").alias("own")))
+    there = F.broadcast(written(model.groups().withColumnRenamed("grp", "there"), "models"))
     texts = docs.select("doc_id", row_key().alias("row_key"), "lang", F.col("text").cast("string").alias("text"))
-    texts = (texts.join(groups, F.col("lang") == F.col("known"), "left")
-             .select(F.coalesce("known", F.lit(ALL)).alias("grp"), "doc_id", "row_key", F.lit(model.groups().isEmpty()).alias("unjudged"), "text"))
-    return charlm.score(texts, model, False, None, _finish, f"doc_id {id_type}, row_key bigint, grp string, n_scored bigint, bits double")
+    texts = (texts.join(own, F.col("lang") == F.col("own"), "left")
+             .withColumn("grp", F.concat(_fold(), F.lit(":"), F.coalesce("own", F.lit(ALL))))
+             .join(there, F.col("grp") == F.col("there"), "left")
+             .select("grp", "doc_id", "row_key", F.col("there").isNull().alias("unjudged"), "text"))
+    return (charlm.score(texts, model, False, None, _finish, f"doc_id {id_type}, row_key bigint, grp string, n_scored bigint, bits double")
+            .withColumn("grp", F.expr("substring(grp, instr(grp, ':') + 1)")))
+
+
+def enough(lowest: float, highest: float) -> int:
+    """The least number of trusted documents whose quantiles say more than their extremes."""
+    tails = [t for t in (lowest, 1 - highest) if t > 0]
+    return max(LEAST, *(int(np.ceil(1 / t - 1e-6)) for t in tails)) if tails else LEAST
 
 
 def classify(docs: DataFrame, labels: DataFrame, lowest: float = LOWEST, highest: float = HIGHEST) -> DataFrame:
     """One row per document row: doc_id, row_key, grp, n_scored, bits, perplexity (per
     character), least and most (the quantiles in bits), accepted."""
     trusted = written(trusted_ids(labels.select("doc_id", "quality")), "trusted")
-    scored = written(score(docs, train(docs, trusted)), "perplexities")
-    known = scored.where("bits is not null").join(trusted, "doc_id", "left_semi")
-    quantile = F.percentile_approx("bits", [lowest, highest], 10_000)
-    limits = written(
-        known.groupBy("grp").agg(quantile.alias("q"))
-        .unionByName(known.agg(quantile.alias("q")).where("q is not null").select(F.lit(ALL).alias("grp"), "q"))
-        .groupBy("grp").agg(F.max_by("q", F.size("q")).alias("q")), "limits")
+    model = train(docs, trusted)
+    langs = written(_trusted_rows(docs.select("doc_id", F.col("lang").alias("grp"), (F.length("text") > 0).alias("full")), trusted)
+                    .where("full and grp is not null").groupBy("grp").agg(F.countDistinct("doc_id").alias("n"))
+                    .where((F.col("n") >= enough(lowest, highest)) & (F.col("grp") != ALL)), "languages")
+    scored = written(score(docs, model, langs), "perplexities")
+    quantile = F.percentile_approx("bits", [lowest, highest], 10_000).alias("q")
+    limits = (scored.where((F.col("grp") != ALL) & F.col("bits").isNotNull()).join(trusted, "doc_id", "left_semi").groupBy("grp").agg(quantile))
+    if not scored.where(F.col("grp") == ALL).isEmpty():
+        # The limits of ALL are those of all trusted documents under the models of ALL.
+        under_all = score(_trusted_rows(docs, trusted), model, langs.limit(0))
+        limits = limits.unionByName(under_all.where("bits is not null").agg(quantile).where("q is not null").select(F.lit(ALL).alias("grp"), "q"))
+    limits = written(limits, "limits")
     inside = F.col("bits").between(F.col("q")[0], F.col("q")[1])
     return (scored.join(limits, "grp", "left")
             .select("doc_id", "row_key", "grp", "n_scored", "bits", F.pow(F.lit(2.0), "bits").alias("perplexity"),

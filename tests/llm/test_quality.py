@@ -35,3 +35,15 @@ def test_no_labels_and_no_rows(spark):
     rows = quality.classify(documents(spark, [(1, "abc"), (2, "")]), none).collect()
     assert {(r.doc_id, r.accepted) for r in rows} == {(1, True), (2, False)}
     assert quality.classify(no_documents(spark), none).collect() == []
+
+
+def test_clean_text_of_a_language_with_one_trusted_document_stays(spark):
+    rnd = np.random.default_rng(3)
+    docs = documents(spark, [(i, " ".join(rnd.choice(WORDS, 40)) + ".", "en" if i < 150 else "xx") for i in range(180)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(100), 150]], LABELS)
+    rows = quality.classify(docs, labels, lowest=0.0, highest=1.0).collect()
+    few = [r for r in rows if r.doc_id >= 150]
+    assert {r.grp for r in few} == {quality.ALL} and sum(r.accepted for r in few) >= 27
+    # Trusted documents lie among the others, not below them.
+    mean = [np.mean([r.bits for r in rows if a <= r.doc_id < b]) for a, b in ((0, 100), (100, 150))]
+    assert abs(mean[0] - mean[1]) < 0.05
