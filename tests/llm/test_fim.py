@@ -1,0 +1,79 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rateflow.llm import fim
+from tests.llm.helpers import documents, no_documents
+
+
+def _brute(doc_id, text):
+    text = text or ""
+    n = len(text)
+    hexes = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(hexes[i: i + 8], 16) for i in range(0, 32, 8))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return doc_id, n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    out = f"<S>{text[b:]}<P>{text[:a]}<M>{text[a:b]}" if h4 % 100 < 20 else f"<P>{text[:a]}<S>{text[b:]}<M>{text[a:b]}"
+    return doc_id, n, "spm" if h4 % 100 < 20 else "psm", a, b - a, out
+
+
+def _rows(df, **options):
+    got = fim.transform(df, **options).withColumn("back", fim.restored(F.col("output"), F.col("form"))).collect()
+    return sorted(((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output, r.back) for r in got), key=repr)
+
+
+TEXTS = [None, "", "a", "ab", "é ü\U0001f600x\n\r\ny", "<P>held", "a<S>", "<M", "<", "S>P>M>", "<<P", "<M" * 7, "\x00null", "é combining"]
+
+
+def test_forms_match_brute_force(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS * 12)] + [(None, "no id"), (3, "twice"), (3, "twice"), (-7, "negative")]
+    rows.append((9_000_000, "long \U0001f600 text\n" * 60_000))
+    got = _rows(documents(spark, rows))
+    assert got == sorted(((*_brute(d, t), t or "") for d, t in rows), key=repr)
+    assert {r[2] for r in got} == {"plain", "psm", "spm"}
+
+
+def test_slices_and_other_units(spark, monkeypatch):
+    monkeypatch.setattr(fim, "SLICE_CHARS", 5)
+    rows = [(i, f"w{i} x\ny {i}\n") for i in range(40)]
+    by_line = _rows(documents(spark, rows), unit=r"[^\n]*\n")
+    assert len(by_line) == 40 and all(r[1] == 2 and r[6] == rows[r[0]][1] for r in by_line)
+    cut = {r[0]: r for r in by_line if r[2] != "plain"}
+    assert cut and all(r[3] in (0, len(rows[d][1].split("\n")[0]) + 1, len(rows[d][1])) for d, r in cut.items())
+    # A text that units don't cover stays as it is.
+    assert all(r[1:5] == (0, "plain", None, None) for r in _rows(documents(spark, [(i, "no end") for i in range(9)]), unit=r"[^\n]*\n"))
+
+
+def test_every_row_cut_or_none(spark):
+    rows = [(i, "some text") for i in range(50)]
+    assert all(r[2] == "plain" for r in _rows(documents(spark, rows), transformed=0))
+    assert all(r[2] == "spm" for r in _rows(documents(spark, rows), transformed=100, spm_share=100))
+
+
+def test_empty_table(spark):
+    assert _rows(no_documents(spark)) == []
+    assert fim.digest(fim.transform(no_documents(spark))).columns == [
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"]
+
+
+def test_plan_has_no_shuffle(spark):
+    plan = fim.digest(fim.transform(documents(spark, [(1, "a")]).coalesce(1)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Aggregate" not in plan and "Join" not in plan
+
+
+@given(st.text(max_size=30), st.integers(0, 99))
+@settings(max_examples=200, deadline=None)
+def test_ends_are_the_offsets_of_units(text, at):
+    import regex
+    ends = regex.compile(f"({fim.CODE_POINT})*").fullmatch(text).ends(1)
+    assert ends == list(range(1, len(text) + 1))
+
+
+@pytest.mark.parametrize("text", ["<P", "<S", "<", "P>", "x<M"])
+def test_pieces_cannot_make_markers(spark, text):
+    rows = [(i, text * 3) for i in range(200)]
+    assert all(r[6] == text * 3 for r in _rows(documents(spark, rows)))
