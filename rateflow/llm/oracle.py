@@ -57,7 +57,61 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
 FROM d LEFT JOIN lists USING (doc_id)
 """
 
+# crc32 of a decimal id, bit by bit; a node is the hash of the sequence of turns that leads to it.
+OP11 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                  md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'id': id, 'words': len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))} ORDER BY turn NULLS FIRST, id) AS turns
+        FROM t GROUP BY 1),
+crc AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+                  lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                           lambda c, z: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295::BIGINT) % 4 AS h FROM own),
+full_ AS (SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+          FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+pre AS (SELECT conv_id, d, len(turns) AS n, CASE WHEN d > 0 THEN turns[d].words ELSE 0 END AS words,
+               md5(array_to_string(list_transform(turns[1:d], lambda z: z.id), ',')) AS node,
+               CASE WHEN d > 0 THEN md5(array_to_string(list_transform(turns[1:d - 1], lambda z: z.id), ',')) END AS parent
+        FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM full_)),
+nodes AS (SELECT node, parent, d, words, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends FROM pre GROUP BY 1, 2, 3, 4),
+kids AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY 1),
+below AS (SELECT p.node, sum(CASE WHEN k.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((u.n_convs - 1) * u.words) AS saved
+          FROM nodes u JOIN pre p ON p.conv_id = u.conv_id AND p.d <= u.d LEFT JOIN kids k ON k.parent = u.node GROUP BY 1)
+SELECT v.conv_id, v.d AS depth, q.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+       below.leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v JOIN below USING (node) LEFT JOIN nodes q ON q.node = v.parent LEFT JOIN kids k ON k.parent = v.node
+"""
+
+OP12 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[s:s + 3], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+links AS (SELECT p.x, p.y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2) p
+          JOIN sizes a ON a.doc_id = p.x JOIN sizes b ON b.doc_id = p.y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+reached AS (SELECT doc_id AS node, doc_id AS least FROM d UNION SELECT y, least FROM reached JOIN links ON x = node),
+component AS (SELECT node, min(least) AS component_id FROM reached GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN component ON node = d.doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
+OP13 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256(concat('1:', doc_id::VARCHAR)) AS hex FROM documents),
+h AS (SELECT *, ('0x' || substr(hex, 1, 8))::BIGINT AS h1, ('0x' || substr(hex, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(hex, 17, 8))::BIGINT AS h3, ('0x' || substr(hex, 25, 8))::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+cut AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM cut
+"""
+
 ORACLE_SQL = {
+    "op11_conversation_trie": OP11,
+    "op12_minhash_dedup": OP12,
+    "op13_fill_in_middle": OP13,
     "op2_topk_search": OP2,
     "op3_warc": OP3,
     "op8_substring_dedup": OP8,

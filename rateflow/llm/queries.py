@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontaminate, jaccard, langid, licenses, pack, quality, substrings, suffixes, topk, warc
+from rateflow.llm import (convtrie, decontaminate, fim, jaccard, langid, licenses, oddsketch, pack, quality, substrings,
+                          suffixes, topk, warc)
 from rateflow.llm.common import table
 
 
@@ -58,6 +59,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size("unmatched").alias("n_unmatched")))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.trie(convtrie.rebuilt(convtrie.conversations_as_keys(table(spark, sf_dir, "conversations"))))
+
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(fim.transform(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,5 +88,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
