@@ -18,12 +18,11 @@ each odd number of differing samples, and its population count x estimates the s
 deviations below the threshold are not verified (``most_bits``); all others are, on whole sets.
 
 Groups. A band's members are compared with its least member only (a star), so copies are never
-expanded to pairs; of one member's stars the most similar is verified first, the others only
-if they still lead to another component. Members of a band that are left in different
-components get a second star if a band has more than LEAF of them. What is open then is
-compared exactly in bins of whole bands, or by pairs of blocks where a band still has more than
-LEAF members; equal sets of open members of several bands are done once. There only members of different components are compared, by
-sketch and then by set, and only links that join components are returned.
+expanded to pairs. The links found so far make trees; a band whose other members are all in one
+tree is done. In the others, members of different trees are compared with each other inside a
+task, by sketch and then by set: whole bands together, or by pairs of blocks where a band has
+more than LEAF such members. Only links that join trees are returned. Equal sets of open
+members of several bands are done once.
 
 Defined cases: null texts and texts without words have an empty set and are linked with
 nothing; fewer words than a shingle are one shingle; rows with null doc_id take part, and don't
@@ -54,8 +53,7 @@ SAMPLES = 256
 BAND_ROWS = 5
 SKETCH_BITS = 1024
 LEAF = 500
-STARS = 2
-# Shingles of the sets that one task of verification or of open bands holds.
+# Shingles of the open bands that one task holds.
 TOGETHER = 1_000_000
 
 _U = np.uint64
@@ -154,149 +152,127 @@ def _shingles(size: int):
     return run
 
 
-def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets are linked; exact."""
-    few, many = (a, b) if len(a) <= len(b) else (b, a)
-    if 100 * len(few) < percent * len(many):
-        return False
-    at = np.searchsorted(many, few)
-    at[at == len(many)] = 0
-    both = int((many[at] == few).sum())
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
-def _compare(nodes: np.ndarray, label: np.ndarray, odd: np.ndarray, sets: list[np.ndarray], percent: int, most: int,
-             first: int | None = None) -> list[tuple[int, int]]:
-    """Links between members of different components that join them. With ``first``, only pairs of
-    one of the first so many members with one of the others."""
-    label = label.copy()
-    sizes = np.array([len(x) for x in sets])
-    out = []
-    for p in range(len(nodes) if first is None else first):
-        low = p + 1 if first is None else first
-        other = low + np.flatnonzero((label[low:] != label[p]) & (100 * np.minimum(sizes[low:], sizes[p]) >= percent * np.maximum(sizes[low:], sizes[p])))
-        if len(other):
-            other = other[np.bitwise_count(odd[other] ^ odd[p]).sum(1) <= most]
-        for q in other.tolist():
-            if label[q] != label[p] and _linked(sets[p], sets[q], percent):
-                out.append((int(nodes[p]), int(nodes[q])))
-                label[label == label[q]] = label[p]
-    return out
-
-
-def _columns(g: pd.DataFrame) -> tuple:
-    odd, sets = ([np.asarray(x, np.int64).view(np.uint64) for x in g[c]] for c in ("odd", "shingles"))
-    return g["node"].to_numpy(), g["component"].to_numpy(), np.stack(odd), sets
-
-
-def _open_bands(percent: int, most: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+class _Members:
+    """Members of one task, with their sets as numbers of a common universe."""
+
+    def __init__(self, g: pd.DataFrame):
+        odd, sets = ([np.asarray(x, np.int64) for x in g[c]] for c in ("odd", "shingles"))
+        self.nodes, self.label, self.odd = g["node"].to_numpy(), g["label"].to_numpy().copy(), np.stack(odd).view(np.uint64)
+        self.sizes = np.array([len(x) for x in sets])
+        self.first = np.concatenate([[0], np.cumsum(self.sizes)])
+        _, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(int(self.flat.max()) + 1, bool)
+
+    def shared(self, p: int, others: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of p's set with those of others."""
+        own = self.flat[self.first[p]: self.first[p + 1]]
+        self.mark[own] = True
+        if 2 * self.sizes[others].sum() > len(self.flat):
+            both = np.add.reduceat(self.mark[self.flat], self.first[:-1], dtype=np.int64)[others]
+        else:
+            both = np.array([np.count_nonzero(self.mark[self.flat[self.first[q]: self.first[q + 1]]]) for q in others.tolist()])
+        self.mark[own] = False
+        return both
+
+    def links(self, percent: int, most: int, first: int | None = None) -> list[tuple[int, int]]:
+        """Links between members of different labels that join them. With ``first``, only pairs
+        of one of the first so many members with one of the others."""
         out = []
-        for _, g in group.groupby("band", sort=False):
-            out += _compare(*_columns(g.sort_values("node")), percent, most)
+        label, sizes = self.label, self.sizes
+        for p in range(len(sizes) if first is None else first):
+            low = p + 1 if first is None else first
+            q = low + np.flatnonzero((label[low:] != label[p]) & (100 * np.minimum(sizes[low:], sizes[p]) >= percent * np.maximum(sizes[low:], sizes[p])))
+            if len(q):
+                q = q[np.bitwise_count(self.odd[q] ^ self.odd[p]).sum(1) <= most]
+            if len(q):
+                both = self.shared(p, q)
+                for x in q[100 * both >= percent * (sizes[p] + sizes[q] - both)].tolist():
+                    if label[x] != label[p]:
+                        out.append((int(self.nodes[p]), int(self.nodes[x])))
+                        label[label == label[x]] = label[p]
+        return out
+
+
+def _whole_bands(percent: int, most: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        out = [link for _, g in group.groupby("band", sort=False) for link in _Members(g.sort_values("node")).links(percent, most)]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
 
-def _open_blocks(percent: int, most: int):
+def _blocks(percent: int, most: int):
+    """One pair of blocks of a band: members with side 0 and with side 1 (none: one block alone)."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["side", "node"])
         first = None if g["i"].iat[0] == g["j"].iat[0] else int((g["side"] == 0).sum())
-        return pd.DataFrame(_compare(*_columns(g), percent, most, first), columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(_Members(g).links(percent, most, first), columns=["a", "b"], dtype="int64")
     return run
 
 
-class _Join:
-    """Links of classes: bands (band, node), sketches (node, n, odd) and a way to sets."""
-
-    def __init__(self, rows: DataFrame, sketch: DataFrame, sets_of, percent: int, most: int):
-        self.rows, self.sketch, self.sets_of, self.percent, self.most = rows, sketch, sets_of, percent, most
-        self.found: list[DataFrame] = []
-        self.component: DataFrame | None = None
-
-    def labelled(self, df: DataFrame, node: str, name: str) -> DataFrame:
-        """df with the component of a column of nodes; a node without links is its own."""
-        if self.component is None:
-            return df.withColumn(name, F.col(node))
-        c = self.component.select(F.col("node").alias(node), F.col("component").alias("_c"))
-        return df.join(c, node, "left").withColumn(name, F.coalesce("_c", node)).drop("_c")
-
-    def _add(self, links: DataFrame) -> None:
-        self.found.append(links)
-        every = self.found[0]
-        for f in self.found[1:]:
-            every = every.unionByName(f)
-        self.component = written(components(every), "components")
-
-    def verified(self, pairs: DataFrame) -> None:
-        """Verify pairs (a, b) on whole sets and add the links."""
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = written(self.sets_of(written(wanted, "wanted")), "sets")
-        both = (pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a")
-                .join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b")
-                .select("a", "b", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("both")))
-        self._add(written(both.where(100 * F.col("both") >= self.percent * (F.col("n") - F.col("both"))).select("a", "b"), "links"))
-
-    def star(self, rows: DataFrame, centres: DataFrame) -> None:
-        """Compare the members (band, node) of bands with the band's centre (band, centre)."""
-        pairs = rows.join(centres, "band").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-        a, b = (self.sketch.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("odd").alias(f"odd_{c}")) for c in "ab")
-        differ = F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-        sized = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        near = (pairs.join(a, "a").join(b, "b").where(sized).select("a", "b", differ.alias("differ")).where(F.col("differ") <= self.most))
-        near = written(self.labelled(self.labelled(written(near, "near"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b", "differ"), "near-pairs")
-        best = written(near.groupBy("b").agg(F.min(F.struct("differ", "a")).alias("best")).select(F.col("best.a").alias("a"), "b"), "best-pairs")
-        self.verified(best)
-        others = near.join(best, ["a", "b"], "left_anti")
-        rest = written(self.labelled(self.labelled(others, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b"), "other-pairs")
-        if not rest.isEmpty():
-            self.verified(rest)
-
-    def open_rows(self, rows: DataFrame) -> DataFrame:
-        """The rows (band, node) of bands whose members are in different components."""
-        labelled = written(self.labelled(rows, "node", "component"), "band-members")
-        open_ = written(labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band"), "open-bands")
-        return labelled.join(open_, "band")
-
-    def rest(self, rows: DataFrame) -> None:
-        """Compare all members (band, node, component) of different components in each band."""
-        member = F.xxhash64("node").cast("decimal(20,0)")
-        sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.sum(member).alias("s"), F.min("node").alias("least"), F.max("node").alias("last"))
-        # Bands of the same open members are done once.
-        sizes = written(sizes.groupBy("size", "s", "least", "last").agg(F.min("band").alias("band")).select("band", "size"), "open-sizes")
-        rows = written(rows.join(sizes, "band").select("band", "size", "node", "component"), "open-members")
-        sketch = self.sketch.select("node", "n", "odd")
-        sets = written(self.sets_of(written(rows.select("node").distinct(), "wanted")), "sets")
-        full = rows.join(sketch, "node").join(sets, "node")
-        small = rows.where(F.col("size") <= LEAF).join(sketch.select("node", "n"), "node")
-        bins = max(1, -(-(small.agg(F.sum("n")).first()[0] or 0) // TOGETHER))
-        in_bands = _open_bands(self.percent, self.most)
-        found = [written(full.where(F.col("size") <= LEAF).withColumn("bin", F.pmod(F.xxhash64("band"), F.lit(bins)))
-                         .groupBy("bin").applyInPandas(lambda g: in_bands(g), "a bigint, b bigint"), "links")]
-        large = rows.where(F.col("size") > LEAF)
-        if not large.isEmpty():
-            # Members outside a band's largest component meet each other and the rest, by blocks.
-            counts = written(large.groupBy("band", "component").count(), "component-sizes")
-            main = counts.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.sum("count").alias("size"),
-                                              F.max("count").alias("most"))
-            main = written(main.select("band", "main", F.ceil(F.col("size") / LEAF).cast("int").alias("all"),
-                                       F.ceil((F.col("size") - F.col("most")) / LEAF).cast("int").alias("others")), "blocks")
-            placed = large.select("band", "node", "component").join(main, "band").withColumn(
-                "told", F.col("component") == F.col("main")).withColumn(
-                "block", F.when(F.col("told"), F.col("others") + F.pmod(F.xxhash64("node"), "all")).otherwise(F.pmod(F.xxhash64("node"), "others")).cast("int"))
-            last = F.col("others") + F.col("all") - 1
-            one = placed.where("not told").select("band", "node", "component", F.lit(0).alias("side"), F.col("block").alias("i"), F.explode(F.sequence("block", last)).alias("j"))
-            two = placed.select("band", "node", "component", F.lit(1).alias("side"),
-                                F.explode(F.sequence(F.lit(0), F.least("block", F.col("others") - 1))).alias("i"), F.col("block").alias("j")).where("i <> j")
-            in_blocks = _open_blocks(self.percent, self.most)
-            found.append(written(one.unionByName(two).join(sketch, "node").join(sets, "node").groupBy("band", "i", "j")
-                                 .applyInPandas(lambda g: in_blocks(g), "a bigint, b bigint"), "links"))
-        for f in found:
-            self.found.append(f)
-        every = self.found[0]
-        for f in self.found[1:]:
-            every = every.unionByName(f)
-        self.component = written(components(every), "components")
+def _trees(links: DataFrame) -> DataFrame:
+    """(node, label): nodes of one label are linked. Each node hangs on the least centre that it is
+    linked with, which is less than itself; the label is the root of that tree."""
+    state = written(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), "trees")
+    while True:
+        above = state.select(F.col("node").alias("label"), F.col("label").alias("above"))
+        state = written(state.join(above, "label", "left").select(
+            "node", F.coalesce("above", "label").alias("label"), F.col("above").isNotNull().alias("moved")), "trees")
+        if state.where("moved").isEmpty():
+            return state.select("node", "label")
+        state = state.select("node", "label")
+
+
+def _star(rows: DataFrame, centres: DataFrame, sketch: DataFrame, percent: int, most: int) -> DataFrame:
+    """(a, b): the centres and members of bands whose sketches and sizes let them be linked."""
+    pairs = rows.join(centres, "band").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    a, b = (sketch.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("odd").alias(f"odd_{c}")) for c in "ab")
+    differ = F.aggregate(F.zip_with("odd_a", "odd_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return pairs.join(a, "a").join(b, "b").where(sized & (differ <= most)).select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Of pairs (a, b), those that are linked by their whole sets."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = written(sets_of(written(nodes, "wanted")), "sets")
+    both = (pairs.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a")
+            .join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b")
+            .select("a", "b", (F.size("x") + F.size("y")).alias("n"), F.size(F.array_intersect("x", "y")).alias("both")))
+    return both.where(100 * F.col("both") >= percent * (F.col("n") - F.col("both"))).select("a", "b")
+
+
+def _within(members: DataFrame, sketch: DataFrame, sets_of, percent: int, most: int) -> list[DataFrame]:
+    """Links of members (band, node, label) of different labels within each band."""
+    member = F.xxhash64("node").cast("decimal(20,0)")
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.sum(member).alias("s"), F.min("node").alias("least"), F.max("node").alias("last"))
+    # Bands of the same open members are done once.
+    sizes = written(sizes.groupBy("size", "s", "least", "last").agg(F.min("band").alias("band")).select("band", "size"), "open-sizes")
+    nodes = written(members.join(sizes, "band", "left_semi").select("node").distinct(), "wanted")
+    whole = written(sets_of(nodes).join(sketch.select("node", "n", "odd"), "node"), "open-members")
+    rows = written(members.join(sizes, "band").select("band", "size", "node", "label"), "open-rows")
+    small = rows.where(F.col("size") <= LEAF)
+    bins = max(1, -(-(small.join(sketch.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0) // TOGETHER))
+    in_bands = _whole_bands(percent, most)
+    found = [written(small.join(whole, "node").withColumn("bin", F.pmod(F.xxhash64("band"), F.lit(bins)))
+                     .groupBy("bin").applyInPandas(lambda g: in_bands(g), "a bigint, b bigint"), "links")]
+    large = rows.where(F.col("size") > LEAF)
+    if not large.isEmpty():
+        # Members outside a band's most frequent label meet each other and the rest, by blocks.
+        counts = large.groupBy("band", "label").count()
+        main = counts.groupBy("band").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.sum("count").alias("size"), F.max("count").alias("most"))
+        main = written(main.select("band", "main", F.ceil(F.col("size") / LEAF).cast("int").alias("all"),
+                                   F.ceil((F.col("size") - F.col("most")) / LEAF).cast("int").alias("others")), "blocks")
+        told = F.col("label") == F.col("main")
+        placed = large.select("band", "node", "label").join(main, "band").withColumn("told", told).withColumn(
+            "block", F.when(told, F.col("others") + F.pmod(F.xxhash64("node"), "all")).otherwise(F.pmod(F.xxhash64("node"), "others")).cast("int"))
+        last = F.col("others") + F.col("all") - 1
+        one = placed.where("not told").select("band", "node", "label", F.lit(0).alias("side"), F.col("block").alias("i"), F.explode(F.sequence("block", last)).alias("j"))
+        two = placed.select("band", "node", "label", F.lit(1).alias("side"),
+                            F.explode(F.sequence(F.lit(0), F.least("block", F.col("others") - 1))).alias("i"), F.col("block").alias("j")).where("i <> j")
+        in_blocks = _blocks(percent, most)
+        found.append(written(one.unionByName(two).join(whole, "node").groupBy("band", "i", "j")
+                             .applyInPandas(lambda g: in_blocks(g), "a bigint, b bigint"), "links"))
+    return found
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, k: int = SAMPLES, rows: int = BAND_ROWS,
@@ -325,20 +301,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         got = with_texts(docs, nodes.withColumnRenamed("node", "row_key"), ["text"]).dropDuplicates(["row_key"])
         return got.select("row_key", "text").mapInArrow(_shingles(size), "node bigint, shingles array<bigint>")
 
-    join = _Join(rows_, reps.select("node", "n", "odd"), sets_of, percent, most_bits(percent, k, bits))
-    for last in [False] * (STARS - 1) + [True]:
-        join.star(rows_, centres)
-        # A centre has met all members of its band.
-        members = written(join.open_rows(rows_.join(centres, "band").where("node <> centre").select("band", "node")), "open-rows")
-        sizes = written(members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("centre")), "open-sizes")
-        largest = sizes.agg(F.max("size")).first()[0] or 0
-        if last or largest <= LEAF:
-            if largest:
-                join.rest(members)
-            break
-        centres, rows_ = sizes.select("band", "centre"), members.select("band", "node")
-
-    whole = written(join.labelled(classes.withColumn("node", F.col("first.row_key")), "node", "component").select(*kind, "first", "component"), "class-components")
+    sketch, most = reps.select("node", "n", "odd"), most_bits(percent, k, bits)
+    near = written(_star(rows_, centres, sketch, percent, most), "near-pairs")
+    found = [written(_verified(near, sets_of, percent), "links")]
+    # A centre has met all members of its band; the others haven't met each other.
+    labels = _trees(found[0])
+    members = written(rows_.join(centres, "band").where("node <> centre").select("band", "node").join(labels, "node", "left")
+                      .select("band", "node", F.coalesce("label", "node").alias("label")), "band-members")
+    open_ = members.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
+    members = written(members.join(written(open_, "open-bands"), "band", "left_semi"), "open-members")
+    if not members.isEmpty():
+        found += _within(members, sketch, sets_of, percent, most)
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    parts = written(components(every), "components")
+    joined = classes.select(*kind, "first").join(parts.select(F.col("node").alias("key"), "component"), F.col("first.row_key") == F.col("key"), "left")
+    whole = written(joined.select(*kind, "first", F.coalesce("component", F.col("first.row_key")).alias("component")), "class-components")
     least = written(whole.groupBy("component").agg(F.min("first").alias("least")), "least")
     by_class = written(whole.join(least, "component").select(*kind, "least"), "class-ids")
 
