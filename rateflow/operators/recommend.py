@@ -12,7 +12,8 @@ exchange; no job runs per candidate and nothing goes through the driver.
 
 The baseline scorer is monotone in the item deviation for users whose average lies in
 [1, 5], so by default it scores only a bounded head of each bucket and falls back to
-the full bucket exactly where the head cannot decide (see ``_pruned_top_k``).
+the full bucket exactly where the head cannot decide (see ``_pruned_top_k``). ALS scores are
+bounded by blocks of the bucket instead (see ``_als_pruned``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from rateflow.functions.hashing import DEFAULT_SEEDS, signature_names
 from rateflow.functions.scoring import baseline_prediction
-from rateflow.operators.als import als_predict
+from rateflow.operators.als import DenseALS, Factors, dot, factors
 from rateflow.operators.baseline import BaselineModel
 from rateflow.operators import lsh as L
 from rateflow.operators.joins import per_key_join
@@ -135,6 +136,18 @@ def bucket_heads(index: DataFrame, model: BaselineModel, head_size: int,
             .where(F.col("pos") <= F.lit(int(head_size))))
 
 
+def class_heads(index: DataFrame, model: BaselineModel, classes: DataFrame, head_size: int,
+                seeds: Sequence[int], decimals: int) -> DataFrame:
+    """(sig.., r, item_id, prediction): the ``head_size`` best items of a bucket for each of the
+    given (sig.., r), where r is the average that a class of requests predicts from."""
+    sig = signature_names(seeds)
+    w = Window.partitionBy(*sig, "r").orderBy(F.when(F.isnan("prediction"), 1).otherwise(0), F.col("prediction").desc(), F.col("item_id").asc())
+    return (L.signature_join(classes, _index_with_dev(index, model, sig), seeds)
+            .withColumn("prediction", F.round(baseline_prediction("r", "item_dev"), decimals))
+            .withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= F.lit(int(head_size)))
+            .select(*sig, "r", "item_id", "prediction"))
+
+
 def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: BaselineModel, k: int,
                   seeds: Sequence[int], head_size: int, decimals: int) -> DataFrame:
     """Exact top K per request, scoring only bucket heads where they decide.
@@ -147,35 +160,51 @@ def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: Baseli
     strictly below the K-th best unseen head item. Every item outside the head has a
     deviation no larger than the last one, so it cannot reach the top K, ties
     included. Resolved requests are ranked on their head (at most ``head_size``
-    rows each, so the per-request window is bounded). All other requests take the
-    full path: unknown users, averages outside [1, 5], too many seen items in the
-    head, ties at the boundary, and tags that match no bucket. The union is exact.
+    rows each, so the per-request window is bounded).
+
+    Unknown users, who all predict from 0, and averages outside [1, 5] have no such order.
+    Their requests collapse to classes of (bucket, average), and each class is ranked once
+    (``class_heads``): it costs classes x bucket rows, however many requests it answers. Such a
+    request is resolved by K unseen items of its class's head.
+
+    What is left takes the full path: too many seen items in the head and ties at the
+    boundary. Tags that match no bucket have no candidates. The union is exact.
     """
     sig = signature_names(seeds)
     # Heads and the ranked requests feed two branches each; a head has a bounded size, so
     # joining many requests to it is a per-key join.
     heads = materialize(bucket_heads(index, model, head_size, seeds), "bucket-heads")
     # One small row per bucket: its size and the deviation of its last head item.
-    info = (index.groupBy(*sig).agg(F.count(F.lit(1)).alias("bucket_size"))
-            .join(heads.where(F.col("pos") == F.lit(int(head_size)))
-                  .select(*sig, F.col("d").alias("d_last")), sig, "left"))
+    info = materialize(index.groupBy(*sig).agg(F.count(F.lit(1)).alias("bucket_size"))
+                       .join(heads.where(F.col("pos") == F.lit(int(head_size)))
+                             .select(*sig, F.col("d").alias("d_last")), sig, "left"), "bucket-info")
+    small = F.col("bucket_size") <= F.lit(int(head_size))
+    ordered = F.coalesce(F.col("user_avg").between(1.0, 5.0), F.lit(False))
 
-    regular = q.where(F.col("user_avg").between(1.0, 5.0)).join(info, sig, "inner")
+    regular = q.where(ordered).join(info, sig, "inner")
     scored = (regular.join(heads.select(*sig, "item_id", "item_dev"), sig, "inner")
               .join(seen, ["user_id", "item_id"], "left_anti")
               .withColumn("prediction",
                           F.round(baseline_prediction("user_avg", "item_dev"), decimals)))
+    others = q.where(~ordered).withColumn("r", F.coalesce("user_avg", F.lit(0.0)))
+    classes = materialize(others.select(*sig, "r").distinct(), "request-classes")
+    class_head = materialize(class_heads(index, model, classes, head_size, seeds, decimals), "class-heads")
+    by_class = (others.join(info, sig, "inner").join(class_head, [*sig, "r"], "inner")
+                .join(seen, ["user_id", "item_id"], "left_anti"))
     order = [F.when(F.isnan("prediction"), 1).otherwise(0), F.col("prediction").desc(),
              F.col("item_id").asc()]
     w = Window.partitionBy("query_id").orderBy(*order)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     boundary = F.round(baseline_prediction("user_avg", "d_last"), decimals)
     kth = F.col("kth")
-    ranked = (scored.withColumn("rank", F.row_number().over(w))
-              .withColumn("kth", F.nth_value("prediction", int(k)).over(w_all))
-              .withColumn("resolved", (F.col("bucket_size") <= F.lit(int(head_size)))
-                          | (kth.isNotNull() & ~F.isnan(kth) & (boundary < kth))))
-    ranked = materialize(ranked, "ranked")
+    cols = ["query_id", "user_id", "item_id", "prediction", "rank", *(["k"] if "k" in q.columns else [])]
+    by_head = (scored.withColumn("rank", F.row_number().over(w))
+               .withColumn("kth", F.nth_value("prediction", int(k)).over(w_all))
+               .withColumn("resolved", small | (kth.isNotNull() & ~F.isnan(kth) & (boundary < kth))))
+    # A class's head is in the order of the full path: whatever is outside comes after it.
+    by_class = (by_class.withColumn("rank", F.row_number().over(w))
+                .withColumn("resolved", small | (F.count(F.lit(1)).over(w_all) >= F.lit(int(k)))))
+    ranked = materialize(by_head.select(*cols, "resolved").unionByName(by_class.select(*cols, "resolved")), "ranked")
     fast = ranked.where(F.col("resolved") & (F.col("rank") <= F.lit(int(k))))
 
     done = ranked.where(F.col("resolved") & (F.col("rank") == 1)).select("query_id")
@@ -188,12 +217,128 @@ def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: Baseli
 
 
 def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,
-                  model: ALSModel, k: int, seeds: Sequence[int] = DEFAULT_SEEDS,
-                  decimals: int = RANK_DECIMALS) -> DataFrame:
+                  model: ALSModel | DenseALS | Factors, k: int, seeds: Sequence[int] = DEFAULT_SEEDS,
+                  decimals: int = RANK_DECIMALS, strategy: str = "pruned", head_size: int | None = None) -> DataFrame:
     """(query_id, user_id, item_id, prediction, rank) with ALS scores. Requests may have a
-    column ``k`` of their own; the argument is then the largest that counts."""
+    column ``k`` of their own; the argument is then the largest that counts. Users and items that
+    the model doesn't know score NaN, which comes last, by item id.
+
+    A user's factors are attached to the request and an item's to the index row before
+    candidates are expanded, so the candidates never join a factor table. ``strategy="full"``
+    scores every unseen member of the request's bucket; ``strategy="pruned"`` gives the same rows
+    from bounded parts of the bucket, see ``_als_pruned``."""
+    f = model if isinstance(model, Factors) else factors(model)
+    sig = signature_names(seeds)
     own = ["k"] if "k" in requests.columns else []
-    cands = lsh_lookup(index, requests.select("query_id", "user_id", "tags", *own), "tags", seeds,
-                       keep_unmatched=False).select("query_id", "user_id", "item_id", *own)
-    return top_k(als_predict(model, unseen_pairs(cands, ratings)), k, decimals=decimals).select(
-        "query_id", "user_id", "item_id", "prediction", "rank")
+    q = L.with_signature(requests.select("query_id", "user_id", "tags", *own), "tags", seeds)
+    q = materialize(per_key_join(q, f.users, "user_id", "left"), "als-requests")
+    idx = materialize(per_key_join(index.select(*sig, "item_id"), f.items, "item_id", "left"), "als-index")
+    seen = ratings.select("user_id", "item_id").distinct()
+    if strategy == "full":
+        return top_k(_als_scored(L.signature_join(q, idx, seeds), seen, f.rank), k, decimals=decimals).select(*_RANKED)
+    if strategy == "pruned":
+        return _als_pruned(idx, q, seen, f.rank, k, seeds, head_size or max(64, 4 * int(k)), decimals)
+    raise ValueError(f"unknown strategy: {strategy}")
+
+
+_RANKED = ["query_id", "user_id", "item_id", "prediction", "rank"]
+
+
+def _als_scored(candidates: DataFrame, seen: DataFrame, rank: int) -> DataFrame:
+    own = ["k"] if "k" in candidates.columns else []
+    score = F.coalesce(dot("u", "v", rank), F.lit(float("nan")))
+    return (candidates.join(seen, ["user_id", "item_id"], "left_anti")
+            .select("query_id", "user_id", "item_id", *own, score.alias("prediction")))
+
+
+def als_blocks(idx: DataFrame, rank: int, head_size: int, seeds: Sequence[int] = DEFAULT_SEEDS) -> tuple[DataFrame, DataFrame]:
+    """The index rows (sig.., item_id, v) with their ``block``, and a row for each block (sig..,
+    block, n_items, longest, most, least, across).
+
+    Items are ordered within their bucket by the projection p of their factors on the mean
+    factor's direction m, and cut into blocks of ``head_size``. A block knows the range of its
+    projections (least, most), the largest remainder (across) and the largest norm (longest),
+    which bound a user's score in it by Cauchy and Schwarz:
+    u.v <= max((u.m) p) + |u - (u.m) m| * across, and u.v <= |u| * longest.
+
+    The order comes from ranges: items go to slices of the projection of about equal size by
+    approximate quantiles, places within a slice are counted by a window over a slice of a bucket
+    (of a bounded size), and the slices' sizes are added up in a small table."""
+    sig = signature_names(seeds)
+    mean = idx.where("v is not null").agg(*(F.avg(F.get("v", F.lit(i)).cast("double")).alias(f"m{i}") for i in range(rank))).first()
+    mean = [x or 0.0 for x in mean]
+    size = sum(x * x for x in mean) ** 0.5 or 1.0
+    p = F.lit(0.0)
+    for i in range(rank):
+        p = p + F.get("v", F.lit(i)).cast("double") * F.lit(mean[i] / size)
+    # Items that the model doesn't know come last, with a projection below all others.
+    rows = materialize(idx.withColumn("p", F.coalesce(p, F.lit(float("-inf")))).withColumn("norm", F.sqrt(dot("v", "v", rank)))
+                       .withColumn("rest", F.sqrt(F.greatest(F.col("norm") * F.col("norm") - p * p, F.lit(0.0)))), "als-items")
+    n = rows.count()
+    slices = max(1, -(-n // SLICE_ITEMS))
+    cuts = sorted(set(rows.where("v is not null").stat.approxQuantile("p", [i / slices for i in range(1, slices)], 0.1 / slices))) if slices > 1 else []
+    cut = F.lit(0)
+    if cuts:
+        found = F.array(*(F.lit(c) for c in reversed(cuts)))
+        cut = F.size(F.filter(found, lambda c: c > F.col("p")))
+    rows = rows.withColumn("slice", cut)
+    before = Window.partitionBy(*sig).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*sig, "slice").count().withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
+    place = F.row_number().over(Window.partitionBy(*sig, "slice").orderBy(F.col("p").desc(), F.col("item_id").asc())) - 1
+    placed = materialize(rows.withColumn("place", place).join(sizes, [*sig, "slice"])
+                         .withColumn("block", F.floor((F.col("before") + F.col("place")) / head_size))
+                         .select(*sig, "block", "item_id", "v", "p", "norm", "rest"), "als-placed")
+    blocks = materialize(placed.groupBy(*sig, "block").agg(
+        F.count(F.lit(1)).alias("n_items"), F.max("norm").alias("longest"), F.max("p").alias("most"),
+        F.min(F.when(F.col("v").isNotNull(), F.col("p"))).alias("least"), F.max("rest").alias("across"))
+        .withColumn("mean", F.array(*(F.lit(x / size) for x in mean))), "als-blocks")
+    return placed.select(*sig, "block", "item_id", "v"), blocks
+
+
+# Items of one slice of the order of all items; a slice of a bucket is sorted by one task.
+SLICE_ITEMS = 1_000_000
+
+
+def _als_pruned(idx: DataFrame, q: DataFrame, seen: DataFrame, rank: int, k: int, seeds: Sequence[int],
+                head_size: int, decimals: int) -> DataFrame:
+    """Exact top K per request from the blocks of its bucket that can hold one of them.
+
+    The first block of a bucket (its head) is scored for every request that has factors. The K-th
+    unseen score there is a floor: every block whose bound lies below it (by more than the
+    rounding) is left out, the others are scored as well. A request with fewer unseen items in
+    its head has no floor and scores all blocks. Requests without factors score NaN throughout
+    and want the smallest unseen ids: they are answered from the bucket's least ids, or, where
+    too many of those are seen, from the whole bucket."""
+    sig = signature_names(seeds)
+    placed, blocks = als_blocks(idx, rank, head_size, seeds)
+    own = ["k"] if "k" in q.columns else []
+    known = q.where("u is not null")
+    first = placed.where("block = 0").drop("block")
+    in_head = materialize(_als_scored(known.join(first, sig), seen, rank), "als-heads")
+    s = F.round("prediction", decimals)
+    floor_ = (in_head.where(~F.isnan("prediction")).withColumn("i", F.row_number().over(Window.partitionBy("query_id").orderBy(s.desc())))
+              .where(F.col("i") == F.lit(int(k))).select("query_id", s.alias("floor")))
+    asked = materialize(known.join(floor_, "query_id", "left"), "als-asked")
+    a = dot("u", "mean", rank)
+    norm = F.sqrt(dot("u", "u", rank))
+    side = F.sqrt(F.greatest(norm * norm - a * a, F.lit(0.0)))
+    slack = F.lit(10.0 ** -decimals) + 1e-9 * norm * F.col("longest")
+    bound = F.least(norm * F.col("longest"), F.greatest(a * F.col("most"), a * F.col("least")) + side * F.col("across"))
+    # A block of unknown items alone has no bound: its NaN scores come after any floor.
+    wanted = F.col("floor").isNull() | (F.col("longest").isNotNull() & (bound + slack >= F.col("floor")))
+    more = (asked.join(blocks.where("block > 0"), sig).where(wanted)
+            .select("query_id", "user_id", "u", *own, *sig, "block"))
+    further = _als_scored(more.join(placed, [*sig, "block"]), seen, rank)
+    best = top_k(in_head.unionByName(further), k, decimals=decimals)
+
+    unknown = q.where("u is null")
+    w = Window.partitionBy(*sig).orderBy("item_id")
+    least = materialize(idx.select(*sig, "item_id", "v").withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= F.lit(int(head_size))).drop("pos"), "least-ids")
+    sizes = idx.groupBy(*sig).agg(F.count(F.lit(1)).alias("bucket_size"))
+    by_id = materialize(_als_scored(unknown.join(least, sig), seen, rank), "als-unknown")
+    enough = by_id.groupBy("query_id").count().where(F.col("count") >= F.lit(int(k))).select("query_id")
+    fits = unknown.join(sizes, sig).where(F.col("bucket_size") <= F.lit(int(head_size))).select("query_id")
+    done = materialize(enough.unionByName(fits).distinct(), "als-done")
+    rest = unknown.join(done, "query_id", "left_anti")
+    cold = top_k(by_id.join(done, "query_id", "left_semi").unionByName(_als_scored(L.signature_join(rest, idx, seeds), seen, rank)), k, decimals=decimals)
+    return best.select(*_RANKED).unionByName(cold.select(*_RANKED))

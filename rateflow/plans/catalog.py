@@ -33,7 +33,9 @@ KEYWORDS = ["PROMO"]
 KEYWORDS_NONE = ["no-such-tag"]
 SECOND_DELTA_FROM = "2001-09-01"
 TOP_K = 3
-USER_STEP = 7
+DAMAGED_STEP = 7
+COLD_USERS = 1_000_000_000
+SOLVED_WITHIN = 1e-3
 FEED_ROWS = 1_000_000
 FEED_FILES = 64
 # Requests given in memory, each with a K of its own: (user_id, tags, k).
@@ -121,9 +123,9 @@ def load_delta_text(spark, d):
 
 def load_ratings_text_rejected(spark, d):
     """The lines that the permissive reader diverts, from a feed in which the ratings of one
-    user in USER_STEP are damaged."""
+    user in DAMAGED_STEP are damaged."""
     path = scratch_path(spark, "damaged-ratings-text")
-    lines = TX.ratings_lines(TB.ratings_table(spark, d), damaged=F.col("user_id") % USER_STEP == 0)
+    lines = TX.ratings_lines(TB.ratings_table(spark, d), damaged=F.col("user_id") % DAMAGED_STEP == 0)
     lines.write.text(path)
     return TX.rejected_lines(spark, path, "ratings")
 
@@ -290,8 +292,8 @@ def baseline_predict(spark, d):
 # --- recommendation -----------------------------------------------------------
 
 def rated_items_of_user(spark, d):
-    """The point lookup for a set of users: one in USER_STEP."""
-    users = TB.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")).where(F.col("user_id") % USER_STEP == 0)
+    """The point lookup for every customer."""
+    users = TB.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
     return R.rated_items(TB.ratings_table(spark, d), users)
 
 
@@ -315,16 +317,51 @@ def recommend_baseline_own_k(spark, d):
     return R.recommend_baseline(L.lsh_index(items), requests, ratings, B.fit_baseline(ratings), most)
 
 
+def recommend_baseline_cold(spark, d):
+    """Every user's request, and the same again from a user without ratings."""
+    ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
+    known = recommend_requests(spark, d, ratings, items)
+    cold = known.select((-F.col("query_id")).alias("query_id"), (F.col("user_id") + COLD_USERS).alias("user_id"), "tags")
+    return R.recommend_baseline(L.lsh_index(items), known.unionByName(cold), ratings, B.fit_baseline(ratings), TOP_K)
+
+
 def als_predict(spark, d):
     from rateflow.operators.als import als_predict as predict, fit_als
-    model = fit_als(TB.base_ratings(spark, d))
+    model = fit_als(TB.base_ratings(spark, d), dense_ids=True)
     return predict(model, delta_pairs(spark, d)).select("user_id", "item_id", "prediction")
 
 
+def als_normal_equations(spark, d):
+    """Whether each user's factors solve the user's regularised least squares."""
+    from rateflow.operators.als import factors, fit_als, normal_residuals
+    ratings = TB.ratings_table(spark, d)
+    found = normal_residuals(factors(fit_als(ratings, dense_ids=True)), ratings)
+    return found.select("user_id", "n_ratings", (F.col("residual") < SOLVED_WITHIN).alias("solved"))
+
+
+def als_fold_in(spark, d):
+    """Users of the deltas, given factors by their delta ratings under the model of the base."""
+    from rateflow.operators.als import factors, fit_als, fold_in
+    f = factors(fit_als(TB.base_ratings(spark, d), dense_ids=True))
+    return fold_in(f, TB.delta_ratings(spark, d)).select("user_id", "n_ratings", F.size("u").alias("rank"))
+
+
+def recommender_fit(spark, d):
+    """Both models of the session API's recommender, trained together: how many items each
+    recommends for every request."""
+    from rateflow.api import LSHIndex, Recommender
+    items = TB.items_table(spark, d)
+    rec = Recommender(spark, LSHIndex(items), TB.ratings_table(spark, d), als_params={"dense_ids": True})
+    requests = recommend_requests(spark, d)
+    both = (rec.recommend_baseline(requests, TOP_K).select("query_id", F.lit(1).alias("b"), F.lit(0).alias("c"))
+            .unionByName(rec.recommend_collaborative(requests, TOP_K).select("query_id", F.lit(0).alias("b"), F.lit(1).alias("c"))))
+    return both.groupBy("query_id").agg(F.sum("b").alias("n_baseline"), F.sum("c").alias("n_collaborative"))
+
+
 def recommend_als(spark, d):
     from rateflow.operators.als import fit_als
     ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
-    model = fit_als(ratings)
+    model = fit_als(ratings, dense_ids=True)
     return R.recommend_als(L.lsh_index(items), recommend_requests(spark, d, ratings, items), ratings,
                            model, TOP_K)
 
@@ -393,7 +430,11 @@ QUERIES: dict[str, Query] = {
     "unseen_candidates": unseen_candidates,
     "recommend_baseline": recommend_baseline,
     "recommend_baseline_own_k": recommend_baseline_own_k,
+    "recommend_baseline_cold": recommend_baseline_cold,
     "als_predict": als_predict,
+    "als_normal_equations": als_normal_equations,
+    "als_fold_in": als_fold_in,
+    "recommender_fit": recommender_fit,
     "als_coldstart": als_coldstart,
     "recommend_als": recommend_als,
     "recommend_als_shape": recommend_als_shape,

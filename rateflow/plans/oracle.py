@@ -186,7 +186,7 @@ def build() -> dict[str, str]:
     q["load_ratings_text"] = _with(RATINGS) + "SELECT * FROM ratings"
     q["load_delta_text"] = _with(DELTA) + "SELECT * FROM delta"
     q["load_ratings_text_rejected"] = (_with(RATINGS) + "SELECT concat_ws('|', user_id, item_id, '?', ts) AS line "
-                                       f"FROM ratings WHERE user_id % {C.USER_STEP} = 0")
+                                       f"FROM ratings WHERE user_id % {C.DAMAGED_STEP} = 0")
     q["items_per_year"] = (_with(RATINGS) + f"SELECT year, count(*) AS n_items FROM "
                            f"(SELECT DISTINCT {YEAR} AS year, item_id FROM ratings) GROUP BY year")
     q["rating_counts_year_item"] = (_with(RATINGS) + f"SELECT {YEAR} AS year, item_id, count(*) AS n "
@@ -248,7 +248,7 @@ def build() -> dict[str, str]:
                                "AS prediction FROM pairs p LEFT JOIN bua u USING (user_id) "
                                "LEFT JOIN bdev d USING (item_id)")
     q["rated_items_of_user"] = (_with(RATINGS) + "SELECT user_id, item_id FROM ratings "
-                                f"WHERE user_id % {C.USER_STEP} = 0")
+                                "WHERE user_id IN (SELECT c_custkey FROM customer)")
     rec = [ITEMS, ITEMS_D, RATINGS, INDEX, REQUESTS, REQ_SIG, CANDS]
     q["unseen_candidates"] = (_with(BASE, DELTA, "pairs AS (SELECT DISTINCT user_id, item_id FROM delta)")
                               + "SELECT user_id, item_id FROM pairs p WHERE NOT EXISTS "
@@ -260,6 +260,12 @@ def build() -> dict[str, str]:
         _with(*rec, "n AS (SELECT query_id, count(*) AS n FROM cands GROUP BY query_id)")
         + f"SELECT query_id, least(n, {C.TOP_K})::BIGINT AS n_items, 0::BIGINT AS n_seen, "
           f"0::BIGINT AS n_outside, (least(n, {C.TOP_K}) * (least(n, {C.TOP_K}) + 1) / 2)::BIGINT AS rank_sum FROM n")
+    q["als_normal_equations"] = _with(RATINGS) + "SELECT user_id, count(*) AS n_ratings, true AS solved FROM ratings GROUP BY user_id"
+    q["als_fold_in"] = (_with(BASE, DELTA) + "SELECT user_id, count(*) AS n_ratings, 10::INTEGER AS rank FROM delta "
+                        "WHERE item_id IN (SELECT item_id FROM base) GROUP BY user_id")
+    q["recommender_fit"] = (_with(*rec, "n AS (SELECT query_id, count(*) AS n FROM cands GROUP BY query_id)")
+                            + f"SELECT query_id, least(n, {C.TOP_K})::BIGINT AS n_baseline, least(n, {C.TOP_K})::BIGINT AS n_collaborative FROM n")
+
     def baseline_top(requests: str, limit: str) -> str:
         return (_with(ITEMS, ITEMS_D, RATINGS, INDEX, requests, f"req_sig AS (SELECT *, {sql_signature('tags')} FROM req)", *bl,
                       "cands AS (SELECT q.query_id, q.user_id, q.k, x.item_id FROM req_sig q JOIN idx x "
@@ -274,6 +280,9 @@ def build() -> dict[str, str]:
 
     given = ", ".join(f"({i}, {u}, {_lit_list(t)}, {k})" for i, (u, t, k) in enumerate(C.REQUESTS_IN_MEMORY))
     q["recommend_baseline"] = baseline_top(REQUESTS.replace("i.tags FROM", f"i.tags, {C.TOP_K} AS k FROM"), str(C.TOP_K))
+    known = REQUESTS.replace("i.tags FROM", f"i.tags, {C.TOP_K} AS k FROM").replace("req AS (", "known AS (", 1)
+    q["recommend_baseline_cold"] = baseline_top(
+        known + f", req AS (SELECT * FROM known UNION ALL SELECT -query_id, user_id + {C.COLD_USERS}, tags, k FROM known)", str(C.TOP_K))
     q["recommend_baseline_own_k"] = baseline_top(
         f"req AS (SELECT query_id::BIGINT AS query_id, user_id::BIGINT AS user_id, tags, k FROM (VALUES {given}) v(query_id, user_id, tags, k))", "k")
     return q

@@ -54,3 +54,67 @@ def test_dense_ids_lift_the_int_limit(spark, ratings):
     got = {r.user_id: r for r in ALS.als_predict(model, pairs).collect()}
     assert got[far + 1].item_id == far + 260 and 0 < got[far + 1].prediction < 6
     assert got[far + 999999].prediction != got[far + 999999].prediction
+
+
+def _plain_als_residuals(f, ratings):
+    """Normal equations of every user with numpy."""
+    import numpy as np
+    v = {r.item_id: np.array(r.v, float) for r in f.items.collect()}
+    u = {r.user_id: np.array(r.u, float) for r in f.users.collect()}
+    a, b, n = {}, {}, {}
+    for r in ratings.collect():
+        if r.item_id in v:
+            a[r.user_id] = a.get(r.user_id, 0) + np.outer(v[r.item_id], v[r.item_id])
+            b[r.user_id] = b.get(r.user_id, 0) + r.rating * v[r.item_id]
+            n[r.user_id] = n.get(r.user_id, 0) + 1
+    solved = {x: np.linalg.solve(a[x] + ALS.ALS_REG * n[x] * np.eye(f.rank), b[x]) for x in n}
+    return u, solved, n
+
+
+def test_users_solve_their_normal_equations(spark, ratings, als_model):
+    import numpy as np
+    f = ALS.factors(als_model)
+    u, solved, n = _plain_als_residuals(f, ratings)
+    assert set(u) == set(solved)
+    assert max(np.abs(u[x] - solved[x]).max() for x in u) < 1e-3
+    got = {r.user_id: r for r in ALS.normal_residuals(f, ratings).collect()}
+    assert {x: r.n_ratings for x, r in got.items()} == n and max(r.residual for r in got.values()) < 1e-3
+    # Factors that don't belong to the ratings are told apart.
+    from pyspark.sql import functions as F
+    wrong = ALS.normal_residuals(f, ratings.withColumn("rating", 5.5 - F.col("rating"))).collect()
+    assert min(r.residual for r in wrong) > 1e-3
+
+
+def test_fold_in_solves_the_same_system(spark, ratings, als_model):
+    import numpy as np
+    f = ALS.factors(als_model)
+    new = spark.createDataFrame([(-1, 260, None, 5.0, 1), (-1, 1210, None, 1.0, 1), (-1, 424242, None, 3.0, 1), (-2, 424242, None, 3.0, 1), (-3, 260, None, 2.0, 1), (-3, 260, None, 4.0, 2)],
+                                "user_id long, item_id long, old_rating double, rating double, ts long")
+    every = ratings.unionByName(new)
+    _, solved, n = _plain_als_residuals(f, every)
+    got = {r.user_id: r for r in ALS.fold_in(f, every).collect()}
+    assert set(got) == set(solved) and -2 not in got
+    assert all(got[x].n_ratings == n[x] and np.abs(np.array(got[x].u) - solved[x]).max() < 1e-4 for x in got)
+    assert ALS.fold_in(f, new.limit(0)).collect() == []
+    folded = ALS.Factors(ALS.fold_in(f, new).select("user_id", "u"), f.items, f.rank)
+    assert max(r.residual for r in ALS.normal_residuals(folded, new).collect()) < 1e-4
+
+
+@pytest.mark.parametrize("head, slice_items", [(1, 1_000_000), (3, 4), (64, 1_000_000)])
+def test_pruned_recommendations_equal_the_full_ones(spark, monkeypatch, head, slice_items):
+    """Random factors with ties, items and users that the model doesn't know, negative scores,
+    several rated items and a K of their own."""
+    import random
+    monkeypatch.setattr(R, "SLICE_ITEMS", slice_items)
+    r = random.Random(head)
+    vectors = [[r.choice([-1.0, 0.0, 0.5, 2.0]) + (1.0 if j == 0 else 0.0) for j in range(3)] for _ in range(12)]
+    items = spark.createDataFrame([(i, r.choice(vectors) if r.random() < 0.9 else None) for i in range(200)], "item_id long, v array<float>")
+    users = spark.createDataFrame([(u, [r.choice([-1.0, 0.0, 1.0]) for _ in range(3)]) for u in range(25)], "user_id long, u array<float>")
+    f = ALS.Factors(users, items.where("v is not null"), 3)
+    index = L.lsh_index(items.selectExpr("item_id", "'t' as title", "array(if(item_id < 150, 'big', 'small')) as tags"))
+    ratings = spark.createDataFrame([(r.randrange(30), r.randrange(200), 3.0) for _ in range(900)] + [(40, i, 1.0) for i in range(198)], "user_id long, item_id long, rating double")
+    requests = spark.createDataFrame([(q, r.choice([*range(30), 40]), [r.choice(["big", "small", "none"])], r.randint(1, 7)) for q in range(120)],
+                                     "query_id long, user_id long, tags array<string>, k int")
+    for asked in (requests, requests.drop("k")):
+        full = sorted(map(repr, R.recommend_als(index, asked, ratings, f, 7, strategy="full").collect()))
+        assert full and sorted(map(repr, R.recommend_als(index, asked, ratings, f, 7, head_size=head).collect())) == full

@@ -200,3 +200,30 @@ def test_pruned_equals_full_random(spark, rows, k, head_size):
     pruned = sorted(map(tuple, R.recommend_baseline(idx, req, rt, m, k, strategy="pruned",
                                                     head_size=head_size).collect()), key=repr)
     assert list(map(repr, pruned)) == list(map(repr, full))  # NaN equals itself here
+
+
+@pytest.mark.parametrize("head", [1, 4, 64])
+def test_classes_answer_requests_without_an_order(spark, head):
+    """Unknown users and averages outside [1, 5]: the same rows as the full path, ties and NaN included."""
+    import random
+    r = random.Random(head)
+    items = spark.createDataFrame([(i, f"t{i}", ["a"] if i % 3 else ["b"]) for i in range(120)], "item_id long, title string, tags array<string>")
+    ratings = spark.createDataFrame(
+        [(u, r.randrange(110), None, r.choice([0.5, 0.5, 1.0] if u < 8 else [1.0, 3.0, 4.5, 5.0]), 0) for u in range(20) for _ in range(6)],
+        "user_id long, item_id long, old_rating double, rating double, ts long")
+    model, idx = B.fit_baseline(ratings), L.lsh_index(items)
+    # Users that the model doesn't know, but who have rated nearly everything meanwhile.
+    seen = ratings.unionByName(spark.createDataFrame([(900, i, None, 3.0, 0) for i in range(117)], ratings.schema))
+    req = spark.createDataFrame([(q, u, [t]) for q, (u, t) in enumerate((u, t) for u in [*range(20), 900, 901, 902] for t in "abc")], REQ_SCHEMA)
+    full = sorted(map(repr, R.recommend_baseline(idx, req, seen, model, 5, strategy="full").collect()))
+    assert sorted(map(repr, R.recommend_baseline(idx, req, seen, model, 5, head_size=head).collect())) == full
+
+
+def test_cold_requests_cost_classes_not_requests(spark, index, ratings, model):
+    """1,000 requests of unknown users with the same tags rank their bucket once."""
+    from rateflow.operators.lsh import with_signature
+    req = spark.createDataFrame([(q, 10_000 + q, SW) for q in range(1000)], REQ_SCHEMA)
+    classes = with_signature(req, "tags").select("sig_0", "sig_1", F.lit(0.0).alias("r")).distinct()
+    assert R.class_heads(index, model, classes, 64, R.DEFAULT_SEEDS, 6).count() == 10
+    got = R.recommend_baseline(index, req, ratings, model, 3).groupBy("query_id").agg(F.collect_list("item_id").alias("i")).collect()
+    assert len(got) == 1000 and len({tuple(sorted(r.i)) for r in got}) == 1
