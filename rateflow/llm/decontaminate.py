@@ -94,6 +94,11 @@ def _items(window: int, k: int):
     return run
 
 
+def _words(joined: str) -> list[str]:
+    """Words of a context; they can hold any blank but the space, at which it is joined."""
+    return joined.split(" ") if joined else []
+
+
 def _common(x: list[str], y: list[str]) -> int:
     n = 0
     for p, q in zip(x, y):
@@ -111,10 +116,10 @@ def _extend(window: int, k: int):
             for i, (kind, pos, before, after, item_before, item_after) in enumerate(
                     zip(f.kind, f.pos, f.before, f.after, f.item_before, f.item_after)):
                 size = k if kind == window else kind
-                right = _common(after.split(" "), item_after.split(" "))
+                right = _common(_words(after), _words(item_after))
                 if right < size:
                     continue  # another k-gram with the same hash
-                left = _common(before.split()[::-1], item_before.split()[::-1])
+                left = _common(_words(before)[::-1], _words(item_before)[::-1])
                 if left + right >= kind:
                     at.append(i)
                     start.append(pos - left)

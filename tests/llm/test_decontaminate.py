@@ -44,6 +44,13 @@ def test_against_brute_force(spark):
         docs.append((i, "  ".join(w).upper() if i % 5 == 0 else ", ".join(w)))
     docs += [(100, None), (101, ""), (102, "R " * 5000), (None, items[4][1]), (103, items[5][1]), (103, items[5][1]), (103, "other text"),
              (104, "so just three, words."), (105, " ".join(x for _, x in items if x) + " filler" * 20_000)]
+    # Blanks that the contract's words hold: a word with one is a single word.
+    blanks = "\u00a0\u3000\u0085\u2028\u1680\u2009\x0b\x1c\t\n"
+    odd = [f"m{i}{rnd.choice(blanks)}n{i}" if i % 2 else f"o{i}" for i in range(30)]
+    items += [(30 + i, " ".join(odd[i: i + 12])) for i in range(0, 18, 3)]
+    for i in range(40):
+        a, n = rnd.randint(0, 20), rnd.randint(8, 11)
+        docs.append((200 + i, " ".join(["\u00a0x", *odd[a: a + n], "\u3000"])))
     bench = spark.createDataFrame([(j, t, "clash", "clash") for j, t in items], ITEMS).repartition(2)
     got = D.decontaminate(documents(spark, docs), bench).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got), key=repr) == _brute(docs, items, 10)
