@@ -37,6 +37,8 @@ CAPACITY = 2048
 END_ID = 0
 # Pieces of one length that one task ranks together.
 RANKED_TOGETHER = 200
+# Buckets whose sizes are summed up by one task.
+BUCKETS_TOGETHER = 4096
 
 
 def default_vocabulary() -> str:
@@ -209,9 +211,12 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
     dealt = (pieces.join(F.broadcast(counts), "length")
              .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), groups))
              .drop("of_length"))
-    before = (dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("shift", F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n"))
-              .drop("n"))
+    # Sums in two levels: within blocks of buckets, and over a length's blocks.
+    sizes = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn("block", F.floor(F.col("bucket") / BUCKETS_TOGETHER))
+    base = (sizes.groupBy("length", "block").agg(F.sum("n").alias("in_block"))
+            .withColumn("base", F.sum("in_block").over(Window.partitionBy("length").orderBy("block")) - F.col("in_block")).drop("in_block"))
+    before = (sizes.withColumn("shift", F.sum("n").over(Window.partitionBy("length", "block").orderBy("bucket")) - F.col("n"))
+              .join(base, ["length", "block"]).select("length", "bucket", (F.col("shift") + F.col("base")).alias("shift")))
     ranked = (dealt.withColumn("i", F.row_number().over(
                   Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")))
               .join(before, ["length", "bucket"])

@@ -5,7 +5,11 @@ looked up word by word: each worker keeps bounded caches from the bytes of a wor
 its pieces (letters, punctuation) to ids, and asks the tokenizers library only for pieces
 that it hasn't met. Those are encoded many at a time; every piece ends in a token that
 ends a word, and the count of such tokens shows whether each was one piece to the library.
-Where it was not, and for texts with combining marks, each is encoded on its own.
+Where it was not, and for texts with characters that lower-casing or normalising could change
+together with their neighbours, each is encoded on its own.
+
+How a text is cut follows from the text alone, and pieces and whole words have caches of their
+own, so ids don't depend on what a worker has met before.
 """
 
 from __future__ import annotations
@@ -22,9 +26,12 @@ import numpy as np
 _ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 _LETTERS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
 _WORDS = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
-# Lead bytes of the combining marks U+0300 to U+036F: with them, lower-casing first could
-# change how a text is normalised.
-_MARKS = re.compile(rb"[\xcc\xcd]")
+# Lead bytes of the combining marks U+0300 to U+036F, and U+0130, whose lower case has such a mark:
+# with them, lower-casing first could change how a text is normalised. Control characters but
+# blanks are dropped or kept by the library's own rules.
+_MARKS = re.compile(rb"[\xcc\xcd]|\xc4\xb0")
+_ASCII_BYTES = bytes(range(128))
+_CONTROLS = re.compile(rb"[\x00-\x08\x0e-\x1f\x7f]")
 _ID = np.dtype("<u4")
 
 
@@ -40,7 +47,8 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.cache_size, self.batch = cache_size, batch
-        self.ids: dict[bytes, bytes] = {}
+        self.ids: dict[bytes, bytes] = {}  # of pieces
+        self.words: dict[bytes, bytes] = {}  # of words that are encoded whole
 
     def _one(self, text: bytes) -> bytes:
         ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -60,36 +68,45 @@ class WordEncoder:
             raw, at = ids.tobytes(), (cuts * 4).tolist()
             into.update((p, raw[a:b]) for p, a, b in zip(part, [0, *at], at))
 
-    def _cut(self, text: bytes) -> list[bytes] | None:
-        """Pieces of the text; None if it has to be encoded as a whole."""
-        if b"<|" in text:
-            return None  # may begin a special token
+    def _cut(self, text: bytes) -> tuple[list[bytes] | None, bool]:
+        """Pieces of the text; words, if it has other characters beyond ASCII than letters (True);
+        None if it has to be encoded as a whole."""
+        if b"<|" in text or _CONTROLS.search(text):
+            return None, False  # may begin a special token
         if text.isascii():
-            return _ASCII.findall(text.lower())
-        return None if _MARKS.search(text) else _LETTERS.findall(text.lower())
+            return _ASCII.findall(text.lower()), False
+        if _MARKS.search(text):
+            return None, False
+        lower = text.lower()
+        beyond = lower.translate(None, _ASCII_BYTES).decode("utf-8", "replace")
+        return (_LETTERS.findall(lower), False) if beyond.isalpha() else (_WORDS.findall(lower), True)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.ids) > self.cache_size:
-            self.ids = {}
-        ids = self.ids
+        if len(self.ids) + len(self.words) > self.cache_size:
+            self.ids, self.words = {}, {}
+        ids, words = self.ids, self.words
         cut = [self._cut(t) for t in texts]
         new: set[bytes] = set()
-        for pieces in cut:
-            if pieces is not None:
+        for pieces, whole in cut:
+            if whole:
+                for p in set(pieces):
+                    if p.isascii():
+                        new.add(p)
+                    elif p not in words:
+                        words[p] = self._one(p)
+            elif pieces is not None:
                 new.update(pieces)
-        plain = [p for p in new if p not in ids]
-        odd = {p for p in plain if not p.isascii() and not p.decode("utf-8", "replace").isalpha()}
-        if odd:
-            plain = [p for p in plain if p not in odd]
-            for i, pieces in enumerate(cut):
-                if pieces is not None and not odd.isdisjoint(pieces):
-                    cut[i] = _WORDS.findall(texts[i].lower())
-            words = {p for pieces in cut if pieces is not None for p in pieces if p not in ids} - set(plain)
-            plain += [p for p in words if p.isascii()]
-            ids.update((p, self._one(p)) for p in words if not p.isascii())
-        self._plain(plain)
+        self._plain([p for p in new if p not in ids])
         get = ids.__getitem__
-        return [self._one(t) if pieces is None else b"".join(map(get, pieces)) for t, pieces in zip(texts, cut)]
+
+        def joined(text: bytes, pieces: list[bytes] | None, whole: bool) -> bytes:
+            if pieces is None:
+                return self._one(text)
+            if whole:
+                return b"".join(ids[p] if p.isascii() else words[p] for p in pieces)
+            return b"".join(map(get, pieces))
+
+        return [joined(t, *c) for t, c in zip(texts, cut)]
 
 
 @cache

@@ -25,6 +25,30 @@ def test_ids_are_those_of_the_library():
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+# What white space, lower-casing, normalising and the vocabulary's rules treat in their own ways.
+ATOMS = ["mot", "Été", "»", "«", "”", "—", "…", "€", "😀", "İ", "i̇", "ß", "é", "e\u0301", "\u00a0", "\u3000", "\u0085", "\u200b", "\u00ad",
+         ".", "!!", "...", "'s", "'LL", "23", "٣", "²", "½", "漢字", "한글", "नमस्ते", "\x00", "\x01", "\x7f", "\t", "\n", " ", " ", "(", ")", "ª",
+         "_", "ŉ", "ﬁ", "Ǆ", "ΑΣ", "\u0345", "\ufeff", "\u200d", "<", "<|", "Ⅷ", "\u2028", "\x1c"]
+
+
+@pytest.mark.parametrize("cache_size", [1, 300_000])
+def test_ids_do_not_depend_on_texts_before(cache_size):
+    """Random texts in two orders, with caches that are cold and warm."""
+    from rateflow.llm.tokenize import WordEncoder
+    library = Tokenizer.from_file(pack.default_vocabulary())
+    rnd = random.Random(cache_size)
+    texts = ["« mot »", "Il dit « mot ».", "»", "it.”", "(—)", "wait...…", "great!!😀"] + \
+        ["".join(rnd.choice(ATOMS) for _ in range(rnd.randrange(1, 8))) for _ in range(3000)]
+    expected = {t: library.encode(t, add_special_tokens=False).ids for t in texts}
+    encoder = WordEncoder(pack.default_vocabulary(), cache_size=cache_size)
+    for _ in range(2):
+        rnd.shuffle(texts)
+        for i in range(0, len(texts), 50):
+            part = texts[i: i + 50]
+            for text, ids in zip(part, encoder.encode([t.encode() for t in part])):
+                assert np.frombuffer(ids, "<u4").tolist() == expected[text], text
+
+
 def _best_fit(items, capacity):
     free = []
     for s in sorted(items, reverse=True):
@@ -94,3 +118,22 @@ def test_pieces_and_places(spark, capacity):
 
 def test_no_documents(spark):
     assert pack.pack(no_documents(spark)).collect() == []
+
+
+def test_one_length_over_many_buckets(spark, monkeypatch):
+    # Ranks of a single length come from small buckets, whose sizes are summed in two levels.
+    monkeypatch.setattr(pack, "RANKED_TOGETHER", 2)
+    monkeypatch.setattr(pack, "BUCKETS_TOGETHER", 3)
+    rows = [(i, " ".join(["word"] * 9)) for i in range(60)] + [(100 + i, "a b") for i in range(31)] + [(7, "a b")] * 3
+    got = pack.pack(documents(spark, rows), capacity=20).collect()
+    assert len(got) == len(rows) and Counter(r.length for r in got) == {10: 60, 3: 34}
+    held = {}
+    for r in got:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in held.values():
+        ends = [0]
+        for offset, length in sorted(pieces):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 20
+    assert len(held) == 30 + -(-34 // 6)
