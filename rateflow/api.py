@@ -32,7 +32,7 @@ from rateflow.operators import lsh as L
 from rateflow.operators import recommend as R
 from rateflow.operators import stats as S
 from rateflow.schemas import REQUESTS, REQUESTS_WITH_K
-from rateflow.session import checkpoint_dir
+from rateflow.session import ScratchScope, checkpoint_dir
 from rateflow.sources.text import read_deltas_text, read_items_text, read_ratings_text
 
 _LEVEL = StorageLevel.MEMORY_AND_DISK
@@ -91,15 +91,25 @@ class Analytics:
 
 class Averages:
     """Average rating per item, maintained under deltas (see
-    ``incremental.MaintainedAverages`` for how the state is stored)."""
+    ``incremental.MaintainedAverages`` for how the state is stored). With ``keyword_index`` many
+    keyword lists are answered from a maintained index instead of the state."""
 
-    def __init__(self, spark: SparkSession, ratings: DataFrame, items: DataFrame):
+    def __init__(self, spark: SparkSession, ratings: DataFrame, items: DataFrame, keyword_index: bool = False):
         self._m = I.MaintainedAverages(spark, S.item_stats(ratings, items))
+        self.index = S.KeywordIndex(spark, self._m.state) if keyword_index else None
+        if self.index:
+            self._m.listeners.append(self.index)
 
     @property
     def state(self) -> DataFrame:
         return self._m.state
 
+    def close(self) -> None:
+        """Delete the stored state and index."""
+        self._m.remove()
+        if self.index:
+            self.index.remove()
+
     def result(self) -> DataFrame:
         """(item_id, title, avg)."""
         return S.title_averages(self.state)
@@ -108,6 +118,8 @@ class Averages:
         return S.keyword_average(self.state, keywords, rated_only)
 
     def keyword_averages(self, queries: DataFrame, rated_only: bool = False) -> DataFrame:
+        if self.index:
+            return self.index.averages(queries, rated_only)
         return S.keyword_averages(self.state, queries, rated_only)
 
     def update(self, deltas: DataFrame) -> DataFrame:
@@ -133,6 +145,9 @@ class LSHIndex:
     def lookup(self, queries: DataFrame, tags_col: str = "tags", keep_unmatched: bool = True) -> DataFrame:
         return L.lsh_lookup(self.index, queries, tags_col, self.seeds, keep_unmatched)
 
+    def unpersist(self) -> None:
+        self.index.unpersist()
+
 
 def requests_in_memory(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     """``[(user_id, tags), ...]`` or ``[(user_id, tags, k), ...]`` -> (query_id, user_id, tags[, k])."""
@@ -142,17 +157,32 @@ def requests_in_memory(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
 
 
 class Recommender:
-    """Baseline and ALS recommenders over an LSH index (both trained eagerly)."""
+    """Baseline and ALS recommenders over an LSH index (both trained eagerly).
+
+    It owns the tables that training and recommending store; ``close`` removes them, so results
+    must be stored or collected before. The index belongs to the caller."""
 
     def __init__(self, spark: SparkSession, index: LSHIndex, ratings: DataFrame,
                  als_params: dict | None = None, train_als: bool = True):
-        from rateflow.operators.als import fit_als
+        from rateflow.operators.als import factors, fit_als
         checkpoint_dir(spark)
         self._spark = spark
         self.index = index
         self.ratings = ratings.select("user_id", "item_id", "rating").persist(_LEVEL)
-        self.baseline = B.fit_baseline(self.ratings)
-        self.als = fit_als(self.ratings, **(als_params or {})) if train_als else None
+        self._scope = ScratchScope(spark)
+        with self._scope:
+            self.baseline = B.fit_baseline(self.ratings)
+            self.als = factors(fit_als(self.ratings, **(als_params or {}))) if train_als else None
+
+    def close(self) -> None:
+        self.ratings.unpersist()
+        self._scope.release()
+
+    def __enter__(self) -> Recommender:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
     def requests(self, rows: Iterable[tuple]) -> DataFrame:
         """``[(user_id, tags), ...]`` or ``[(user_id, tags, k), ...]`` -> a request DataFrame with
@@ -170,8 +200,9 @@ class Recommender:
         return als_predict(self.als, pairs)
 
     def recommend_baseline(self, requests: DataFrame, k: int) -> DataFrame:
-        return R.recommend_baseline(self.index.index, requests, self.ratings, self.baseline, k,
-                                    self.index.seeds)
+        with self._scope:
+            return R.recommend_baseline(self.index.index, requests, self.ratings, self.baseline, k, self.index.seeds)
 
     def recommend_collaborative(self, requests: DataFrame, k: int) -> DataFrame:
-        return R.recommend_als(self.index.index, requests, self.ratings, self.als, k, self.index.seeds)
+        with self._scope:
+            return R.recommend_als(self.index.index, requests, self.ratings, self.als, k, self.index.seeds)

@@ -80,9 +80,12 @@ def fit_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_IT
     return DenseALS(als.fit(_int_ids(numbered)), users, items)
 
 
-def als_predict(model: ALSModel | DenseALS, pairs: DataFrame) -> DataFrame:
+def als_predict(model: ALSModel | DenseALS | Factors, pairs: DataFrame) -> DataFrame:
     """``pairs(user_id, item_id, ...)`` -> the same rows plus ``prediction`` (double);
     NaN for an id the model has not seen."""
+    if isinstance(model, Factors):
+        joined = per_key_join(per_key_join(pairs, model.users, "user_id", "left"), model.items, "item_id", "left")
+        return joined.withColumn("prediction", F.coalesce(dot("u", "v", model.rank), F.lit(float("nan")))).drop("u", "v")
     if isinstance(model, DenseALS):
         numbered = per_key_join(per_key_join(pairs, model.users, "user_id", "left"), model.items, "item_id", "left")
         renamed = numbered.withColumnsRenamed({"user_id": "_user", "item_id": "_item", "user_id_number": "user_id", "item_id_number": "item_id"})

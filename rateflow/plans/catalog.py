@@ -130,6 +130,17 @@ def load_ratings_text_rejected(spark, d):
     return TX.rejected_lines(spark, path, "ratings")
 
 
+def load_ratings_text_diverted(spark, d):
+    """Good rows and rejected lines of the damaged feed, from one pass."""
+    path = scratch_path(spark, "damaged-ratings-text")
+    TX.ratings_lines(TB.ratings_table(spark, d), damaged=F.col("user_id") % DAMAGED_STEP == 0).write.text(path)
+    found = TX.divert_lines(spark, path, "ratings")
+    nothing = F.lit(None)
+    return (found.rows.select("user_id", "item_id", "rating", "ts", nothing.cast("string").alias("line"))
+            .unionByName(found.rejected.select(nothing.cast("bigint").alias("user_id"), nothing.cast("bigint").alias("item_id"),
+                                               nothing.cast("double").alias("rating"), nothing.cast("bigint").alias("ts"), "line")))
+
+
 # --- analytics ----------------------------------------------------------------
 
 def items_per_year(spark, d):
@@ -225,6 +236,22 @@ def keyword_average_after_delta(spark, d):
     return S.keyword_average(state, KEYWORDS).select(_r("keyword_avg"), "n_items")
 
 
+def apply_delta_stored(spark, d):
+    """The deltas as two updates of a stored state, which rewrite the parts that they touch."""
+    kept = I.MaintainedAverages(spark, base_state(spark, d))
+    kept.update(TB.delta_ratings(spark, d, until=SECOND_DELTA_FROM))
+    return _state_out(kept.update(TB.delta_ratings(spark, d, since=SECOND_DELTA_FROM)))
+
+
+def keyword_averages_after_delta(spark, d):
+    """All keyword queries, from an index that follows the deltas."""
+    kept = I.MaintainedAverages(spark, base_state(spark, d))
+    index = S.KeywordIndex(spark, kept.state)
+    kept.listeners.append(index)
+    kept.update(TB.delta_ratings(spark, d))
+    return index.averages(keyword_queries(spark, d)).select("query_id", _r("keyword_avg"), "n_items")
+
+
 def apply_delta_stream(spark, d):
     """The delta feed as Parquet files of FEED_ROWS rows at most, streamed in micro-batches."""
     feed = scratch_path(spark, "delta-feed")
@@ -321,7 +348,7 @@ def recommend_baseline_cold(spark, d):
     """Every user's request, and the same again from a user without ratings."""
     ratings, items = TB.ratings_table(spark, d), TB.items_table(spark, d)
     known = recommend_requests(spark, d, ratings, items)
-    cold = known.select((-F.col("query_id")).alias("query_id"), (F.col("user_id") + COLD_USERS).alias("user_id"), "tags")
+    cold = known.select((-1 - F.col("query_id")).alias("query_id"), (F.col("user_id") + COLD_USERS).alias("user_id"), "tags")
     return R.recommend_baseline(L.lsh_index(items), known.unionByName(cold), ratings, B.fit_baseline(ratings), TOP_K)
 
 
@@ -395,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "load_ratings_text": load_ratings_text,
     "load_delta_text": load_delta_text,
     "load_ratings_text_rejected": load_ratings_text_rejected,
+    "load_ratings_text_diverted": load_ratings_text_diverted,
     "items_per_year": items_per_year,
     "rating_counts_year_item": rating_counts_year_item,
     "top_item_per_year": top_item_per_year,
@@ -415,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "apply_delta": apply_delta,
     "apply_delta_twice": apply_delta_twice,
     "keyword_average_after_delta": keyword_average_after_delta,
+    "apply_delta_stored": apply_delta_stored,
+    "keyword_averages_after_delta": keyword_averages_after_delta,
     "apply_delta_stream": apply_delta_stream,
     "tag_hash": tag_hash,
     "item_signatures": item_signatures,

@@ -187,6 +187,9 @@ def build() -> dict[str, str]:
     q["load_delta_text"] = _with(DELTA) + "SELECT * FROM delta"
     q["load_ratings_text_rejected"] = (_with(RATINGS) + "SELECT concat_ws('|', user_id, item_id, '?', ts) AS line "
                                        f"FROM ratings WHERE user_id % {C.DAMAGED_STEP} = 0")
+    q["load_ratings_text_diverted"] = (
+        _with(RATINGS) + f"SELECT user_id, item_id, rating, ts, NULL::VARCHAR AS line FROM ratings WHERE user_id % {C.DAMAGED_STEP} <> 0 "
+        f"UNION ALL SELECT NULL, NULL, NULL, NULL, concat_ws('|', user_id, item_id, '?', ts) FROM ratings WHERE user_id % {C.DAMAGED_STEP} = 0")
     q["items_per_year"] = (_with(RATINGS) + f"SELECT year, count(*) AS n_items FROM "
                            f"(SELECT DISTINCT {YEAR} AS year, item_id FROM ratings) GROUP BY year")
     q["rating_counts_year_item"] = (_with(RATINGS) + f"SELECT {YEAR} AS year, item_id, count(*) AS n "
@@ -223,7 +226,11 @@ def build() -> dict[str, str]:
                                     _apply("st3", "st2", "f2"))
                               + STATE_OUT.format(t="st3"))
     q["keyword_average_after_delta"] = _with(*apply_ctes) + _keyword_avg("st2", C.KEYWORDS)
-    q["apply_delta_stream"] = q["apply_delta"]
+    q["apply_delta_stream"] = q["apply_delta_stored"] = q["apply_delta"]
+    q["keyword_averages_after_delta"] = (_with(*apply_ctes, KW_QUERIES) +
+                                         "SELECT q.query_id, round(coalesce(avg(s.avg), -1.0), 6) AS keyword_avg, "
+                                         "count(s.item_id) AS n_items FROM kwq q LEFT JOIN st2 s "
+                                         "ON list_has_all(s.tags, q.keywords) AND len(q.keywords) > 0 GROUP BY q.query_id")
     q["tag_hash"] = (_with(ITEMS, "tg AS (SELECT DISTINCT unnest(tags) AS tag FROM items)")
                      + " UNION ALL ".join(
                          f"SELECT tag, {s}::INTEGER AS seed, {sql_tag_hash('tag', s)} AS hash FROM tg"
@@ -282,7 +289,7 @@ def build() -> dict[str, str]:
     q["recommend_baseline"] = baseline_top(REQUESTS.replace("i.tags FROM", f"i.tags, {C.TOP_K} AS k FROM"), str(C.TOP_K))
     known = REQUESTS.replace("i.tags FROM", f"i.tags, {C.TOP_K} AS k FROM").replace("req AS (", "known AS (", 1)
     q["recommend_baseline_cold"] = baseline_top(
-        known + f", req AS (SELECT * FROM known UNION ALL SELECT -query_id, user_id + {C.COLD_USERS}, tags, k FROM known)", str(C.TOP_K))
+        known + f", req AS (SELECT * FROM known UNION ALL SELECT -1 - query_id, user_id + {C.COLD_USERS}, tags, k FROM known)", str(C.TOP_K))
     q["recommend_baseline_own_k"] = baseline_top(
         f"req AS (SELECT query_id::BIGINT AS query_id, user_id::BIGINT AS user_id, tags, k FROM (VALUES {given}) v(query_id, user_id, tags, k))", "k")
     return q

@@ -5,7 +5,8 @@ under the cluster's checkpoint directory, which must be a shared filesystem on a
 cluster. The directory is read from the session (``spark.checkpoint.dir`` or an
 already set SparkContext checkpoint dir). Where neither is set, a local session gets a
 temporary folder, which is deleted at exit; on a cluster that is an error, as executors
-don't share local folders.
+don't share local folders. Tables that an operator stores on the way stay there until the
+``ScratchScope`` that they were written in is released.
 """
 
 from __future__ import annotations
@@ -63,10 +64,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+class ScratchScope:
+    """Owns the scratch paths that are handed out while it is entered.
+
+        with ScratchScope(spark) as scope:
+            result = query(spark, ...)
+            result.write.parquet(out)
+        scope.release()
+
+    Leaving the block removes nothing, as a result may still be lazy and read its tables; the
+    owner calls ``release`` when everything made from them is stored or no longer needed. Scopes
+    nest: a path belongs to the innermost one."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> ScratchScope:
+        _SCOPES.append(self)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        _SCOPES.remove(self)
+
+    def release(self) -> None:
+        while self.paths:
+            remove_path(self._spark, self.paths.pop())
+
+
+_SCOPES: list[ScratchScope] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint directory."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/rateflow-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/rateflow-{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -78,11 +113,45 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
+def _file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, sorted; none if it doesn't exist."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that readers see whole or not at all: it is written beside and then renamed."""
+    fs, p = _file_system(spark, path)
+    _, beside = _file_system(spark, f"{p.getParent()}/.{p.getName()}-{uuid.uuid4().hex[:12]}")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    if not fs.rename(beside, p):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

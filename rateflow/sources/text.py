@@ -9,7 +9,8 @@ Parsing follows the original loaders: every ``"`` is removed from the line befor
 split on ``|``; items are split into at most three fields, and the tag field is split
 again with Java ``String.split`` semantics (trailing empty fields dropped). Casts are
 strict: under ANSI a malformed line fails the job, as the original does. With
-``permissive=True`` malformed lines are dropped instead (``try_cast``).
+``permissive=True`` the readers leave malformed lines out (``try_cast``); ``rejected_lines`` shows
+them, and ``divert_lines`` stores good rows and rejected lines in one pass.
 
 The whole parse is column expressions over ``spark.read.text``: it splits files across
 tasks like any text scan and never goes through Python per row.
@@ -17,9 +18,13 @@ tasks like any text scan and never goes through Python per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rateflow.session import scratch_path
+
 _PIPE = r"\|"
 
 
@@ -114,6 +119,54 @@ def rejected_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return lines.where(bad).select(F.col("value").alias("line"))
 
 
+# Columns that a line of each kind must have.
+_NEEDED = {"items": ["item_id", "tags"], "ratings": ["user_id", "item_id", "rating", "ts"], "deltas": ["user_id", "item_id", "rating", "ts"]}
+
+
+@dataclass
+class Diverted:
+    """What ``divert_lines`` has stored: the parsed rows, the rejected lines (line) and how many lines
+    there were of each."""
+
+    rows: DataFrame
+    rejected: DataFrame
+    n_lines: int
+    n_rejected: int
+
+
+def divert_lines(spark: SparkSession, path: str, kind: str, out: str | None = None) -> Diverted:
+    """Parse the lines of a kind (``items``, ``ratings`` or ``deltas``) once, and store rows and rejected
+    lines side by side under ``out`` in one job, which counts both on the way."""
+    if kind not in _NEEDED:
+        raise ValueError(f"unknown kind of lines: {kind}")
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    value = _strip_quotes(F.col("line"))
+    if kind == "items":
+        f = F.split(value, _PIPE, 3)
+        parsed = lines.select("line", _field(f, 0, True).try_cast("bigint").alias("item_id"), _field(f, 1, True).alias("title"),
+                              java_split(_field(f, 2, True)).alias("tags"))
+    else:
+        split = lines.select("line", java_split(value).alias("f"))
+        shift = int(kind == "deltas")
+        old = _field(F.col("f"), 2, True).try_cast("double")
+        old = F.when(old >= 0, old) if shift else F.lit(None).cast("double")
+        numbers = [("user_id", 0, "bigint"), ("item_id", 1, "bigint"), ("rating", 2 + shift, "double"), ("ts", 3 + shift, "bigint")]
+        casts = {c: _field(F.col("f"), i, True).try_cast(t).alias(c) for c, i, t in numbers}
+        parsed = split.select("line", casts["user_id"], casts["item_id"], old.alias("old_rating"), casts["rating"], casts["ts"])
+    bad = F.lit(False)
+    for c in _NEEDED[kind]:
+        bad = bad | F.col(c).isNull()
+    seen = Observation()
+    columns = [c for c in parsed.columns if c != "line"]
+    marked = (parsed.withColumn("rejected", bad).observe(seen, F.count(F.lit(1)).alias("n_lines"), F.count_if("rejected").alias("n_rejected"))
+              .select(*columns, F.when(F.col("rejected"), F.col("line")).alias("line"), "rejected"))
+    out = out or scratch_path(spark, f"diverted-{kind}")
+    marked.write.partitionBy("rejected").parquet(out)
+    stored = spark.read.schema(marked.schema).parquet(out)
+    counts = seen.get
+    return Diverted(stored.where("not rejected").select(*columns), stored.where("rejected").select("line"), counts["n_lines"], counts["n_rejected"])
+
+
 def items_lines(items: DataFrame) -> DataFrame:
     return items.select(F.concat(
         F.col("item_id").cast("string"), F.lit('|"'), F.col("title"), F.lit('"|"'),

@@ -17,10 +17,13 @@ Two ways to keep the fold, both exactly once:
   (update mode). Each batch writes the cumulative rows of the items it touched, and the
   current fold is the row of each item's latest batch.
 
-The folds of finished batches are summed into one (``compact_folds``) when a run has left
-more than ``COMPACT_AFTER`` of them. A compacted table is named by the last batch in it,
-and readers add only the batches after that, so nothing counts twice whenever a run is
-interrupted. An ``out_dir`` keeps to the mode that it was begun with.
+A log of small files (``<out>/log``) says what counts: a batch is entered when its fold is
+written, a compaction when its table is. Entries appear whole or not at all, and readers go by
+them alone, so a fold or a compacted table that an interrupted run has left half-written is never
+read. The folds of finished batches are summed into one table (``compact_folds``) when a run has
+left more than ``COMPACT_AFTER`` of them; its entry names the table and the last batch in it, and
+readers add only the batches after that. Folders that no entry needs any more are removed after
+that. An ``out_dir`` keeps to the mode that it was begun with.
 
 The maintained averages are the base state merged with the current fold (a key join).
 Checkpoint, state and folds live under the session's shared checkpoint directory unless
@@ -29,12 +32,14 @@ Checkpoint, state and folds live under the session's shared checkpoint directory
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.operators.incremental import apply_fold, delta_fold
 from rateflow.schemas import RATINGS
-from rateflow.session import path_exists, scratch_path
+from rateflow.session import list_names, path_exists, read_text, remove_path, scratch_path, write_text
 from rateflow.sources.text import java_split, parse_delta_fields
 
 FOLD_SCHEMA = "item_id bigint, ds double, dn bigint, n_rows bigint"
@@ -71,18 +76,15 @@ def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None =
     if path_exists(spark, f"{out}/_mode={other}"):
         raise ValueError(f"{out} holds results of mode {other}")
     spark.createDataFrame([], FOLD_SCHEMA).write.mode("overwrite").parquet(f"{out}/_mode={mode}")
-    folds = f"{out}/folds"
-    # An empty seed partition makes the folds table readable before any batch.
-    spark.createDataFrame([], FOLD_SCHEMA).write.mode("overwrite").parquet(f"{folds}/batch_id=-1")
     deltas = delta_stream(spark, source_dir, fmt, max_files_per_trigger)
 
     if mode == "folds":
         def sink(batch: DataFrame, batch_id: int) -> None:
-            delta_fold(batch).write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
+            _store_batch(spark, out, delta_fold(batch), batch_id)
         writer = deltas.writeStream.outputMode("append")
     else:
         def sink(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{folds}/batch_id={batch_id}")
+            _store_batch(spark, out, batch, batch_id)
         writer = delta_fold(deltas).writeStream.outputMode("update")
 
     query = (writer.option("checkpointLocation", f"{out}/_checkpoint")
@@ -100,45 +102,79 @@ def run_delta_stream(spark: SparkSession, source_dir: str, out_dir: str | None =
     return out
 
 
-def _compacted_upto(spark: SparkSession, out_dir: str) -> int:
-    """The last batch that a compacted table holds; -1 if there is none."""
-    if not path_exists(spark, f"{out_dir}/compacted"):
-        return -1
-    done = spark.read.schema(FOLD_SCHEMA + ", upto int").parquet(f"{out_dir}/compacted")
-    return done.agg(F.max("upto")).first()[0] or 0
+def _store_batch(spark: SparkSession, out_dir: str, fold: DataFrame, batch_id: int) -> None:
+    fold.write.mode("overwrite").parquet(f"{out_dir}/folds/batch_id={batch_id}")
+    write_text(spark, f"{out_dir}/log/batch-{batch_id:012d}", "")
+
+
+def _log(spark: SparkSession, out_dir: str) -> tuple[int, list[int]]:
+    """The last batch of the last compaction (-1: none), and the batches after it."""
+    batches, compactions = [], [-1]
+    for name in list_names(spark, f"{out_dir}/log"):
+        kind, _, number = name.partition("-")
+        if kind in ("batch", "compact"):
+            (batches if kind == "batch" else compactions).append(int(number))
+    upto = max(compactions)
+    return upto, sorted(b for b in batches if b > upto)
 
 
 def _open_batches(spark: SparkSession, out_dir: str) -> list[int]:
     """Numbers of the batches that are not compacted yet."""
-    upto = _compacted_upto(spark, out_dir)
-    return sorted(r[0] for r in _fold_table(spark, out_dir).where(F.col("batch_id") > upto).select("batch_id").distinct().collect())
+    return _log(spark, out_dir)[1]
 
 
 def compact_folds(spark: SparkSession, out_dir: str) -> None:
-    """Sum the folds of all finished batches (``mode="folds"``) into one table. Only between runs."""
-    batches = _open_batches(spark, out_dir)
+    """Sum the folds of all finished batches (``mode="folds"``) into one table and remove them. Only
+    between runs, and not while results of before are still read."""
+    _, batches = _log(spark, out_dir)
     if batches:
-        summed_folds(spark, out_dir).write.mode("overwrite").parquet(f"{out_dir}/compacted/upto={batches[-1]}")
-
-
-def _fold_table(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema(FOLD_SCHEMA + ", batch_id int").parquet(f"{out_dir}/folds")
+        name = f"upto-{batches[-1]}-{uuid.uuid4().hex[:12]}"
+        summed_folds(spark, out_dir).write.parquet(f"{out_dir}/compacted/{name}")
+        write_text(spark, f"{out_dir}/log/compact-{batches[-1]:012d}", name)
+    _remove_superseded(spark, out_dir)
+
+
+def _remove_superseded(spark: SparkSession, out_dir: str) -> None:
+    """Delete what the log no longer needs: entries first, so that none names a missing folder."""
+    upto, _ = _log(spark, out_dir)
+    if upto < 0:
+        return
+    keep = read_text(spark, f"{out_dir}/log/compact-{upto:012d}")
+    for name in list_names(spark, f"{out_dir}/log"):
+        kind, _, number = name.partition("-")
+        if (kind == "batch" and int(number) <= upto) or (kind == "compact" and int(number) < upto):
+            remove_path(spark, f"{out_dir}/log/{name}")
+    for name in list_names(spark, f"{out_dir}/folds"):
+        if name.startswith("batch_id=") and int(name.split("=")[1]) <= upto:
+            remove_path(spark, f"{out_dir}/folds/{name}")
+    for name in list_names(spark, f"{out_dir}/compacted"):
+        if name != keep:
+            remove_path(spark, f"{out_dir}/compacted/{name}")
+
+
+def _fold_table(spark: SparkSession, out_dir: str, batches: list[int]) -> DataFrame:
+    """The folds of these batches, with their batch_id."""
+    if not batches:
+        return spark.createDataFrame([], FOLD_SCHEMA + ", batch_id int")
+    reader = spark.read.schema(FOLD_SCHEMA + ", batch_id int").option("basePath", f"{out_dir}/folds")
+    return reader.parquet(*(f"{out_dir}/folds/batch_id={b}" for b in batches))
 
 
 def summed_folds(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current fold from per-batch folds (``mode="folds"``): the last compacted table and the
     batches after it, summed."""
-    upto = _compacted_upto(spark, out_dir)
-    rows = _fold_table(spark, out_dir).where(F.col("batch_id") > upto).drop("batch_id")
+    upto, batches = _log(spark, out_dir)
+    rows = _fold_table(spark, out_dir, batches).drop("batch_id")
     if upto >= 0:
-        rows = rows.unionByName(spark.read.schema(FOLD_SCHEMA).parquet(f"{out_dir}/compacted/upto={upto}"))
+        name = read_text(spark, f"{out_dir}/log/compact-{upto:012d}")
+        rows = rows.unionByName(spark.read.schema(FOLD_SCHEMA).parquet(f"{out_dir}/compacted/{name}"))
     return rows.groupBy("item_id").agg(
         F.sum("ds").alias("ds"), F.sum("dn").alias("dn"), F.sum("n_rows").alias("n_rows"))
 
 
 def latest_folds(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current fold from cumulative rows (``mode="stateful"``): each item's latest batch."""
-    return (_fold_table(spark, out_dir).groupBy("item_id")
+    return (_fold_table(spark, out_dir, _log(spark, out_dir)[1]).groupBy("item_id")
             .agg(F.max_by(F.struct("ds", "dn", "n_rows"), F.col("batch_id")).alias("f"))
             .select("item_id", "f.ds", "f.dn", "f.n_rows"))
 

@@ -56,3 +56,40 @@ def test_recommender_facade(spark, loaded):
     pairs = spark.createDataFrame([(1, 260)], "user_id long, item_id long")
     assert abs(rec.predict_baseline(pairs).collect()[0].prediction - 4.799) < 0.01
     assert abs(rec.predict_collaborative(pairs).collect()[0].prediction - 4.808) < 0.05
+
+
+def _folders(spark):
+    import os
+    from rateflow.session import checkpoint_dir
+    return {f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("rateflow-")}
+
+
+def test_closing_leaves_no_tables(spark, items, ratings):
+    from rateflow.api import Averages, LSHIndex, Recommender
+    before = _folders(spark)
+    index = LSHIndex(items)
+    with Recommender(spark, index, ratings, als_params={"max_iter": 2}) as rec:
+        req = rec.requests([(16, ["Action", "Adventure", "Sci-Fi"])])
+        assert len(rec.recommend_baseline(req, 3).collect()) == 3 and len(rec.recommend_collaborative(req, 3).collect()) == 3
+        assert len(rec.predict_collaborative(spark.createDataFrame([(16, 260)], "user_id long, item_id long")).collect()) == 1
+        assert _folders(spark) != before
+    averages = Averages(spark, ratings, items, keyword_index=True)
+    averages.update(ratings.limit(5))
+    assert averages.keyword_averages(spark.createDataFrame([("q", ["Action"])], "query_id string, keywords array<string>")).count() == 1
+    averages.close()
+    index.unpersist()
+    assert _folders(spark) == before
+
+
+def test_scopes_own_what_is_stored_in_them(spark):
+    from rateflow.session import ScratchScope, materialize, path_exists
+    with ScratchScope(spark) as outer:
+        a = materialize(spark.range(3), "a")
+        with ScratchScope(spark) as inner:
+            b = materialize(spark.range(4), "b")
+    assert (a.count(), b.count(), len(outer.paths), len(inner.paths)) == (3, 4, 1, 1)
+    kept, gone = outer.paths[0], inner.paths[0]
+    inner.release()
+    assert path_exists(spark, kept) and not path_exists(spark, gone) and a.count() == 3
+    outer.release()
+    assert not path_exists(spark, kept)

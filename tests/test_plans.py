@@ -1,5 +1,5 @@
 """Plan guards for every catalogue query: no cartesian or nested-loop joins, no Python
-evaluation, filters reach the Parquet scan, and only needed columns are read."""
+evaluation (als_fold_in alone solves its small systems in Arrow batches), filters reach the Parquet scan, and only needed columns are read."""
 
 import pytest
 
@@ -29,7 +29,7 @@ def test_plan_has_no_forbidden_operators(spark, name):
 
 # Those that split the ratings by date; their base and deltas together are all ratings.
 BY_DATE = {"load_delta_text", "delta_fold", "apply_delta", "apply_delta_twice", "keyword_average_after_delta", "apply_delta_stream",
-           "baseline_predict", "unseen_candidates", "als_predict", "als_coldstart"}
+           "apply_delta_stored", "keyword_averages_after_delta", "als_fold_in", "baseline_predict", "unseen_candidates", "als_predict", "als_coldstart"}
 
 
 @pytest.mark.parametrize("name", ["apply_delta", "baseline_predict", "delta_fold"])

@@ -95,3 +95,31 @@ def test_pipe_inside_quoted_title_splits_like_the_original(spark, tmp_dir):
     _write(p, ['1|"A|B"|"x"'])
     r = TX.read_items_text(spark, p).collect()[0]
     assert (r.item_id, r.title, r.tags) == (1, "A", ["B", "x"])
+
+
+@pytest.mark.parametrize("kind, lines", [
+    ("items", ['1|"A"|"x|y"', '2|"B"', 'q|"C"|"z"', '3|"D|E"|"w"', ""]),
+    ("ratings", ["1|2|3.5|10", "1|2|?|10", "1|2|3.5", "", "x|2|1|1", "7|8|0.5|11"]),
+    ("deltas", ["7|1|4.5|4.0|2", "7|1|-1|4.0|2", "7|1|4.5|?|2", "7|1|?|4.0|2"])])
+def test_diverted_lines_are_those_of_the_two_readers(spark, tmp_dir, kind, lines):
+    path = os.path.join(tmp_dir, kind)
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    reader = {"items": TX.read_items_text, "ratings": TX.read_ratings_text, "deltas": TX.read_deltas_text}[kind]
+    good, bad = reader(spark, path, True), TX.rejected_lines(spark, path, kind)
+    found = TX.divert_lines(spark, path, kind, os.path.join(tmp_dir, "out"))
+    assert found.rows.columns == good.columns and sorted(found.rows.collect(), key=repr) == sorted(good.collect(), key=repr)
+    assert sorted(found.rejected.collect()) == sorted(bad.collect())
+    assert (found.n_lines, found.n_rejected) == (len(lines), found.rejected.count())
+    # Each side reads its own folder only.
+    for side in (found.rows, found.rejected):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(rejected" in plan and "DataFilters: []" in plan
+
+
+def test_diverted_lines_of_nothing(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "empty")
+    spark.createDataFrame([], "value string").write.text(path)
+    found = TX.divert_lines(spark, path, "ratings")
+    assert found.rows.collect() == [] and found.rejected.collect() == [] and (found.n_lines, found.n_rejected) == (0, 0)
+    with pytest.raises(ValueError, match="unknown kind"):
+        TX.divert_lines(spark, path, "others")

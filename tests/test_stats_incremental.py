@@ -148,12 +148,13 @@ def test_maintained_averages_store_one_copy(spark, state):
     d = spark.createDataFrame([(7, 1, 4.5, 4.0, 1106635948)], DELTA_SCHEMA)
     d2 = spark.createDataFrame([(7, 1, 4.0, 0.0, 1106635949)], DELTA_SCHEMA)
     m.update(d)
-    before = m._path
+    before = [f for f in m.state.inputFiles()]
     m.update(d2)
     assert _avg(m.state, TOY) == pytest.approx(3.815217, abs=1e-6)
-    # the state is a stored table, and the one before it is gone
+    # the state is a stored table, and what it replaces is gone
     assert "FileScan" in m.state._jdf.queryExecution().executedPlan().toString()
-    assert path_exists(spark, m._path) and not path_exists(spark, before)
+    after = m.state.inputFiles()
+    assert set(before) - set(after) and all(path_exists(spark, f) == (f in after) for f in {*before, *after})
 
 
 def test_repeated_titles_stay_separate_items(spark):
@@ -170,3 +171,77 @@ def test_several_rows_for_one_pair_in_one_batch_all_apply(spark, state):
     after the other: the fold is a sum, so order and batching do not matter."""
     both = spark.createDataFrame([(7, 1, 4.0, 0.0, 1106635949), (7, 1, 4.5, 4.0, 1106635948)], DELTA_SCHEMA)
     assert _avg(I.apply_delta(state, both), TOY) == pytest.approx(3.815217, abs=1e-6)
+
+
+def _versions(path):
+    import os
+    return {p: v.split("=")[1] for v in os.listdir(path) if v.startswith("version=") for p in os.listdir(f"{path}/{v}") if p.startswith("part=")}
+
+
+def test_an_update_rewrites_only_touched_parts(spark, ratings, items, tmp_dir):
+    path = f"{tmp_dir}/averages"
+    state = S.item_stats(ratings, items)
+    m = I.MaintainedAverages(spark, state, parts=8, path=path)
+    before = _versions(path)
+    assert len(before) > 2 and sorted(m.state.collect()) == sorted(state.collect())
+    one = _deltas_of(spark, [(7, 1, 4.5, 4.0, 2), (8, 424242, None, 1.0, 2)])
+    m.update(one.where("item_id = 1"))
+    after = _versions(path)
+    assert sum(after[p] != before[p] for p in before) == 1
+    expected = sorted(I.apply_delta(state, one).collect())
+    assert sorted(m.state.collect()) == expected
+    # Opened again from its folder, and updated there; an update without rows changes nothing.
+    again = I.MaintainedAverages.open(spark, path)
+    again.update(one.limit(0))
+    assert sorted(again.state.collect()) == expected and _versions(path) == after
+    again.update(one)
+    assert sorted(again.state.collect()) == sorted(I.apply_delta(I.apply_delta(state, one), one).collect())
+    m.remove()
+
+
+def test_a_failed_update_leaves_the_version_before(spark, ratings, items, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/averages"
+    m = I.MaintainedAverages(spark, S.item_stats(ratings, items), parts=4, path=path)
+    expected = sorted(m.state.collect())
+    delta = _deltas_of(spark, [(9, 260, None, 2.5, 7)])
+
+    def stop(*args):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as patch:
+        patch.setattr(I, "write_text", stop)  # the new parts are stored, but not published
+        with pytest.raises(KeyboardInterrupt):
+            m.update(delta)
+    assert sorted(m.state.collect()) == expected
+    again = I.MaintainedAverages.open(spark, path)
+    assert sorted(again.state.collect()) == expected
+    again.update(delta)
+    assert len(_versions(path)) == len({p for p in _versions(path)}) and sorted(again.state.collect()) != expected
+
+
+def test_state_without_items(spark, ratings, items):
+    m = I.MaintainedAverages(spark, S.item_stats(ratings, items).limit(0), parts=4)
+    assert m.update(_deltas_of(spark, [(9, 260, None, 2.5, 7)])).collect() == []
+
+
+def _deltas_of(spark, rows):
+    return spark.createDataFrame(rows, "user_id long, item_id long, old_rating double, rating double, ts long")
+
+
+def test_keyword_index_follows_updates(spark, ratings, items):
+    state = S.item_stats(ratings.where("user_id % 3 = 0"), items)
+    m = I.MaintainedAverages(spark, state, parts=4)
+    index = S.KeywordIndex(spark, m.state)
+    m.listeners.append(index)
+    tags = sorted({t for r in items.collect() for t in r.tags})
+    asked = [(f"{a},{b}", [a, b]) for a in tags[:6] for b in tags] + [("none", []), ("unknown", ["no-such-tag"])]
+    queries = spark.createDataFrame(asked, "query_id string, keywords array<string>")
+
+    def answers(rows):
+        return sorted((r.query_id, round(r.keyword_avg, 9), r.n_items) for r in rows.collect())
+
+    for deltas in (ratings.where("user_id % 3 = 1"), _deltas_of(spark, [(7, 1, 4.5, 4.0, 2), (7, 1, 4.0, 0.0, 3), (1, 424242, None, 3.0, 6)])):
+        m.update(deltas)
+        for rated_only in (False, True):
+            assert answers(index.averages(queries, rated_only)) == answers(S.keyword_averages(m.state, queries, rated_only))
+    plan = index.averages(queries)._jdf.queryExecution().optimizedPlan().toString()
+    assert "tag_set" in plan and "title" not in plan  # the index is read, not the state

@@ -79,3 +79,56 @@ def test_modes_do_not_mix(spark, tmp_dir):
     run_delta_stream(spark, feed, out)
     with pytest.raises(ValueError, match="holds results of mode folds"):
         run_delta_stream(spark, feed, out, mode="stateful")
+
+
+def _compaction_stopped(D, monkeypatch, spark, out, name):
+    """compact_folds, stopped when it first calls the named helper."""
+    class Stopped(Exception):
+        pass
+
+    def stop(*args):
+        raise Stopped
+    with monkeypatch.context() as patch:
+        patch.setattr(D, name, stop)
+        with pytest.raises(Stopped):
+            D.compact_folds(spark, out)
+
+
+def test_interrupted_compaction_changes_nothing(spark, tmp_dir, monkeypatch):
+    from rateflow.streaming import deltas as D
+    feed, out = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out")
+    _deltas(spark).repartition(3).write.parquet(feed)
+    run_delta_stream(spark, feed, out, max_files_per_trigger=1)
+    expected = sorted(current_fold(spark, out).collect())
+    _compaction_stopped(D, monkeypatch, spark, out, "summed_folds")  # before its table is written
+    assert sorted(current_fold(spark, out).collect()) == expected
+    _compaction_stopped(D, monkeypatch, spark, out, "write_text")  # the table is written, but not entered
+    assert len(os.listdir(f"{out}/compacted")) == 1 and len(D._open_batches(spark, out)) == 3
+    assert sorted(current_fold(spark, out).collect()) == expected
+    _compaction_stopped(D, monkeypatch, spark, out, "_remove_superseded")  # entered, but old folders are still there
+    assert D._open_batches(spark, out) == [] and sorted(current_fold(spark, out).collect()) == expected
+    D.compact_folds(spark, out)  # nothing new: it tidies up
+    assert len(os.listdir(f"{out}/compacted")) == 1 and os.listdir(f"{out}/folds") == []
+    assert sorted(current_fold(spark, out).collect()) == expected
+
+
+def test_half_written_batches_are_not_read(spark, tmp_dir):
+    feed, out = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out")
+    _deltas(spark).coalesce(1).write.parquet(feed)
+    run_delta_stream(spark, feed, out)
+    expected = sorted(current_fold(spark, out).collect())
+    # What an interrupted batch leaves: a folder without an entry in the log.
+    spark.read.parquet(f"{out}/folds/batch_id=0").write.parquet(f"{out}/folds/batch_id=1")
+    assert sorted(current_fold(spark, out).collect()) == expected
+
+
+def test_folds_without_rows(spark, tmp_dir):
+    from rateflow.streaming import deltas as D
+    feed, out = os.path.join(tmp_dir, "feed"), os.path.join(tmp_dir, "out")
+    _deltas(spark).limit(0).coalesce(1).write.parquet(feed)
+    run_delta_stream(spark, feed, out)
+    D.compact_folds(spark, out)
+    assert current_fold(spark, out).collect() == []
+    _deltas(spark).write.mode("append").parquet(feed)
+    run_delta_stream(spark, feed, out)
+    assert {r.item_id for r in current_fold(spark, out).collect()} == {r.item_id for r in _deltas(spark).collect()}
