@@ -19,6 +19,7 @@ from rateflow.operators import analytics as A
 from rateflow.operators import baseline as B
 from rateflow.operators import incremental as I
 from rateflow.operators import lsh as L
+from rateflow.operators.layout import BucketedRatings, ClusteredRatings
 from rateflow.operators import recommend as R
 from rateflow.operators import stats as S
 from rateflow.session import scratch_path
@@ -316,6 +317,13 @@ def baseline_predict(spark, d):
         "user_id", "item_id", _r("prediction"))
 
 
+def ratings_with_user_avg_stored(spark, d):
+    """Each rating with its user's average, from ratings that are stored in buckets by user."""
+    stored = BucketedRatings(spark, TB.ratings_table(spark, d))
+    averages = stored.per_key(F.avg("rating").alias("user_avg"))
+    return stored.join(averages).select("user_id", "item_id", "rating", "ts", _r("user_avg"))
+
+
 # --- recommendation -----------------------------------------------------------
 
 def rated_items_of_user(spark, d):
@@ -324,6 +332,12 @@ def rated_items_of_user(spark, d):
     return R.rated_items(TB.ratings_table(spark, d), users)
 
 
+def rated_items_lookup(spark, d):
+    """The rated items of the users with requests in memory, from the clustered ratings."""
+    stored = ClusteredRatings(spark, TB.ratings_table(spark, d))
+    return stored.lookup(u for u, _, _ in REQUESTS_IN_MEMORY).select("user_id", "item_id", "rating", "ts")
+
+
 def unseen_candidates(spark, d):
     """Of the delta's (user, item) pairs, those that the user had not rated before."""
     return R.unseen_pairs(delta_pairs(spark, d), TB.base_ratings(spark, d))
@@ -453,10 +467,12 @@ QUERIES: dict[str, Query] = {
     "lsh_lookup_keep_unmatched": lsh_lookup_keep_unmatched,
     "user_averages": user_averages,
     "ratings_with_user_avg": ratings_with_user_avg,
+    "ratings_with_user_avg_stored": ratings_with_user_avg_stored,
     "normalized_deviation": normalized_deviation,
     "item_deviation": item_deviation,
     "baseline_predict": baseline_predict,
     "rated_items_of_user": rated_items_of_user,
+    "rated_items_lookup": rated_items_lookup,
     "unseen_candidates": unseen_candidates,
     "recommend_baseline": recommend_baseline,
     "recommend_baseline_own_k": recommend_baseline_own_k,

@@ -245,6 +245,9 @@ def build() -> dict[str, str]:
                           "FROM ua")
     q["ratings_with_user_avg"] = (_with(RATINGS, *bl) + "SELECT r.user_id, r.item_id, r.rating, r.ts, "
                                   "round(u.user_avg, 6) AS user_avg FROM ratings r JOIN ua u USING (user_id)")
+    q["ratings_with_user_avg_stored"] = q["ratings_with_user_avg"]
+    users = ", ".join(str(u) for u, _, _ in C.REQUESTS_IN_MEMORY)
+    q["rated_items_lookup"] = _with(RATINGS) + f"SELECT user_id, item_id, rating, ts FROM ratings WHERE user_id IN ({users})"
     q["normalized_deviation"] = (_with(RATINGS, *bl) + "SELECT user_id, item_id, rating, "
                                  "round(ndev, 6) AS ndev FROM nd")
     q["item_deviation"] = (_with(RATINGS, *bl) + "SELECT item_id, round(item_dev, 6) AS item_dev, "
