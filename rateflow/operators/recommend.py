@@ -218,7 +218,7 @@ def _pruned_top_k(index: DataFrame, q: DataFrame, seen: DataFrame, model: Baseli
 
 def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,
                   model: ALSModel | DenseALS | Factors, k: int, seeds: Sequence[int] = DEFAULT_SEEDS,
-                  decimals: int = RANK_DECIMALS, strategy: str = "pruned", head_size: int | None = None) -> DataFrame:
+                  decimals: int = RANK_DECIMALS, strategy: str = "auto", head_size: int | None = None) -> DataFrame:
     """(query_id, user_id, item_id, prediction, rank) with ALS scores. Requests may have a
     column ``k`` of their own; the argument is then the largest that counts. Users and items that
     the model doesn't know score NaN, which comes last, by item id.
@@ -226,7 +226,9 @@ def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,
     A user's factors are attached to the request and an item's to the index row before
     candidates are expanded, so the candidates never join a factor table. ``strategy="full"``
     scores every unseen member of the request's bucket; ``strategy="pruned"`` gives the same rows
-    from bounded parts of the bucket, see ``_als_pruned``."""
+    from bounded parts of the bucket, see ``_als_pruned``. The bounds tell items apart as far as
+    their factors share a direction, so ``strategy="auto"`` prunes if what lies beside the mean
+    direction is at most PRUNED_BESIDE of the factors' squares."""
     f = model if isinstance(model, Factors) else factors(model)
     sig = signature_names(seeds)
     own = ["k"] if "k" in requests.columns else []
@@ -234,6 +236,8 @@ def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,
     q = materialize(per_key_join(q, f.users, "user_id", "left"), "als-requests")
     idx = materialize(per_key_join(index.select(*sig, "item_id"), f.items, "item_id", "left"), "als-index")
     seen = ratings.select("user_id", "item_id").distinct()
+    if strategy == "auto":
+        strategy = "pruned" if _beside_mean(f) <= PRUNED_BESIDE else "full"
     if strategy == "full":
         return top_k(_als_scored(L.signature_join(q, idx, seeds), seen, f.rank), k, decimals=decimals).select(*_RANKED)
     if strategy == "pruned":
@@ -241,6 +245,22 @@ def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,
     raise ValueError(f"unknown strategy: {strategy}")
 
 
+PRUNED_BESIDE = 0.1
+
+
+def _beside_mean(f: Factors) -> float:
+    """Share of the squared item factors that lies beside the direction of their mean."""
+    v = [F.get("v", F.lit(i)).cast("double") for i in range(f.rank)]
+    row = f.items.agg(F.avg(dot("v", "v", f.rank)).alias("all"), *(F.avg(x).alias(f"m{i}") for i, x in enumerate(v)),
+                      *(F.avg(v[i] * v[j]).alias(f"c{i}_{j}") for i in range(f.rank) for j in range(f.rank))).first()
+    if not row["all"]:
+        return 1.0
+    mean = [row[f"m{i}"] for i in range(f.rank)]
+    size = sum(x * x for x in mean)
+    along = sum(mean[i] * mean[j] * row[f"c{i}_{j}"] for i in range(f.rank) for j in range(f.rank)) / size if size else 0.0
+    return 1 - along / row["all"]
+
+
 _RANKED = ["query_id", "user_id", "item_id", "prediction", "rank"]
 
 

@@ -117,4 +117,32 @@ def test_pruned_recommendations_equal_the_full_ones(spark, monkeypatch, head, sl
                                      "query_id long, user_id long, tags array<string>, k int")
     for asked in (requests, requests.drop("k")):
         full = sorted(map(repr, R.recommend_als(index, asked, ratings, f, 7, strategy="full").collect()))
-        assert full and sorted(map(repr, R.recommend_als(index, asked, ratings, f, 7, head_size=head).collect())) == full
+        assert full and sorted(map(repr, R.recommend_als(index, asked, ratings, f, 7, head_size=head, strategy="pruned").collect())) == full
+
+
+def test_blocks_leave_out_most_of_a_large_bucket(spark, monkeypatch):
+    """Factors near one direction: what is scored doesn't grow with the bucket."""
+    import random
+    scored = []
+    plain = R._als_scored
+
+    def counted(candidates, seen, rank):
+        scored.append(candidates.count())
+        return plain(candidates, seen, rank)
+    monkeypatch.setattr(R, "_als_scored", counted)
+    users = spark.createDataFrame([(u, [1.0 + u / 20, 0.05 * (u % 3 - 1), 0.02]) for u in range(20)], "user_id long, u array<float>")
+    requests = spark.createDataFrame([(u, u, ["t"]) for u in range(20)], "query_id long, user_id long, tags array<string>")
+    ratings = spark.createDataFrame([(u, i, 1.0) for u in range(20) for i in range(u)], "user_id long, item_id long, rating double")
+    for n in (500, 5000):
+        r = random.Random(n)
+        items = [(i, [2.0 + i / n, r.uniform(-0.1, 0.1), r.uniform(-0.1, 0.1)]) for i in range(n)]
+        f = ALS.Factors(users, spark.createDataFrame(items, "item_id long, v array<float>"), 3)
+        assert R._beside_mean(f) < R.PRUNED_BESIDE
+        index = L.lsh_index(spark.range(n).selectExpr("id as item_id", "'t' as title", "array('t') as tags"))
+        full = sorted(map(repr, R.recommend_als(index, requests, ratings, f, 3, strategy="full").collect()))
+        scored.clear()
+        assert sorted(map(repr, R.recommend_als(index, requests, ratings, f, 3).collect())) == full
+        assert sum(scored) <= 20 * 64 * 12  # of 20 * n
+    # Factors in all directions: the bounds tell nothing apart.
+    spread = ALS.Factors(users, spark.createDataFrame([(i, [float(j == i % 3) for j in range(3)]) for i in range(30)], "item_id long, v array<float>"), 3)
+    assert R._beside_mean(spread) > R.PRUNED_BESIDE
