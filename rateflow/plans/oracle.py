@@ -1,6 +1,6 @@
 """DuckDB SQL equivalents of the catalogue queries (the correctness oracle).
 
-The tables ``part lineitem orders`` are views over the same Parquet files. Each SQL
+The tables ``part lineitem orders customer`` are views over the same Parquet files. Each SQL
 string is self-contained (CTEs only), produces the same column names as the Spark
 query, renders arrays as ``|``-joined strings and rounds means to 6 decimals.
 """

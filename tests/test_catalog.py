@@ -10,7 +10,7 @@ from rateflow.plans.catalog import QUERIES
 from rateflow.plans.oracle import ORACLE_SQL
 from tests.conftest import SF_SMALL
 
-TABLES = ["part", "lineitem", "orders"]
+TABLES = ["part", "lineitem", "orders", "customer"]
 
 
 def _norm(v):
