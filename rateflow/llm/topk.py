@@ -17,7 +17,9 @@ MAX_PIVOTS * MAX_RINGS rows. Large annuli are split by id into blocks.
 Defined cases: vectors that are null or hold a null or non-finite component, and rows
 with a null id, take no part; an empty vector scores 0; shorter vectors count as padded
 with zeros; candidates with the query's own id are its own row; equal query rows are one
-query; fewer than k candidates give fewer results. Extra columns are ignored.
+query; fewer than k candidates give fewer results. Finite components so large that an inner
+product might not fit in 64 bits are an error, as scores would be wrong. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -59,6 +61,10 @@ def _prepare(width: int, scale: int):
             bad[row[~np.isfinite(flat)]] = True
             x = np.zeros((n, width), np.int64)
             fine = np.isfinite(flat)
+            # Products of two rows must fit in 64 bits.
+            most = math.sqrt((1 << 62) / max(width, 1))
+            if (np.abs(scale * flat[fine]) > most).any():
+                raise ValueError(f"a component is beyond {most / scale:.4g}: inner products of such vectors don't fit in 64 bits")
             x[row[fine], column[fine]] = np.floor(scale * flat[fine]).astype(np.int64)
             x = x[~bad]
             yield pa.RecordBatch.from_arrays(

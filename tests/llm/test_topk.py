@@ -44,3 +44,11 @@ def test_few_and_no_rows(spark):
     three = spark.createDataFrame([(50, [1.0], 0, "", "", ""), (50, [1.0], 0, "", "", ""), (2, [-1.0], 0, "", "", "")], SCHEMA)
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(three, "vec_id % 50 = 0").collect()] == [(50, 1, 2, -65536)]
     assert topk.top_k(spark.createDataFrame([], SCHEMA), "vec_id % 50 = 0").collect() == []
+
+
+def test_components_beyond_64_bits_are_an_error(spark):
+    large = spark.createDataFrame([(50, [1e17, 0.0], 0, "", "", ""), (1, [1e17, 1.0], 0, "", "", "")], SCHEMA)
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(large, "vec_id % 50 = 0").collect()
+    fits = spark.createDataFrame([(50, [4e6, -4e6], 0, "", "", ""), (1, [4e6, -4e6], 0, "", "", "")], SCHEMA)
+    assert [(r.vec_id, r.score) for r in topk.top_k(fits, "vec_id % 50 = 0").collect()] == [(1, 2 * (256 * 4_000_000) ** 2)]
