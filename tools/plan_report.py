@@ -15,12 +15,12 @@ import sys
 
 sys.path.insert(0, ".")
 from rateflow import session  # noqa: E402
-from rateflow.operators import als, baseline, recommend  # noqa: E402
+from rateflow.operators import als, baseline, incremental, layout, recommend  # noqa: E402
 from rateflow.plans.catalog import QUERIES  # noqa: E402
 from rateflow.session import build_session  # noqa: E402
 
 # Modules that store tables on the way; those plans count as the query's.
-STORING = [als, baseline, recommend]
+STORING = [als, baseline, incremental, layout, recommend]
 
 COUNTS = [
     ("shuffles", r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition"),
