@@ -9,8 +9,14 @@ each order, or three for each order in the modified form.
 
 The tables keep every gram's whole 64-bit key and stay Spark tables: they grow with the
 text that was counted, and neither the driver nor a task ever holds a model. For scoring,
-texts are packed into portions, each with its distinct grams. Only these are looked up, by
-joins with the tables from order 4 down, and each portion gets the values of its own grams.
+the most frequent grams and their values go to all tasks as sorted arrays of at most
+``HEAD_BYTES``. A task adds up what its texts have there and hands over the other grams
+with how often they occur in a text; only these are joined with the tables, and what they
+add is summed for each text. No text is stored or shuffled. Values are whole multiples of
+2**-24, so that sums don't depend on their order.
+
+Characters are UTF-16 code units: one beyond 16 bits is two of them, and none is taken for
+another. A text is held once as units and once as grams, whatever its length.
 """
 
 from __future__ import annotations
@@ -32,11 +38,10 @@ ORDER = 4
 BLANK = 32
 # A task hands its counts over when it holds so many different grams.
 HELD_GRAMS = 2_000_000
-# Bytes of text whose grams are looked up together, and of all that a task holds back.
-PORTION_BYTES = 8 << 20
-HELD_BYTES = 24 << 20
-# Values (grams times groups) that a portion may ask for; more groups make smaller portions.
-PORTION_VALUES = 1 << 25
+# What the sorted arrays of frequent grams may take in a task.
+HEAD_BYTES = 16 << 20
+# Values are kept as multiples of 1 / UNIT.
+UNIT = 1 << 24
 
 
 @cache
@@ -76,16 +81,12 @@ class Grams:
             at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             points = np.concatenate(parts) if parts else points
         wide = points >= 1 << 16
-        codes = points.astype(np.uint16)
         if wide.any():
-            # Characters beyond 16 bits share 4096 private codes.
-            codes[wide] = (0xE000 | (points[wide] & 0xFFF)).astype(np.uint16)
-        has = _alpha()[codes]
-        if wide.any():
-            has[wide] = [chr(p).isalpha() for p in points[wide].tolist()]
-        codes_folded = fold_table(letters_only)[codes]
-        if letters_only and wide.any():
-            codes_folded[wide] = np.where(has[wide], codes[wide], BLANK)
+            points, at, has, codes = self._units(points, at, wide, letters_only)
+        else:
+            codes = points.astype(np.uint16)
+            has = _alpha()[codes]
+        codes_folded = np.where(codes >> 11 == 0x1B, codes, fold_table(letters_only)[codes])
         keep = np.ones(len(points), bool)
         keep[1:] = (codes_folded[1:] != BLANK) | (codes_folded[:-1] != BLANK)
         keep[at[:-1][at[:-1] < len(points)]] = True
@@ -105,6 +106,25 @@ class Grams:
             grams[back:] |= padded[:-back] << np.uint64(16 * back)
         self.grams = grams[place]
 
+    @staticmethod
+    def _units(points: np.ndarray, at: np.ndarray, wide: np.ndarray, letters_only: bool):
+        """Code points as UTF-16 units, where each text begins in them, which units are of
+        letters, and the units with what doesn't count as a letter or mark beyond 16 bits blank."""
+        place = np.concatenate([[0], np.cumsum(1 + wide)])
+        units = np.zeros(place[-1], np.uint32)
+        units[place[:-1]] = np.where(wide, 0xD800 + ((points - 0x10000) >> 10), points)
+        units[place[:-1][wide] + 1] = 0xDC00 + (points[wide] & 0x3FF)
+        has = _alpha()[units.astype(np.uint16)]
+        of_wide = np.flatnonzero(wide)
+        letter = np.array([chr(p).isalpha() for p in points[of_wide].tolist()])
+        for k in (0, 1):
+            has[place[of_wide] + k] = letter
+        if letters_only:
+            mark = np.array([unicodedata.category(chr(p))[0] == "M" for p in points[of_wide].tolist()])
+            for k in (0, 1):
+                units[place[of_wide[~letter & ~mark]] + k] = BLANK
+        return units, place[at], has, units.astype(np.uint16)
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
@@ -211,16 +231,16 @@ def train(counts: DataFrame, modified: bool) -> Model:
             weights[order] = context.select("grp", "ctx", F.log("weight").alias("weight"))
         lower = written(p, "probabilities")
         probabilities[order] = lower.select("grp", "gram", F.log("p").alias("value"))
-    return Model(probabilities, weights, unknown)
+    return Model(by_order[ORDER], probabilities, weights, unknown)
 
 
 class Model:
-    """Tables of all groups: log probabilities (grp, gram, value) of each order, the log backoff
+    """Tables of all groups: counts (grp, gram, n), log probabilities (grp, gram, value) of each order, the log backoff
     weights (grp, ctx, weight) of the contexts of orders 2 to 4, and the log probability of an
     unknown character (grp, value), one row for each group."""
 
-    def __init__(self, probabilities: dict[int, DataFrame], weights: dict[int, DataFrame], unknown: DataFrame):
-        self.probabilities, self.weights, self.unknown = probabilities, weights, unknown
+    def __init__(self, counts: DataFrame, probabilities: dict[int, DataFrame], weights: dict[int, DataFrame], unknown: DataFrame):
+        self.counts, self.probabilities, self.weights, self.unknown = counts, probabilities, weights, unknown
 
     def groups(self) -> DataFrame:
         return self.unknown.select("grp")
@@ -248,92 +268,143 @@ class Model:
         return np.array([values[g] for g in keys.view(np.int64).tolist()])[inverse]
 
 
-def _portions(letters_only: bool, size: int):
-    """Rows (grp, ..., text) as portions of one grp each: its rows, packed, and their distinct grams."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held: dict[str | None, tuple[list[pa.RecordBatch], list[np.ndarray]]] = {}
-        sizes: dict[str | None, int] = {}
-
-        def handed_over(group: str | None) -> pa.RecordBatch:
-            nonlocal number
-            rows, grams = held.pop(group)
-            del sizes[group]
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                for r in rows:
-                    out.write_batch(r)
-            keys = np.unique(np.concatenate(grams)).view(np.int64)
-            number += 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number - 1], pa.int64()), pa.array([group], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys))],
-                names=["portion", "grp", "docs", "grams"])
+class EachGroup:
+    """Scores under every group of a model, in the order of ``names``; texts have the grp ''."""
+
+    def __init__(self, model: Model, names: list[str]):
+        self.model, self.names, self.width = model, names, len(names)
+
+    def counts(self) -> DataFrame:
+        return self.model.counts.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit("").alias("grp"), "gram", "n")
+
+    def values(self, needed: DataFrame) -> DataFrame:
+        """(grp, gram, pos, value) of distinct (grp, gram)."""
+        names = F.array(*(F.lit(n) for n in self.names))
+        found = self.model.look_up(needed.select(F.explode(names).alias("grp"), "gram"))
+        return found.select(F.lit("").alias("grp"), "gram", (F.array_position(names, F.col("grp")) - 1).cast("int").alias("pos"), "value")
+
+
+class Mixed:
+    """Scores under two models: that of the text's group mixed with its base, and its base
+    alone. ``shares`` has (grp, base, share), the share of the group's own model."""
+
+    width = 2
+
+    def __init__(self, model: Model, shares: DataFrame):
+        self.model, self.shares = model, shares
+
+    def counts(self) -> DataFrame:
+        return self.model.counts
+
+    def values(self, needed: DataFrame) -> DataFrame:
+        pairs = written(needed.join(self.shares, "grp"), "pairs")
+        both = pairs.select("grp", "gram").unionByName(pairs.select(F.col("base").alias("grp"), "gram")).distinct()
+        found = written(self.model.look_up(both), "found")
+        base = found.select(F.col("grp").alias("base"), "gram", F.col("value").alias("below"))
+        mixed = F.log(F.col("share") * F.exp("value") + (1 - F.col("share")) * F.exp("below"))
+        return (pairs.join(found, ["grp", "gram"]).join(base, ["base", "gram"])
+                .select("grp", "gram", F.posexplode(F.array(mixed, F.col("below"))).alias("pos", "value")))
+
+
+def _in_units(values: DataFrame) -> DataFrame:
+    return values.withColumn("value", F.round(F.col("value") * UNIT).cast("bigint"))
+
+
+def _array_by_pos(column: str):
+    return F.transform(F.array_sort(F.collect_list(F.struct("pos", column))), lambda x: x[column])
+
+
+def _head(scorer) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each grp, the sorted grams that occur most and their values (a row for each gram);
+    HEAD_BYTES in all."""
+    level = F.floor(F.log2("n") * 4).cast("int").alias("level")
+    room, least = HEAD_BYTES // (8 + 8 * scorer.width), None
+    counts = scorer.counts().select("grp", "gram", level)
+    for r in sorted(counts.groupBy("level").count().collect(), key=lambda r: -r["level"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["level"]
+    if least is None:
+        return {}
+    chosen = written(counts.where(F.col("level") >= least).select("grp", "gram"), "head")
+    found = _in_units(scorer.values(chosen)).groupBy("grp", "gram").agg(_array_by_pos("value").alias("values")).toArrow()
+    grams = found.column("gram").to_numpy().view(np.uint64)
+    values = found.column("values").combine_chunks().flatten().to_numpy().reshape(-1, scorer.width)
+    names = found.column("grp").combine_chunks().dictionary_encode()
+    number = names.indices.to_numpy()
+    out = {}
+    for i, name in enumerate(names.dictionary.to_pylist()):
+        mine = np.flatnonzero(number == i)
+        mine = mine[np.argsort(grams[mine])]
+        out[name] = grams[mine], values[mine]
+    return out
+
 
+def _partial(letters_only: bool, width: int, head):
+    """Rows (grp, row, text) with what the head gives for their grams, and the other grams."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 36
+        nothing = np.zeros(0, np.uint64), np.zeros((0, width), np.int64)
         for batch in batches:
-            for rows, offsets, data in T.row_chunks(batch, size=min(size, T.CHUNK_BYTES)):
-                g = Grams(offsets, data, letters_only)
+            for rows, offsets, data in T.row_chunks(batch):
+                every = Grams(offsets, data, letters_only)
                 groups = np.array(rows.column(0).to_pylist(), object)
-                for group in set(groups.tolist()):
+                for group in sorted(set(groups.tolist()), key=str):
                     mine = np.flatnonzero(groups == group)
-                    whole = len(mine) == len(groups)
-                    kept, grams = held.setdefault(group, ([], []))
-                    kept.append(rows if whole else rows.take(pa.array(mine)))
-                    grams.append(np.unique(g.grams if whole else g.of(mine).grams))
-                    # A row without text counts as well.
-                    sizes[group] = sizes.get(group, 0) + int((offsets[mine + 1] - offsets[mine]).sum()) + 64 * len(mine)
-                    if sizes[group] >= size:
-                        yield handed_over(group)
-            while sum(sizes.values()) > HELD_BYTES:
-                yield handed_over(max(sizes, key=sizes.get))
-        for group in list(held):
-            yield handed_over(group)
+                    g = every if len(mine) == len(groups) else every.of(mine)
+                    keys, values = head.value.get(group, nothing)
+                    sums, (first, grams, times) = _sums(g, keys, values, width)
+                    m = len(mine)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.arange(number, number + m)), pa.array([group] * m, pa.string()), rows.column(1).take(pa.array(mine)),
+                         pa.array(g.counts(), pa.int64()), pa.array(g.has_letter),
+                         pa.ListArray.from_arrays(pa.array(np.arange(m + 1) * width, pa.int32()), pa.array(sums.ravel())),
+                         pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(grams.view(np.int64))),
+                         pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(times, pa.int64()))],
+                        names=["number", "grp", "row", "n", "has_letter", "sums", "grams", "times"])
+                    number += m
     return run
 
 
-def _sums(g: Grams, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """For each text, the log probability of its characters in each column of values."""
-    out = np.zeros((len(g.first) - 1, values.shape[1]))
-    if len(g.grams) and len(keys):
-        at = np.searchsorted(keys, g.grams)
-        full = np.flatnonzero(g.counts() > 0)
-        for j in range(values.shape[1]):
-            out[full, j] = np.add.reduceat(values[at, j], g.first[:-1][full])
-    return out
-
-
-def score(docs: DataFrame, model: Model, letters_only: bool, names: list[str] | None, finish, schema: str) -> DataFrame:
-    """finish(rows, grams, sums) of all rows of docs (grp, ..., text), with the schema given.
-
-    sums holds the log probability of each text under the model of its grp, or with names
-    (all groups of the model, in order; grp is null) under each of them."""
-    width = 1 if names is None else len(names)
-    size = max(1 << 14, min(PORTION_BYTES, PORTION_VALUES // max(1, width)))
-    portions = written(docs.mapInArrow(_portions(letters_only, size), "portion bigint, grp string, docs binary, grams array<bigint>"), "portions")
-    wanted = portions.select("portion", "grp", F.explode("grams").alias("gram"))
-    if names is None:
-        needed = wanted.join(F.broadcast(model.groups()), "grp", "left_semi").select("grp", "gram").distinct()
-        values = model.look_up(needed).select("grp", "gram", F.array(F.col("value").cast("float")).alias("values"))
-        known = wanted.join(values, ["grp", "gram"])
+def _sums(g: Grams, keys: np.ndarray, values: np.ndarray, width: int):
+    """For each text, the sums of its grams' values; and the grams that aren't among the keys:
+    where each text's begin, the grams, how often each occurs in its text."""
+    n = len(g.first) - 1
+    sums = np.zeros((n, width), np.int64)
+    full = np.flatnonzero(g.counts() > 0)
+    if len(keys) and len(full):
+        at = np.minimum(np.searchsorted(keys, g.grams), len(keys) - 1)
+        known = keys[at] == g.grams
+        for j in range(width):
+            sums[full, j] = np.add.reduceat(np.where(known, values[at, j], 0), g.first[:-1][full])
+        other = np.flatnonzero(~known)
     else:
-        needed = wanted.select("gram").distinct().crossJoin(F.broadcast(model.groups())).select("grp", "gram")
-        in_order = F.array_sort(F.collect_list(F.struct("grp", F.col("value").cast("float").alias("value"))))
-        values = model.look_up(needed).groupBy("gram").agg(F.transform(in_order, lambda x: x["value"]).alias("values"))
-        known = wanted.join(values, "gram")
-
-    def run(packed: pa.Table, looked: pa.Table) -> pa.Table:
-        keys = looked.column("gram").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        keys = keys[order]
-        flat = looked.column("values").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        table = flat.astype(np.float64).reshape(len(keys), width)[order] if len(keys) else np.zeros((0, width))
-        out = []
-        for docs_of in packed.column("docs"):
-            for batch in pa.ipc.open_stream(docs_of.as_buffer()):
-                for rows, offsets, data in T.row_chunks(batch):
-                    g = Grams(offsets, data, letters_only)
-                    out.append(finish(rows, g, _sums(g, keys, table)))
-        return pa.Table.from_batches(out)
-
-    return (portions.select(F.col("portion").alias("number"), "docs").groupBy("number")
-            .cogroup(known.select("portion", "gram", "values").groupBy("portion")).applyInArrow(run, schema))
+        other = np.arange(len(g.grams))
+    grams = g.grams[other]
+    text = np.searchsorted(g.first, other, "right") - 1
+    order = np.lexsort((grams, text))
+    grams, text = grams[order], text[order]
+    heads = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (text[1:] != text[:-1])])) if len(grams) else np.zeros(0, np.int64)
+    times = np.diff(np.concatenate([heads, [len(grams)]]))
+    return sums, (np.searchsorted(text[heads], np.arange(n + 1)), grams[heads], times)
+
+
+def score(docs: DataFrame, scorer, letters_only: bool) -> DataFrame:
+    """All rows of docs (grp, row, text) as (row, n, has_letter, sums): the characters of the text
+    that count, whether it has a letter, and its log probability under each of the scorer's
+    models. grp is never null."""
+    spark = docs.sparkSession
+    head = spark.sparkContext.broadcast(_head(scorer))
+    row = docs.schema["row"].dataType.simpleString()
+    marked = written(docs.select("grp", "row", "text").mapInArrow(
+        _partial(letters_only, scorer.width, head),
+        f"number bigint, grp string, row {row}, n bigint, has_letter boolean, sums array<bigint>, grams array<bigint>, times array<bigint>"), "marked")
+    rest = marked.where(F.size("grams") > 0).select("number", "grp", F.inline(F.arrays_zip(F.col("grams").alias("gram"), "times")).alias("gram", "times"))
+    needed = written(rest.select("grp", "gram").distinct(), "needed")
+    more = (rest.join(_in_units(scorer.values(needed)), ["grp", "gram"])
+            .groupBy("number", "pos").agg(F.sum(F.col("value") * F.col("times")).alias("value"))
+            .groupBy("number").agg(_array_by_pos("value").alias("more")))
+    total = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b))
+    return (marked.select("number", "row", "n", "has_letter", "sums").join(more, "number", "left")
+            .select("row", "n", "has_letter", F.transform(total, lambda v: v / F.lit(float(UNIT))).alias("sums")))

@@ -12,12 +12,11 @@ Defined cases: null texts and texts without a letter are ``und`` with score 0 an
 accepted; so is everything when nothing was learned. Rows without a language teach
 nothing but are predicted; a null doc_id is neither held out nor learned from; ties go to the
 language first in order; repeated rows each get their own row. Extra columns are ignored.
+A very long text is scored whole, in one task that holds about 80 times its bytes.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,30 +34,23 @@ def learn(labelled: DataFrame) -> charlm.Model:
                         modified=False)
 
 
-def _finish(groups: list[str], evidence: int):
-    def run(rows: pa.RecordBatch, g: charlm.Grams, sums: np.ndarray) -> pa.RecordBatch:
-        n = np.maximum(g.counts(), 1)
-        per_char = -sums / n[:, None]
-        known = g.has_letter & bool(groups)
-        best = per_char.argmin(1) if groups else np.zeros(len(n), np.int64)
-        lowest = per_char[np.arange(len(n)), best] if groups else np.zeros(len(n))
-        odds = np.exp(-(per_char - lowest[:, None]) * np.minimum(n, evidence)[:, None])
-        score = np.where(known, 1 / np.maximum(odds.sum(1), 1), 0.0)
-        names = np.array([*groups, UNKNOWN], object)[np.where(known, best, len(groups))]
-        kept = [i for i, c in enumerate(rows.schema.names) if c not in ("grp", "text")]
-        return pa.RecordBatch.from_arrays(
-            [*(rows.column(i) for i in kept), pa.array(names, pa.string()), pa.array(score), pa.array(lowest, mask=~known)],
-            names=[*(rows.schema.names[i] for i in kept), "lang_pred", "score", "cross_entropy"])
-    return run
-
-
 def predict(docs: DataFrame, model: charlm.Model, keep: list[str], evidence: int = EVIDENCE) -> DataFrame:
     """The columns ``keep`` of docs with lang_pred, score and cross_entropy (in nats)."""
     groups = sorted(r["grp"] for r in model.groups().collect())
-    source = docs.select(F.lit(None).cast("string").alias("grp"), *keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
-    return charlm.score(source, model, True, groups, _finish(groups, evidence),
-                        f"{schema}, lang_pred string, score double, cross_entropy double")
+    none = (F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"))
+    if not groups:
+        return docs.select(*keep, *none)
+    texts = docs.select(F.lit("").alias("grp"), F.struct(*keep).alias("row"), F.col("text").cast("string").alias("text"))
+    scored = charlm.score(texts, charlm.EachGroup(model, groups), letters_only=True)
+    n = F.greatest("n", F.lit(1)).cast("double")
+    scored = scored.select("row", "has_letter", n.alias("n"), F.transform("sums", lambda v: -v / n).alias("per_char"))
+    scored = scored.select("*", F.array_min("per_char").alias("lowest"))
+    weighed = F.transform("per_char", lambda x: F.exp((F.col("lowest") - x) * F.least("n", F.lit(float(evidence)))))
+    odds = F.aggregate(weighed, F.lit(0.0), lambda a, b: a + b)
+    best = F.element_at(F.array(*(F.lit(g) for g in groups)), F.array_position("per_char", F.col("lowest")).cast("int"))
+    known = F.col("has_letter")
+    return scored.select("row.*", F.when(known, best).otherwise(UNKNOWN).alias("lang_pred"), F.when(known, 1 / odds).otherwise(0.0).alias("score"),
+                         F.when(known, F.col("lowest")).alias("cross_entropy"))
 
 
 def identify(docs: DataFrame, learns: str, accept: float = ACCEPT) -> DataFrame:

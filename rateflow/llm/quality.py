@@ -2,28 +2,32 @@
 
 An interpolated modified Kneser-Ney model of characters (as written: case, digits and
 symbols count) is trained for each language on all trusted texts, those labelled with
-quality 1, and once on all of them together (ALL) for texts without a language or in one that
-has too few trusted texts for its quantiles. Documents are dealt to folds by a hash of doc_id,
-and each is scored under its language's model of the other folds: trusted ones are never
-scored under a model that has seen them, and all are scored alike. A document is
-accepted when its bits per character lie between two quantiles of the trusted documents
-of its language, or under ALL of all trusted documents under ALL: above are symbols, shouting and word lists; below is text of few
-repeated parts. The quantiles are documented parameters, taken over all trusted documents.
+quality 1, and one on all of them together (ALL). Documents are dealt to two folds by a hash
+of doc_id, and each is scored under the models of the other fold: no document is scored under a
+model that has seen it, and the models hold each text once. A document's probability mixes the
+model of its language with ALL by the characters that the language's model has counted
+(``MIXING`` characters weigh as much as ALL), so a language gains weight bit by bit.
+
+Bits per character are compared with those of the trusted documents of the same language: their
+mean and variance, drawn towards those of all trusted documents under ALL as if ``PRIOR`` of these
+were among them. Two quantiles of the standardised bits of all trusted documents then set each
+language's limits: above are symbols, shouting and word lists; below is text of few repeated
+parts. Documents without a language, or in one without trusted text, are scored under ALL and
+held against the mean and variance under ALL. The parameters are the same at every size.
 
 The n-gram counts are sharded by gram, and joins of the shards give the probabilities
 (see charlm). Labels join the texts on doc_id; an id filter keeps unlabelled texts out of
 that shuffle.
 
 Defined cases: null and empty texts have no perplexity and are not accepted; without any
-trusted text in another fold, nothing is judged and every text that has characters is accepted;
-conflicting labels of one document count as not trusted; rows with null doc_id are judged
-but never trusted; repeated rows are each judged alike. Extra columns are ignored.
+trusted text in the other fold, or any scored trusted document, a text that has characters is
+accepted; conflicting labels of one document count as not trusted; rows with null doc_id are
+judged but never trusted; repeated rows are each judged alike. Extra columns are ignored. A very
+long text is scored whole, in one task that holds about 80 times its bytes.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +38,12 @@ LOWEST = 0.0005
 HIGHEST = 0.9985
 # The group of all languages together.
 ALL = ""
-# Each document is scored under the model of the trusted documents of the other folds.
-FOLDS = 5
-# A language has its own model from so many trusted documents on, or more if its quantiles ask for them.
-LEAST = 30
+# Characters of a language's model that weigh as much as ALL in the mixture.
+MIXING = 50_000
+# Trusted documents that the mean and variance under ALL count for.
+PRIOR = 20
+# The least standard deviation in bits.
+LEAST_SPREAD = 1e-6
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -46,7 +52,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def _fold() -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("string")
+    return F.pmod(F.xxhash64("doc_id"), F.lit(2))
 
 
 def _trusted_rows(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -54,69 +60,74 @@ def _trusted_rows(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull() & may_hold(F.col("doc_id"))).join(trusted, "doc_id", "left_semi")
 
 
-def train(docs: DataFrame, trusted: DataFrame) -> charlm.Model:
-    """Models of the texts of docs whose doc_id is in trusted, by lang and for ALL: for each
-    fold one (named fold:lang) of the texts of the other folds."""
-    texts = _trusted_rows(docs.select("doc_id", F.coalesce("lang", F.lit(ALL)).alias("grp"), "text"), trusted)
-    counts = written(charlm.count_grams(texts.select(F.concat(_fold(), F.lit(":"), "grp").alias("grp"), "text"), letters_only=False), "grams")
-    fold = F.substring_index("grp", ":", 1)
-    of_lang = F.expr("substring(grp, instr(grp, ':') + 1)")
-    counts = counts.select(fold.alias("fold"), of_lang.alias("grp"), "gram", "n")
-    together = counts.groupBy("fold", "gram").agg(F.sum("n").alias("n")).select("fold", F.lit(ALL).alias("grp"), "gram", "n")
-    others = F.filter(F.array(*(F.lit(str(k)) for k in range(FOLDS))), lambda k: k != F.col("fold"))
-    return charlm.train(
-        counts.where(F.col("grp") != ALL).unionByName(together).withColumn("to", F.explode(others))
-        .groupBy(F.concat("to", F.lit(":"), "grp").alias("grp"), "gram").agg(F.sum("n").alias("n")), modified=True)
-
-
-def _finish(rows: pa.RecordBatch, g: charlm.Grams, sums: np.ndarray) -> pa.RecordBatch:
-    n = g.counts()
-    bits = -sums[:, 0] / np.maximum(n, 1) / np.log(2)
-    none = (n == 0) | np.array(rows.column(3).to_pylist(), bool)
-    return pa.RecordBatch.from_arrays(
-        [rows.column(1), rows.column(2), rows.column(0), pa.array(n, pa.int64()), pa.array(bits, mask=none)],
-        names=["doc_id", "row_key", "grp", "n_scored", "bits"])
-
-
-def score(docs: DataFrame, model: charlm.Model, langs: DataFrame) -> DataFrame:
-    """doc_id, row_key, grp (ALL, or lang if it is in langs), n_scored (characters), bits (per
-    character, under the model of the folds that the document isn't in)."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    own = F.broadcast(langs.select(F.col("grp").alias("own")))
-    there = F.broadcast(written(model.groups().withColumnRenamed("grp", "there"), "models"))
-    texts = docs.select("doc_id", row_key().alias("row_key"), "lang", F.col("text").cast("string").alias("text"))
-    texts = (texts.join(own, F.col("lang") == F.col("own"), "left")
-             .withColumn("grp", F.concat(_fold(), F.lit(":"), F.coalesce("own", F.lit(ALL))))
-             .join(there, F.col("grp") == F.col("there"), "left")
-             .select("grp", "doc_id", "row_key", F.col("there").isNull().alias("unjudged"), "text"))
-    return (charlm.score(texts, model, False, None, _finish, f"doc_id {id_type}, row_key bigint, grp string, n_scored bigint, bits double")
-            .withColumn("grp", F.expr("substring(grp, instr(grp, ':') + 1)")))
+def _group(fold: Column, lang: Column | str) -> Column:
+    return F.concat(fold.cast("string"), F.lit(":"), lang)
+
 
+def train(docs: DataFrame, trusted: DataFrame) -> charlm.Mixed:
+    """Models of the texts of docs whose doc_id is in trusted, by lang and for ALL. That of the
+    texts of one fold is named after the other, whose documents it scores (fold:lang)."""
+    texts = _trusted_rows(docs.select("doc_id", F.coalesce("lang", F.lit(ALL)).alias("lang"), "text"), trusted)
+    counts = written(charlm.count_grams(texts.select(_group(1 - _fold(), "lang").alias("grp"), "text"), letters_only=False), "grams")
+    base = F.concat(F.substring_index("grp", ":", 1), F.lit(":" + ALL))
+    together = counts.groupBy(base.alias("grp"), "gram").agg(F.sum("n").alias("n"))
+    every = written(counts.where(F.col("grp") != base).unionByName(together), "counts")
+    model = charlm.train(every, modified=True)
+    size = F.sum("n")
+    shares = every.groupBy("grp").agg((size / (size + MIXING)).alias("share")).select("grp", base.alias("base"), "share")
+    return charlm.Mixed(model, written(shares, "shares"))
 
-def enough(lowest: float, highest: float) -> int:
-    """The least number of trusted documents whose quantiles say more than their extremes."""
-    tails = [t for t in (lowest, 1 - highest) if t > 0]
-    return max(LEAST, *(int(np.ceil(1 / t - 1e-6)) for t in tails)) if tails else LEAST
+
+def score(docs: DataFrame, models: charlm.Mixed) -> DataFrame:
+    """doc_id, row_key, lang, n_scored (characters), bits (per character, under the mixture of
+    the document's language) and bits_all (under ALL), null without characters or a model."""
+    there = models.shares.select(F.col("grp").alias("there"))
+    texts = docs.select("doc_id", row_key().alias("row_key"), "lang", F.col("text").cast("string").alias("text"))
+    texts = (texts.withColumn("grp", _group(_fold(), "lang")).join(there, F.col("grp") == F.col("there"), "left")
+             .select(F.coalesce("there", _group(_fold(), F.lit(ALL))).alias("grp"), F.struct("doc_id", "row_key", "lang").alias("row"), "text"))
+    scored = charlm.score(texts, models, letters_only=False)
+
+    def bits(k: int) -> Column:
+        return F.when(F.col("n") > 0, -F.col("sums")[k] / F.col("n") / F.log(F.lit(2.0)))
+
+    return scored.select("row.*", F.col("n").alias("n_scored"), bits(0).alias("bits"), bits(1).alias("bits_all"))
+
+
+def limits(scored: DataFrame, trusted: DataFrame, lowest: float, highest: float) -> DataFrame:
+    """(grp, mean, spread, q): for each language of the trusted documents and ALL, what its bits
+    are standardised by, and the two quantiles of all standardised bits."""
+    held = written(scored.where("bits is not null").join(trusted, "doc_id", "left_semi").select("lang", "bits", "bits_all"), "held-out")
+    under_all = held.agg(F.avg("bits_all").alias("mean_all"), F.var_pop("bits_all").alias("var_all"))
+    n = F.count(F.lit(1))
+    own = held.where(F.col("lang").isNotNull() & (F.col("lang") != ALL)).groupBy(F.col("lang").alias("grp")).agg(
+        n.alias("n"), F.avg("bits").alias("m"), F.var_pop("bits").alias("v"))
+    nothing = under_all.select(F.lit(ALL).alias("grp"), F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("v"))
+    of_all = under_all.where("mean_all is not null")
+    key = F.lit(0).alias("one")
+    both = own.unionByName(nothing).select("*", key).join(of_all.select("*", key), "one")
+    weight = F.col("n") / (F.col("n") + PRIOR)
+    mean = weight * F.col("m") + (1 - weight) * F.col("mean_all")
+    # The variance of the two parts together, with that between their means.
+    var = weight * F.col("v") + (1 - weight) * F.col("var_all") + weight * (1 - weight) * F.pow(F.col("m") - F.col("mean_all"), F.lit(2.0))
+    standards = written(both.select("grp", mean.alias("mean"), F.greatest(F.sqrt(var), F.lit(LEAST_SPREAD)).alias("spread")), "standards")
+    z = (held.withColumn("grp", F.coalesce("lang", F.lit(ALL))).join(standards, "grp")
+         .agg(F.percentile_approx(_z(), [lowest, highest], 10_000).alias("q")))
+    return written(standards.select("*", key).join(z.where("q is not null").select("*", key), "one").drop("one"), "limits")
+
+
+def _z() -> Column:
+    return (F.col("bits") - F.col("mean")) / F.col("spread")
 
 
 def classify(docs: DataFrame, labels: DataFrame, lowest: float = LOWEST, highest: float = HIGHEST) -> DataFrame:
-    """One row per document row: doc_id, row_key, grp, n_scored, bits, perplexity (per
-    character), least and most (the quantiles in bits), accepted."""
+    """One row per document row: doc_id, row_key, grp (the language that it is held against, or
+    ALL), n_scored, bits, perplexity (per character), least and most (the limits in bits), accepted."""
     trusted = written(trusted_ids(labels.select("doc_id", "quality")), "trusted")
-    model = train(docs, trusted)
-    langs = written(_trusted_rows(docs.select("doc_id", F.col("lang").alias("grp"), (F.length("text") > 0).alias("full")), trusted)
-                    .where("full and grp is not null").groupBy("grp").agg(F.countDistinct("doc_id").alias("n"))
-                    .where((F.col("n") >= enough(lowest, highest)) & (F.col("grp") != ALL)), "languages")
-    scored = written(score(docs, model, langs), "perplexities")
-    quantile = F.percentile_approx("bits", [lowest, highest], 10_000).alias("q")
-    limits = (scored.where((F.col("grp") != ALL) & F.col("bits").isNotNull()).join(trusted, "doc_id", "left_semi").groupBy("grp").agg(quantile))
-    if not scored.where(F.col("grp") == ALL).isEmpty():
-        # The limits of ALL are those of all trusted documents under the models of ALL.
-        under_all = score(_trusted_rows(docs, trusted), model, langs.limit(0))
-        limits = limits.unionByName(under_all.where("bits is not null").agg(quantile).where("q is not null").select(F.lit(ALL).alias("grp"), "q"))
-    limits = written(limits, "limits")
-    inside = F.col("bits").between(F.col("q")[0], F.col("q")[1])
-    return (scored.join(limits, "grp", "left")
-            .select("doc_id", "row_key", "grp", "n_scored", "bits", F.pow(F.lit(2.0), "bits").alias("perplexity"),
-                    F.col("q")[0].alias("least"), F.col("q")[1].alias("most"),
-                    ((F.col("n_scored") > 0) & F.coalesce(inside, F.lit(True))).alias("accepted")))
+    scored = written(score(docs, train(docs, trusted)), "perplexities")
+    by_group = limits(scored, trusted, lowest, highest)
+    known = by_group.select(F.col("grp").alias("lang"), F.col("grp").alias("known"))
+    judged = (scored.join(known, "lang", "left").withColumn("grp", F.coalesce("known", F.lit(ALL)))
+              .join(by_group, "grp", "left"))
+    return judged.select("doc_id", "row_key", "grp", "n_scored", "bits", F.pow(F.lit(2.0), "bits").alias("perplexity"),
+                         (F.col("mean") + F.col("spread") * F.col("q")[0]).alias("least"), (F.col("mean") + F.col("spread") * F.col("q")[1]).alias("most"),
+                         ((F.col("n_scored") > 0) & F.coalesce(_z().between(F.col("q")[0], F.col("q")[1]), F.lit(True))).alias("accepted"))

@@ -27,6 +27,7 @@ def test_junk_goes_and_clean_text_stays(spark):
     assert not any(got[i][0].accepted for i in [*range(200, 210), 300, 400, 401])
     assert got[400][0].bits is None and got[401][0].bits is None
     assert got[402][0].grp == got[403][0].grp == quality.ALL and got[1][0].grp == "en"
+    assert all(r.least <= r.bits <= r.most for r in rows if r.accepted)
     assert got[404][0] == got[404][1] and None in got
 
 
@@ -43,7 +44,7 @@ def test_clean_text_of_a_language_with_one_trusted_document_stays(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in [*range(100), 150]], LABELS)
     rows = quality.classify(docs, labels, lowest=0.0, highest=1.0).collect()
     few = [r for r in rows if r.doc_id >= 150]
-    assert {r.grp for r in few} == {quality.ALL} and sum(r.accepted for r in few) >= 27
+    assert {r.grp for r in few} == {"xx"} and sum(r.accepted for r in few) >= 27
     # Trusted documents lie among the others, not below them.
     mean = [np.mean([r.bits for r in rows if a <= r.doc_id < b]) for a, b in ((0, 100), (100, 150))]
     assert abs(mean[0] - mean[1]) < 0.05
