@@ -250,6 +250,8 @@ class Model:
         for groups of the model."""
         shown = written(needed.join(self.probabilities[order], ["grp", "gram"], "left"), "looked-up")
         found, missed = shown.where("value is not null"), shown.where("value is null").select("grp", "gram")
+        if missed.isEmpty():
+            return found
         if order == 1:
             return found.unionByName(missed.join(self.unknown, "grp"))
         mask = (1 << (16 * (order - 1))) - 1

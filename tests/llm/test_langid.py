@@ -118,3 +118,40 @@ def test_many_languages(spark):
     docs = documents(spark, [(i, f"{chr(0x4E00 + i) * 9} the", f"l{i}") for i in range(410)])
     rows = langid.identify(docs, "true").collect()
     assert len(rows) == 410 and all(r.lang_pred == f"l{r.doc_id}" for r in rows)
+
+
+def _units(text):
+    raw = text.encode("utf-16-le")
+    return [int.from_bytes(raw[i: i + 2], "little") for i in range(0, len(raw), 2)]
+
+
+@pytest.mark.parametrize("head_bytes", [0, 400, charlm.HEAD_BYTES])
+def test_scores_are_sums_of_the_probabilities(spark, monkeypatch, head_bytes):
+    """Whatever the sorted arrays hold, a text's score is the sum over its grams, one by one."""
+    monkeypatch.setattr(charlm, "HEAD_BYTES", head_bytes)
+    learned = [("a", "abab abba 𐐷𐐸"), ("a", "baab ab"), ("b", "xyxx yxy 𑌀")]
+    model = charlm.train(charlm.count_grams(spark.createDataFrame(learned, "grp string, text string"), letters_only=False), True)
+    texts = ["abba", "", "xyx zzz", "𐐷𐐸 𐌀𑌀", "ab " * 500, "abba"]
+    docs = spark.createDataFrame([("", (i,), t) for i, t in enumerate(texts)], "grp string, row struct<i int>, text string")
+    got = {r.row.i: r for r in charlm.score(docs, charlm.EachGroup(model, ["a", "b"]), letters_only=False).collect()}
+    packed = {}
+    for i, t in enumerate(texts):
+        units = [32, 32, 32, *_units(t)]
+        packed[i] = [(units[k - 3] << 48) | (units[k - 2] << 32) | (units[k - 1] << 16) | units[k] for k in range(3, len(units))]
+        assert got[i].n == len(packed[i])
+    distinct = sorted({g for gs in packed.values() for g in gs})
+    for j, group in enumerate("ab"):
+        value = dict(zip(distinct, model.log_p(group, np.array(distinct, np.uint64))))
+        for i, grams in packed.items():
+            assert got[i].sums[j] == pytest.approx(sum(value[g] for g in grams), abs=1e-4)
+    assert got[0].sums == got[5].sums
+
+
+def test_wide_characters_are_kept_apart():
+    """Letters beyond 16 bits that agree in their low bits give different grams; signs are blanks."""
+    def grams(text, letters_only=True):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return charlm.Grams(np.array([0, len(data)]), data, letters_only)
+    assert set(grams("𑌅").grams.tolist()).isdisjoint(grams("𐌅").grams.tolist())
+    assert grams("a😀b").grams.tolist() == grams("a b").grams.tolist()
+    assert grams("😀").has_letter.tolist() == [False] and grams("𐌅").has_letter.tolist() == [True]

@@ -1,4 +1,6 @@
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from rateflow.llm import quality
 from tests.llm.helpers import documents, no_documents
@@ -48,3 +50,27 @@ def test_clean_text_of_a_language_with_one_trusted_document_stays(spark):
     # Trusted documents lie among the others, not below them.
     mean = [np.mean([r.bits for r in rows if a <= r.doc_id < b]) for a, b in ((0, 100), (100, 150))]
     assert abs(mean[0] - mean[1]) < 0.05
+
+
+def test_limits_against_plain_arithmetic(spark):
+    """Means, variances and quantiles by language, and a language that one document more
+    changes by little."""
+    rnd = np.random.default_rng(4)
+    rows = [(i, "en" if i < 60 else "fr" if i < 70 else None, float(b), float(b) + 0.1) for i, b in enumerate(rnd.normal(2, 0.2, 80))]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, bits double, bits_all double")
+    trusted = spark.range(80).select(F.col("id").alias("doc_id"))
+    got = {r.grp: r for r in quality.limits(scored, trusted, 0.0, 1.0).collect()}
+    every = np.array([r[3] for r in rows])
+    z = []
+    for grp, lang in (("en", "en"), ("fr", "fr"), (quality.ALL, None)):
+        own = np.array([r[2] for r in rows if r[1] == lang])
+        w = len(own) / (len(own) + quality.PRIOR) if lang else 0.0
+        mean = w * own.mean() + (1 - w) * every.mean()
+        spread = np.sqrt(w * own.var() + (1 - w) * every.var() + w * (1 - w) * (own.mean() - every.mean()) ** 2)
+        if not lang:
+            mean, spread = every.mean(), every.std()
+        assert (got[grp].mean, got[grp].spread) == (pytest.approx(mean), pytest.approx(spread))
+        z += ((own - mean) / spread).tolist()
+    assert got["en"].q == [pytest.approx(min(z)), pytest.approx(max(z))]
+    fewer = {r.grp: r for r in quality.limits(scored.where("doc_id <> 69"), trusted, 0.0, 1.0).collect()}
+    assert abs(fewer["fr"].mean - got["fr"].mean) < 0.05 and abs(fewer["fr"].spread - got["fr"].spread) < 0.05
