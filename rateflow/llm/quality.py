@@ -97,22 +97,20 @@ def limits(scored: DataFrame, trusted: DataFrame, lowest: float, highest: float)
     """(grp, mean, spread, q): for each language of the trusted documents and ALL, what its bits
     are standardised by, and the two quantiles of all standardised bits."""
     held = written(scored.where("bits is not null").join(trusted, "doc_id", "left_semi").select("lang", "bits", "bits_all"), "held-out")
-    under_all = held.agg(F.avg("bits_all").alias("mean_all"), F.var_pop("bits_all").alias("var_all"))
-    n = F.count(F.lit(1))
+    under_all = written(held.agg(F.avg("bits_all").alias("mean_all"), F.var_pop("bits_all").alias("var_all")), "under-all")
+    mean_all, var_all = under_all.select("mean_all").scalar(), under_all.select("var_all").scalar()
     own = held.where(F.col("lang").isNotNull() & (F.col("lang") != ALL)).groupBy(F.col("lang").alias("grp")).agg(
-        n.alias("n"), F.avg("bits").alias("m"), F.var_pop("bits").alias("v"))
+        F.count(F.lit(1)).alias("n"), F.avg("bits").alias("m"), F.var_pop("bits").alias("v"))
     nothing = under_all.select(F.lit(ALL).alias("grp"), F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("v"))
-    of_all = under_all.where("mean_all is not null")
-    key = F.lit(0).alias("one")
-    both = own.unionByName(nothing).select("*", key).join(of_all.select("*", key), "one")
+    both = own.unionByName(nothing).select("*", mean_all.alias("mean_all"), var_all.alias("var_all")).where("mean_all is not null")
     weight = F.col("n") / (F.col("n") + PRIOR)
     mean = weight * F.col("m") + (1 - weight) * F.col("mean_all")
     # The variance of the two parts together, with that between their means.
     var = weight * F.col("v") + (1 - weight) * F.col("var_all") + weight * (1 - weight) * F.pow(F.col("m") - F.col("mean_all"), F.lit(2.0))
     standards = written(both.select("grp", mean.alias("mean"), F.greatest(F.sqrt(var), F.lit(LEAST_SPREAD)).alias("spread")), "standards")
-    z = (held.withColumn("grp", F.coalesce("lang", F.lit(ALL))).join(standards, "grp")
-         .agg(F.percentile_approx(_z(), [lowest, highest], 10_000).alias("q")))
-    return written(standards.select("*", key).join(z.where("q is not null").select("*", key), "one").drop("one"), "limits")
+    z = written(held.withColumn("grp", F.coalesce("lang", F.lit(ALL))).join(standards, "grp")
+                .agg(F.percentile_approx(_z(), [lowest, highest], 10_000).alias("q")), "quantiles")
+    return written(standards.select("*", z.scalar().alias("q")), "limits")
 
 
 def _z() -> Column:
