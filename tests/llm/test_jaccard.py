@@ -9,13 +9,13 @@ from rateflow.llm.components import components
 from tests.llm.helpers import documents, no_documents
 
 
-def _set(t):
+def _set(t, size):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-    return frozenset() if not w else frozenset([tuple(w)]) if len(w) < 3 else frozenset(zip(w, w[1:], w[2:]))
+    return frozenset() if not w else frozenset([tuple(w)]) if len(w) < size else frozenset(zip(*(w[i:] for i in range(size))))
 
 
-def _brute(docs):
-    s = [_set(t) for _, t in docs]
+def _brute(docs, percent=90, size=3):
+    s = [_set(t, size) for _, t in docs]
     parent = list(range(len(s)))
 
     def root(x):
@@ -26,7 +26,7 @@ def _brute(docs):
     for a in range(len(s)):
         for b in range(a):
             both = len(s[a] & s[b])
-            if both and 100 * both >= 90 * (len(s[a]) + len(s[b]) - both):
+            if both and 100 * both >= percent * (len(s[a]) + len(s[b]) - both):
                 parent[root(a)] = root(b)
     least = {}
     for i, (d, _) in enumerate(docs):
@@ -57,33 +57,68 @@ def _documents(rnd, n):
                    (None, "nothing like it"), (907, docs[0][1]), (907, docs[0][1]), (908, "long " * 20_000), (909, "long " * 19_000)]
 
 
-@pytest.mark.parametrize("leaf, rounds", [(500, 3), (8, 3), (8, 1)])
-def test_against_brute_force(spark, monkeypatch, leaf, rounds):
+@pytest.mark.parametrize("leaf, rounds, percent, size", [(500, 3, 90, 3), (8, 3, 90, 3), (8, 1, 90, 3), (500, 3, 80, 5), (8, 3, 80, 5)])
+def test_against_brute_force(spark, monkeypatch, leaf, rounds, percent, size):
     for name, value in (("LEAF", leaf), ("ROUNDS", rounds), ("PIVOTS", 3), ("TOGETHER", 20)):
         monkeypatch.setattr(J, name, value)
     docs = _documents(random.Random(leaf + rounds), 250)
-    got = J.join(documents(spark, docs)).collect()
-    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == _brute(docs)
+    got = J.join(documents(spark, docs), percent, size).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == _brute(docs, percent, size)
     kept = [r.component_id for r in got if r.keeper and r.n_shingles and r.doc_id not in (None, 907)]
     assert len(kept) == len(set(kept))
 
 
-def test_linked_sets_share_a_signature():
+def _sets_of(*sets):
+    s = object.__new__(J.Sets)
+    values = [np.sort(J.T.mix(np.array(x, np.uint64))) for x in sets]
+    s.values, s.text = np.concatenate(values), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    s.first = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    return s
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_signature(percent):
     rnd = random.Random(9)
-    for _ in range(300):
+    slots = np.random.default_rng(9)
+    linked = 0
+    for _ in range(400):
         n = rnd.choice([1, 2, 5, 8, 9, 10, 17, 40, 100, 300])
         a = rnd.sample(range(10 ** 6), n)
-        out = rnd.randint(0, n // 9 + 1)
-        b = a[out:] + rnd.sample(range(10 ** 6, 2 * 10 ** 6), rnd.randint(0, max(0, n // 9 - out)))
+        most = n * (100 - percent) // percent + 1
+        out = rnd.randint(0, most)
+        b = a[out:] + rnd.sample(range(10 ** 6, 2 * 10 ** 6), rnd.randint(0, max(0, most - out)))
         both, union = len(set(a) & set(b)), len(set(a) | set(b))
-        if 100 * both < 90 * union:
+        if 100 * both < percent * union:
             continue
-        s = object.__new__(J.Sets)
-        values = [np.sort(J.T.mix(np.array(x, np.uint64))) for x in (a, b)]
-        s.values, s.text = np.concatenate(values), np.repeat([0, 1], [len(a), len(b)])
-        s.first = np.array([0, len(a), len(a) + len(b)])
-        text, sig = J.signatures(s, 90)
+        linked += 1
+        # Whatever the counts are, as long as both sets go by the same ones.
+        text, sig = J.signatures(_sets_of(a, b), percent, slots.integers(0, 3, 1 << J.SLOT_BITS).astype(np.uint32))
         assert set(sig[text == 0].tolist()) & set(sig[text == 1].tolist())
+    assert linked > 100
+
+
+def test_common_shingles_come_last():
+    own, common = list(range(100)), list(range(1000, 1200))
+    s = _sets_of(own + common)
+    counts = np.ones(1 << J.SLOT_BITS, np.uint32)
+    counts[J._slots(J.T.mix(np.array(common, np.uint64)))] = 1000
+    _, sig = J.signatures(s, 80, counts)
+    assert len(sig) == 61 and set(sig.tolist()) <= set(J.T.mix(np.array(own, np.uint64)).tolist())
+
+
+def test_slots_are_counted_over_all_texts(spark):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c d", "b c d", "b c d b c d", "", None, "x"])], "row_key long, text string").repartition(3)
+    s = [J.Sets(np.array([0, len(t)]), np.frombuffer(t.encode(), np.uint8), 3).values for t in ["a b c d", "b c d", "b c d b c d", "x"]]
+    assert J.slot_counts(texts, 3).tolist() == np.bincount(np.concatenate([J._slots(v) for v in s]), minlength=1 << J.SLOT_BITS).tolist()
+
+
+@pytest.mark.parametrize("percent, size", [(90, 3), (80, 5)])
+def test_signatures_of_a_very_long_text_are_linear(percent, size):
+    text = " ".join(f"w{i * 7919 % 100_003}" for i in range(400_000)).encode()
+    s = J.Sets(np.array([0, len(text)]), np.frombuffer(text, np.uint8), size)
+    n = int(s.sizes()[0])
+    _, sig = J.signatures(s, percent, np.zeros(1 << J.SLOT_BITS, np.uint32))
+    assert n > 90_000 and len(sig) == n - -(-percent * n // 100) + 1
 
 
 def test_components_of_chains_and_stars(spark):

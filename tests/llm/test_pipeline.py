@@ -50,7 +50,7 @@ def test_rejected_documents_go(spark, stages):
 
 
 def test_one_document_of_each_group_stays(stages):
-    component = {d: c for d, _, c in brute_groups([(r["doc_id"], r["text"]) for r in stages[1]])}
+    component = {d: c for d, _, c in brute_groups([(r["doc_id"], r["text"]) for r in stages[1]], 80, 5)}
     ids = [r["doc_id"] for r in stages[2]]
     assert sorted(ids) == sorted(set(component.values()) | {d for d, c in component.items() if c is None})
 
@@ -101,5 +101,5 @@ def test_scratch_of_a_stage_is_deleted_by_the_next(spark):
 
 def test_queries_are_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries()) and corpus_pipeline.ORACLE_SQL is None
