@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 read again as the next one's docs. All but the last return the columns of documents.
 
 1. quality classifier: documents that it rejects go.
-2. n-gram Jaccard join: one document of each group stays, that of the least doc_id.
+2. n-gram Jaccard join: one document of each group stays, that of the least doc_id; five-word
+   shingles, similarity 0.8 or more.
 3. substring dedup: words that repeat earlier text go; documents without a word left go.
 4. benchmark decontamination: documents that hold a benchmark passage go.
 5. best-fit packing: what is left, as token sequences.
@@ -44,7 +45,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 @_stage
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = written(jaccard.join(docs).select("row_key", "keeper", "n_shingles"), "groups")
+    found = written(jaccard.join(docs, percent=80, size=5).select("row_key", "keeper", "n_shingles"), "groups")
     # Equal rows share a key; of those that would stay, one does.
     twice = written(found.where("keeper and n_shingles > 0").groupBy("row_key").count().where("count > 1").select("row_key"), "equal-rows")
     gone = found.where("not keeper").select("row_key").unionByName(twice)
