@@ -5,13 +5,17 @@ least ``percent`` / 100, that is within distance r = 1 - percent / 100. Equal se
 class, joined once.
 
 First level. Unrelated texts lie at distance 1 from each other and from any pivot, so
-pivots alone can't tell them apart. The first regions therefore come from an exact sieve: of two
-linked sets of m and n elements at least percent / 100 * max(m, n) are common, so under any
-order of all shingles that both sets follow, the first n * r + 1 elements of either hold a common
-one. Sets that share such an element belong to one coarse region: a connected component of these
-shares. The order is by how often a shingle's slot (of SLOTS, by hash) is met in all sets, least
-first, so that what many texts repeat comes last. The order decides how small regions are, never
-which links are found. A set has at most n * r + 2 such elements, however long its text is.
+pivots alone can't tell them apart. The first regions therefore come from an exact sieve:
+within distance r, a set of n elements differs from another in at most n * r / (1 - r) of them, so
+if it has more parts than that (by hash), one at least is equal on both sides. Sets that
+share such a part (by its signature, for their size class or the next smaller one) belong to one
+coarse region: a connected component of these shares. Unrelated texts fall out here. Parts
+of no or one element say little and don't count; sets are divided into so many parts that those
+of two or more elements alone nearly always outnumber the differences. A set where they don't
+needs another sign only with sets of the same kind: small ones a little-saying part together
+with a part of a second, independent division; larger ones one of their first n * r + 1 elements
+in the order of hashes, of which linked sets have one in common. So signatures are fewer than
+elements however long a text is.
 
 Pivots. Large regions are joined in rounds: some members become pivots and every member
 gets its distances to them. Members within r of a pivot are linked to it. The pivots' Voronoi
@@ -34,12 +38,12 @@ ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,9 +59,8 @@ ROUNDS = 3
 # Members that one task compares with a region's pivots, and classes of leaves together.
 TOGETHER = 1000
 FAR = 0.5
-# Slots that count how common shingles are (8 MiB in a task, 4 MiB sent to it), and slots in a row.
-SLOT_BITS = 20
-WIDTH = 64
+# Sets of up to so many parts are divided a second time where a part says little.
+FEW_PARTS = 32
 
 _U = np.uint64
 
@@ -104,58 +107,88 @@ def _facts(size: int):
     return run
 
 
-def _slots(values: np.ndarray) -> np.ndarray:
-    return (T.mix(values ^ _U(0x9FB21C651E98DF25)) >> _U(64 - SLOT_BITS)).astype(np.int64)
+def size_classes(percent: int, most: int) -> np.ndarray:
+    """Upper bounds of size classes: linked sets are of one class or of adjacent ones."""
+    bounds = [1]
+    while bounds[-1] < most:
+        bounds.append(max(bounds[-1] + 1, bounds[-1] * 100 // percent))
+    return np.array(bounds, np.int64)
 
 
-def _slot_counts(size: int):
-    """Rows (w, n0, n1, ...): how many elements of a task's sets fall into the slots from w * WIDTH on."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int64)
-        held, waiting = [], 0
-        for batch in batches:
-            for _, offsets, data in T.row_chunks(batch):
-                held.append(_slots(Sets(offsets, data, size).values))
-                waiting += len(held[-1])
-                if waiting >= 1 << SLOT_BITS:
-                    counts += np.bincount(np.concatenate(held), minlength=len(counts))
-                    held, waiting = [], 0
-        if waiting:
-            counts += np.bincount(np.concatenate(held), minlength=len(counts))
-        rows = counts.reshape(-1, WIDTH)
-        some = np.flatnonzero(rows.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(rows[some, i]) for i in range(WIDTH))],
-                                         names=["w", *(f"n{i}" for i in range(WIDTH))])
-    return run
-
+def part_surplus(percent: int) -> float:
+    """Parts for each element that may differ, so many that of randomly filled parts those with
+    two or more elements outnumber the differences by 4 % (2 at most)."""
+    for surplus in np.arange(1.05, 2, 0.05):
+        mean = percent / (100 - percent) / surplus
+        if surplus * (1 - math.exp(-mean) * (1 + mean)) >= 1.04:
+            return float(surplus)
+    return 2.0
 
-def slot_counts(texts: DataFrame, size: int) -> np.ndarray:
-    """How many elements of all sets fall into each slot. The sums are Spark's; 2 ** SLOT_BITS
-    numbers come to the driver, whatever the number of texts."""
-    columns = [f"n{i}" for i in range(WIDTH)]
-    rows = (texts.mapInArrow(_slot_counts(size), f"w int, {', '.join(f'{c} bigint' for c in columns)}")
-            .groupBy("w").agg(*(F.sum(c).alias(c) for c in columns)).toArrow())
-    counts = np.zeros(((1 << SLOT_BITS) // WIDTH, WIDTH), np.int64)
-    counts[rows.column("w").to_numpy()] = np.column_stack([rows.column(c).to_numpy() for c in columns])
-    return np.minimum(counts.ravel(), (1 << 32) - 1).astype(np.uint32)
 
-
-def signatures(s: Sets, percent: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(s: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, signature): two linked sets have at least one signature in common."""
     n = s.sizes()
-    few = n - (percent * n + 99) // 100 + 1
-    # Elements that agree in this key stand in the order of their values, in every text alike.
-    order = np.argsort((counts[_slots(s.values)].astype(np.uint64) << _U(32)) | (T.mix(s.values) >> _U(32)), kind="stable")
-    order = order[np.argsort(s.text[order], kind="stable")]
-    early = np.arange(len(order)) - s.first[s.text] < few[s.text]
-    return s.text[early], s.values[order[early]]
-
-
-def _signatures(size: int, percent: int, counts: Broadcast):
+    texts, out = [], []
+    if not len(s.values):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    bounds = size_classes(percent, int(n.max()))
+    own = np.searchsorted(bounds, n)
+    surplus = part_surplus(percent)
+    for down in (0, 1):
+        c = own - down
+        use = (n > 0) & (c >= 0)
+        bound = np.where(use, bounds[np.maximum(c, 0)], 0)
+        parts = np.where(use, (bound * (100 - percent) * surplus).astype(np.int64) // percent + 1, 0)
+        # Elements in which the set may differ from a linked one of this class.
+        differ = np.minimum(n, bound) * (100 - percent) // percent
+        begin = np.concatenate([[0], np.cumsum(parts)])
+        inside = use[s.text]
+        text, values = s.text[inside], s.values[inside]
+        of_part = np.repeat(np.arange(len(n)), parts)
+        number = np.arange(begin[-1]) - begin[of_part]
+
+        def divided(seed: int) -> tuple[np.ndarray, np.ndarray]:
+            """Hash and size of each part in one division of the sets."""
+            mixed = T.mix(values ^ _U(seed))
+            at = begin[text] + (((mixed >> _U(32)) * parts[text].astype(np.uint64)) >> _U(32)).astype(np.int64)
+            total = np.zeros(begin[-1], np.uint64)
+            np.add.at(total, at, T.mix(mixed))
+            held = np.bincount(at, minlength=begin[-1])
+            place = T.mix((c[of_part].astype(np.uint64) << _U(32)) | number.astype(np.uint64)) ^ _U(seed)
+            return T.mix(total ^ place ^ (held.astype(np.uint64) << _U(48))), held
+
+        sig, held = divided(0x9FB21C651E98DF25)
+        telling = held > 1
+        # One part alone is the whole set.
+        telling |= parts[of_part] == 1
+        texts.append(of_part[telling])
+        out.append(sig[telling])
+        lacking = use & (np.bincount(of_part[telling], minlength=len(n)) <= differ)
+        # The number of parts belongs to the class, so linked sets take the same of the two ways.
+        weak = np.flatnonzero(~telling & (lacking & (parts <= FEW_PARTS))[of_part])
+        if len(weak):
+            other, _ = divided(0xD1B54A32D192ED03)
+            k = parts[of_part[weak]]
+            which = np.repeat(weak, k)
+            j = begin[of_part[which]] + np.arange(len(which)) - np.repeat(np.cumsum(k) - k, k)
+            texts.append(of_part[which])
+            out.append(T.mix(sig[which] ^ (other[j] * _U(T._BYTE_BASE))))
+        larger = np.flatnonzero((lacking & (parts > FEW_PARTS))[text])
+        if len(larger):
+            # A set's elements are sorted, so that its first are the least hashes.
+            few = n - (percent * n + 99) // 100 + 1
+            rank = np.flatnonzero(inside)[larger] - s.first[text[larger]]
+            early = larger[rank < few[text[larger]]]
+            texts.append(text[early])
+            out.append(T.mix(values[early] ^ T.mix(c[text[early]].astype(np.uint64))))
+    return np.concatenate(texts), np.concatenate(out)
+
+
+def _signatures(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, offsets, data in T.row_chunks(batch):
-                text, sig = signatures(Sets(offsets, data, size), percent, counts.value)
+                text, sig = signatures(Sets(offsets, data, size), percent)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sig.view(np.int64)), rows.column(0).take(pa.array(text, pa.int64()))], names=["sig", "node"])
     return run
@@ -350,13 +383,14 @@ def links(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """(a, b) of class nodes: links that connect what all links connect. docs (doc_id,
     text): one row for each distinct set; nodes are row keys."""
     texts = docs.select(row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
-    counts = docs.sparkSession.sparkContext.broadcast(slot_counts(texts, size))
-    sigs = written(texts.mapInArrow(_signatures(size, percent, counts), "sig bigint, node bigint"), "signatures")
-    counts.unpersist()
-    shared = written(sigs.groupBy("sig").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last").select("sig", "centre"), "parts")
-    may_be_shared = hash_filter(shared, "sig")
-    pairs = (sigs.where(may_be_shared(F.col("sig"))).join(shared, "sig")
-             .where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
+    sigs = written(texts.mapInArrow(_signatures(size, percent), "sig bigint, node bigint"), "signatures")
+    # Most signatures are met once: they are counted without their nodes.
+    often = written(sigs.groupBy("sig").count().where("count > 1").select("sig"), "repeated")
+    may_be_shared = hash_filter(often, "sig")
+    shared = written(sigs.where(may_be_shared(F.col("sig"))).join(often, "sig"), "parts")
+    centres = written(shared.groupBy("sig").agg(F.min("node").alias("centre")), "centres")
+    pairs = (shared.join(centres, "sig").where("node <> centre")
+             .select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
     coarse = written(components(pairs), "regions").withColumnRenamed("component", "region")
     sizes = written(coarse.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")
     small = coarse.join(sizes.where(F.col("n") <= LEAF), "region").select("region", "node")
