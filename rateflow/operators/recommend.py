@@ -12,14 +12,17 @@ exchange; no job runs per candidate and nothing goes through the driver.
 
 The baseline scorer is monotone in the item deviation for users whose average lies in
 [1, 5], so by default it scores only a bounded head of each bucket and falls back to
-the full bucket exactly where the head cannot decide (see ``_pruned_top_k``). ALS scores are
-bounded by blocks of the bucket instead (see ``_als_pruned``).
+the full bucket exactly where the head cannot decide (see ``_pruned_top_k``). ALS scores of a
+bucket are computed as matrix products instead, and only a request's best rows of a part of
+the bucket become rows of a table (see ``_als_blocked``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -225,19 +228,21 @@ def recommend_als(index: DataFrame, requests: DataFrame, ratings: DataFrame,
 
     A user's factors are attached to the request and an item's to the index row before
     candidates are expanded, so the candidates never join a factor table. ``strategy="full"``
-    scores every unseen member of the request's bucket; ``strategy="pruned"`` gives the same rows
-    from bounded parts of the bucket, see ``_als_pruned``. The bounds tell items apart as far as
-    their factors share a direction, so ``strategy="auto"`` prunes if what lies beside the mean
-    direction is at most PRUNED_BESIDE of the factors' squares."""
+    makes a row for every unseen member of the request's bucket; the others give the same rows.
+    ``strategy="blocked"``, which is ``"auto"``, scores them all by matrix products, see
+    ``_als_blocked``. ``strategy="pruned"`` scores bounded parts of the bucket, see ``_als_pruned``;
+    its bounds tell items apart as far as their factors share a direction (what lies beside the
+    mean direction is at most PRUNED_BESIDE of the factors' squares), and where they don't, it
+    makes nearly as many rows as the full path."""
     f = model if isinstance(model, Factors) else factors(model)
     sig = signature_names(seeds)
     own = ["k"] if "k" in requests.columns else []
     q = L.with_signature(requests.select("query_id", "user_id", "tags", *own), "tags", seeds)
-    q = materialize(per_key_join(q, f.users, "user_id", "left"), "als-requests")
+    q = materialize(per_key_join(q.drop("tags"), f.users, "user_id", "left"), "als-requests")
     idx = materialize(per_key_join(index.select(*sig, "item_id"), f.items, "item_id", "left"), "als-index")
+    if strategy in ("auto", "blocked"):
+        return top_k(_als_blocked(idx, q, ratings, f.rank, k, seeds, decimals), k, decimals=decimals).select(*_RANKED)
     seen = ratings.select("user_id", "item_id").distinct()
-    if strategy == "auto":
-        strategy = "pruned" if _beside_mean(f) <= PRUNED_BESIDE else "full"
     if strategy == "full":
         return top_k(_als_scored(L.signature_join(q, idx, seeds), seen, f.rank), k, decimals=decimals).select(*_RANKED)
     if strategy == "pruned":
@@ -267,8 +272,180 @@ _RANKED = ["query_id", "user_id", "item_id", "prediction", "rank"]
 def _als_scored(candidates: DataFrame, seen: DataFrame, rank: int) -> DataFrame:
     own = ["k"] if "k" in candidates.columns else []
     score = F.coalesce(dot("u", "v", rank), F.lit(float("nan")))
-    return (candidates.join(seen, ["user_id", "item_id"], "left_anti")
-            .select("query_id", "user_id", "item_id", *own, score.alias("prediction")))
+    # Factors stay out of the anti-join's shuffle.
+    return (candidates.select("query_id", "user_id", "item_id", *own, score.alias("prediction"))
+            .join(seen, ["user_id", "item_id"], "left_anti"))
+
+
+# Requests of one group of ``_als_blocked``; its items are one part of a bucket (L.PART_ITEMS).
+GROUP_REQUESTS = 50_000
+# Requests and items of one matrix product; a request's first product is a smaller one.
+TILE_REQUESTS = 512
+TILE_ITEMS = 4096
+FIRST_ITEMS = 1024
+
+
+def _als_blocked(idx: DataFrame, q: DataFrame, ratings: DataFrame, rank: int, k: int, seeds: Sequence[int],
+                 decimals: int) -> DataFrame:
+    """(query_id, user_id, item_id[, k], prediction): every unseen item that can be one of a
+    request's K best, stored.
+
+    A group is one part of a bucket's items and one part of its requests, both of a bounded
+    size, so a bucket of any size is spread over tasks. A request goes to each part of its bucket
+    with the rated items that lie there. Within a group all scores are computed (``_group_best``),
+    and about K rows for each request leave it: rows grow with the requests, not with the pairs."""
+    sig = signature_names(seeds)
+    own = ["k"] if "k" in q.columns else []
+    signed = " and ".join(f"{c} is not null" for c in sig)
+    # Only buckets of more than one part: fewer than the rows that fill a part each.
+    split = F.broadcast(
+        idx.groupBy(*sig).agg(F.ceil(F.count(F.lit(1)) / L.PART_ITEMS).cast("int").alias("_parts"))
+        .join(q.groupBy(*sig).agg(F.ceil(F.count(F.lit(1)) / GROUP_REQUESTS).cast("int").alias("_chunks")), sig)
+        .where("_parts > 1 or _chunks > 1"))
+    parts, chunks = (F.coalesce(c, F.lit(1)) for c in ("_parts", "_chunks"))
+    asked = q.where(signed).join(split, sig, "left")
+    items = (idx.where(signed).join(split, sig, "left")
+             .withColumn("_part", F.pmod(F.xxhash64("item_id"), parts).cast("int")))
+    rated = (ratings.select("user_id", "item_id").join(items.select("item_id", *sig, "_part"), "item_id")
+             .join(asked.select("user_id", *sig).distinct(), ["user_id", *sig])
+             .groupBy("user_id", *sig, "_part").agg(F.collect_set("item_id").alias("rated")))
+    group = [*sig, "_part", "_chunk"]
+    requests = (asked.withColumn("_chunk", F.pmod(F.xxhash64("query_id", "user_id"), chunks).cast("int"))
+                .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+                .join(rated, ["user_id", *sig, "_part"], "left").select(*group, "query_id", "user_id", *own, "u", "rated"))
+    members = items.withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).select(*group, "item_id", "v")
+    columns = ["query_id", "user_id", *own]
+    schema = ", ".join([*(f"{c} {q.schema[c].dataType.simpleString()}" for c in columns), "item_id bigint", "prediction double"])
+    best = requests.groupBy(*group).cogroup(members.groupBy(*group)).applyInArrow(_group_best(columns, rank, k, decimals), schema)
+    return materialize(best, "als-best")
+
+
+def _matrix(column: pa.ChunkedArray, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows have factors, and these as a matrix."""
+    rows = column.combine_chunks()
+    has = rows.is_valid().to_numpy(zero_copy_only=False).copy()
+    m = rows.drop_null().flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, rank)
+    fine = np.isfinite(m).all(axis=1)
+    has[has] = fine
+    return has, m[fine]
+
+
+class _LeastIds:
+    """Ids in order, null first; ``unseen`` gives the first k that are not among the rated ones."""
+
+    def __init__(self, ids: pa.Array):
+        self.nulls = ids.null_count
+        self.ids, self.times = np.unique(ids.drop_null().to_numpy(zero_copy_only=False), return_counts=True)
+
+    def unseen(self, rated: np.ndarray, k: int) -> list[int | None]:
+        some, times = self.ids[:k + len(rated)], self.times[:k + len(rated)]
+        if len(rated):
+            new = ~np.isin(some, rated)
+            some, times = some[new], times[new]
+        return ([None] * min(self.nulls, k) + np.repeat(some[:k], np.minimum(times[:k], k)).tolist())[:k]
+
+
+def _best(r: np.ndarray, p: np.ndarray, u: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int, decimals: int):
+    """Of candidates (request r, item p) those that can be among the request's K best, their
+    scores, and for each request what its K-th has at least (-inf, if there are fewer).
+
+    Scores are added up as ``dot`` does. Rounding is left to Spark: a score's rounded value lies
+    between ``low`` and ``high``, which differ next to a boundary only, and whatever comes after K
+    others in any case is dropped."""
+    s = np.zeros(len(r))
+    for j in range(u.shape[1]):
+        s += u[r, j].astype(np.float64) * v[p, j].astype(np.float64)
+    x = s * 10.0 ** decimals
+    near = 1e-6 + np.abs(x) * 1e-15
+    low, high = np.floor(x + 0.5 - near), np.floor(x + 0.5 + near)
+    order = np.lexsort((ids[p], -low, r))
+    starts = np.flatnonzero(np.r_[True, r[order][1:] != r[order][:-1]]) if len(r) else np.zeros(0, int)
+    full = starts[np.diff(np.r_[starts, len(r)]) >= k] + k - 1
+    kth = order[full]
+    bar, last = np.full(len(u), -np.inf), np.zeros(len(u), ids.dtype)
+    bar[r[kth]], last[r[kth]] = low[kth], ids[p[kth]]
+    keep = (high > bar[r]) | ((high == bar[r]) & (ids[p] <= last[r]))
+    return r[keep], p[keep], s[keep], (bar - 1) / 10.0 ** decimals
+
+
+def _tiles(u: np.ndarray, v: np.ndarray, norms: np.ndarray, ids: np.ndarray, rated: tuple[np.ndarray, np.ndarray], k: int, decimals: int):
+    """The candidates (r, p, score) of some requests among the items v, largest norms first.
+    ``rated``: pairs (r, p) to leave out, by p. Products are in single precision, with a margin
+    for their error; a request is done where |u| |v| lies below its K-th score."""
+    size = np.linalg.norm(u.astype(np.float64), axis=1)
+    error = (u.shape[1] + 4) * 1.2e-7 * size * (norms[0] if len(norms) else 0.0)
+    floor = np.full(len(u), -np.inf)
+    r, p, s = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    at = 0
+    while at < len(v):
+        to = min(len(v), at + (TILE_ITEMS if at else FIRST_ITEMS))
+        live = np.flatnonzero(size * norms[at] * (1 + 1e-6) + error >= floor)
+        if not len(live):
+            break
+        scores = u[live] @ v[at:to].T
+        a, b = np.searchsorted(rated[1], [at, to])
+        if b > a:
+            row = np.full(len(u), -1)
+            row[live] = np.arange(len(live))
+            row = row[rated[0][a:b]]
+            scores[row[row >= 0], rated[1][a:b][row >= 0] - at] = -np.inf
+        least = floor[live] - error[live]
+        if not at and to >= k:
+            least = np.maximum(least, np.partition(scores, to - k, axis=1)[:, to - k] - 2 * error[live] - 2 * 10.0 ** -decimals)
+        least = np.nextafter(np.maximum(least, -1e38).astype(np.float32), np.float32(-np.inf))
+        new_r, new_p = np.nonzero(scores >= least[:, None])
+        if len(new_r):
+            r, p, s, floor = _best(np.r_[r, live[new_r]], np.r_[p, new_p + at], u, v, ids, k, decimals)
+        at = to
+    return r, p, s
+
+
+def _group_best(columns: list[str], rank: int, k: int, decimals: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For ``_als_blocked``: of a group's requests and items, the rows that can be among a
+    request's K best. NaN scores come last, by item id: a request without factors, or with fewer
+    than K other items, gets the least ids of those that score NaN."""
+    def run(asked: pa.Table, items: pa.Table) -> pa.Table:
+        rows, found, scores = [np.zeros(0, int)], [pa.array([], pa.int64())], [np.zeros(0)]
+        if asked.num_rows and items.num_rows:
+            ids = items.column("item_id").combine_chunks()
+            has_v, v = _matrix(items.column("v"), rank)
+            has_u, u = _matrix(asked.column("u"), rank)
+            lists = asked.column("rated").combine_chunks()
+            seen = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(int)) if len(lists) else np.zeros(0, int)
+            begins = np.r_[0, ends[:-1]]
+            norms = np.linalg.norm(v.astype(np.float64), axis=1)
+            order = np.argsort(-norms, kind="stable")
+            known = ids.filter(pa.array(has_v)).to_numpy(zero_copy_only=False)[order]
+            v, norms = v[order], norms[order]
+            by_id = np.argsort(known, kind="stable")
+            n_found = np.zeros(asked.num_rows, int)
+            with_u = np.flatnonzero(has_u)
+            for i in range(0, len(with_u) if len(v) else 0, TILE_REQUESTS):
+                some = with_u[i:i + TILE_REQUESTS]
+                n = ends[some] - begins[some]
+                of = np.repeat(np.arange(len(some)), n)
+                what = seen[np.repeat(begins[some] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())]
+                first, times = np.searchsorted(known, what, "left", by_id), 0
+                times = np.searchsorted(known, what, "right", by_id) - first
+                where = by_id[np.repeat(first - np.r_[0, np.cumsum(times)[:-1]][:len(first)], times) + np.arange(times.sum())]
+                of, by_place = np.repeat(of, times), np.argsort(where, kind="stable")
+                r, p, s = _tiles(u[i:i + TILE_REQUESTS], v, norms, known, (of[by_place], where[by_place]), k, decimals)
+                n_found[some] = np.bincount(r, minlength=len(some))
+                rows.append(some[r])
+                found.append(pa.array(known[p], pa.int64()))
+                scores.append(s)
+            unknown, every = _LeastIds(ids.filter(pa.array(~has_v))), _LeastIds(ids)
+            for i in np.flatnonzero(~has_u | (n_found < k)):
+                more = (unknown if has_u[i] else every).unseen(seen[begins[i]:ends[i]], k)
+                if more:
+                    rows.append(np.full(len(more), i))
+                    found.append(pa.array(more, pa.int64()))
+                    scores.append(np.full(len(more), np.nan))
+        at = pa.array(np.concatenate(rows))
+        return pa.table([*(asked.column(c).take(at) for c in columns), pa.concat_arrays(found), pa.array(np.concatenate(scores))],
+                        names=[*columns, "item_id", "prediction"])
+    return run
 
 
 def als_blocks(idx: DataFrame, rank: int, head_size: int, seeds: Sequence[int] = DEFAULT_SEEDS) -> tuple[DataFrame, DataFrame]:

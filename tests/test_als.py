@@ -146,3 +146,71 @@ def test_blocks_leave_out_most_of_a_large_bucket(spark, monkeypatch):
     # Factors in all directions: the bounds tell nothing apart.
     spread = ALS.Factors(users, spark.createDataFrame([(i, [float(j == i % 3) for j in range(3)]) for i in range(30)], "item_id long, v array<float>"), 3)
     assert R._beside_mean(spread) > R.PRUNED_BESIDE
+
+
+@pytest.mark.parametrize("part_items, group_requests", [(1_000_000, 1_000_000), (7, 5)])
+def test_blocked_recommendations_equal_the_full_ones(spark, monkeypatch, part_items, group_requests):
+    """Ties, scores next to each other, null and repeated ids, items and users that the model
+    doesn't know, users who rated nearly all, lists without tags and a K of their own."""
+    import random
+    monkeypatch.setattr(L, "PART_ITEMS", part_items)
+    monkeypatch.setattr(R, "GROUP_REQUESTS", group_requests)
+    r = random.Random(part_items)
+    vectors = [[r.choice([-1.0, 0.0, 0.5, 2.0]) + r.choice([0.0, 1e-7]) for _ in range(3)] for _ in range(12)]
+    factors = [(i, r.choice(vectors) if i < 90 else [r.gauss(0, 1) for _ in range(3)]) for i in range(180) if r.random() < 0.9]
+    users = spark.createDataFrame([(u, [r.choice([-1.0, 0.0, 1.0, 0.3]) for _ in range(3)]) for u in range(25)], "user_id long, u array<float>")
+    f = ALS.Factors(users, spark.createDataFrame(factors, "item_id long, v array<float>"), 3)
+    listed = [*range(180), None, *range(5), *range(170, 175)]
+    index = L.lsh_index(spark.createDataFrame([(i, "t", r.choice([["big"], ["big"], ["big"], ["small"], [], None])) for i in listed], "item_id long, title string, tags array<string>"))
+    ratings = spark.createDataFrame([(r.choice([*range(30), None]), r.choice([*range(180), None]), 3.0) for _ in range(900)] + [(u, i, 1.0) for u in (3, 40) for i in range(178)], "user_id long, item_id long, rating double")
+    requests = spark.createDataFrame([(q, r.choice([*range(30), 40, None]), r.choice([["big"], ["big"], ["small"], ["none"], [], None]), r.randint(1, 7)) for q in range(120)],
+                                     "query_id long, user_id long, tags array<string>, k int")
+    for asked in (requests, requests.drop("k")):
+        full = sorted(map(repr, R.recommend_als(index, asked, ratings, f, 7, strategy="full").collect()))
+        assert full and sorted(map(repr, R.recommend_als(index, asked, ratings, f, 7).collect())) == full
+    assert R.recommend_als(index, requests.limit(0), ratings, f, 7).collect() == []
+
+
+def test_tiles_leave_out_no_candidate():
+    """Several products for a request, against sorting all scores."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for n, m in ((10, 4), (9000, 40), (30_000, 3)):
+        v, u, ids = rng.normal(0.5, 0.3, (n, 10)).astype(np.float32), rng.normal(0.5, 0.3, (m, 10)).astype(np.float32), rng.permutation(n)
+        v[n // 2:n // 2 + 50] = v[n // 2]
+        norms = np.linalg.norm(v.astype(float), axis=1)
+        order = np.argsort(-norms)
+        v, norms = v[order], norms[order]
+        s = sum(u[:, [j]].astype(float) * v[:, j].astype(float) for j in range(10))
+        top = np.argsort(-s, axis=1)[:, :4]
+        left = (np.repeat(np.arange(m), 4), top.ravel())
+        by = np.argsort(left[1], kind="stable")
+        s[left] = -np.inf
+        r, p, got = R._tiles(u, v, norms, ids, (left[0][by], left[1][by]), 3, 6)
+        assert len(r) <= 4 * m and np.allclose(got, s[r, p], rtol=1e-12)
+        for i in range(m):
+            best = sorted((-round(s[i, j], 6), ids[j]) for j in range(n) if np.isfinite(s[i, j]))[:3]
+            assert sorted((-round(x, 6), y) for x, y in zip(got[r == i], ids[p[r == i]]))[:3] == best
+
+
+def test_candidates_leave_the_groups_as_rows_of_the_result_only(spark, monkeypatch):
+    """What is stored for the requests grows with them, not with the bucket."""
+    import random
+    stored = []
+    plain = R._als_blocked
+
+    def counted(*args):
+        out = plain(*args)
+        stored.append(out.count())
+        return out
+    monkeypatch.setattr(R, "_als_blocked", counted)
+    monkeypatch.setattr(L, "PART_ITEMS", 1000)
+    r = random.Random(5)
+    users = spark.createDataFrame([(u, [r.gauss(0, 1) for _ in range(3)]) for u in range(50)], "user_id long, u array<float>")
+    f = ALS.Factors(users, spark.createDataFrame([(i, [r.gauss(0, 1) for _ in range(3)]) for i in range(4000)], "item_id long, v array<float>"), 3)
+    index = L.lsh_index(spark.range(4000).selectExpr("id as item_id", "'t' as title", "array('t') as tags"))
+    requests = spark.createDataFrame([(u, u, ["t"]) for u in range(50)], "query_id long, user_id long, tags array<string>")
+    ratings = spark.createDataFrame([(u, i, 1.0) for u in range(50) for i in range(u)], "user_id long, item_id long, rating double")
+    got = sorted(map(repr, R.recommend_als(index, requests, ratings, f, 3).collect()))
+    assert stored and stored[0] <= 50 * 8 * 4  # of 50 * 4,000
+    assert got == sorted(map(repr, R.recommend_als(index, requests, ratings, f, 3, strategy="full").collect()))
