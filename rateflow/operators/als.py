@@ -3,12 +3,15 @@
 Defaults are the original settings: rank 10, 20 iterations, regularisation 0.1,
 seed 0 and 4 user and 4 item blocks. A block is one task per ALS stage; as the random
 initialisation depends on the blocking, the number of blocks is a fixed parameter and never
-follows the cluster, so the same data and parameters give the same model everywhere.
+follows the cluster, so the same data and parameters give the same model everywhere. Beyond
+BLOCKS_GROW_FROM ratings it grows with the root of their number (``block_count``): neither a
+block's ratings nor the copies of a factor (one for each block that needs it) grow in proportion.
 ALS needs int ids; they are cast at this edge under ANSI, which fails loudly on an id
 outside the int range instead of wrapping. ``dense_ids=True`` numbers the ids first (a
 distributed dictionary for users and one for items), which lifts that limit.
 With a checkpoint directory on the session, ALS checkpoints its factors every
-``checkpoint_interval`` iterations, which bounds lineage and recovery work.
+``checkpoint_interval`` iterations, which bounds lineage, recovery work and the shuffle files of
+the iterations since; more blocks write more of them, so it is taken as much oftener.
 
 Each iteration solves the items' factors and then the users', so a fitted model's users satisfy
 their regularised least squares given the items: for user u with n ratings
@@ -18,6 +21,7 @@ that, and ``fold_in`` solves the same system for users who rated after the fit.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +40,8 @@ ALS_MAX_ITER = 20
 ALS_REG = 0.1
 ALS_SEED = 0
 ALS_BLOCKS = 4
+# Ratings up to which the number of blocks is the parameter's.
+BLOCKS_GROW_FROM = 4_000_000
 
 
 @dataclass
@@ -64,14 +70,25 @@ def _int_ids(df: DataFrame) -> DataFrame:
              .withColumn("item_id", F.col("item_id").cast("int"))
 
 
+def block_count(n_ratings: int, least: int = ALS_BLOCKS) -> int:
+    """Blocks for so many ratings, ``least`` or more: 12 for 36 million, 30 for 216 million."""
+    return math.ceil(least * max(1.0, math.sqrt(n_ratings / BLOCKS_GROW_FROM)))
+
+
 def fit_als(ratings: DataFrame, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
             reg: float = ALS_REG, seed: int = ALS_SEED, blocks: int = ALS_BLOCKS,
             checkpoint_interval: int = 10, dense_ids: bool = False) -> ALSModel | DenseALS:
+    ratings = ratings.select("user_id", "item_id", "rating")
+    if dense_ids:
+        # Both dictionaries and the numbered ratings are made from it.
+        ratings = materialize(ratings, "als-ratings")
+    n_blocks = block_count(ratings.count(), blocks)
+    if n_blocks > blocks and checkpoint_interval > 0:
+        checkpoint_interval = min(checkpoint_interval, max(2, checkpoint_interval * blocks // n_blocks))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed,
-              numUserBlocks=blocks, numItemBlocks=blocks, implicitPrefs=False,
+              numUserBlocks=n_blocks, numItemBlocks=n_blocks, implicitPrefs=False,
               userCol="user_id", itemCol="item_id", ratingCol="rating",
               coldStartStrategy="nan", checkpointInterval=checkpoint_interval)
-    ratings = ratings.select("user_id", "item_id", "rating")
     if not dense_ids:
         return als.fit(_int_ids(ratings))
     users, items = id_numbers(ratings, "user_id"), id_numbers(ratings, "item_id")

@@ -42,6 +42,15 @@ def test_blocks_are_a_fixed_parameter(spark, ratings):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-3 for k in a)
 
 
+def test_blocks_grow_with_the_ratings(spark, ratings, monkeypatch):
+    assert [ALS.block_count(n) for n in (0, 600_000, 4_000_000, 36_000_000, 216_000_000)] == [4, 4, 4, 12, 30]
+    monkeypatch.setattr(ALS, "BLOCKS_GROW_FROM", ratings.count() // 4)
+    model = ALS.fit_als(ratings, max_iter=5, dense_ids=True)
+    assert model.model.userFactors.rdd.getNumPartitions() == 8
+    f = ALS.factors(model)
+    assert max(r.residual for r in ALS.normal_residuals(f, ratings).collect()) < 1e-3
+
+
 def test_dense_ids_lift_the_int_limit(spark, ratings):
     from pyspark.sql import functions as F
     far = 10 ** 12
