@@ -61,8 +61,12 @@ def with_signature(df: DataFrame, tags_col: str = "tags",
 
 
 def lsh_index(items: DataFrame, seeds: Sequence[int] = DEFAULT_SEEDS) -> DataFrame:
-    """Long-form buckets: (sig_0.., item_id, title, tags)."""
-    return with_signature(items.select("item_id", "title", "tags"), "tags", seeds).select(
+    """Long-form buckets: (sig_0.., item_id, title, tags).
+
+    Hashing a tag list costs far more than reading it, so items are spread over tasks first: a
+    stored item table of a few MB is one scan task."""
+    spread = items.select("item_id", "title", "tags").repartition("item_id")
+    return with_signature(spread, "tags", seeds).select(
         *signature_names(seeds), "item_id", "title", "tags")
 
 

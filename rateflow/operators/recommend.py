@@ -97,11 +97,16 @@ def recommend_baseline(index: DataFrame, requests: DataFrame, ratings: DataFrame
     own = ["k"] if "k" in requests.columns else []
     q = L.with_signature(requests.select("query_id", "user_id", "tags", *own), "tags", seeds)
     q = per_key_join(q, model.user_avg.select("user_id", "user_avg"), "user_id", "left")
+    # Read several times below, and hashing the tags costs most.
+    index = materialize(index.select(*sig, "item_id"), "baseline-index")
     seen = ratings.select("user_id", "item_id").distinct()
     if strategy == "full":
         return top_k(_scored(q, _index_with_dev(index, model, sig), seen, seeds), k, decimals=decimals).select(*cols)
     if strategy == "pruned":
-        return _pruned_top_k(index, materialize(q, "requests"), seen, model, k, seeds,
+        q = materialize(q.drop("tags"), "requests")
+        # Three branches leave out what was rated: only pairs of users who ask are kept for them.
+        seen = materialize(seen.join(q.select("user_id").distinct(), "user_id", "left_semi"), "rated-pairs")
+        return _pruned_top_k(index, q, seen, model, k, seeds,
                              head_size or max(64, 4 * int(k)), decimals).select(*cols)
     raise ValueError(f"unknown strategy: {strategy}")
 

@@ -227,3 +227,31 @@ def test_cold_requests_cost_classes_not_requests(spark, index, ratings, model):
     assert R.class_heads(index, model, classes, 64, R.DEFAULT_SEEDS, 6).count() == 10
     got = R.recommend_baseline(index, req, ratings, model, 3).groupBy("query_id").agg(F.collect_list("item_id").alias("i")).collect()
     assert len(got) == 1000 and len({tuple(sorted(r.i)) for r in got}) == 1
+
+
+def test_pruned_path_reads_the_index_and_the_ratings_of_those_who_ask_once(spark, items, ratings, index, model, monkeypatch):
+    """Hashed signatures and rated pairs are stored, the latter of the requests' users alone."""
+    stored = {}
+    plain = R.materialize
+
+    def kept(df, name):
+        assert name not in stored
+        stored[name] = plain(df, name)
+        return stored[name]
+    req = spark.createDataFrame([(1, 1, ["Action"]), (2, 4, ["Comedy"]), (3, None, ["Drama"]), (4, -7, ["Drama"])], REQ_SCHEMA)
+    full = sorted(map(repr, R.recommend_baseline(index, req, ratings, model, 5, strategy="full").collect()))
+    monkeypatch.setattr(R, "materialize", kept)
+    assert sorted(map(repr, R.recommend_baseline(index, req, ratings, model, 5).collect())) == full
+    assert stored["baseline-index"].columns == ["sig_0", "sig_1", "item_id"]
+    pairs = {(r.user_id, r.item_id) for r in stored["rated-pairs"].collect()}
+    assert pairs == {(r.user_id, r.item_id) for r in ratings.where(F.col("user_id").isin(1, 4)).collect()}
+
+
+def test_index_is_spread_before_tags_are_hashed(spark, tmp_path):
+    """A small file is one scan task, hashing its tags must not be."""
+    spark.range(60_000).selectExpr("id as item_id", "concat('t', id) as title", "array(concat('a', id), 'b') as tags").coalesce(1).write.parquet(f"{tmp_path}/items")
+    stored = spark.read.parquet(f"{tmp_path}/items")
+    assert stored.rdd.getNumPartitions() == 1
+    plan = L.lsh_index(stored)._jdf.queryExecution().executedPlan().toString()
+    hashed, spread = plan.index("sig_0"), plan.index("hashpartitioning(item_id")
+    assert hashed < spread  # the plan's top comes first
