@@ -23,8 +23,9 @@ import numpy as np
 # Pieces of a lower-cased text as the vocabulary's own rules cut it. Bytes of other
 # characters count as letters in the second pattern, which holds for a piece that is all
 # letters; the third keeps every word with other characters whole.
-_ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_LETTERS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+# Letters, which are most, are tried first; no other rule begins with one.
+_ASCII = re.compile(rb"[a-z]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-z0-9]+")
+_LETTERS = re.compile(rb"[a-z\x80-\xff]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-z0-9\x80-\xff]+")
 _WORDS = re.compile(rb"[^\s\x80-\xff]*[\x80-\xff]\S*|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
 # Lead bytes of the combining marks U+0300 to U+036F, and U+0130, whose lower case has such a mark:
 # with them, lower-casing first could change how a text is normalised. Control characters but
@@ -86,8 +87,11 @@ class WordEncoder:
             self.ids, self.words = {}, {}
         ids, words = self.ids, self.words
         cut = [self._cut(t) for t in texts]
+        get = ids.__getitem__
+        done: list[bytes | None] = []
         new: set[bytes] = set()
         for pieces, whole in cut:
+            done.append(None)
             if whole:
                 for p in set(pieces):
                     if p.isascii():
@@ -95,9 +99,11 @@ class WordEncoder:
                     elif p not in words:
                         words[p] = self._one(p)
             elif pieces is not None:
-                new.update(pieces)
+                try:
+                    done[-1] = b"".join(map(get, pieces))
+                except KeyError:
+                    new.update(pieces)
         self._plain([p for p in new if p not in ids])
-        get = ids.__getitem__
 
         def joined(text: bytes, pieces: list[bytes] | None, whole: bool) -> bytes:
             if pieces is None:
@@ -106,7 +112,7 @@ class WordEncoder:
                 return b"".join(ids[p] if p.isascii() else words[p] for p in pieces)
             return b"".join(map(get, pieces))
 
-        return [joined(t, *c) for t, c in zip(texts, cut)]
+        return [joined(t, *c) if d is None else d for t, c, d in zip(texts, cut, done)]
 
 
 @cache

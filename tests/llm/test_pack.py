@@ -49,6 +49,25 @@ def test_ids_do_not_depend_on_texts_before(cache_size):
                 assert np.frombuffer(ids, "<u4").tolist() == expected[text], text
 
 
+def test_texts_of_known_pieces_are_looked_up_once(monkeypatch):
+    """No set of pieces is built for them, and the library isn't asked."""
+    from rateflow.llm.tokenize import WordEncoder
+    encoder = WordEncoder(pack.default_vocabulary())
+    texts = [t.encode() for t in ("Don't they'll WE'VE 1 22 it's", "naïve été, d'accord", "plain. 's 'x ''s")]
+    first = encoder.encode(texts)
+    asked = []
+    monkeypatch.setattr(encoder, "_plain", asked.extend)
+    assert encoder.encode(texts) == first and not asked
+    counted = []
+
+    class Counting(dict):
+        def __contains__(self, key):
+            counted.append(key)
+            return super().__contains__(key)
+    encoder.ids = Counting(encoder.ids)
+    assert encoder.encode(texts) == first and not counted
+
+
 def _best_fit(items, capacity):
     free = []
     for s in sorted(items, reverse=True):
