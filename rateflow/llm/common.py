@@ -20,11 +20,15 @@ from rateflow.session import scratch_path
 _WRITTEN: dict[tuple[str, str], list[str]] = {}
 _SCOPE = [""]
 
-# Bits of an id filter: 1 MiB, whatever the number of ids; of a filter of passages' hashes in
-# the JVM, 2 MiB; and of one that tasks hold in Python, 8 MiB.
+# Bits of an id filter: 1 MiB at most, whatever the number of ids; of a filter of passages'
+# hashes in the JVM, 2 MiB at most; and of one that tasks hold in Python, 8 MiB.
 FILTER_BITS = 1 << 23
 HASH_FILTER_BITS = 1 << 24
 WIDE_FILTER_BITS = 1 << 26
+# Bits for each id while a filter in the JVM has fewer; for each hash; and the fewest of a filter.
+ID_BITS = 64
+HASH_BITS = 32
+LEAST_BITS = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,13 +84,27 @@ def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return ((bits[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
-def _bit_test(slots: DataFrame, bits: int):
-    """A test of slot numbers against the column ``slot``, in the JVM.
+def filter_bits(ids: int, share: int, most: int) -> int:
+    """Bits of a filter of so many ids: a power of two, at least ``share`` for each id until that is
+    ``most``."""
+    bits = LEAST_BITS
+    while bits < min(share * ids, most):
+        bits *= 2
+    return bits
 
-    The bitmap is one row with an array of arrays of 1024 longs, read as a scalar subquery."""
-    spark = slots.sparkSession
+
+def _bit_test(hashes: DataFrame, share: int, most: int):
+    """A test of hashes against the column ``hash``, in the JVM.
+
+    The bitmap is one row with an array of arrays of 1024 longs, read as a scalar subquery. The
+    driver puts it into every stage that tests, several times, so that few ids get few bits."""
+    spark = hashes.sparkSession
+    found = written(hashes.select((F.pmod("hash", F.lit(most)) / 64).cast("bigint").alias("w"),
+                                  F.expr("shiftleft(1L, cast(pmod(hash, 64L) as int))").alias("b"))
+                    .groupBy("w").agg(F.bit_or("b").alias("b"), F.count(F.lit(1)).alias("n")), "bitmap-words")
+    bits = filter_bits(found.agg(F.sum("n")).first()[0] or 0, share, most)
     every = spark.range(bits // 64).select(F.col("id").alias("w"), F.lit(0).cast("bigint").alias("b"))
-    words = (slots.select((F.col("slot") / 64).cast("bigint").alias("w"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("b"))
+    words = (found.select(F.pmod("w", F.lit(bits // 64)).alias("w"), "b")
              .unionByName(every).groupBy("w").agg(F.bit_or("b").alias("b")))
 
     def in_order(key: str, value: str) -> Column:
@@ -95,7 +113,8 @@ def _bit_test(slots: DataFrame, bits: int):
     blocks = words.withColumn("block", F.shiftright("w", 10)).groupBy("block").agg(in_order("w", "b"))
     packed = written(blocks.agg(in_order("block", "b")), "bitmap").scalar()
 
-    def test(slot: Column) -> Column:
+    def test(hash_: Column) -> Column:
+        slot = F.pmod(hash_, F.lit(bits))
         word = F.get(F.get(packed, F.shiftright(slot, 16).cast("int")), F.shiftright(slot, 6).bitwiseAND(F.lit(1023)).cast("int"))
         return F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1
 
@@ -103,23 +122,20 @@ def _bit_test(slots: DataFrame, bits: int):
 
 
 def hash_filter(hashes: DataFrame, column: str):
-    """Like id_filter, for a column of 64-bit hashes and with HASH_FILTER_BITS bits."""
-    test = _bit_test(hashes.select(F.pmod(column, F.lit(HASH_FILTER_BITS)).alias("slot")), HASH_FILTER_BITS)
-    return lambda col: test(F.pmod(col, F.lit(HASH_FILTER_BITS)))
+    """Like id_filter, for a column of 64-bit hashes, with HASH_BITS bits for each until that is
+    HASH_FILTER_BITS."""
+    return _bit_test(hashes.select(F.col(column).alias("hash")), HASH_BITS, HASH_FILTER_BITS)
 
 
 def id_filter(ids: DataFrame, *columns: str):
     """A bitmap of hashed ids and the test for it.
 
     Returns ``may_hold(*cols) -> Column``: true for every id of ``ids``, and for some
-    others. The bitmap has FILTER_BITS bits at any number of ids; with very many ids it
-    lets everything through, so callers always follow it with an exact join.
+    others. The bitmap has ID_BITS bits for each id and at most FILTER_BITS; with very many ids
+    it lets everything through, so callers always follow it with an exact join.
     """
-    def slot(*cols: Column) -> Column:
-        return F.pmod(F.xxhash64(*cols), F.lit(FILTER_BITS))
-
-    test = _bit_test(ids.select(slot(*(F.col(c) for c in columns)).alias("slot")), FILTER_BITS)
-    return lambda *cols: test(slot(*cols))
+    test = _bit_test(ids.select(F.xxhash64(*(F.col(c) for c in columns)).alias("hash")), ID_BITS, FILTER_BITS)
+    return lambda *cols: test(F.xxhash64(*cols))
 
 
 def row_key() -> Column:
@@ -140,7 +156,7 @@ def drop_rows(docs: DataFrame, gone: DataFrame, by: Column | None = None) -> Dat
     the texts that stay aren't shuffled unless very many rows go."""
     key = fresh_name(docs, "row_key")
     keys = gone.select(F.col("row_key").alias(key)).distinct()
-    may_hold = id_filter(keys, key)
+    may_hold = id_filter(gone, "row_key")
     keyed = docs.withColumn(key, row_key() if by is None else by)
     doubt = keyed.where(may_hold(F.col(key))).join(keys, key, "left_anti")
     return keyed.where(~may_hold(F.col(key))).unionByName(doubt).select(*docs.columns)
