@@ -84,37 +84,30 @@ def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return ((bits[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
-def filter_bits(ids: int, share: int, most: int) -> int:
-    """Bits of a filter of so many ids: a power of two, at least ``share`` for each id until that is
-    ``most``."""
-    bits = LEAST_BITS
-    while bits < min(share * ids, most):
-        bits *= 2
-    return bits
-
-
 def _bit_test(hashes: DataFrame, share: int, most: int):
     """A test of hashes against the column ``hash``, in the JVM.
 
     The bitmap is one row with an array of arrays of 1024 longs, read as a scalar subquery. The
-    driver puts it into every stage that tests, several times, so that few ids get few bits."""
+    driver puts it into every stage that tests, several times, so that few ids get few bits: a
+    power of two, at least ``share`` for each until that is ``most``."""
     spark = hashes.sparkSession
-    found = written(hashes.select((F.pmod("hash", F.lit(most)) / 64).cast("bigint").alias("w"),
-                                  F.expr("shiftleft(1L, cast(pmod(hash, 64L) as int))").alias("b"))
-                    .groupBy("w").agg(F.bit_or("b").alias("b"), F.count(F.lit(1)).alias("n")), "bitmap-words")
-    bits = filter_bits(found.agg(F.sum("n")).first()[0] or 0, share, most)
-    every = spark.range(bits // 64).select(F.col("id").alias("w"), F.lit(0).cast("bigint").alias("b"))
-    words = (found.select(F.pmod("w", F.lit(bits // 64)).alias("w"), "b")
+    ids = hashes.agg(F.count(F.lit(1))).scalar()
+    wanted = F.least(F.greatest(ids * share, F.lit(LEAST_BITS)), F.lit(most))
+    bits = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(F.bin(wanted - 1)))
+    every = spark.range(most // 64).where(F.col("id") * 64 < bits).select(F.col("id").alias("w"), F.lit(0).cast("bigint").alias("b"))
+    words = (hashes.select((F.pmod("hash", bits) / 64).cast("bigint").alias("w"), F.expr("shiftleft(1L, cast(pmod(hash, 64L) as int))").alias("b"))
              .unionByName(every).groupBy("w").agg(F.bit_or("b").alias("b")))
 
     def in_order(key: str, value: str) -> Column:
         return F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value]).alias(value)
 
     blocks = words.withColumn("block", F.shiftright("w", 10)).groupBy("block").agg(in_order("w", "b"))
-    packed = written(blocks.agg(in_order("block", "b")), "bitmap").scalar()
+    bitmap_ = written(blocks.agg(in_order("block", "b")), "bitmap")
+    held = bitmap_.select(F.size("b")).first()[0] << 16
+    packed = bitmap_.scalar()
 
     def test(hash_: Column) -> Column:
-        slot = F.pmod(hash_, F.lit(bits))
+        slot = F.pmod(hash_, F.lit(held))
         word = F.get(F.get(packed, F.shiftright(slot, 16).cast("int")), F.shiftright(slot, 6).bitwiseAND(F.lit(1023)).cast("int"))
         return F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1
 

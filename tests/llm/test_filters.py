@@ -22,19 +22,18 @@ def _bitmaps(monkeypatch):
     return sizes
 
 
-def test_bits_follow_the_ids_up_to_a_limit():
-    assert common.filter_bits(0, 64, common.FILTER_BITS) == common.LEAST_BITS
-    assert common.filter_bits(5_700, 64, common.FILTER_BITS) == 1 << 19
-    assert common.filter_bits(1 << 17, 64, common.FILTER_BITS) == common.FILTER_BITS
-    assert common.filter_bits(1 << 40, 64, common.FILTER_BITS) == common.FILTER_BITS
-    assert common.filter_bits(1 << 40, 32, common.HASH_FILTER_BITS) == common.HASH_FILTER_BITS
+def _bits(ids, share, most):
+    bits = common.LEAST_BITS
+    while bits < min(ids * share, most):
+        bits *= 2
+    return bits
 
 
-@pytest.mark.parametrize("n", [0, 1, 3_000, 200_000])
+@pytest.mark.parametrize("n", [0, 1, 1_024, 1_025, 3_000, 200_000])
 def test_every_id_passes_and_few_others(spark, monkeypatch, n):
     sizes = _bitmaps(monkeypatch)
     may_hold = id_filter(spark.range(n).select(F.col("id").alias("k")), "k")
-    bits = common.filter_bits(n, common.ID_BITS, common.FILTER_BITS)
+    bits = _bits(n, common.ID_BITS, common.FILTER_BITS)
     assert sizes == [bits // 64]
     assert spark.range(n).where(may_hold(F.col("id"))).count() == n
     others = spark.range(n, n + 20_000).where(may_hold(F.col("id"))).count()
