@@ -25,8 +25,14 @@ those far from all pivots share a cell. Pivots are done, and so are cells whose
 are already one component. Regions of at most LEAF classes are joined exactly: member by
 member as a pivot, skipping members of its own component and those that the triangle
 inequality excludes by earlier distances. A large region that its cells don't divide (all
-members lie within each other's windows), or that is left after ROUNDS rounds, is joined by
-pairs of blocks.
+members lie within each other's windows, or none is near another), or that is left after ROUNDS
+rounds, is joined by its signatures: only members that share one can be linked, and each set of members
+that share one is a region of its own. Regions of sets that are alike by chance are chains of such
+shares, with few pairs that share one. Where members would be sent oftener that way than by pairs of
+blocks (texts that are alike below the threshold share very many), it is joined by pairs of blocks.
+
+Signatures are shuffled once, packed, and not stored: a task sends each one once with its least
+node, and the links to that node of the others that it has.
 
 Only links that join components are reported, so copies are never expanded to pairs.
 
@@ -48,7 +54,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateflow.llm import text as T
-from rateflow.llm.common import document_order, drop_rows, hash_filter, row_key, with_texts, written
+from rateflow.llm.common import document_order, drop_rows, id_filter, row_key, with_texts, written
 from rateflow.llm.components import components
 
 SHINGLE = 3
@@ -61,6 +67,10 @@ TOGETHER = 1000
 FAR = 0.5
 # Sets of up to so many parts are divided a second time where a part says little.
 FEW_PARTS = 32
+# Signatures that a task packs together, and at most about as many as a shard gets. Of a signature,
+# LOW_BITS are sent; they follow those that number the shards.
+PACKED = 1 << 20
+LOW_BITS = 48
 
 _U = np.uint64
 
@@ -85,6 +95,14 @@ class Sets:
         self.values, self.text = values[new], text[new]
         self.first = np.searchsorted(self.text, np.arange(len(offsets)))
 
+    @classmethod
+    def of(cls, values: np.ndarray, first: np.ndarray) -> Sets:
+        """Sets whose distinct hashes are known, sorted within each."""
+        s = object.__new__(cls)
+        s.values, s.first = values, first
+        s.text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        return s
+
     def sizes(self) -> np.ndarray:
         return np.diff(self.first)
 
@@ -184,13 +202,79 @@ def signatures(s: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(texts), np.concatenate(out)
 
 
-def _signatures(size: int, percent: int):
+def _distinct(pairs: np.ndarray) -> np.ndarray:
+    """Distinct rows (a, b) with a <> b."""
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:] != pairs[:-1]).any(1)
+    return pairs[new]
+
+
+def _stars(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct signatures in their order, the least node of each, and the distinct pairs of
+    that and another node of the signature."""
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
+    new = np.ones(len(sig), bool)
+    new[1:] = sig[1:] != sig[:-1]
+    least = node[new]
+    pairs = np.column_stack([least[np.cumsum(new) - 1], node])[~new] if len(sig) else np.zeros((0, 2), np.int64)
+    return sig[new], least, _distinct(pairs)
+
+
+def _binaries(rows: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Bytes of the rows up to each end from the end before."""
+    width = rows.dtype.itemsize * rows.shape[1]
+    offsets = np.concatenate([[0], ends * width]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _packed(held: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """A row for each of 2**bits shards: its signatures and their nodes, and some of the pairs."""
+    sig, node, pairs = _stars(*(np.concatenate(x) for x in zip(*held)))
+    shards = np.arange(1 << bits)
+    ends = np.searchsorted((sig >> _U(LOW_BITS)) >> _U(64 - LOW_BITS - bits), shards.astype(np.uint64), "right")
+    low = (sig >> _U(64 - LOW_BITS - bits)).view(np.uint8).reshape(-1, 8)[:, : LOW_BITS // 8]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shards, pa.int32()), _binaries(low, ends), _binaries(node[:, None], ends), _binaries(pairs, (shards + 1) * len(pairs) >> bits)],
+        names=["shard", "sigs", "nodes", "pairs"])
+
+
+def _signatures(size: int, percent: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             for rows, offsets, data in T.row_chunks(batch):
                 text, sig = signatures(Sets(offsets, data, size), percent)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig.view(np.int64)), rows.column(0).take(pa.array(text, pa.int64()))], names=["sig", "node"])
+                held.append((sig, rows.column(0).to_numpy()[text]))
+                n += len(sig)
+                if n >= PACKED:
+                    yield _packed(held, bits)
+                    held, n = [], 0
+        if n:
+            yield _packed(held, bits)
+    return run
+
+
+def _shared(group: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that connect the nodes of each signature of a shard."""
+    low = np.frombuffer(b"".join(group["sigs"]), np.uint8).reshape(-1, LOW_BITS // 8)
+    sig = np.zeros((len(low), 8), np.uint8)
+    sig[:, : LOW_BITS // 8] = low
+    _, _, pairs = _stars(sig.view(np.uint64)[:, 0], np.frombuffer(b"".join(group["nodes"]), np.int64))
+    sent = np.frombuffer(b"".join(group["pairs"]), np.int64).reshape(-1, 2)
+    return pd.DataFrame(_distinct(np.concatenate([pairs, sent])), columns=["a", "b"])
+
+
+def _set_signatures(percent: int):
+    """Signatures of sets (region, node, told, shingles) in their region."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, offsets, data in T.row_chunks(batch, "shingles"):
+                text, sig = signatures(Sets.of(np.frombuffer(data.tobytes(), np.uint64), offsets // 8), percent)
+                region, node, told = (rows.column(i).take(pa.array(text, pa.int64())) for i in range(3))
+                yield pa.RecordBatch.from_arrays([region, pa.array(sig.view(np.int64)), node, told], names=["region", "sig", "node", "told"])
     return run
 
 
@@ -231,9 +315,10 @@ class Region:
         return 100 * both >= percent * union, 1 - both / union
 
 
-def region_links(packed: list[bytes], percent: int, first_block: int | None = None) -> list[tuple[int, int]]:
+def region_links(packed: list[bytes], percent: int, first_block: int | None = None, told: int = 0) -> list[tuple[int, int]]:
     """Links that connect what the links of these sets connect. With first_block, only pairs of
-    one of the first so many sets with one of the others are looked at."""
+    one of the first so many sets with one of the others are looked at; the last ``told`` sets aren't
+    compared with each other."""
     region = Region(packed)
     n = len(packed)
     label = np.arange(n)
@@ -241,7 +326,7 @@ def region_links(packed: list[bytes], percent: int, first_block: int | None = No
     r = 1 - percent / 100 + 1e-9
     windows: list[np.ndarray] = []  # distances to the first few pivots; NaN: not measured
     links = []
-    for p in range(n if first_block is None else first_block):
+    for p in range(n - told if first_block is None else first_block):
         open_[p] = False
         others = open_ & (label != label[p]) & (np.minimum(region.sizes, region.sizes[p]) * 100 >= percent * np.maximum(region.sizes, region.sizes[p]))
         if first_block is not None:
@@ -268,9 +353,10 @@ def _leaves(percent: int):
         out = []
         for _, g in group.groupby("region", sort=False):
             nodes = g["node"].to_numpy()
-            order = np.argsort(nodes, kind="stable")
+            told = g["told"].to_numpy(bool) if "told" in g else np.zeros(len(g), bool)
+            order = np.lexsort((nodes, told))
             packed = g["shingles"].to_numpy()[order]
-            out += [(nodes[order[a]], nodes[order[b]]) for a, b in region_links(list(packed), percent)]
+            out += [(nodes[order[a]], nodes[order[b]]) for a, b in region_links(list(packed), percent, told=int(told.sum()))]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
@@ -379,18 +465,14 @@ def _least(rows: DataFrame, column: str, k: int) -> DataFrame:
     return few.groupBy("region").agg(F.slice(F.array_sort(F.collect_list(column)), 1, k).alias("best"))
 
 
-def links(docs: DataFrame, percent: int, size: int) -> DataFrame:
+def links(docs: DataFrame, percent: int, size: int, elements: int) -> DataFrame:
     """(a, b) of class nodes: links that connect what all links connect. docs (doc_id,
-    text): one row for each distinct set; nodes are row keys."""
+    text): one row for each distinct set; nodes are row keys. elements: about as many as the
+    sets have together, for the number of shards."""
     texts = docs.select(row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
-    sigs = written(texts.mapInArrow(_signatures(size, percent), "sig bigint, node bigint"), "signatures")
-    # Most signatures are met once: they are counted without their nodes.
-    often = written(sigs.groupBy("sig").count().where("count > 1").select("sig"), "repeated")
-    may_be_shared = hash_filter(often, "sig")
-    shared = written(sigs.where(may_be_shared(F.col("sig"))).join(often, "sig"), "parts")
-    centres = written(shared.groupBy("sig").agg(F.min("node").alias("centre")), "centres")
-    pairs = (shared.join(centres, "sig").where("node <> centre")
-             .select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
+    bits = min(64 - LOW_BITS, (elements // PACKED).bit_length())
+    pairs = (texts.mapInArrow(_signatures(size, percent, bits), "shard int, sigs binary, nodes binary, pairs binary")
+             .groupBy("shard").applyInPandas(_shared, "a bigint, b bigint"))
     coarse = written(components(pairs), "regions").withColumnRenamed("component", "region")
     sizes = written(coarse.groupBy("region").agg(F.count(F.lit(1)).alias("n")), "region-sizes")
     small = coarse.join(sizes.where(F.col("n") <= LEAF), "region").select("region", "node")
@@ -415,7 +497,7 @@ def links(docs: DataFrame, percent: int, size: int) -> DataFrame:
             out.append(written(found, "links"))
             undivided = written(undivided, "undivided")
             if not undivided.isEmpty():
-                out.append(written(_by_blocks(undivided, sets, percent), "links"))
+                out.append(written(_undivided(undivided, sets, percent), "links"))
             members = written(following, "next-regions")
             if members.isEmpty():
                 break
@@ -428,13 +510,42 @@ def links(docs: DataFrame, percent: int, size: int) -> DataFrame:
             if members.isEmpty():
                 break
         else:
-            out.append(written(_by_blocks(members, sets, percent), "links"))
+            out.append(written(_undivided(members, sets, percent), "links"))
     every = out[0]
     for o in out[1:]:
         every = every.unionByName(o)
     return every
 
 
+def _undivided(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of regions (region, node, told) that cells don't divide: by the members that share a
+    signature, or by pairs of blocks where that sends fewer sets."""
+    parts = written(members.join(sets, "node").select("region", "node", "told", "shingles")
+                    .mapInArrow(_set_signatures(percent), "region bigint, sig bigint, node bigint, told boolean"), "region-parts")
+    open_ = F.sum(F.when(F.col("told"), 0).otherwise(1))
+    sharing = parts.groupBy("region", "sig").agg(
+        F.count(F.lit(1)).alias("n"), open_.alias("others"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    # Of signatures that the same members share, one counts.
+    groups = written(sharing.where("n > 1 and others > 0").groupBy("region", "n", "others", "x", "y").agg(F.min("sig").alias("sig")), "sharing")
+    sent = F.col("n") * F.when(F.col("n") <= LEAF, 1).otherwise(F.ceil(F.col("others") / LEAF))
+    by_blocks = members.groupBy("region").agg((F.count(F.lit(1)) * F.ceil(open_ / LEAF)).alias("blocks"))
+    divided = written(by_blocks.join(groups.groupBy("region").agg(F.sum(sent).alias("sent")), "region", "left")
+                      .where("coalesce(sent, 0) <= blocks").select("region"), "divided-regions")
+    groups = written(groups.join(divided, "region", "left_semi").select("region", "sig", "n"), "sharing")
+    may_hold = id_filter(groups, "region", "sig")
+    dealt = written(parts.where(may_hold(F.col("region"), F.col("sig"))).join(groups, ["region", "sig"])
+                    .select(F.xxhash64("region", "sig").alias("region"), "node", "told", "n"), "shared-by")
+    small = dealt.where(F.col("n") <= LEAF)
+    bins = max(1, -(-small.count() // TOGETHER))
+    leaf = _leaves(percent)
+    found = (small.join(sets, "node").withColumn("bin", F.pmod(F.xxhash64("region"), F.lit(bins)))
+             .groupBy("bin").applyInPandas(lambda g: leaf(g), "a bigint, b bigint"))
+    large = written(dealt.where(F.col("n") > LEAF).select("region", "node", "told")
+                    .unionByName(members.join(divided, "region", "left_anti").select("region", "node", "told")), "undivided")
+    return found if large.isEmpty() else found.unionByName(_by_blocks(large, sets, percent))
+
+
 def _by_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Exact join of regions (region, node, told) by pairs of blocks of about LEAF members:
     blocks of members outside the main component with each other and with blocks of it."""
@@ -471,7 +582,8 @@ def join(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFr
     others = (facts.join(classes.where("copies > 1").select(*kind, "first"), kind)
               .where(F.col("row_key") != F.col("first.row_key")).select("row_key"))
     empty = facts.where("n = 0").select("row_key")
-    found = links(drop_rows(docs, written(others.unionByName(empty), "other-copies")), percent, size)
+    elements = facts.agg(F.sum("n")).first()[0] or 0
+    found = links(drop_rows(docs, written(others.unionByName(empty), "other-copies")), percent, size, elements)
     parts = written(components(found), "components")
     joined = classes.select(*kind, "first").join(parts.select(F.col("node").alias("key"), "component"), F.col("first.row_key") == F.col("key"), "left")
     whole = written(joined.select(*kind, "first", F.coalesce("component", F.col("first.row_key")).alias("component")), "class-components")

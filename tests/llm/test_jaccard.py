@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rateflow.llm import jaccard as J
@@ -107,6 +108,90 @@ def test_signatures_of_a_very_long_text_are_linear(percent, size):
     assert s.sizes()[0] > 300_000 and len(sig) < s.sizes()[0]
 
 
+def _joined_by_blocks(spark, monkeypatch, texts, leaf):
+    """Members that _by_blocks gets; the result is held against brute force."""
+    for name, value in (("LEAF", leaf), ("PIVOTS", 3), ("TOGETHER", 20)):
+        monkeypatch.setattr(J, name, value)
+    got, plain = [], J._by_blocks
+
+    def seen(members, *rest):
+        got.append(members.count())
+        return plain(members, *rest)
+
+    monkeypatch.setattr(J, "_by_blocks", seen)
+    docs = list(enumerate(texts))
+    rows = J.join(documents(spark, docs), 80, 5).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=repr) == _brute(docs, 80, 5)
+    assert len({r.component_id for r in rows}) < len(docs)
+    return sum(got)
+
+
+def test_members_of_a_chain_of_shares_are_not_all_compared(spark, monkeypatch):
+    rnd = random.Random(4)
+    words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(2000)]
+    texts = [" ".join(words[12 * i: 12 * i + 60]) for i in range(150)]
+    texts += [t + " more" for t in texts[::10]]
+    assert _joined_by_blocks(spark, monkeypatch, texts, 8) == 0
+
+
+def test_a_family_below_the_threshold_is_joined_by_blocks(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = [f"w{rnd.randrange(10 ** 6)}" for _ in range(200)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for _ in range(12):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(10 ** 6)}"
+        texts.append(" ".join(w))
+    texts += [t + " more" for t in texts[::10]]
+    assert _joined_by_blocks(spark, monkeypatch, texts, 30) > 0
+
+
+def test_signatures_are_not_stored(spark, monkeypatch):
+    rows, plain = {}, J.written
+
+    def seen(df, name):
+        out = plain(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(J, "written", seen)
+    rnd = random.Random(6)
+    docs = [(i, " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(300))) for i in range(40)]
+    docs += [(100 + i, t + " more") for i, t in docs[:20]]
+    J.join(documents(spark, docs)).collect()
+    assert max(rows.values()) <= 2 * len(docs), rows
+
+
+@pytest.mark.parametrize("bits", [0, 3, 16])
+def test_packed_signatures_link_what_shares_one(monkeypatch, bits):
+    rnd = random.Random(bits)
+    monkeypatch.setattr(J, "PACKED", 300)
+    base = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(40)) for _ in range(30)]
+    texts = base + ["", "one"] + [t + " more" for t in base[:20]] * 2
+    nodes = [rnd.choice([-1, 1]) * rnd.randrange(1 << 62) for _ in texts]
+    batches = [pa.RecordBatch.from_arrays([pa.array(nodes[i: i + 7], pa.int64()), pa.array(texts[i: i + 7])], names=["row_key", "text"])
+               for i in range(0, len(texts), 7)]
+    out = pa.Table.from_batches(J._signatures(3, 80, bits)(iter(batches)))
+    assert out.num_rows > 1 << bits
+    links = [tuple(x) for _, g in out.to_pandas().groupby("shard") for x in J._shared(g).to_numpy().tolist()]
+    of_sig = {}
+    for node, text in zip(nodes, texts):
+        data = text.encode()
+        for sig in J.signatures(J.Sets(np.array([0, len(data)]), np.frombuffer(data, np.uint8), 3), 80)[1].tolist():
+            of_sig.setdefault(sig, set()).add(node)
+
+    def components_of(pairs):
+        label = {n: n for n in nodes}
+        for a, b in pairs:
+            old, new = label[a], label[b]
+            label = {n: new if x == old else x for n, x in label.items()}
+        return {frozenset(n for n in nodes if label[n] == x) for x in label.values()}
+
+    assert components_of(links) == components_of((min(s), n) for s in of_sig.values() for n in s)
+    assert J._shared(out.slice(0, 0).to_pandas()).empty
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(1, i) for i in range(2, 60)]
